@@ -9,19 +9,40 @@ has extra sort keys that make the cut reproducible.
 Plans: the fact is read with partition + Parquet predicates
 (``Model.trades_between``) and projected to the used columns; dimensions
 are joined as checked broadcasts; aggregates run partial (map side) then
-final; ranking uses per-group windows over already aggregated rows.
+final; ranking and rolling windows run over already aggregated rows
+(one row per symbol/contract and day), never over raw trades.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
+from derivspark.operators.reshape import (equal_width_histogram, rolling_stats, side_by_side, top_k,
+                                          top_k_per_group)
 from derivspark.sources.store import Model
 
+# Original literals (defaults of the parameters) ---------------------------------
 ORIGINAL_START = "2019-08-01"
+NIFTY, BANKNIFTY = "NIFTY", "BANKNIFTY"
+OPTIONS = ["CE", "PE"]
+FUTURES_TYPES = ["FUTIDX", "FUTSTK"]
+INDEX_OPTIONS = "OPTIDX"
+# Sample stddevs the original leaves unrounded are reported at this many
+# decimals: parallel floating-point sums depend on the partial-aggregation
+# order, so the last bits are not reproducible across runs or engines.
+STAT_PLACES = 6
+# ---------------------------------------------------------------------------------
 
+r2 = M.round_half_up
+
+
+def r0(c):
+    return M.round_half_up(c, 0)
+
+
+# ---------------------------------------------------------------------- Q1 ----
 
 def runner_q1_oi_change(m: Model, since: str = ORIGINAL_START, k: int = 10) -> DataFrame:
     """Top symbols by |net OI change| since a date (row-level average OI)."""
@@ -29,7 +50,401 @@ def runner_q1_oi_change(m: Model, since: str = ORIGINAL_START, k: int = 10) -> D
                                        "open_interest", "contracts")
     g = m.with_exchange(t, "symbol").groupBy("symbol", "exchange_code").agg(
         M.sum_long("change_in_oi").alias("net_oi_change"),
-        M.round_half_up(M.exact_avg("open_interest"), 0).alias("avg_open_interest"),
+        r0(M.exact_avg("open_interest")).alias("avg_open_interest"),
         M.sum_long("contracts").alias("cumulative_volume"),
         F.countDistinct("trade_date").alias("trading_days"))
-    return g.orderBy(F.abs("net_oi_change").desc(), "symbol", "exchange_code").limit(k)
+    return top_k(g, [F.abs("net_oi_change").desc(), "symbol", "exchange_code"], k)
+
+
+def full_q1_oi_change(m: Model, days: int = 30, as_of=None, k: int = 10) -> DataFrame:
+    """Last-N-day OI momentum: daily sums per (symbol, exchange, type, date),
+    then per (symbol, exchange); the average OI is over daily totals."""
+    t = m.last_days(days, as_of).select("instrument_id", "trade_date", "change_in_oi",
+                                        "open_interest", "contracts")
+    daily = m.with_exchange(t, "symbol", "instrument_type") \
+        .groupBy("symbol", "exchange_code", "instrument_type", "trade_date").agg(
+            F.sum("change_in_oi").alias("daily_oi_change"),
+            F.sum("open_interest").alias("total_oi"),
+            F.sum("contracts").alias("total_volume"))
+    sym = daily.groupBy("symbol", "exchange_code").agg(
+        M.sum_long("daily_oi_change").alias("net_oi_change"),
+        M.exact_avg("total_oi").alias("avg_oi"),
+        M.sum_long("total_volume").alias("cumulative_volume"),
+        F.countDistinct("trade_date").alias("trading_days"))
+    out = sym.select(
+        "symbol", "exchange_code", "net_oi_change",
+        r0("avg_oi").alias("avg_open_interest"),
+        "cumulative_volume", "trading_days",
+        M.avg_daily_oi_change("net_oi_change", "trading_days").alias("avg_daily_oi_change"),
+        M.oi_change_pct("net_oi_change", "avg_oi").alias("oi_change_pct"))
+    return top_k(out, [F.abs("net_oi_change").desc(), "symbol", "exchange_code"], k)
+
+
+# ---------------------------------------------------------------------- Q2 ----
+
+def runner_q2_volatility(m: Model, since: str = ORIGINAL_START, window_rows: int = 7,
+                         k: int = 10) -> DataFrame:
+    """Per-symbol daily average close, rolling stddev, summarised per symbol."""
+    t = m.trades_between(since).select("instrument_id", "trade_date", "close")
+    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date") \
+        .agg(M.exact_avg("close").alias("avg_close"))
+    rolled = rolling_stats(daily, ["symbol"], "trade_date", "avg_close", window_rows,
+                           stddev="rolling_stddev")
+    out = rolled.where(F.col("rolling_stddev").isNotNull()).groupBy("symbol").agg(
+        F.max("trade_date").alias("latest_date"),
+        r2(F.avg("avg_close")).alias("avg_price"),
+        r2(F.avg("rolling_stddev")).alias("avg_volatility"),
+        r2(F.min("rolling_stddev")).alias("min_volatility"),
+        r2(F.max("rolling_stddev")).alias("max_volatility"))
+    return top_k(out, [F.col("avg_volatility").desc_nulls_last(), "symbol"], k)
+
+
+def full_q2_volatility(m: Model, symbol: str = NIFTY, instrument_type: str = INDEX_OPTIONS,
+                       start: str = ORIGINAL_START, end: str = "2019-10-31", window_rows: int = 7,
+                       min_volume: int = 100, k: int = 50) -> DataFrame:
+    """One symbol's options: daily average close per contract, rolling
+    stddev/avg/count over the same frame; complete windows with volume."""
+    t = m.trades_between(start, end).select("instrument_id", "expiry_id", "trade_date", "close", "contracts")
+    inst = m.instruments.where((F.col("symbol") == symbol) & (F.col("instrument_type") == instrument_type)) \
+        .select("instrument_id")
+    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)) \
+        .select("expiry_id", "expiry_date", "strike_price", "option_type")
+    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    contract = ["expiry_date", "strike_price", "option_type"]
+    daily = j.groupBy("trade_date", *contract).agg(
+        M.exact_avg("close").alias("avg_close"), M.sum_long("contracts").alias("volume"))
+    rolled = rolling_stats(daily, contract, "trade_date", "avg_close", window_rows,
+                           stddev="sd7", mean="ma7", count="window_days")
+    out = rolled.where((F.col("window_days") == window_rows) & (F.col("volume") > min_volume)).select(
+        "trade_date", *contract,
+        r2("avg_close").alias("close_price"), "volume",
+        r2("ma7").alias("ma_7day"), r2("sd7").alias("volatility_7day"),
+        M.coefficient_of_variation("sd7", "ma7").alias("coefficient_of_variation"),
+        F.col("window_days").cast("bigint").alias("window_days"))
+    return top_k(out, [F.col("trade_date").desc(), "strike_price", "option_type", "expiry_date"], k)
+
+
+# ---------------------------------------------------------------------- Q3 ----
+
+def runner_q3_cross_exchange(m: Model) -> DataFrame:
+    """Totals per (exchange, instrument type); ``avg_settlement_price`` is
+    the average close, as in the original."""
+    t = m.trades.select("instrument_id", "contracts", "value_in_lakh", "close")
+    g = m.with_exchange(t, "symbol", "instrument_type").groupBy("exchange_code", "instrument_type").agg(
+        F.countDistinct("symbol").alias("unique_symbols"),
+        M.sum_long("contracts").alias("total_volume"),
+        r2(F.sum("value_in_lakh")).alias("total_value_lakh"),
+        r2(M.exact_avg("close")).alias("avg_settlement_price"))
+    return g.orderBy(F.col("total_volume").desc(), "exchange_code", "instrument_type")
+
+
+EXCHANGE_SIDES = {"NSE": "nse", "BSE": "bse", "MCX": "mcx"}
+
+
+def full_q3_cross_exchange(m: Model, since: str = ORIGINAL_START, types=None, k: int = 30) -> DataFrame:
+    """Futures settle price per exchange side by side, spread vs. BSE
+    (a missing BSE side gives spread 0)."""
+    types = types or FUTURES_TYPES
+    t = m.trades_between(since).select("instrument_id", "trade_date", "settle_price", "contracts")
+    inst = m.instruments.where(F.col("instrument_type").isin(types)) \
+        .select("instrument_id", "exchange_id", "symbol", "instrument_type") \
+        .join(F.broadcast(m.exchanges.select("exchange_id", "exchange_code")), "exchange_id").drop("exchange_id")
+    per_ex = t.join(m.dim_filtered(inst, "instruments"), "instrument_id") \
+        .groupBy("exchange_code", "symbol", "instrument_type", "trade_date").agg(
+            M.exact_avg("settle_price").alias("avg_settle"),
+            M.sum_long("contracts").alias("total_contracts"))
+    wide = side_by_side(per_ex, ["symbol", "trade_date"], "exchange_code", EXCHANGE_SIDES,
+                        {"avg_settle": "_settle", "total_contracts": "_volume"})
+    out = wide.where(F.col("nse_settle").isNotNull()).select(
+        "symbol", "trade_date",
+        r2("nse_settle").alias("nse_settle_price"), r2("bse_settle").alias("bse_settle_price"),
+        r2("mcx_settle").alias("mcx_settle_price"),
+        "nse_volume", "bse_volume", "mcx_volume",
+        r2(M.spread("nse_settle", "bse_settle")).alias("nse_bse_spread"),
+        r2(M.spread_pct("nse_settle", "bse_settle")).alias("spread_pct"))
+    return top_k(out, [F.col("trade_date").desc(), "symbol"], k)
+
+
+# ---------------------------------------------------------------------- Q4 ----
+
+def runner_q4_option_chain(m: Model, symbol: str = NIFTY, expiry_from: str = "2019-09-26",
+                           k: int = 15) -> DataFrame:
+    """All-days chain for the nearest expiry on/after a date (nearest over
+    all instruments, an uncorrelated scalar subquery); missing side -> 0."""
+    nearest = m.expiries.where(F.col("expiry_date") >= F.lit(expiry_from).cast("date")) \
+        .agg(F.min("expiry_date")).scalar()
+    exp = m.expiries.where(F.col("option_type").isin(OPTIONS) & (F.col("expiry_date") == nearest)) \
+        .select("expiry_id", "expiry_date", "strike_price", "option_type")
+    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
+    t = m.trades.select("instrument_id", "expiry_id", "contracts", "open_interest", "close")
+    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    summary = j.groupBy("expiry_date", "strike_price", "option_type").agg(
+        M.sum_long("contracts").alias("total_volume"),
+        M.sum_long("open_interest").alias("total_oi"),
+        r2(M.exact_avg("close")).alias("avg_premium"))
+    chain = side_by_side(summary, ["expiry_date", "strike_price"], "option_type",
+                         {"CE": "CE_", "PE": "PE_"},
+                         {"total_volume": "volume", "total_oi": "oi", "avg_premium": "premium"}, fill=0)
+    chain = chain.select("expiry_date", "strike_price", "CE_volume", "PE_volume", "CE_oi", "PE_oi",
+                         "CE_premium", "PE_premium")
+    return top_k(chain, ["strike_price", "expiry_date"], k)
+
+
+def full_q4_option_chain(m: Model, symbols=None, instrument_type: str = INDEX_OPTIONS,
+                         day: str = ORIGINAL_START, k: int = 50) -> DataFrame:
+    """One-day chain: calls and puts side by side with put-call ratios.
+    ``implied_vol`` is contracts x close (a liquidity proxy)."""
+    symbols = symbols or [NIFTY, BANKNIFTY]
+    t = m.trades_between(day, day).select("instrument_id", "expiry_id", "contracts", "close", "open_interest")
+    inst = m.instruments.where(F.col("symbol").isin(symbols) & (F.col("instrument_type") == instrument_type)) \
+        .select("instrument_id", "symbol")
+    j = t.join(F.broadcast(inst), "instrument_id").join(
+        m.dim("expiries", "expiry_id", "expiry_date", "strike_price", "option_type"), "expiry_id")
+    summary = j.groupBy("symbol", "expiry_date", "strike_price", "option_type").agg(
+        M.sum_long("contracts").alias("total_volume"),
+        M.exact_avg("close").alias("avg_close"),
+        M.sum_long("open_interest").alias("total_oi"),
+        F.sum(F.col("contracts") * F.col("close")).alias("implied_volume"))
+    chain = side_by_side(summary, ["symbol", "expiry_date", "strike_price"], "option_type",
+                         {"CE": "ce_", "PE": "pe_"},
+                         {"avg_close": "close", "total_volume": "volume", "total_oi": "oi",
+                          "implied_volume": "implied_vol"})
+    out = chain.where(F.col("ce_close").isNotNull() | F.col("pe_close").isNotNull()).select(
+        "symbol", "expiry_date", "strike_price",
+        r2("ce_close").alias("call_price"), F.col("ce_volume").alias("call_volume"),
+        F.col("ce_oi").alias("call_oi"), r0("ce_implied_vol").alias("call_implied_vol"),
+        r2("pe_close").alias("put_price"), F.col("pe_volume").alias("put_volume"),
+        F.col("pe_oi").alias("put_oi"), r0("pe_implied_vol").alias("put_implied_vol"),
+        M.put_call_ratio("pe_volume", "ce_volume").alias("pcr_volume"),
+        M.put_call_ratio("pe_oi", "ce_oi").alias("pcr_oi"))
+    return top_k(out, ["symbol", "expiry_date", "strike_price"], k)
+
+
+# ---------------------------------------------------------------------- Q5 ----
+
+def runner_q5_max_volume(m: Model, k: int = 10) -> DataFrame:
+    """Single best (positive-volume) day per symbol, top k of those."""
+    t = m.trades.where(F.col("contracts") > 0).select("instrument_id", "trade_date", "contracts")
+    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date") \
+        .agg(M.sum_long("contracts").alias("daily_volume"))
+    best = top_k_per_group(daily, ["symbol"], [F.col("daily_volume").desc(), F.col("trade_date")], 1)
+    return top_k(best.select("symbol", "trade_date", "daily_volume"),
+                 [F.col("daily_volume").desc(), "symbol"], k)
+
+
+def full_q5_max_volume(m: Model, days: int = 30, as_of=None, per_group: int = 5, k: int = 50) -> DataFrame:
+    """Top volume days per (symbol, type) in the last N days; the rank
+    partition ignores the exchange, as in the original."""
+    t = m.last_days(days, as_of).where(F.col("contracts") > 0) \
+        .select("instrument_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
+    daily = m.with_exchange(t, "symbol", "instrument_type") \
+        .groupBy("symbol", "instrument_type", "exchange_code", "trade_date").agg(
+            M.sum_long("contracts").alias("daily_volume"),
+            F.sum("value_in_lakh").alias("daily_value"),
+            M.exact_avg("open_interest").alias("avg_oi"))
+    ranked = top_k_per_group(daily, ["symbol", "instrument_type"],
+                             [F.col("daily_volume").desc(), "exchange_code", "trade_date"], per_group)
+    out = ranked.select(
+        "symbol", "instrument_type", "exchange_code", "trade_date", "daily_volume",
+        r2("daily_value").alias("daily_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
+        M.value_per_contract("daily_value", "daily_volume").alias("avg_price_per_contract"))
+    return top_k(out, [F.col("daily_volume").desc(), "symbol", "instrument_type", "exchange_code",
+                       "trade_date"], k)
+
+
+# ---------------------------------------------------------------------- Q6 ----
+
+def runner_q6_price_movement(m: Model, min_pct: float = 5, k: int = 10) -> DataFrame:
+    """Daily high-low range as % of close; filter on the rounded value."""
+    t = m.trades.where(((F.col("high") - F.col("low")) > 0) & (F.col("close") > 0)) \
+        .select("instrument_id", "trade_date", "high", "low", "close")
+    rng = F.col("high") - F.col("low")
+    g = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
+        r2(M.exact_avg(rng)).alias("avg_range"),
+        r2(F.avg(M.range_pct("high", "low", "close"))).alias("avg_range_pct"),
+        r2(F.max(rng)).alias("max_range"),
+        F.count(F.lit(1)).alias("num_contracts"))
+    return top_k(g.where(F.col("avg_range_pct") > min_pct),
+                 [F.col("avg_range_pct").desc(), "symbol", "trade_date"], k)
+
+
+def full_q6_price_movement(m: Model, start: str = ORIGINAL_START, end: str = "2019-10-31",
+                           min_pct: float = 1, k: int = 30) -> DataFrame:
+    """Daily averages per (symbol, type); range as % of low, classified."""
+    t = m.trades_between(start, end).where((F.col("high") > 0) & (F.col("low") > 0)) \
+        .select("instrument_id", "trade_date", "high", "low", "close", "contracts")
+    g = m.with_instrument(t, "symbol", "instrument_type").groupBy("symbol", "instrument_type", "trade_date").agg(
+        M.exact_avg("high").alias("avg_high"), M.exact_avg("low").alias("avg_low"),
+        M.exact_avg("close").alias("avg_close"),
+        M.exact_avg(F.col("high") - F.col("low")).alias("avg_range"),
+        M.sum_long("contracts").alias("total_volume"),
+        F.avg(M.range_pct("high", "low", "low")).alias("avg_range_pct"))
+    out = g.where(F.col("avg_range_pct") > min_pct).select(
+        "symbol", "instrument_type", "trade_date",
+        r2("avg_high").alias("avg_high"), r2("avg_low").alias("avg_low"),
+        r2("avg_close").alias("avg_close"), r2("avg_range").alias("avg_range"),
+        r2("avg_range_pct").alias("range_pct"), "total_volume",
+        M.volatility_class("avg_range_pct").alias("volatility_class"), "avg_range_pct")
+    return top_k(out, [F.col("avg_range_pct").desc(), "symbol", "instrument_type", "trade_date"], k) \
+        .drop("avg_range_pct")
+
+
+# ---------------------------------------------------------------------- Q7 ----
+
+def runner_q7_active_expiries(m: Model, k: int = 15) -> DataFrame:
+    """Options activity per (symbol, expiry date)."""
+    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "expiry_date", "strike_price")
+    t = m.trades.select("instrument_id", "expiry_id", "contracts", "value_in_lakh", "open_interest")
+    j = m.with_instrument(t.join(m.dim_filtered(exp, "expiries"), "expiry_id"), "symbol")
+    g = j.groupBy("symbol", "expiry_date").agg(
+        F.countDistinct("strike_price").alias("num_strikes"),
+        M.sum_long("contracts").alias("total_volume"),
+        r2(F.sum("value_in_lakh")).alias("total_value_lakh"),
+        r0(M.exact_avg("open_interest")).alias("avg_oi"))
+    return top_k(g, [F.col("total_volume").desc(), "symbol", "expiry_date"], k)
+
+
+def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: int = 20) -> DataFrame:
+    """Index options activity per (symbol, expiry month)."""
+    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "expiry_date")
+    inst = m.instruments.where(F.col("instrument_type") == instrument_type).select("instrument_id", "symbol")
+    t = m.trades.select("instrument_id", "expiry_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
+    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    g = j.groupBy("symbol", F.date_trunc("month", "expiry_date").cast("date").alias("month")).agg(
+        F.countDistinct("expiry_id").alias("num_contracts"),
+        M.sum_long("contracts").alias("total_volume"),
+        F.sum("value_in_lakh").alias("total_value"),
+        M.exact_avg("open_interest").alias("avg_oi"),
+        F.countDistinct("trade_date").alias("trading_days"))
+    out = g.select(
+        "symbol", F.date_format("month", "yyyy-MM").alias("expiry_month"), "num_contracts",
+        "total_volume", r2("total_value").alias("total_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
+        "trading_days", M.avg_daily_volume("total_volume", "trading_days").alias("avg_daily_volume"),
+        M.value_per_contract("total_value", "total_volume").alias("avg_premium"))
+    return top_k(out, [F.col("total_volume").desc(), "symbol", "expiry_month"], k)
+
+
+# ------------------------------------------------------------- benchmarks ----
+
+def bench_b1_volume(m: Model, start: str = "2019-09-01", end: str = "2019-09-30", k: int = 10,
+                    nonzero: bool = False) -> DataFrame:
+    """Top daily volumes in a date range (month partition pruned)."""
+    t = m.trades_between(start, end)
+    if nonzero:
+        t = t.where(F.col("contracts") > 0)
+    g = m.with_instrument(t.select("instrument_id", "trade_date", "contracts", "value_in_lakh"), "symbol") \
+        .groupBy("symbol", "trade_date").agg(
+            M.sum_long("contracts").alias("daily_volume"),
+            F.sum("value_in_lakh").cast("decimal(38,2)").alias("daily_value"))
+    return top_k(g, [F.col("daily_volume").desc(), "symbol", "trade_date"], k)
+
+
+def bench_b2_rolling(m: Model, start: str = "2019-08-01 00:00:00", end: str = "2019-09-01 00:00:00",
+                     window_rows: int = 7) -> DataFrame:
+    """Daily volume / close with 7-row moving average and stddev; half-open
+    timestamp range (the month partition bounds are derived from it)."""
+    lo, hi = start[:10], end[:10]
+    t = m.trades_between(lo, hi).where(
+        (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+        & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))) \
+        .select("instrument_id", "trade_date", "contracts", "close")
+    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
+        M.sum_long("contracts").alias("volume"), M.exact_avg("close").alias("avg_close"))
+    w_daily = rolling_stats(daily, ["symbol"], "trade_date", "volume", window_rows, mean="ma_7day_volume")
+    w_daily = rolling_stats(w_daily, ["symbol"], "trade_date", "avg_close", window_rows,
+                            stddev="sd7")
+    return w_daily.select("symbol", "trade_date", "volume", "avg_close", "ma_7day_volume",
+                          M.round_half_up("sd7", STAT_PLACES).alias("volatility_7day")) \
+        .orderBy("symbol", "trade_date")
+
+
+def bench_b3_oi(m: Model, start: str = "2019-09-15", end: str = "2019-09-20", min_oi: int = 1000,
+                min_net_change: int = 10000) -> DataFrame:
+    """Open-interest totals per symbol in a short window, HAVING on the sum."""
+    t = m.trades_between(start, end).where(F.col("open_interest") > min_oi) \
+        .select("instrument_id", "open_interest", "change_in_oi")
+    g = m.with_instrument(t, "symbol").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("trade_count"),
+        M.sum_long("open_interest").alias("total_oi"),
+        M.sum_long("change_in_oi").alias("net_oi_change"),
+        F.max("open_interest").alias("max_oi"))
+    return g.where(F.col("net_oi_change") > min_net_change).orderBy(F.col("net_oi_change").desc(), "symbol")
+
+
+def bench_verify_global(m: Model, since: str = ORIGINAL_START) -> DataFrame:
+    return m.trades_between(since).agg(
+        F.count(F.lit(1)).alias("n_trades"),
+        M.sum_long("contracts").alias("total_contracts"),
+        M.exact_avg("close").alias("avg_close"))
+
+
+# -------------------------------------------------------------- statistics ----
+
+def db_statistics(m: Model) -> DataFrame:
+    """Seven labelled text metrics: one aggregate pass per table, then
+    stacked into (metric, value) rows."""
+    tr = m.trades.agg(
+        F.count(F.lit(1)).alias("n"), F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"),
+        F.sum("contracts").alias("vol"), F.sum("value_in_lakh").alias("val"))
+    trade_rows = tr.select(F.stack(
+        F.lit(4),
+        F.lit("Total Trades"), F.format_number("n", 0),
+        F.lit("Date Range"), F.concat(F.col("lo").cast("string"), F.lit(" to "), F.col("hi").cast("string")),
+        F.lit("Total Volume (Contracts)"), F.format_number(F.col("vol").cast("bigint"), 0),
+        F.lit("Total Value (Lakh)"), F.format_number("val", 2)).alias("metric", "value"))
+    dims = [("Total Instruments", m.instruments), ("Total Expiries", m.expiries), ("Total Exchanges", m.exchanges)]
+    out = trade_rows
+    for label, df in dims:
+        out = out.unionByName(df.agg(F.format_number(F.count(F.lit(1)), 0).alias("value"))
+                              .select(F.lit(label).alias("metric"), "value"))
+    return out
+
+
+# ------------------------------------------------------------------ charts ----
+
+def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
+    symbols = symbols or [NIFTY, BANKNIFTY]
+    inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
+    t = m.trades.select("instrument_id", "trade_date", "open_interest").join(F.broadcast(inst), "instrument_id")
+    return t.groupBy("symbol", "trade_date").agg(M.sum_long("open_interest").alias("total_oi")) \
+        .orderBy("trade_date", "symbol")
+
+
+def chart_volume_histogram(m: Model, bins: int = 50) -> DataFrame:
+    """Equal-width bins of positive volume over all such trades."""
+    return equal_width_histogram(m.trades.where(F.col("contracts") > 0).select("contracts"), "contracts", bins)
+
+
+def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "CE",
+                             strike_lo: float = 10800, strike_hi: float = 11200,
+                             start: str = ORIGINAL_START, end: str = "2019-08-15") -> DataFrame:
+    """Stddev of close per (strike, date), long form (NULL stddev dropped)."""
+    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
+    exp = m.expiries.where((F.col("option_type") == option_type)
+                           & F.col("strike_price").between(strike_lo, strike_hi)) \
+        .select("expiry_id", "strike_price")
+    t = m.trades_between(start, end).select("instrument_id", "expiry_id", "trade_date", "close")
+    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    g = j.groupBy("strike_price", "trade_date").agg(F.stddev_samp("close").alias("sd"))
+    return g.where(F.col("sd").isNotNull()) \
+        .select("strike_price", "trade_date", M.round_half_up("sd", STAT_PLACES).alias("volatility"))
+
+
+def heatmap_matrix(long: DataFrame) -> DataFrame:
+    """Strike x date matrix of the long heat-map rows (dynamic pivot: the
+    date values are discovered by Spark, bounded by the date range)."""
+    return long.groupBy("strike_price").pivot("trade_date").agg(F.first("volatility")).orderBy("strike_price")
+
+
+def chart_option_chain(m: Model, symbol: str = NIFTY, expiry: str = "2019-08-29",
+                       day: str = ORIGINAL_START) -> DataFrame:
+    """Volume per strike, calls and puts side by side, missing -> 0."""
+    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
+    exp = m.expiries.where((F.col("expiry_date") == F.lit(expiry).cast("date")) & F.col("option_type").isin(OPTIONS)) \
+        .select("expiry_id", "strike_price", "option_type")
+    t = m.trades_between(day, day).select("instrument_id", "expiry_id", "contracts")
+    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    g = j.groupBy("strike_price", "option_type").agg(M.sum_long("contracts").alias("total_volume"))
+    wide = g.groupBy("strike_price").pivot("option_type", OPTIONS).agg(F.first("total_volume"))
+    return wide.na.fill(0, subset=OPTIONS).select("strike_price", *[F.col(o).cast("bigint") for o in OPTIONS]) \
+        .orderBy("strike_price")

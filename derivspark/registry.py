@@ -34,4 +34,31 @@ def model_query(key: str, fn, **params) -> None:
     REGISTRY[key] = run
 
 
+# Fixture symbols standing in for the index names (FIXTURES.md §3).
+from derivspark.sources.fixtures import BANKNIFTY as FX_BANKNIFTY, NIFTY as FX_NIFTY  # noqa: E402
+
 model_query("runner_q1_oi_change", A.runner_q1_oi_change)
+model_query("full_q1_oi_change", A.full_q1_oi_change)
+model_query("runner_q2_volatility", A.runner_q2_volatility)
+model_query("full_q2_volatility", A.full_q2_volatility, symbol=FX_NIFTY)
+model_query("runner_q3_cross_exchange", A.runner_q3_cross_exchange)
+model_query("full_q3_cross_exchange", A.full_q3_cross_exchange)
+model_query("runner_q4_option_chain", A.runner_q4_option_chain, symbol=FX_NIFTY)
+model_query("full_q4_option_chain", A.full_q4_option_chain, symbols=[FX_NIFTY, FX_BANKNIFTY])
+model_query("runner_q5_max_volume", A.runner_q5_max_volume)
+model_query("full_q5_max_volume", A.full_q5_max_volume)
+model_query("runner_q6_price_movement", A.runner_q6_price_movement)
+model_query("full_q6_price_movement", A.full_q6_price_movement)
+model_query("runner_q7_active_expiries", A.runner_q7_active_expiries)
+model_query("full_q7_active_expiries", A.full_q7_active_expiries)
+model_query("bench_b1_volume", A.bench_b1_volume)
+model_query("bench_b1_volume_nonzero", A.bench_b1_volume, nonzero=True)
+model_query("bench_b2_rolling", A.bench_b2_rolling)
+# The original HAVING literal (10,000) is a parameter; 100 suits the fixture's scale.
+model_query("bench_b3_oi", A.bench_b3_oi, min_net_change=100)
+model_query("bench_verify_global", A.bench_verify_global)
+model_query("db_statistics", A.db_statistics)
+model_query("chart_oi_trends", A.chart_oi_trends, symbols=[FX_NIFTY, FX_BANKNIFTY])
+model_query("chart_volume_histogram", A.chart_volume_histogram)
+model_query("chart_volatility_heatmap", A.chart_volatility_heatmap, symbol=FX_NIFTY)
+model_query("chart_option_chain", A.chart_option_chain, symbol=FX_NIFTY)

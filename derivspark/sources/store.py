@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +63,22 @@ class Model:
             t = t.where((F.col("trade_month") <= hi.year * 100 + hi.month) & date_pred)
         return t
 
+    def last_trade_date(self) -> date:
+        """max(trade_date), resolved in two cheap steps: the newest month
+        from partition values only, then the max date inside that one
+        partition. Returned as a literal so later filters still prune."""
+        if "_last_date" not in self.rows:
+            month = self.trades.agg(F.max("trade_month")).first()[0]
+            self.rows["_last_date"] = (self.trades.where(F.col("trade_month") == month)
+                                       .agg(F.max("trade_date")).first()[0])
+        return self.rows["_last_date"]
+
+    def last_days(self, days: int, as_of=None) -> DataFrame:
+        """Trades with trade_date >= as_of - days (as_of defaults to the
+        last trade date in the data, standing in for CURRENT_DATE)."""
+        as_of = _as_date(as_of) or self.last_trade_date()
+        return self.trades_between(as_of - timedelta(days=days))
+
     def dim(self, name: str, *cols: str) -> DataFrame:
         """A projected dimension, hinted for broadcast when its recorded row
         count is under the bound."""
@@ -71,6 +87,11 @@ class Model:
             df = df.select(*cols)
         return maybe_broadcast(df, self.rows.get(name))
 
+    def dim_filtered(self, df: DataFrame, name: str) -> DataFrame:
+        """A filtered/projected dimension: its size is bounded by the
+        recorded row count of the whole dimension."""
+        return maybe_broadcast(df, self.rows.get(name))
+
     def with_instrument(self, trades: DataFrame, *cols: str) -> DataFrame:
         cols = cols or ("symbol",)
         return trades.join(self.dim("instruments", "instrument_id", *cols), "instrument_id")
@@ -133,12 +154,13 @@ def open_model(spark: SparkSession, sf_dir: str) -> Model:
     """The curated model derived from the driver tables under ``sf_dir``;
     built and written on first use, then read back."""
     root = store_root(spark, sf_dir)
-    if root in _CACHE:
-        return _CACHE[root]
+    key = f"{spark.sparkContext.applicationId}:{root}"
+    if key in _CACHE:
+        return _CACHE[key]
     try:
         model = read_model(spark, root)
     except AnalysisException:
         write_model(spark, fixtures.fno_feed(spark, sf_dir), root)
         model = read_model(spark, root)
-    _CACHE[root] = model
+    _CACHE[key] = model
     return model
