@@ -62,3 +62,27 @@ model_query("chart_oi_trends", A.chart_oi_trends, symbols=[FX_NIFTY, FX_BANKNIFT
 model_query("chart_volume_histogram", A.chart_volume_histogram)
 model_query("chart_volatility_heatmap", A.chart_volatility_heatmap, symbol=FX_NIFTY)
 model_query("chart_option_chain", A.chart_option_chain, symbol=FX_NIFTY)
+
+from derivspark.plans import relational as REL  # noqa: E402
+
+model_query("project_alias", REL.project_alias)
+model_query("filter_in_list", REL.filter_in_list, symbols=[FX_NIFTY, FX_BANKNIFTY])
+model_query("filter_date_range", REL.filter_date_range)
+model_query("filter_last_n_days", REL.filter_last_n_days)
+model_query("filter_positive_volume", REL.filter_positive_volume)
+model_query("filter_expression", REL.filter_expression)
+model_query("filter_not_null_or", REL.filter_not_null_or)
+model_query("join_symbol", REL.join_symbol)
+model_query("join_snowflake", REL.join_snowflake)
+model_query("join_contract", REL.join_contract)
+model_query("agg_basic", REL.agg_basic)
+model_query("agg_count_distinct", REL.agg_count_distinct)
+model_query("pivot_null", REL.pivot_null)
+model_query("pivot_zero", REL.pivot_zero)
+model_query("distinct_rows", REL.distinct_rows)
+model_query("topk_per_group", REL.topk_per_group)
+model_query("topk_volume", REL.topk_volume)
+model_query("scalar_math", REL.scalar_math)
+model_query("scalar_null", REL.scalar_null)
+model_query("scalar_cast", REL.scalar_cast)
+model_query("scalar_date", REL.scalar_date)
