@@ -86,3 +86,9 @@ model_query("scalar_math", REL.scalar_math)
 model_query("scalar_null", REL.scalar_null)
 model_query("scalar_cast", REL.scalar_cast)
 model_query("scalar_date", REL.scalar_date)
+
+from derivspark.plans import model_jobs as MJ  # noqa: E402
+
+for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_keys",
+             "dq_check_violations", "dq_duplicate_keys", "dq_orphans"]:
+    REGISTRY[_key] = getattr(MJ, _key)
