@@ -72,3 +72,112 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_orphans")).select(F.lit(name).alias("relation"), "n_orphans")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------------------------------------ storage ----
+from derivspark.plans import storage as S  # noqa: E402
+from derivspark.schemas import RAW_COLUMNS  # noqa: E402
+from derivspark.session import scratch_dir  # noqa: E402
+from derivspark.sources import raw_feed as RF  # noqa: E402
+from derivspark.sources.testdata import read_table  # noqa: E402
+
+ARCHIVE_CUTOFF = "2019-09-01"
+KEEP_MONTHS = 2
+CORRECTION_FROM = "2019-11-01"
+
+
+def exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exchange reference rows with their instrument counts."""
+    m = open_model(spark, sf_dir)
+    n = m.instruments.groupBy("exchange_id").agg(F.count(F.lit(1)).alias("n_instruments"))
+    return m.exchanges.join(n, "exchange_id", "left").select(
+        "exchange_id", "exchange_code", "exchange_name", "country", "is_active",
+        F.coalesce("n_instruments", F.lit(0)).cast("bigint").alias("n_instruments"))
+
+
+def insert_if_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the first exchange's instruments, then insert-if-new the keys of
+    all exchanges' files: existing keys are skipped, new keys are numbered
+    after the current maximum id."""
+    feed = fno_feed(spark, sf_dir)
+    path = scratch_dir(spark, "instruments")
+    N.build_instruments(feed.where(F.col("exchange_id") == 1)).write.parquet(path)
+    batch = feed.select(*N.INSTRUMENT_KEY).withColumn("series", N.series_of("instrument_type"))
+    return S.append_if_new(spark, path, batch, N.INSTRUMENT_KEY, "instrument_id", ["exchange_id"],
+                           staging=scratch_dir(spark, "instruments-new"))
+
+
+def monthly_partition_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.monthly_partition_rollup(open_model(spark, sf_dir))
+
+
+def archive_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = S.archive_before(open_model(spark, sf_dir), ARCHIVE_CUTOFF, scratch_dir(spark, "archive"))
+    return S.partition_summary(spark.read.parquet(path))
+
+
+def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = open_model(spark, sf_dir)
+    path = scratch_dir(spark, "retention")
+    S.write_partitioned(m.trades, path)
+    S.drop_partitions_before(spark, path, S.keep_last_months(m, KEEP_MONTHS))
+    return S.partition_summary(spark.read.parquet(path))
+
+
+def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full build of the roll-up, then an incremental refresh of the newest
+    month (replaces that partition only); the result equals a full build."""
+    m = open_model(spark, sf_dir)
+    path = S.refresh_daily_rollup(m, scratch_dir(spark, "rollup"))
+    last = m.last_trade_date()
+    S.refresh_daily_rollup(m, path, months=[last.year * 100 + last.month])
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------- ingest ----
+
+def _rendered_raw(spark: SparkSession, sf_dir: str) -> str:
+    return RF.write_raw_csv(RF.render_raw(fno_feed(spark, sf_dir, keep_source_keys=True)),
+                            scratch_dir(spark, "raw-csv"))
+
+
+def ingest_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RF.read_raw_csv(spark, _rendered_raw(spark, sf_dir)).select(*RAW_COLUMNS, "exchange_id")
+
+
+def ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RF.typed_feed(RF.read_raw_csv(spark, _rendered_raw(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- streaming ----
+from derivspark.streaming import bars as SB, ingest as SI, upsert as SU  # noqa: E402
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _rendered_raw(spark, sf_dir)
+    out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ck")
+    SI.run_ingest(spark, raw, out, ck)
+    return spark.read.parquet(out).drop("trade_month")
+
+
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy of the fact, then a correction stream (rows from a date on, with
+    change_in_oi + 1) applied as upserts."""
+    m = open_model(spark, sf_dir)
+    table = scratch_dir(spark, "upsert-table")
+    S.write_partitioned(m.trades, table)
+    inbox = scratch_dir(spark, "upsert-inbox")
+    fixes = m.trades_between(CORRECTION_FROM).withColumn("change_in_oi", F.col("change_in_oi") + 1)
+    fixes.write.parquet(inbox)
+    SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"))
+    return spark.read.parquet(table).drop("trade_id", "trade_month")
+
+
+def stream_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive as files; closed 1-day bars per event type."""
+    events = read_table(spark, sf_dir, "events")
+    inbox = scratch_dir(spark, "events-inbox")
+    events.write.parquet(inbox)
+    out = scratch_dir(spark, "bars-out")
+    SB.run_daily_bars(spark, inbox, out, scratch_dir(spark, "bars-ck"), events.schema)
+    return spark.read.parquet(out)

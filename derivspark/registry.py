@@ -92,3 +92,8 @@ from derivspark.plans import model_jobs as MJ  # noqa: E402
 for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_keys",
              "dq_check_violations", "dq_duplicate_keys", "dq_orphans"]:
     REGISTRY[_key] = getattr(MJ, _key)
+
+for _key in ["exchange_dim", "insert_if_new", "monthly_partition_rollup", "archive_slice", "retention_keep",
+             "daily_rollup", "ingest_raw_csv", "ingest_typed", "stream_ingest", "upsert_latest",
+             "stream_daily_bars"]:
+    REGISTRY[_key] = getattr(MJ, _key)
