@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Malformed raw CSV lines are only detected when all fields are parsed.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -51,7 +53,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def apply_session_conf(spark: SparkSession) -> None:
     """Pin the SQL settings the engine's semantics depend on (time zone,
     dynamic partition overwrite) on an existing session."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.csv.parser.columnPruning.enabled"):
         spark.conf.set(k, BASE_CONF[k])
 
 

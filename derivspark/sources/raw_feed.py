@@ -18,11 +18,17 @@ from derivspark.schemas import PRICE, RAW_COLUMNS, RAW_DATE_FORMAT, RAW_SCHEMA,
 
 RAW_WITH_EXCHANGE = T.StructType(RAW_SCHEMA.fields + [T.StructField("exchange_id", T.IntegerType(), True)])
 CSV_OPTIONS = {"header": "true", "mode": "DROPMALFORMED"}
+# A line's field count is only checked when every field is tokenized; with
+# CSV column pruning on, a line with extra fields would pass as well-formed.
+# The loader needs all fields anyway, so pruning is switched off.
+NO_CSV_PRUNING = ("spark.sql.csv.parser.columnPruning.enabled", "false")
 
 
 def read_raw_csv(spark: SparkSession, path: str, exchange_id: int | None = None) -> DataFrame:
-    """Scan raw CSV files; the exchange comes from ``exchange_id=<n>``
-    folders, or from the argument for a single exchange's files."""
+    """Scan raw CSV files, dropping malformed lines; the exchange comes from
+    ``exchange_id=<n>`` folders, or from the argument for a single
+    exchange's files."""
+    spark.conf.set(*NO_CSV_PRUNING)
     if exchange_id is None:
         return spark.read.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS).csv(path)
     return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path) \
@@ -30,6 +36,7 @@ def read_raw_csv(spark: SparkSession, path: str, exchange_id: int | None = None)
 
 
 def stream_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    spark.conf.set(*NO_CSV_PRUNING)
     return spark.readStream.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS).csv(path)
 
 
