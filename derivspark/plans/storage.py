@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from derivspark.functions import metrics as M
 from derivspark.operators.ids import dense_ids
 from derivspark.operators.joins import maybe_broadcast
+from derivspark.sources.fs import delete_path, list_partitions
 from derivspark.sources.store import Model
 
 PARTITION = "trade_month"
@@ -80,27 +81,12 @@ def archive_before(m: Model, cutoff, path: str) -> str:
 
 # ---------------------------------------------------------------- retention ----
 
-def list_partitions(spark: SparkSession, path: str, column: str = PARTITION) -> list[tuple[str, str]]:
-    """(value, folder) of the ``column=value`` folders under ``path`` (file
-    system metadata only; bounded by the partition count)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
-            out.append((name.split("=", 1)[1], st.getPath().toString()))
-    return out
-
-
 def drop_partitions_before(spark: SparkSession, path: str, keep_from: int, column: str = PARTITION) -> list[str]:
     """Delete whole ``column=value`` folders with value < keep_from."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
     for value, folder in list_partitions(spark, path, column):
         if int(value) < keep_from:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+            delete_path(spark, folder)
             dropped.append(value)
     return dropped
 

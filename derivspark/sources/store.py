@@ -28,9 +28,12 @@ from derivspark.operators.joins import maybe_broadcast
 from derivspark.plans import normalize as N
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
+from derivspark.sources.fs import delete_path, list_partitions
 from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
+# Bumped whenever the stored layout changes, so an old store is not reused.
+STORE_VERSION = 2
 
 
 def _as_date(d) -> date | None:
@@ -65,12 +68,12 @@ class Model:
 
     def last_trade_date(self) -> date:
         """max(trade_date), resolved in two cheap steps: the newest month
-        from partition values only, then the max date inside that one
+        from the partition folder names, then the max date inside that one
         partition. Returned as a literal so later filters still prune."""
         if "_last_date" not in self.rows:
-            month = self.trades.agg(F.max("trade_month")).first()[0]
-            self.rows["_last_date"] = (self.trades.where(F.col("trade_month") == month)
-                                       .agg(F.max("trade_date")).first()[0])
+            months = [int(v) for v, _ in list_partitions(self.spark, f"{self.root}/trades", "trade_month")]
+            t = self.trades.where(F.col("trade_month") == max(months)) if months else self.trades
+            self.rows["_last_date"] = t.agg(F.max("trade_date")).first()[0]
         return self.rows["_last_date"]
 
     def last_days(self, days: int, as_of=None) -> DataFrame:
@@ -112,14 +115,23 @@ _CACHE: dict[str, Model] = {}
 
 
 def store_root(spark: SparkSession, sf_dir: str) -> str:
-    key = sf_dir + "#" + fingerprint(sf_dir, fixtures.INPUT_TABLES)
+    key = f"v{STORE_VERSION}#{sf_dir}#" + fingerprint(sf_dir, fixtures.INPUT_TABLES)
     digest = hashlib.sha1(key.encode()).hexdigest()[:16]
     return f"{shared_root(spark)}/derivspark/store/{digest}"
 
 
 def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
-    """Normalise ``feed`` and write the four tables; returns row counts."""
+    """Normalise ``feed`` and write the four tables; returns row counts.
+
+    The typed feed is staged once as Parquet (the loader's temporary
+    ``raw_data`` table): each table build then reads only the columns it
+    needs instead of recomputing the feed, and the lineage is cut at a
+    written table in the shared folder. The stage is removed at the end.
+    """
     rows = {}
+    stage = f"{root}/_feed"
+    feed.write.mode("overwrite").parquet(stage)
+    feed = spark.read.parquet(stage)
     ex = N.exchange_dim(spark)
     ex.write.mode("overwrite").parquet(f"{root}/exchanges")
     rows["exchanges"] = len(N.EXCHANGE_ROWS)
@@ -132,15 +144,21 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
     exp = spark.read.parquet(f"{root}/expiries")
     rows["expiries"] = exp.count()
 
-    trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"])
-    (trades.withColumn("trade_month", month_key("trade_date"))
-           .repartitionByRange("trade_month", "instrument_id", "trade_date", "trade_id")
+    # Range bounds on (month, instrument, date, id) split any hot
+    # instrument/day over several files (the id makes every key unique), and
+    # the sort within files gives tight row-group min/max statistics on
+    # instrument and date. With AQE the range sampling reads the already
+    # materialised upstream shuffle, so the id assignment is not redone.
+    trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"]) \
+        .withColumn("trade_month", month_key("trade_date"))
+    (trades.repartitionByRange("trade_month", "instrument_id", "trade_date", "trade_id")
            .sortWithinPartitions("trade_month", "instrument_id", "trade_date", "trade_id")
            .write.mode("overwrite").partitionBy("trade_month").parquet(f"{root}/trades"))
     rows["trades"] = spark.read.parquet(f"{root}/trades").count()
 
     spark.createDataFrame([(k, int(v)) for k, v in rows.items()], "table string, n_rows bigint") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root}/_meta")
+    delete_path(spark, stage)
     return rows
 
 
