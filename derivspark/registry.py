@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from derivspark.plans import analytics as A
 from derivspark.session import apply_session_conf
@@ -18,6 +20,22 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
+def report(df: DataFrame) -> DataFrame:
+    """Output boundary: exact DECIMAL results are reported as DOUBLE (values
+    here are far below 2^53 cents, so the conversion is exact to the cent)
+    so that every consumer sees plain floating-point numbers."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _reported(key: str, fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_session_conf(spark)
+        return report(fn(spark, sf_dir))
+    run.__name__ = key
+    return run
+
+
 def register(key: str):
     def deco(fn):
         REGISTRY[key] = fn
@@ -27,11 +45,7 @@ def register(key: str):
 
 def model_query(key: str, fn, **params) -> None:
     """Register ``fn(model, **params)`` over the curated store of ``sf_dir``."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_session_conf(spark)
-        return fn(open_model(spark, sf_dir), **params)
-    run.__name__ = key
-    REGISTRY[key] = run
+    REGISTRY[key] = _reported(key, lambda spark, sf_dir: fn(open_model(spark, sf_dir), **params))
 
 
 # Fixture symbols standing in for the index names (FIXTURES.md §3).
@@ -91,9 +105,9 @@ from derivspark.plans import model_jobs as MJ  # noqa: E402
 
 for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_keys",
              "dq_check_violations", "dq_duplicate_keys", "dq_orphans"]:
-    REGISTRY[_key] = getattr(MJ, _key)
+    REGISTRY[_key] = _reported(_key, getattr(MJ, _key))
 
 for _key in ["exchange_dim", "insert_if_new", "monthly_partition_rollup", "archive_slice", "retention_keep",
              "daily_rollup", "ingest_raw_csv", "ingest_typed", "stream_ingest", "upsert_latest",
              "stream_daily_bars"]:
-    REGISTRY[_key] = getattr(MJ, _key)
+    REGISTRY[_key] = _reported(_key, getattr(MJ, _key))
