@@ -26,6 +26,9 @@ BASE_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Malformed raw CSV lines are only detected when all fields are parsed.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # Streaming dedupe state grows with the ingest rate: keep it off-heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -50,11 +53,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a given input volume: scan splits and shuffle
+    partitions around ``target_partition_bytes`` (fits executor memory, spills
+    gracefully), never fewer shuffle partitions than task slots; AQE then
+    coalesces small shuffles and splits skewed ones at runtime."""
+    slots = executors * cores_per_executor
+    shuffle = max(slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def apply_session_conf(spark: SparkSession) -> None:
     """Pin the SQL settings the engine's semantics depend on (time zone,
     dynamic partition overwrite) on an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
-              "spark.sql.csv.parser.columnPruning.enabled"):
+              "spark.sql.csv.parser.columnPruning.enabled", "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
 
 

@@ -2,8 +2,9 @@
 
 File source over the raw CSV folders -> the same lenient typed projection
 as the batch loader -> replayed records dropped within the watermark ->
-month-partitioned Parquet sink. State is bounded by the watermark delay;
-the checkpoint makes the sink exactly-once across restarts.
+month-partitioned Parquet sink. State (RocksDB) is bounded by the
+watermark delay — the feed is end-of-day, so two days of rows; the
+checkpoint makes the sink exactly-once across restarts.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from derivspark.functions.metrics import month_key
 from derivspark.sources.raw_feed import stream_raw_csv, typed_feed
 
 
-def ingest_stream(raw: DataFrame, delay: str = "7 days") -> DataFrame:
+def ingest_stream(raw: DataFrame, delay: str = "2 days") -> DataFrame:
     typed = typed_feed(raw).where(F.col("timestamp").isNotNull())
     keyed = typed.withColumn("event_time", F.col("timestamp").cast("timestamp"))
     return (keyed.withWatermark("event_time", delay)
@@ -25,7 +26,7 @@ def ingest_stream(raw: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def run_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-               delay: str = "7 days", available_now: bool = True):
+               delay: str = "2 days", available_now: bool = True):
     """Start the ingest query; with ``available_now`` it processes what is in
     ``raw_dir`` and stops."""
     writer = (ingest_stream(stream_raw_csv(spark, raw_dir), delay).writeStream
