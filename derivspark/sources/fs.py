@@ -28,3 +28,21 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[tuple[s
 def delete_path(spark: SparkSession, path: str) -> bool:
     jpath, fs = _fs(spark, path)
     return bool(fs.delete(jpath, True))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def publish(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move a finished folder to its final name in one rename; False when
+    ``dst`` already exists (another writer published first)."""
+    jsrc, fs = _fs(spark, src)
+    jdst = spark._jvm.org.apache.hadoop.fs.Path(dst)
+    if fs.exists(jdst):
+        return False
+    parent = jdst.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    return bool(fs.rename(jsrc, jdst))

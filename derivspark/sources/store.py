@@ -16,19 +16,19 @@ decide broadcasts of the dimensions.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from derivspark.functions.metrics import month_key
 from derivspark.operators.joins import maybe_broadcast
 from derivspark.plans import normalize as N
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
-from derivspark.sources.fs import delete_path, list_partitions
+from derivspark.sources.fs import delete_path, exists, list_partitions, publish
 from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
@@ -175,10 +175,14 @@ def open_model(spark: SparkSession, sf_dir: str) -> Model:
     key = f"{spark.sparkContext.applicationId}:{root}"
     if key in _CACHE:
         return _CACHE[key]
-    try:
-        model = read_model(spark, root)
-    except AnalysisException:
-        write_model(spark, fixtures.fno_feed(spark, sf_dir), root)
-        model = read_model(spark, root)
+    if not exists(spark, f"{root}/_meta"):
+        # Built under a private name and published with one rename, so a
+        # reader never sees a half-written store and concurrent builders do
+        # not write into each other; the loser of a race drops its copy.
+        building = f"{root}.building-{uuid.uuid4().hex[:12]}"
+        write_model(spark, fixtures.fno_feed(spark, sf_dir), building)
+        if not publish(spark, building, root):
+            delete_path(spark, building)
+    model = read_model(spark, root)
     _CACHE[key] = model
     return model
