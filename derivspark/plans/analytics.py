@@ -104,9 +104,9 @@ def full_q2_volatility(m: Model, symbol: str = NIFTY, instrument_type: str = IND
                        min_volume: int = 100, k: int = 50) -> DataFrame:
     """One symbol's options: daily average close per contract, rolling
     stddev/avg/count over the same frame; complete windows with volume."""
-    t = m.trades_between(start, end).select("instrument_id", "expiry_id", "trade_date", "close", "contracts")
-    inst = m.instruments.where((F.col("symbol") == symbol) & (F.col("instrument_type") == instrument_type)) \
-        .select("instrument_id")
+    cond = (F.col("symbol") == symbol) & (F.col("instrument_type") == instrument_type)
+    t = m.trades_of(cond, start, end).select("instrument_id", "expiry_id", "trade_date", "close", "contracts")
+    inst = m.instruments.where(cond).select("instrument_id")
     exp = m.expiries.where(F.col("option_type").isin(OPTIONS)) \
         .select("expiry_id", "expiry_date", "strike_price", "option_type")
     j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
@@ -145,7 +145,8 @@ def full_q3_cross_exchange(m: Model, since: str = ORIGINAL_START, types=None, k:
     """Futures settle price per exchange side by side, spread vs. BSE
     (a missing BSE side gives spread 0)."""
     types = types or FUTURES_TYPES
-    t = m.trades_between(since).select("instrument_id", "trade_date", "settle_price", "contracts")
+    t = m.trades_of(F.col("instrument_type").isin(types), since) \
+        .select("instrument_id", "trade_date", "settle_price", "contracts")
     inst = m.instruments.where(F.col("instrument_type").isin(types)) \
         .select("instrument_id", "exchange_id", "symbol", "instrument_type") \
         .join(F.broadcast(m.exchanges.select("exchange_id", "exchange_code")), "exchange_id").drop("exchange_id")
@@ -176,7 +177,8 @@ def runner_q4_option_chain(m: Model, symbol: str = NIFTY, expiry_from: str = "20
     exp = m.expiries.where(F.col("option_type").isin(OPTIONS) & (F.col("expiry_date") == nearest)) \
         .select("expiry_id", "expiry_date", "strike_price", "option_type")
     inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
-    t = m.trades.select("instrument_id", "expiry_id", "contracts", "open_interest", "close")
+    t = m.trades_of(F.col("symbol") == symbol).select("instrument_id", "expiry_id", "contracts", "open_interest",
+                                                       "close")
     j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     summary = j.groupBy("expiry_date", "strike_price", "option_type").agg(
         M.sum_long("contracts").alias("total_volume"),
@@ -195,9 +197,9 @@ def full_q4_option_chain(m: Model, symbols=None, instrument_type: str = INDEX_OP
     """One-day chain: calls and puts side by side with put-call ratios.
     ``implied_vol`` is contracts x close (a liquidity proxy)."""
     symbols = symbols or [NIFTY, BANKNIFTY]
-    t = m.trades_between(day, day).select("instrument_id", "expiry_id", "contracts", "close", "open_interest")
-    inst = m.instruments.where(F.col("symbol").isin(symbols) & (F.col("instrument_type") == instrument_type)) \
-        .select("instrument_id", "symbol")
+    cond = F.col("symbol").isin(symbols) & (F.col("instrument_type") == instrument_type)
+    t = m.trades_of(cond, day, day).select("instrument_id", "expiry_id", "contracts", "close", "open_interest")
+    inst = m.instruments.where(cond).select("instrument_id", "symbol")
     j = t.join(F.broadcast(inst), "instrument_id").join(
         m.dim("expiries", "expiry_id", "expiry_date", "strike_price", "option_type"), "expiry_id")
     summary = j.groupBy("symbol", "expiry_date", "strike_price", "option_type").agg(
@@ -308,7 +310,8 @@ def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: i
     """Index options activity per (symbol, expiry month)."""
     exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "expiry_date")
     inst = m.instruments.where(F.col("instrument_type") == instrument_type).select("instrument_id", "symbol")
-    t = m.trades.select("instrument_id", "expiry_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
+    t = m.trades_of(F.col("instrument_type") == instrument_type) \
+        .select("instrument_id", "expiry_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
     j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     g = j.groupBy("symbol", F.date_trunc("month", "expiry_date").cast("date").alias("month")).agg(
         F.countDistinct("expiry_id").alias("num_contracts"),
@@ -405,7 +408,8 @@ def db_statistics(m: Model) -> DataFrame:
 def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
     symbols = symbols or [NIFTY, BANKNIFTY]
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
-    t = m.trades.select("instrument_id", "trade_date", "open_interest").join(F.broadcast(inst), "instrument_id")
+    t = m.trades_of(F.col("symbol").isin(symbols)).select("instrument_id", "trade_date", "open_interest") \
+        .join(F.broadcast(inst), "instrument_id")
     return t.groupBy("symbol", "trade_date").agg(M.sum_long("open_interest").alias("total_oi")) \
         .orderBy("trade_date", "symbol")
 
@@ -423,7 +427,7 @@ def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "
     exp = m.expiries.where((F.col("option_type") == option_type)
                            & F.col("strike_price").between(strike_lo, strike_hi)) \
         .select("expiry_id", "strike_price")
-    t = m.trades_between(start, end).select("instrument_id", "expiry_id", "trade_date", "close")
+    t = m.trades_of(F.col("symbol") == symbol, start, end).select("instrument_id", "expiry_id", "trade_date", "close")
     j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     g = j.groupBy("strike_price", "trade_date").agg(F.stddev_samp("close").alias("sd"))
     return g.where(F.col("sd").isNotNull()) \
@@ -442,7 +446,7 @@ def chart_option_chain(m: Model, symbol: str = NIFTY, expiry: str = "2019-08-29"
     inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
     exp = m.expiries.where((F.col("expiry_date") == F.lit(expiry).cast("date")) & F.col("option_type").isin(OPTIONS)) \
         .select("expiry_id", "strike_price", "option_type")
-    t = m.trades_between(day, day).select("instrument_id", "expiry_id", "contracts")
+    t = m.trades_of(F.col("symbol") == symbol, day, day).select("instrument_id", "expiry_id", "contracts")
     j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     g = j.groupBy("strike_price", "option_type").agg(M.sum_long("contracts").alias("total_volume"))
     wide = g.groupBy("strike_price").pivot("option_type", OPTIONS).agg(F.first("total_volume"))

@@ -30,7 +30,7 @@ def filter_in_list(m: Model, symbols=None, option_types=None) -> DataFrame:
     option_types = option_types or OPTIONS
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
     exp = m.expiries.where(F.col("option_type").isin(option_types)).select("expiry_id", "option_type")
-    j = m.trades.select("instrument_id", "expiry_id", "contracts") \
+    j = m.trades_of(F.col("symbol").isin(symbols)).select("instrument_id", "expiry_id", "contracts") \
         .join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     return _counts(j, "symbol", "option_type")
 

@@ -29,6 +29,9 @@ BASE_CONF = {
     # Streaming dedupe state grows with the ingest rate: keep it off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Recurring reports reuse their compiled whole-stage code; the default
+    # cache (100 classes) is smaller than the report set's working set.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -34,6 +34,8 @@ from derivspark.sources.testdata import fingerprint
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
 STORE_VERSION = 2
+# Largest instrument-id list pushed into the fact scan as a literal IN.
+MAX_PUSHED_KEYS = 2000
 
 
 def _as_date(d) -> date | None:
@@ -82,6 +84,29 @@ class Model:
         as_of = _as_date(as_of) or self.last_trade_date()
         return self.trades_between(as_of - timedelta(days=days))
 
+    def instrument_keys(self, cond) -> list[int] | None:
+        """Ids of the instruments matching ``cond`` when there are at most
+        ``MAX_PUSHED_KEYS`` of them (else None). Resolved once per predicate
+        from the small dimension."""
+        memo = self.rows.setdefault("_keys", {})
+        k = str(cond)
+        if k not in memo:
+            ids = [r[0] for r in self.instruments.where(cond).select("instrument_id")
+                   .limit(MAX_PUSHED_KEYS + 1).collect()]
+            memo[k] = sorted(ids) if len(ids) <= MAX_PUSHED_KEYS else None
+        return memo[k]
+
+    def trades_of(self, cond, lo=None, hi=None, hi_exclusive: bool = False) -> DataFrame:
+        """Trades of the instruments matching ``cond`` (and in a date range).
+
+        The matching instrument ids are pushed into the Parquet scan as a
+        literal IN list: fact files are sorted by instrument within each month,
+        so min/max statistics skip files and row groups of other instruments.
+        The join with the filtered dimension still applies the predicate."""
+        t = self.trades_between(lo, hi, hi_exclusive)
+        ids = self.instrument_keys(cond)
+        return t if ids is None else t.where(F.col("instrument_id").isin(ids))
+
     def dim(self, name: str, *cols: str) -> DataFrame:
         """A projected dimension, hinted for broadcast when its recorded row
         count is under the bound."""

@@ -60,3 +60,9 @@ def test_rolling_columns_share_one_window_pass(spark):
     p = plan(q(spark, "full_q2_volatility"))
     assert p.count("Window [") + p.count("Window (") >= 1
     assert p.count("Sort [expiry_date") <= 1
+
+
+def test_symbol_filter_reaches_the_fact_scan_as_instrument_ids(spark):
+    p = plan(q(spark, "runner_q4_option_chain"))
+    assert "PushedFilters: [IsNotNull(instrument_id), In(instrument_id," in p or \
+        "In(instrument_id, [" in p
