@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derivspark.functions.metrics import month_key
-from derivspark.operators.joins import maybe_broadcast
+from derivspark.operators.joins import max_broadcast_rows, maybe_broadcast
 from derivspark.plans import normalize as N
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
@@ -190,6 +190,11 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
 def read_model(spark: SparkSession, root: str) -> Model:
     meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}
     t = {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, "trades"]}
+    # Dimensions under the broadcast bound are kept in executor memory: every
+    # report joins them, and a lost block is simply re-read from Parquet.
+    for n in DIMENSIONS:
+        if meta.get(n, 0) <= max_broadcast_rows(spark):
+            t[n] = t[n].cache()
     return Model(spark, t["exchanges"], t["instruments"], t["expiries"], t["trades"], meta, root)
 
 
