@@ -21,9 +21,18 @@ from derivspark.sources.store import Model
 PARTITION = "trade_month"
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd") -> None:
+def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd",
+                      partition_by: str = PARTITION) -> None:
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression)
-       .partitionBy(PARTITION).parquet(path))
+       .partitionBy(partition_by).parquet(path))
+
+
+def split_by_year(m: Model, path: str) -> str:
+    """One dataset folder per year (``trade_year=YYYY``), e.g. to keep or
+    ship years separately."""
+    write_partitioned(m.trades.withColumn("trade_year", F.year("trade_date")).drop(PARTITION), path,
+                      partition_by="trade_year")
+    return path
 
 
 # ------------------------------------------------------------ insert-if-new ----

@@ -20,7 +20,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from derivspark.functions.metrics import month_key
@@ -145,6 +145,13 @@ def store_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_root(spark)}/derivspark/store/{digest}"
 
 
+def _write_counted(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+    obs = Observation(path.rsplit("/", 1)[-1])
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return obs.get["rows"]
+
+
 def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
     """Normalise ``feed`` and write the four tables; returns row counts.
 
@@ -155,19 +162,22 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
     """
     rows = {}
     stage = f"{root}/_feed"
-    feed.write.mode("overwrite").parquet(stage)
+    # Load counters are collected while the data is written (DataFrame.observe),
+    # not by re-reading the written files.
+    fed = Observation("feed")
+    feed.observe(fed, F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.when(F.col("timestamp").isNull() | F.col("expiry_date").isNull(), 1).otherwise(0))
+                 .alias("rejected")).write.mode("overwrite").parquet(stage)
+    rows["feed"], rows["rejected"] = fed.get["rows"], fed.get["rejected"] or 0
     feed = spark.read.parquet(stage)
     ex = N.exchange_dim(spark)
     ex.write.mode("overwrite").parquet(f"{root}/exchanges")
     rows["exchanges"] = len(N.EXCHANGE_ROWS)
 
-    N.build_instruments(feed).write.mode("overwrite").parquet(f"{root}/instruments")
+    rows["instruments"] = _write_counted(N.build_instruments(feed), f"{root}/instruments")
     inst = spark.read.parquet(f"{root}/instruments")
-    rows["instruments"] = inst.count()
-
-    N.build_expiries(feed, inst, rows["instruments"]).write.mode("overwrite").parquet(f"{root}/expiries")
+    rows["expiries"] = _write_counted(N.build_expiries(feed, inst, rows["instruments"]), f"{root}/expiries")
     exp = spark.read.parquet(f"{root}/expiries")
-    rows["expiries"] = exp.count()
 
     # Range bounds on (month, instrument, date, id) split any hot
     # instrument/day over several files (the id makes every key unique), and
@@ -176,10 +186,10 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
     # materialised upstream shuffle, so the id assignment is not redone.
     trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"]) \
         .withColumn("trade_month", month_key("trade_date"))
-    (trades.repartitionByRange("trade_month", "instrument_id", "trade_date", "trade_id")
-           .sortWithinPartitions("trade_month", "instrument_id", "trade_date", "trade_id")
-           .write.mode("overwrite").partitionBy("trade_month").parquet(f"{root}/trades"))
-    rows["trades"] = spark.read.parquet(f"{root}/trades").count()
+    rows["trades"] = _write_counted(
+        trades.repartitionByRange("trade_month", "instrument_id", "trade_date", "trade_id")
+              .sortWithinPartitions("trade_month", "instrument_id", "trade_date", "trade_id"),
+        f"{root}/trades", partition_by="trade_month")
 
     spark.createDataFrame([(k, int(v)) for k, v in rows.items()], "table string, n_rows bigint") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root}/_meta")
@@ -188,7 +198,7 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
 
 
 def read_model(spark: SparkSession, root: str) -> Model:
-    meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}
+    meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}  # a few rows
     t = {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, "trades"]}
     # Dimensions under the broadcast bound are kept in executor memory: every
     # report joins them, and a lost block is simply re-read from Parquet.

@@ -123,3 +123,28 @@ def test_stream_bars_equal_batch_bars_on_closed_windows(spark, tmp_path):
                          <= F.lit(wm.isoformat(sep=" ")).cast("timestamp_ntz"))
     assert streamed.count() > 0
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, closed.collect()))
+
+
+def test_load_counters_rows_in_equal_trades_plus_rejects(spark, tmp_path):
+    from derivspark.sources import store
+    from derivspark.sources.fixtures import fno_feed
+    from tests.conftest import SF001
+    feed = fno_feed(spark, SF001)
+    # two extra rows: one without timestamp, one without expiry date
+    extra = feed.limit(2).withColumn("_i", F.monotonically_increasing_id())
+    extra = extra.withColumn("timestamp", F.when(F.col("_i") == F.lit(0), F.lit(None)).otherwise(F.col("timestamp"))) \
+        .withColumn("expiry_date", F.when(F.col("_i") != F.lit(0), F.lit(None)).otherwise(F.col("expiry_date"))) \
+        .drop("_i")
+    rows = store.write_model(spark, feed.unionByName(extra), str(tmp_path / "s"))
+    assert rows["feed"] == rows["trades"] + rows["rejected"]
+    assert rows["rejected"] == 2
+
+
+def test_split_by_year(spark, tmp_path):
+    from derivspark.sources.store import open_model
+    from tests.conftest import SF001
+    m = open_model(spark, SF001)
+    path = S.split_by_year(m, str(tmp_path / "years"))
+    from derivspark.sources.fs import list_partitions
+    assert [v for v, _ in list_partitions(spark, path, "trade_year")] == ["2019"]
+    assert spark.read.parquet(path).count() == m.trades.count()
