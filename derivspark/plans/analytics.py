@@ -147,9 +147,8 @@ def full_q3_cross_exchange(m: Model, since: str = ORIGINAL_START, types=None, k:
     types = types or FUTURES_TYPES
     t = m.trades_of(F.col("instrument_type").isin(types), since) \
         .select("instrument_id", "trade_date", "settle_price", "contracts")
-    inst = m.instruments.where(F.col("instrument_type").isin(types)) \
-        .select("instrument_id", "exchange_id", "symbol", "instrument_type") \
-        .join(F.broadcast(m.exchanges.select("exchange_id", "exchange_code")), "exchange_id").drop("exchange_id")
+    inst = m.instrument_view().where(F.col("instrument_type").isin(types)) \
+        .select("instrument_id", "exchange_code", "symbol", "instrument_type")
     per_ex = t.join(m.dim_filtered(inst, "instruments"), "instrument_id") \
         .groupBy("exchange_code", "symbol", "instrument_type", "trade_date").agg(
             M.exact_avg("settle_price").alias("avg_settle"),

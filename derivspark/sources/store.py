@@ -124,12 +124,20 @@ class Model:
         cols = cols or ("symbol",)
         return trades.join(self.dim("instruments", "instrument_id", *cols), "instrument_id")
 
+    def instrument_view(self) -> DataFrame:
+        """instruments ⋈ exchanges (both bounded dimensions), built once and
+        kept in memory, so a report needs one broadcast instead of two."""
+        if "_view" not in self.__dict__:
+            view = self.instruments.join(self.exchanges.select("exchange_id", "exchange_code"), "exchange_id")
+            if self.rows.get("instruments", 0) <= max_broadcast_rows(self.spark):
+                view = view.cache()
+            self.__dict__["_view"] = view
+        return self.__dict__["_view"]
+
     def with_exchange(self, trades: DataFrame, *cols: str) -> DataFrame:
         """trades -> instruments -> exchanges (snowflake chain)."""
-        inst = self.instruments.select("instrument_id", "exchange_id", *cols).join(
-            F.broadcast(self.exchanges.select("exchange_id", "exchange_code")), "exchange_id")
-        return trades.join(maybe_broadcast(inst.drop("exchange_id"), self.rows.get("instruments")),
-                           "instrument_id")
+        inst = self.instrument_view().select("instrument_id", "exchange_code", *cols)
+        return trades.join(maybe_broadcast(inst, self.rows.get("instruments")), "instrument_id")
 
     def with_contract(self, trades: DataFrame, *cols: str) -> DataFrame:
         cols = cols or ("expiry_date", "strike_price", "option_type")
