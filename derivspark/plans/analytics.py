@@ -6,8 +6,11 @@ Two variants of each of the seven reports exist and differ in meaning:
 thresholds are parameters; defaults are the original literals. Every LIMIT
 has extra sort keys that make the cut reproducible.
 
-Plans: the fact is read with partition + Parquet predicates
-(``Model.trades_between``) and projected to the used columns; dimensions
+Plans: symbol/day reports whose aggregates are sums, counts and
+averages read the stored daily roll-up (``Model.daily_between``); reports
+that filter single trade rows read the fact with partition + Parquet
+predicates (``Model.trades_between`` / ``trades_of``), projected to the used
+columns; dimensions
 are joined as checked broadcasts; aggregates run partial (map side) then
 final; ranking and rolling windows run over already aggregated rows
 (one row per symbol/contract and day), never over raw trades.
@@ -15,13 +18,16 @@ final; ranking and rolling windows run over already aggregated rows
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
 from derivspark.operators.reshape import (equal_width_histogram, rolling_stats, side_by_side, top_k,
                                           top_k_per_group)
-from derivspark.sources.store import Model
+from derivspark.plans.rollup import avg_of
+from derivspark.sources.store import Model, _as_date
 
 # Original literals (defaults of the parameters) ---------------------------------
 ORIGINAL_START = "2019-08-01"
@@ -45,13 +51,14 @@ def r0(c):
 # ---------------------------------------------------------------------- Q1 ----
 
 def runner_q1_oi_change(m: Model, since: str = ORIGINAL_START, k: int = 10) -> DataFrame:
-    """Top symbols by |net OI change| since a date (row-level average OI)."""
-    t = m.trades_between(since).select("instrument_id", "trade_date", "change_in_oi",
-                                       "open_interest", "contracts")
-    g = m.with_exchange(t, "symbol").groupBy("symbol", "exchange_code").agg(
-        M.sum_long("change_in_oi").alias("net_oi_change"),
-        r0(M.exact_avg("open_interest")).alias("avg_open_interest"),
-        M.sum_long("contracts").alias("cumulative_volume"),
+    """Top symbols by |net OI change| since a date (row-level average OI),
+    from the daily roll-up."""
+    d = m.daily_between(since).select("instrument_id", "trade_date", "net_oi_change", "total_oi",
+                                      "n_trades", "volume")
+    g = m.with_exchange(d, "symbol").groupBy("symbol", "exchange_code").agg(
+        M.sum_long("net_oi_change").alias("net_oi_change"),
+        r0(avg_of("total_oi")).alias("avg_open_interest"),
+        M.sum_long("volume").alias("cumulative_volume"),
         F.countDistinct("trade_date").alias("trading_days"))
     return top_k(g, [F.abs("net_oi_change").desc(), "symbol", "exchange_code"], k)
 
@@ -59,13 +66,14 @@ def runner_q1_oi_change(m: Model, since: str = ORIGINAL_START, k: int = 10) -> D
 def full_q1_oi_change(m: Model, days: int = 30, as_of=None, k: int = 10) -> DataFrame:
     """Last-N-day OI momentum: daily sums per (symbol, exchange, type, date),
     then per (symbol, exchange); the average OI is over daily totals."""
-    t = m.last_days(days, as_of).select("instrument_id", "trade_date", "change_in_oi",
-                                        "open_interest", "contracts")
-    daily = m.with_exchange(t, "symbol", "instrument_type") \
+    as_of = _as_date(as_of) or m.last_trade_date()
+    d = m.daily_between(as_of - timedelta(days=days)).select("instrument_id", "trade_date", "net_oi_change",
+                                                               "total_oi", "volume")
+    daily = m.with_exchange(d, "symbol", "instrument_type") \
         .groupBy("symbol", "exchange_code", "instrument_type", "trade_date").agg(
-            F.sum("change_in_oi").alias("daily_oi_change"),
-            F.sum("open_interest").alias("total_oi"),
-            F.sum("contracts").alias("total_volume"))
+            F.sum("net_oi_change").alias("daily_oi_change"),
+            F.sum("total_oi").alias("total_oi"),
+            F.sum("volume").alias("total_volume"))
     sym = daily.groupBy("symbol", "exchange_code").agg(
         M.sum_long("daily_oi_change").alias("net_oi_change"),
         M.exact_avg("total_oi").alias("avg_oi"),
@@ -85,9 +93,9 @@ def full_q1_oi_change(m: Model, days: int = 30, as_of=None, k: int = 10) -> Data
 def runner_q2_volatility(m: Model, since: str = ORIGINAL_START, window_rows: int = 7,
                          k: int = 10) -> DataFrame:
     """Per-symbol daily average close, rolling stddev, summarised per symbol."""
-    t = m.trades_between(since).select("instrument_id", "trade_date", "close")
-    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date") \
-        .agg(M.exact_avg("close").alias("avg_close"))
+    d = m.daily_between(since).select("instrument_id", "trade_date", "sum_close", "n_trades")
+    daily = m.with_instrument(d, "symbol").groupBy("symbol", "trade_date") \
+        .agg(avg_of("sum_close").alias("avg_close"))
     rolled = rolling_stats(daily, ["symbol"], "trade_date", "avg_close", window_rows,
                            stddev="rolling_stddev")
     out = rolled.where(F.col("rolling_stddev").isNotNull()).groupBy("symbol").agg(
@@ -129,12 +137,12 @@ def full_q2_volatility(m: Model, symbol: str = NIFTY, instrument_type: str = IND
 def runner_q3_cross_exchange(m: Model) -> DataFrame:
     """Totals per (exchange, instrument type); ``avg_settlement_price`` is
     the average close, as in the original."""
-    t = m.trades.select("instrument_id", "contracts", "value_in_lakh", "close")
-    g = m.with_exchange(t, "symbol", "instrument_type").groupBy("exchange_code", "instrument_type").agg(
+    d = m.daily.select("instrument_id", "volume", "value", "sum_close", "n_trades")
+    g = m.with_exchange(d, "symbol", "instrument_type").groupBy("exchange_code", "instrument_type").agg(
         F.countDistinct("symbol").alias("unique_symbols"),
-        M.sum_long("contracts").alias("total_volume"),
-        r2(F.sum("value_in_lakh")).alias("total_value_lakh"),
-        r2(M.exact_avg("close")).alias("avg_settlement_price"))
+        M.sum_long("volume").alias("total_volume"),
+        r2(F.sum("value")).alias("total_value_lakh"),
+        r2(avg_of("sum_close")).alias("avg_settlement_price"))
     return g.orderBy(F.col("total_volume").desc(), "exchange_code", "instrument_type")
 
 
@@ -330,14 +338,18 @@ def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: i
 
 def bench_b1_volume(m: Model, start: str = "2019-09-01", end: str = "2019-09-30", k: int = 10,
                     nonzero: bool = False) -> DataFrame:
-    """Top daily volumes in a date range (month partition pruned)."""
-    t = m.trades_between(start, end)
+    """Top daily volumes in a date range (month partition pruned). Without
+    the row filter it is answered from the daily roll-up; ``contracts > 0``
+    removes trade rows (and zero-volume days), so that form reads the fact."""
     if nonzero:
-        t = t.where(F.col("contracts") > 0)
-    g = m.with_instrument(t.select("instrument_id", "trade_date", "contracts", "value_in_lakh"), "symbol") \
-        .groupBy("symbol", "trade_date").agg(
-            M.sum_long("contracts").alias("daily_volume"),
-            F.sum("value_in_lakh").cast("decimal(38,2)").alias("daily_value"))
+        t = m.trades_between(start, end).where(F.col("contracts") > 0) \
+            .select("instrument_id", "trade_date", F.col("contracts").alias("volume"),
+                    F.col("value_in_lakh").alias("value"))
+    else:
+        t = m.daily_between(start, end).select("instrument_id", "trade_date", "volume", "value")
+    g = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
+        M.sum_long("volume").alias("daily_volume"),
+        F.sum("value").cast("decimal(38,2)").alias("daily_value"))
     return top_k(g, [F.col("daily_volume").desc(), "symbol", "trade_date"], k)
 
 
@@ -374,10 +386,10 @@ def bench_b3_oi(m: Model, start: str = "2019-09-15", end: str = "2019-09-20", mi
 
 
 def bench_verify_global(m: Model, since: str = ORIGINAL_START) -> DataFrame:
-    return m.trades_between(since).agg(
-        F.count(F.lit(1)).alias("n_trades"),
-        M.sum_long("contracts").alias("total_contracts"),
-        M.exact_avg("close").alias("avg_close"))
+    return m.daily_between(since).agg(
+        M.sum_long("n_trades").alias("n_trades"),
+        M.sum_long("volume").alias("total_contracts"),
+        avg_of("sum_close").alias("avg_close"))
 
 
 # -------------------------------------------------------------- statistics ----
@@ -385,9 +397,9 @@ def bench_verify_global(m: Model, since: str = ORIGINAL_START) -> DataFrame:
 def db_statistics(m: Model) -> DataFrame:
     """Seven labelled text metrics: one aggregate pass per table, then
     stacked into (metric, value) rows."""
-    tr = m.trades.agg(
-        F.count(F.lit(1)).alias("n"), F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"),
-        F.sum("contracts").alias("vol"), F.sum("value_in_lakh").alias("val"))
+    tr = m.daily.agg(
+        F.sum("n_trades").alias("n"), F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"),
+        F.sum("volume").alias("vol"), F.sum("value").alias("val"))
     trade_rows = tr.select(F.stack(
         F.lit(4),
         F.lit("Total Trades"), F.format_number("n", 0),
@@ -407,9 +419,10 @@ def db_statistics(m: Model) -> DataFrame:
 def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
     symbols = symbols or [NIFTY, BANKNIFTY]
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
-    t = m.trades_of(F.col("symbol").isin(symbols)).select("instrument_id", "trade_date", "open_interest") \
-        .join(F.broadcast(inst), "instrument_id")
-    return t.groupBy("symbol", "trade_date").agg(M.sum_long("open_interest").alias("total_oi")) \
+    ids = m.instrument_keys(F.col("symbol").isin(symbols))
+    d = m.daily if ids is None else m.daily.where(F.col("instrument_id").isin(ids))
+    t = d.select("instrument_id", "trade_date", "total_oi").join(F.broadcast(inst), "instrument_id")
+    return t.groupBy("symbol", "trade_date").agg(M.sum_long("total_oi").alias("total_oi")) \
         .orderBy("trade_date", "symbol")
 
 

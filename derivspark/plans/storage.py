@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from derivspark.functions import metrics as M
 from derivspark.operators.ids import dense_ids
 from derivspark.operators.joins import maybe_broadcast
+from derivspark.plans.rollup import daily_aggregates
 from derivspark.sources.fs import delete_path, list_partitions
 from derivspark.sources.store import Model
 
@@ -116,11 +117,7 @@ def daily_rollup(m: Model, months: list[int] | None = None) -> DataFrame:
     """Daily aggregates per instrument ("materialised view" of the frequent
     symbol/day aggregations); ``months`` limits the recomputation."""
     t = m.trades if months is None else m.trades.where(F.col(PARTITION).isin(months))
-    return t.groupBy(PARTITION, "instrument_id", "trade_date").agg(
-        F.count(F.lit(1)).alias("n_trades"), M.sum_long("contracts").alias("volume"),
-        F.sum("value_in_lakh").cast("decimal(38,2)").alias("value"),
-        M.sum_long("open_interest").alias("total_oi"), M.sum_long("change_in_oi").alias("net_oi_change"),
-        F.min("low").alias("day_low"), F.max("high").alias("day_high"))
+    return daily_aggregates(t)
 
 
 def refresh_daily_rollup(m: Model, path: str, months: list[int] | None = None) -> str:

@@ -7,6 +7,8 @@ Layout under ``<root>/``::
                                            (month, instrument, date, id) and
                                            sorted within files, so row-group
                                            min/max stats skip by instrument/date
+    daily/trade_month=YYYYMM/...           exact per (instrument, day) aggregates
+                                           (sums and counts) for symbol/day reports
     _meta/                                 row counts, written last = commit mark
 
 The row counts recorded in ``_meta`` are the proven size bound used to
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from derivspark.functions.metrics import month_key
 from derivspark.operators.joins import max_broadcast_rows, maybe_broadcast
 from derivspark.plans import normalize as N
+from derivspark.plans.rollup import daily_aggregates
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
 from derivspark.sources.fs import delete_path, exists, list_partitions, publish
@@ -33,7 +36,7 @@ from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 2
+STORE_VERSION = 4
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
@@ -51,6 +54,7 @@ class Model:
     instruments: DataFrame
     expiries: DataFrame
     trades: DataFrame
+    daily: DataFrame | None = None
     rows: dict = field(default_factory=dict)
     root: str | None = None
 
@@ -68,6 +72,16 @@ class Model:
             t = t.where((F.col("trade_month") <= hi.year * 100 + hi.month) & date_pred)
         return t
 
+    def daily_between(self, lo=None, hi=None) -> DataFrame:
+        """Daily roll-up rows with lo <= trade_date <= hi (month folders pruned)."""
+        lo, hi = _as_date(lo), _as_date(hi)
+        d = self.daily
+        if lo is not None:
+            d = d.where((F.col("trade_month") >= lo.year * 100 + lo.month) & (F.col("trade_date") >= F.lit(lo)))
+        if hi is not None:
+            d = d.where((F.col("trade_month") <= hi.year * 100 + hi.month) & (F.col("trade_date") <= F.lit(hi)))
+        return d
+
     def last_trade_date(self) -> date:
         """max(trade_date), resolved in two cheap steps: the newest month
         from the partition folder names, then the max date inside that one
@@ -198,6 +212,13 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
         trades.repartitionByRange("trade_month", "instrument_id", "trade_date", "trade_id")
               .sortWithinPartitions("trade_month", "instrument_id", "trade_date", "trade_id"),
         f"{root}/trades", partition_by="trade_month")
+    # Daily roll-up from the written fact (partial aggregation per task; one
+    # output row per instrument and day, range-split on that unique key).
+    rows["daily"] = _write_counted(
+        daily_aggregates(spark.read.parquet(f"{root}/trades"))
+        .repartitionByRange("trade_month", "instrument_id", "trade_date")
+        .sortWithinPartitions("trade_month", "instrument_id", "trade_date"),
+        f"{root}/daily", partition_by="trade_month")
 
     spark.createDataFrame([(k, int(v)) for k, v in rows.items()], "table string, n_rows bigint") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root}/_meta")
@@ -207,13 +228,13 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str) -> dict:
 
 def read_model(spark: SparkSession, root: str) -> Model:
     meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}  # a few rows
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, "trades"]}
+    t = {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, "trades", "daily"]}
     # Dimensions under the broadcast bound are kept in executor memory: every
     # report joins them, and a lost block is simply re-read from Parquet.
     for n in DIMENSIONS:
         if meta.get(n, 0) <= max_broadcast_rows(spark):
             t[n] = t[n].cache()
-    return Model(spark, t["exchanges"], t["instruments"], t["expiries"], t["trades"], meta, root)
+    return Model(spark, t["exchanges"], t["instruments"], t["expiries"], t["trades"], t["daily"], meta, root)
 
 
 def open_model(spark: SparkSession, sf_dir: str) -> Model:
