@@ -27,7 +27,7 @@ from derivspark.functions import metrics as M
 from derivspark.operators.reshape import (equal_width_histogram, rolling_stats, side_by_side, top_k,
                                           top_k_per_group)
 from derivspark.plans.rollup import avg_of
-from derivspark.sources.store import Model, _as_date
+from derivspark.sources.store import Model, as_date
 
 # Original literals (defaults of the parameters) ---------------------------------
 ORIGINAL_START = "2019-08-01"
@@ -66,7 +66,7 @@ def runner_q1_oi_change(m: Model, since: str = ORIGINAL_START, k: int = 10) -> D
 def full_q1_oi_change(m: Model, days: int = 30, as_of=None, k: int = 10) -> DataFrame:
     """Last-N-day OI momentum: daily sums per (symbol, exchange, type, date),
     then per (symbol, exchange); the average OI is over daily totals."""
-    as_of = _as_date(as_of) or m.last_trade_date()
+    as_of = as_date(as_of) or m.last_trade_date()
     d = m.daily_between(as_of - timedelta(days=days)).select("instrument_id", "trade_date", "net_oi_change",
                                                                "total_oi", "volume")
     daily = m.with_exchange(d, "symbol", "instrument_type") \

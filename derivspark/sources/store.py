@@ -41,7 +41,7 @@ STORE_VERSION = 4
 MAX_PUSHED_KEYS = 2000
 
 
-def _as_date(d) -> date | None:
+def as_date(d) -> date | None:
     if d is None or isinstance(d, date):
         return d
     return date.fromisoformat(str(d))
@@ -57,12 +57,13 @@ class Model:
     daily: DataFrame | None = None
     rows: dict = field(default_factory=dict)
     root: str | None = None
+    memo: dict = field(default_factory=dict)  # per-model lookups (last date, key lists)
 
     def trades_between(self, lo=None, hi=None, hi_exclusive: bool = False) -> DataFrame:
         """Trades with lo <= trade_date <= hi (or < hi). The matching
         trade_month predicate is added so the scan prunes partitions; the
         date predicate itself is pushed into the Parquet reader."""
-        lo, hi = _as_date(lo), _as_date(hi)
+        lo, hi = as_date(lo), as_date(hi)
         t = self.trades
         if lo is not None:
             t = t.where((F.col("trade_month") >= lo.year * 100 + lo.month)
@@ -74,7 +75,7 @@ class Model:
 
     def daily_between(self, lo=None, hi=None) -> DataFrame:
         """Daily roll-up rows with lo <= trade_date <= hi (month folders pruned)."""
-        lo, hi = _as_date(lo), _as_date(hi)
+        lo, hi = as_date(lo), as_date(hi)
         d = self.daily
         if lo is not None:
             d = d.where((F.col("trade_month") >= lo.year * 100 + lo.month) & (F.col("trade_date") >= F.lit(lo)))
@@ -86,23 +87,23 @@ class Model:
         """max(trade_date), resolved in two cheap steps: the newest month
         from the partition folder names, then the max date inside that one
         partition. Returned as a literal so later filters still prune."""
-        if "_last_date" not in self.rows:
+        if "last_date" not in self.memo:
             months = [int(v) for v, _ in list_partitions(self.spark, f"{self.root}/trades", "trade_month")]
             t = self.trades.where(F.col("trade_month") == max(months)) if months else self.trades
-            self.rows["_last_date"] = t.agg(F.max("trade_date")).first()[0]
-        return self.rows["_last_date"]
+            self.memo["last_date"] = t.agg(F.max("trade_date")).first()[0]
+        return self.memo["last_date"]
 
     def last_days(self, days: int, as_of=None) -> DataFrame:
         """Trades with trade_date >= as_of - days (as_of defaults to the
         last trade date in the data, standing in for CURRENT_DATE)."""
-        as_of = _as_date(as_of) or self.last_trade_date()
+        as_of = as_date(as_of) or self.last_trade_date()
         return self.trades_between(as_of - timedelta(days=days))
 
     def instrument_keys(self, cond) -> list[int] | None:
         """Ids of the instruments matching ``cond`` when there are at most
         ``MAX_PUSHED_KEYS`` of them (else None). Resolved once per predicate
         from the small dimension."""
-        memo = self.rows.setdefault("_keys", {})
+        memo = self.memo.setdefault("instrument_keys", {})
         k = str(cond)
         if k not in memo:
             ids = [r[0] for r in self.instruments.where(cond).select("instrument_id")
@@ -141,12 +142,12 @@ class Model:
     def instrument_view(self) -> DataFrame:
         """instruments ⋈ exchanges (both bounded dimensions), built once and
         kept in memory, so a report needs one broadcast instead of two."""
-        if "_view" not in self.__dict__:
+        if "instrument_view" not in self.memo:
             view = self.instruments.join(self.exchanges.select("exchange_id", "exchange_code"), "exchange_id")
             if self.rows.get("instruments", 0) <= max_broadcast_rows(self.spark):
                 view = view.cache()
-            self.__dict__["_view"] = view
-        return self.__dict__["_view"]
+            self.memo["instrument_view"] = view
+        return self.memo["instrument_view"]
 
     def with_exchange(self, trades: DataFrame, *cols: str) -> DataFrame:
         """trades -> instruments -> exchanges (snowflake chain)."""
