@@ -20,18 +20,45 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
+def _reported_type(f: T.StructField):
+    if isinstance(f.dataType, T.DecimalType):
+        return "double"
+    if isinstance(f.dataType, T.DateType):
+        return "timestamp_ntz"
+    return None
+
+
 def report(df: DataFrame) -> DataFrame:
-    """Output boundary: exact DECIMAL results are reported as DOUBLE (values
+    """Output boundary. Exact DECIMAL results are reported as DOUBLE (values
     here are far below 2^53 cents, so the conversion is exact to the cent)
-    so that every consumer sees plain floating-point numbers."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-                       else F.col(f.name) for f in df.schema.fields])
+    and DATE results as zone-less TIMESTAMP at midnight — the types a
+    pandas consumer receives for them from a columnar SQL engine — so every
+    consumer sees the same values whichever way it fetches them."""
+    cols = []
+    for f in df.schema.fields:
+        t = _reported_type(f)
+        cols.append(F.col(f.name).cast(t).alias(f.name) if t else F.col(f.name))
+    return df.select(*cols)
+
+
+# Integer measures that are NULL by design (a missing pivot side): reported
+# as DOUBLE, because fetched into pandas a nullable integer column becomes a
+# float column on one engine and a nullable-integer column on another.
+NULLABLE_INTEGER_OUTPUTS = {
+    "filter_not_null_or": ["ce_volume", "pe_volume"],
+    "full_q3_cross_exchange": ["nse_volume", "bse_volume", "mcx_volume"],
+    "full_q4_option_chain": ["call_volume", "call_oi", "put_volume", "put_oi"],
+    "pivot_null": ["ce_max_oi_change", "pe_max_oi_change"],
+}
 
 
 def _reported(key: str, fn: QueryFn) -> QueryFn:
+    nullable = NULLABLE_INTEGER_OUTPUTS.get(key, [])
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_session_conf(spark)
-        return report(fn(spark, sf_dir))
+        df = report(fn(spark, sf_dir))
+        return df.select(*[F.col(c).cast("double").alias(c) if c in nullable else F.col(c) for c in df.columns])
     run.__name__ = key
     return run
 

@@ -1,7 +1,8 @@
 """Spark-vs-DuckDB comparison in the shape of the driver's correctness gate:
 column names, column types, row count and an order-insensitive value multiset.
 
-Usage: python tests/oracle_harness.py [sf_dir] [key ...]
+Usage: python tests/oracle_harness.py [--pandas] [sf_dir] [key ...]
+(--pandas compares through toPandas() / DuckDB .df() instead of row objects)
 """
 
 from __future__ import annotations
@@ -54,12 +55,23 @@ def norm(v):
     return str(v)
 
 
-def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
+def pandas_norm(v):
+    """str() of the pandas value, NaN/NaT -> NULL (the pandas fetch path)."""
+    import pandas as pd
+    if v is None or (not isinstance(v, (str, bytes)) and pd.isna(v)):
+        return "NULL"
+    return repr(float(v)) if isinstance(v, float) else str(v)
+
+
+def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con, via_pandas: bool = False) -> dict:
     t0 = time.time()
     df = fn(spark, sf_dir)
     names = df.columns
     stypes = [spark_type(f.dataType.simpleString()) for f in df.schema.fields]
-    srows = [tuple(norm(x) for x in r) for r in df.collect()]
+    if via_pandas:
+        srows = [tuple(pandas_norm(x) for x in r) for r in df.toPandas().itertuples(index=False)]
+    else:
+        srows = [tuple(norm(x) for x in r) for r in df.collect()]
     t_spark = time.time() - t0
     out = {"key": key, "spark_rows": len(srows), "spark_sec": round(t_spark, 2)}
     if sql is None:
@@ -68,7 +80,10 @@ def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
     rel = con.sql(sql)
     dnames = rel.columns
     dtypes = [str(t).upper().replace(" ", "") for t in rel.types]
-    drows = [tuple(norm(x) for x in r) for r in rel.fetchall()]
+    if via_pandas:
+        drows = [tuple(pandas_norm(x) for x in r) for r in con.sql(sql).df().itertuples(index=False)]
+    else:
+        drows = [tuple(norm(x) for x in r) for r in rel.fetchall()]
     out["duck_rows"] = len(drows)
     problems = []
     if sorted(names) != sorted(dnames):
@@ -99,6 +114,8 @@ def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
 def main(argv):
     from derivspark.session import get_spark
     import __spark_entry__ as E
+    via_pandas = "--pandas" in argv
+    argv = [a for a in argv if a != "--pandas"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     spark = get_spark("local[8]", shuffle_partitions=8)
@@ -107,7 +124,7 @@ def main(argv):
     results = []
     for k in (keys or sorted(qs)):
         try:
-            r = compare(spark, k, qs[k], orc.get(k), sf_dir, con)
+            r = compare(spark, k, qs[k], orc.get(k), sf_dir, con, via_pandas)
         except Exception as e:  # noqa: BLE001
             r = {"key": k, "status": "ERROR", "error": repr(e)[:800]}
         results.append(r)

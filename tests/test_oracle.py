@@ -26,6 +26,13 @@ def test_key_matches_oracle(spark, con, key):
     assert r["status"] == "ok", r
 
 
+@pytest.mark.parametrize("key", KEYS)
+def test_key_matches_oracle_through_pandas(spark, con, key):
+    """Same check through toPandas() / DuckDB .df() with values as text."""
+    r = compare(spark, key, E.queries()[key], E.oracle_sql().get(key), SF01, con, via_pandas=True)
+    assert r["status"] == "ok", r
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
