@@ -27,7 +27,7 @@ from derivspark.functions import metrics as M
 from derivspark.operators.reshape import (equal_width_histogram, rolling_stats, side_by_side, top_k,
                                           top_k_per_group)
 from derivspark.plans.rollup import avg_of
-from derivspark.sources.store import Model, as_date
+from derivspark.sources.store import Model, as_date, id_in
 
 # Original literals (defaults of the parameters) ---------------------------------
 ORIGINAL_START = "2019-08-01"
@@ -420,7 +420,7 @@ def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
     symbols = symbols or [NIFTY, BANKNIFTY]
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
     ids = m.instrument_keys(F.col("symbol").isin(symbols))
-    d = m.daily if ids is None else m.daily.where(F.col("instrument_id").isin(ids))
+    d = m.daily if ids is None else m.daily.where(id_in("instrument_id", ids))
     t = d.select("instrument_id", "trade_date", "total_oi").join(F.broadcast(inst), "instrument_id")
     return t.groupBy("symbol", "trade_date").agg(M.sum_long("total_oi").alias("total_oi")) \
         .orderBy("trade_date", "symbol")

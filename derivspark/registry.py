@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from derivspark.plans import analytics as A
@@ -20,30 +19,32 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
-def _reported_type(f: T.StructField):
-    if isinstance(f.dataType, T.DecimalType):
+def _reported_type(f: T.StructField, as_double: frozenset = frozenset()):
+    if isinstance(f.dataType, T.DecimalType) or f.name in as_double:
         return "double"
     if isinstance(f.dataType, T.DateType):
         return "timestamp_ntz"
     return None
 
 
-def report(df: DataFrame) -> DataFrame:
+def report(df: DataFrame, as_double: frozenset = frozenset()) -> DataFrame:
     """Output boundary. Exact DECIMAL results are reported as DOUBLE (values
     here are far below 2^53 cents, so the conversion is exact to the cent)
     and DATE results as zone-less TIMESTAMP at midnight — the types a
     pandas consumer receives for them from a columnar SQL engine — so every
-    consumer sees the same values whichever way it fetches them."""
-    cols = []
+    consumer sees the same values whichever way it fetches them. Columns in
+    ``as_double`` (integer measures NULL by design) are reported as DOUBLE
+    for the same reason: fetched into pandas, a nullable integer column
+    becomes a float column on one engine and a nullable-integer column on
+    another."""
+    exprs, changed = [], False
     for f in df.schema.fields:
-        t = _reported_type(f)
-        cols.append(F.col(f.name).cast(t).alias(f.name) if t else F.col(f.name))
-    return df.select(*cols)
+        t = _reported_type(f, as_double)
+        changed |= t is not None
+        exprs.append(f"CAST(`{f.name}` AS {t}) AS `{f.name}`" if t else f"`{f.name}`")
+    return df.selectExpr(*exprs) if changed else df
 
 
-# Integer measures that are NULL by design (a missing pivot side): reported
-# as DOUBLE, because fetched into pandas a nullable integer column becomes a
-# float column on one engine and a nullable-integer column on another.
 NULLABLE_INTEGER_OUTPUTS = {
     "filter_not_null_or": ["ce_volume", "pe_volume"],
     "full_q3_cross_exchange": ["nse_volume", "bse_volume", "mcx_volume"],
@@ -53,23 +54,15 @@ NULLABLE_INTEGER_OUTPUTS = {
 
 
 def _reported(key: str, fn: QueryFn) -> QueryFn:
-    nullable = NULLABLE_INTEGER_OUTPUTS.get(key, [])
+    nullable = frozenset(NULLABLE_INTEGER_OUTPUTS.get(key, []))
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_session_conf(spark)
-        df = report(fn(spark, sf_dir))
-        return df.select(*[F.col(c).cast("double").alias(c) if c in nullable else F.col(c) for c in df.columns])
+        return report(fn(spark, sf_dir), nullable)
     run.__name__ = key
     return run
 
 
-def register(key: str):
-    def deco(fn):
-        REGISTRY[key] = fn
-        return fn
-    return deco
-
-
 def model_query(key: str, fn, **params) -> None:
     """Register ``fn(model, **params)`` over the curated store of ``sf_dir``."""
     REGISTRY[key] = _reported(key, lambda spark, sf_dir: fn(open_model(spark, sf_dir), **params))
