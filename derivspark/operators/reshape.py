@@ -88,3 +88,12 @@ def equal_width_histogram(values: DataFrame, value_col: str, bins: int = 50) ->
                     (lo + F.col("bin") * width).alias("lo"),
                     (lo + (F.col("bin") + 1) * width).alias("hi"),
                     F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency")))
+
+
+def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed_col: str = "_h") -> DataFrame:
+    """A reproducible n-row sample: the rows with the n smallest xxhash64 of
+    ``key_cols`` (ties broken by the keys). A per-task top-n then an n-row
+    merge, so the same input always gives the same sample, on any cluster and
+    across task retries (unlike an arbitrary LIMIT)."""
+    h = F.xxhash64(*key_cols)
+    return df.withColumn(seed_col, h).orderBy(seed_col, *key_cols).limit(n).drop(seed_col)

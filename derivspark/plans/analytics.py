@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
-from derivspark.operators.reshape import (equal_width_histogram, rolling_stats, side_by_side, top_k,
-                                          top_k_per_group)
+from derivspark.operators.reshape import (equal_width_histogram, hash_sample, rolling_stats, side_by_side,
+                                          top_k, top_k_per_group)
 from derivspark.plans.rollup import avg_of
 from derivspark.sources.store import Model, as_date, id_in
 
@@ -426,9 +426,14 @@ def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
         .orderBy("trade_date", "symbol")
 
 
-def chart_volume_histogram(m: Model, bins: int = 50) -> DataFrame:
-    """Equal-width bins of positive volume over all such trades."""
-    return equal_width_histogram(m.trades.where(F.col("contracts") > 0).select("contracts"), "contracts", bins)
+def chart_volume_histogram(m: Model, bins: int = 50, sample_rows: int | None = None) -> DataFrame:
+    """Equal-width bins of positive volume over all such trades, or over a
+    reproducible ``sample_rows`` sample of them (the original binned an
+    arbitrary 100,000-row LIMIT)."""
+    v = m.trades.where(F.col("contracts") > 0)
+    if sample_rows is not None:
+        v = hash_sample(v.select("trade_id", "contracts"), sample_rows, ["trade_id"])
+    return equal_width_histogram(v.select("contracts"), "contracts", bins)
 
 
 def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "CE",

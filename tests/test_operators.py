@@ -105,3 +105,22 @@ def test_quality_checks_pass_on_null_and_count_violations(spark):
     assert [tuple(r) for r in duplicate_keys(keys, ["k"]).collect()] == [(1, 2)]
     parent = spark.createDataFrame([(1,)], "k int")
     assert orphans(keys, parent, "k").count() == 1
+
+
+def test_hash_sample_is_the_n_smallest_hashes_and_reproducible(spark):
+    from derivspark.operators.reshape import hash_sample
+    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    a = sorted(r.k for r in hash_sample(df, 100, ["k"]).collect())
+    b = sorted(r.k for r in hash_sample(df.repartition(7), 100, ["k"]).collect())
+    assert a == b and len(a) == 100
+    brute = df.withColumn("h", F.xxhash64("k")).toPandas().sort_values(["h", "k"]).head(100)
+    assert a == sorted(brute.k.tolist())
+
+
+def test_histogram_over_a_sample(spark):
+    from derivspark.plans.analytics import chart_volume_histogram
+    from derivspark.sources.store import open_model
+    from tests.conftest import SF001
+    m = open_model(spark, SF001)
+    h = chart_volume_histogram(m, sample_rows=1000).collect()
+    assert len(h) == 50 and sum(r.frequency for r in h) == 1000
