@@ -7,6 +7,8 @@ with ANSI mode, where ``x / 0`` raises instead of returning NULL.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -110,3 +112,34 @@ def avg_daily_volume(total_volume: ColumnOrName, trading_days: ColumnOrName) ->
 def month_key(date_col: ColumnOrName) -> Column:
     """yyyymm integer used as the trades partition column."""
     return (F.year(_c(date_col)) * 100 + F.month(_c(date_col))).cast("int")
+
+
+# Partition granularity of the stored fact: grain -> partition column. Values
+# are yyyymm for months and the yyyymmdd of the period start otherwise.
+GRAINS = {"month": "trade_month", "week": "trade_week", "day": "trade_day"}
+
+
+def _ymd(d: Column) -> Column:
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+
+
+def period_key(date_col: ColumnOrName, grain: str = "month") -> Column:
+    """Partition value of a date column for ``grain``."""
+    if grain == "month":
+        return month_key(date_col)
+    if grain == "week":
+        return _ymd(F.date_trunc("week", _c(date_col)).cast("date"))
+    if grain == "day":
+        return _ymd(_c(date_col))
+    raise ValueError(f"unknown grain {grain!r}")
+
+
+def period_value(d, grain: str = "month") -> int:
+    """Partition value of a Python date for ``grain`` (literal bounds)."""
+    if grain == "month":
+        return d.year * 100 + d.month
+    if grain == "week":
+        d = d - timedelta(days=d.weekday())
+    elif grain != "day":
+        raise ValueError(f"unknown grain {grain!r}")
+    return d.year * 10000 + d.month * 100 + d.day

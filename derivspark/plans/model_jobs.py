@@ -119,18 +119,17 @@ def archive_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = open_model(spark, sf_dir)
     path = scratch_dir(spark, "retention")
-    S.write_partitioned(m.trades, path)
-    S.drop_partitions_before(spark, path, S.keep_last_months(m, KEEP_MONTHS))
+    S.write_partitioned(m.trades, path, partition_by=m.part_col)
+    S.drop_partitions_before(spark, path, S.keep_last_months(m, KEEP_MONTHS), column=m.part_col)
     return S.partition_summary(spark.read.parquet(path))
 
 
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build of the roll-up, then an incremental refresh of the newest
-    month (replaces that partition only); the result equals a full build."""
+    partition (replaces that partition only); the result equals a full build."""
     m = open_model(spark, sf_dir)
     path = S.refresh_daily_rollup(m, scratch_dir(spark, "rollup"))
-    last = m.last_trade_date()
-    S.refresh_daily_rollup(m, path, months=[last.year * 100 + last.month])
+    S.refresh_daily_rollup(m, path, periods=[m.period(m.last_trade_date())])
     return spark.read.parquet(path)
 
 
@@ -165,12 +164,13 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     change_in_oi + 1) applied as upserts."""
     m = open_model(spark, sf_dir)
     table = scratch_dir(spark, "upsert-table")
-    S.write_partitioned(m.trades, table)
+    S.write_partitioned(m.trades, table, partition_by=m.part_col)
     inbox = scratch_dir(spark, "upsert-inbox")
     fixes = m.trades_between(CORRECTION_FROM).withColumn("change_in_oi", F.col("change_in_oi") + 1)
     fixes.write.parquet(inbox)
-    SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"))
-    return spark.read.parquet(table).drop("trade_id", "trade_month")
+    SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"),
+                   part_col=m.part_col)
+    return spark.read.parquet(table).drop("trade_id", m.part_col)
 
 
 def stream_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

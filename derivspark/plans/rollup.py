@@ -14,13 +14,10 @@ from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
 
-PARTITION = "trade_month"
-KEY = [PARTITION, "instrument_id", "trade_date"]
 
-
-def daily_aggregates(trades: DataFrame) -> DataFrame:
-    """(trade_month, instrument_id, trade_date) -> exact daily aggregates."""
-    return trades.groupBy(*KEY).agg(
+def daily_aggregates(trades: DataFrame, part_col: str = "trade_month") -> DataFrame:
+    """(partition, instrument_id, trade_date) -> exact daily aggregates."""
+    return trades.groupBy(part_col, "instrument_id", "trade_date").agg(
         F.count(F.lit(1)).alias("n_trades"), M.sum_long("contracts").alias("volume"),
         F.sum("value_in_lakh").cast("decimal(38,2)").alias("value"),
         M.sum_long("open_interest").alias("total_oi"), M.sum_long("change_in_oi").alias("net_oi_change"),

@@ -9,6 +9,8 @@ operation instead of a rewrite of the kept data.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite", compres
 def split_by_year(m: Model, path: str) -> str:
     """One dataset folder per year (``trade_year=YYYY``), e.g. to keep or
     ship years separately."""
-    write_partitioned(m.trades.withColumn("trade_year", F.year("trade_date")).drop(PARTITION), path,
+    write_partitioned(m.trades.withColumn("trade_year", F.year("trade_date")).drop(m.part_col), path,
                       partition_by="trade_year")
     return path
 
@@ -66,15 +68,17 @@ def append_if_new(spark: SparkSession, path: str, batch: DataFrame, key: list[st
 # ---------------------------------------------------------- partition reports ----
 
 def monthly_partition_rollup(m: Model) -> DataFrame:
-    """Per month partition: rows, volume and date span (reads the partition
-    column plus two data columns)."""
-    return m.trades.groupBy(PARTITION).agg(
+    """Per month: rows, volume and date span (for a month-grain store the
+    month is the partition column itself)."""
+    month = F.col(PARTITION) if m.grain == "month" else M.month_key("trade_date").alias(PARTITION)
+    return m.trades.groupBy(month).agg(
         F.count(F.lit(1)).alias("n_rows"), M.sum_long("contracts").alias("volume"),
         F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
 
 
 def partition_summary(df: DataFrame) -> DataFrame:
-    return df.groupBy(PARTITION).agg(
+    """Per month of trade_date: rows, volume, value and date span."""
+    return df.groupBy(M.month_key("trade_date").alias(PARTITION)).agg(
         F.count(F.lit(1)).alias("n_rows"), M.sum_long("contracts").alias("volume"),
         F.sum("value_in_lakh").cast("decimal(38,2)").alias("value"),
         F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
@@ -85,7 +89,7 @@ def partition_summary(df: DataFrame) -> DataFrame:
 def archive_before(m: Model, cutoff, path: str) -> str:
     """Rows before ``cutoff`` exported as ZSTD Parquet, one folder per month;
     only the months below the cutoff are scanned."""
-    write_partitioned(m.trades_between(hi=cutoff, hi_exclusive=True), path)
+    write_partitioned(m.trades_between(hi=cutoff, hi_exclusive=True), path, partition_by=m.part_col)
     return path
 
 
@@ -102,26 +106,27 @@ def drop_partitions_before(spark: SparkSession, path: str, keep_from: int, colum
 
 
 def keep_last_months(m: Model, months: int) -> int:
-    """yyyymm of the oldest month kept when keeping ``months`` months up to
-    the last trade date."""
+    """Partition value (in the model's grain) of the first day kept when
+    keeping ``months`` calendar months up to the last trade date."""
     last = m.last_trade_date()
     y, mo = last.year, last.month - (months - 1)
     while mo <= 0:
         y, mo = y - 1, mo + 12
-    return y * 100 + mo
+    return m.period(date(y, mo, 1))
 
 
 # ------------------------------------------------------------- daily roll-up ----
 
-def daily_rollup(m: Model, months: list[int] | None = None) -> DataFrame:
+def daily_rollup(m: Model, periods: list[int] | None = None) -> DataFrame:
     """Daily aggregates per instrument ("materialised view" of the frequent
-    symbol/day aggregations); ``months`` limits the recomputation."""
-    t = m.trades if months is None else m.trades.where(F.col(PARTITION).isin(months))
-    return daily_aggregates(t)
+    symbol/day aggregations); ``periods`` (partition values) limits the
+    recomputation."""
+    t = m.trades if periods is None else m.trades.where(F.col(m.part_col).isin(periods))
+    return daily_aggregates(t, m.part_col)
 
 
-def refresh_daily_rollup(m: Model, path: str, months: list[int] | None = None) -> str:
-    """Recompute the roll-up for ``months`` (all when None) and replace just
+def refresh_daily_rollup(m: Model, path: str, periods: list[int] | None = None) -> str:
+    """Recompute the roll-up for ``periods`` (all when None) and replace just
     those partitions."""
-    write_partitioned(daily_rollup(m, months), path)
+    write_partitioned(daily_rollup(m, periods), path, partition_by=m.part_col)
     return path

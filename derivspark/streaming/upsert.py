@@ -19,29 +19,31 @@ KEY = ["expiry_id", "trade_date"]
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, table: str, staging_root: str, epoch: int,
-                 key: list[str] | None = None) -> list:
+                 key: list[str] | None = None, part_col: str = PARTITION) -> list:
     key = key or KEY
     # Partition values touched by the batch: bounded by the partition count.
-    months = [r[0] for r in batch.select(PARTITION).distinct().collect()]
+    months = [r[0] for r in batch.select(part_col).distinct().collect()]
     if not months:
         return []
-    current = spark.read.parquet(table).where(F.col(PARTITION).isin(months))
+    current = spark.read.parquet(table).where(F.col(part_col).isin(months))
     kept = current.join(batch.select(*key).distinct(), key, "left_anti")
     merged = kept.unionByName(batch.select(*current.columns))
     staging = f"{staging_root}/epoch={epoch}"
-    merged.write.mode("overwrite").partitionBy(PARTITION).parquet(staging)
+    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(PARTITION).parquet(table))
+          .partitionBy(part_col).parquet(table))
     return months
 
 
-def run_upserts(spark: SparkSession, inbox: str, table: str, checkpoint: str, staging_root: str):
+def run_upserts(spark: SparkSession, inbox: str, table: str, checkpoint: str, staging_root: str,
+                part_col: str = PARTITION):
     """Apply every correction file in ``inbox`` (Parquet, fact schema) to
     ``table`` and stop."""
     schema = spark.read.parquet(table).schema
     source = spark.readStream.schema(schema).parquet(inbox)
     q = (source.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, epoch: upsert_batch(spark, df, table, staging_root, epoch))
+         .foreachBatch(lambda df, epoch: upsert_batch(spark, df, table, staging_root, epoch,
+                                                      part_col=part_col))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
