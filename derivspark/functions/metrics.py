@@ -19,17 +19,30 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _names(*cs) -> bool:
+    """True when every input is a plain column name: the builder can then be
+    one SQL expression, parsed in the JVM in a single call (the same
+    expression the Column API would assemble call by call)."""
+    return all(isinstance(c, str) for c in cs)
+
+
+def _q(c: str) -> str:
+    return f"`{c}`"
+
+
 def nullif_zero(c: ColumnOrName) -> Column:
     return F.nullif(_c(c), F.lit(0))
 
 
 def as_double(c: ColumnOrName) -> Column:
-    return _c(c).cast("double")
+    return F.expr(f"CAST({_q(c)} AS DOUBLE)") if _names(c) else _c(c).cast("double")
 
 
 def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     """``num / NULLIF(den, 0)`` computed in DOUBLE (decimal/decimal division
     has engine-specific result scales; doubles of exact operands do not)."""
+    if _names(num, den):
+        return F.expr(f"CAST({_q(num)} AS DOUBLE) / NULLIF(CAST({_q(den)} AS DOUBLE), 0)")
     return as_double(num) / nullif_zero(as_double(den))
 
 
@@ -39,17 +52,21 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     Rounds through DECIMAL(38,10) so a double sitting one ulp below a
     half-way point (e.g. 1.005) rounds the way its decimal text reads.
     """
+    if _names(c):
+        return F.expr(f"CAST(ROUND(CAST({_q(c)} AS DECIMAL(38,10)), {int(scale)}) AS DOUBLE)")
     return F.round(_c(c).cast("decimal(38,10)"), scale).cast("double")
 
 
 def exact_avg(c: ColumnOrName) -> Column:
     """AVG as ``CAST(SUM(x) AS DOUBLE) / COUNT(x)``: exact sum of decimals /
     integers first, one division at the end (aggregate expression)."""
+    if _names(c):
+        return F.expr(f"CAST(SUM({_q(c)}) AS DOUBLE) / COUNT({_q(c)})")
     return F.sum(_c(c)).cast("double") / F.count(_c(c))
 
 
 def sum_long(c: ColumnOrName) -> Column:
-    return F.sum(_c(c)).cast("bigint")
+    return F.expr(f"CAST(SUM({_q(c)}) AS BIGINT)") if _names(c) else F.sum(_c(c)).cast("bigint")
 
 
 # --- named metrics ----------------------------------------------------------

@@ -37,6 +37,7 @@ BASE_CONF = {
 }
 
 _LOCAL_ROOT: str | None = None
+_ROOTS: dict[str, str] = {}  # application id -> shared root (reading the conf is a JVM round trip)
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -89,6 +90,9 @@ def shared_root(spark: SparkSession) -> str:
     """
     global _LOCAL_ROOT
     sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _ROOTS:
+        return _ROOTS[app]
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         try:
@@ -102,7 +106,8 @@ def shared_root(spark: SparkSession) -> str:
         root = _LOCAL_ROOT
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    _ROOTS[app] = root.rstrip("/")
+    return _ROOTS[app]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
