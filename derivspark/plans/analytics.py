@@ -113,13 +113,10 @@ def full_q2_volatility(m: Model, symbol: str = NIFTY, instrument_type: str = IND
     """One symbol's options: daily average close per contract, rolling
     stddev/avg/count over the same frame; complete windows with volume."""
     cond = (F.col("symbol") == symbol) & (F.col("instrument_type") == instrument_type)
-    t = m.trades_of(cond, start, end).select("instrument_id", "expiry_id", "trade_date", "close", "contracts")
-    inst = m.instruments.where(cond).select("instrument_id")
-    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)) \
-        .select("expiry_id", "expiry_date", "strike_price", "option_type")
-    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
     contract = ["expiry_date", "strike_price", "option_type"]
-    daily = j.groupBy("trade_date", *contract).agg(
+    t = m.trades_of(cond, start, end).where(F.col("option_type").isin(OPTIONS)) \
+        .select("trade_date", *contract, "close", "contracts")
+    daily = t.groupBy("trade_date", *contract).agg(
         M.exact_avg("close").alias("avg_close"), M.sum_long("contracts").alias("volume"))
     rolled = rolling_stats(daily, contract, "trade_date", "avg_close", window_rows,
                            stddev="sd7", mean="ma7", count="window_days")
@@ -181,13 +178,10 @@ def runner_q4_option_chain(m: Model, symbol: str = NIFTY, expiry_from: str = "20
     all instruments, an uncorrelated scalar subquery); missing side -> 0."""
     nearest = m.expiries.where(F.col("expiry_date") >= F.lit(expiry_from).cast("date")) \
         .agg(F.min("expiry_date")).scalar()
-    exp = m.expiries.where(F.col("option_type").isin(OPTIONS) & (F.col("expiry_date") == nearest)) \
-        .select("expiry_id", "expiry_date", "strike_price", "option_type")
-    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
-    t = m.trades_of(F.col("symbol") == symbol).select("instrument_id", "expiry_id", "contracts", "open_interest",
-                                                       "close")
-    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
-    summary = j.groupBy("expiry_date", "strike_price", "option_type").agg(
+    t = m.trades_of(F.col("symbol") == symbol) \
+        .where(F.col("option_type").isin(OPTIONS) & (F.col("expiry_date") == nearest)) \
+        .select("expiry_date", "strike_price", "option_type", "contracts", "open_interest", "close")
+    summary = t.groupBy("expiry_date", "strike_price", "option_type").agg(
         M.sum_long("contracts").alias("total_volume"),
         M.sum_long("open_interest").alias("total_oi"),
         r2(M.exact_avg("close")).alias("avg_premium"))
@@ -205,10 +199,10 @@ def full_q4_option_chain(m: Model, symbols=None, instrument_type: str = INDEX_OP
     ``implied_vol`` is contracts x close (a liquidity proxy)."""
     symbols = symbols or [NIFTY, BANKNIFTY]
     cond = F.col("symbol").isin(symbols) & (F.col("instrument_type") == instrument_type)
-    t = m.trades_of(cond, day, day).select("instrument_id", "expiry_id", "contracts", "close", "open_interest")
+    t = m.trades_of(cond, day, day).select("instrument_id", "expiry_date", "strike_price", "option_type",
+                                           "contracts", "close", "open_interest")
     inst = m.instruments.where(cond).select("instrument_id", "symbol")
-    j = t.join(F.broadcast(inst), "instrument_id").join(
-        m.dim("expiries", "expiry_id", "expiry_date", "strike_price", "option_type"), "expiry_id")
+    j = t.join(m.dim_filtered(inst, "instruments"), "instrument_id")
     summary = j.groupBy("symbol", "expiry_date", "strike_price", "option_type").agg(
         M.sum_long("contracts").alias("total_volume"),
         M.exact_avg("close").alias("avg_close"),
@@ -302,9 +296,9 @@ def full_q6_price_movement(m: Model, start: str = ORIGINAL_START, end: str = "20
 
 def runner_q7_active_expiries(m: Model, k: int = 15) -> DataFrame:
     """Options activity per (symbol, expiry date)."""
-    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "expiry_date", "strike_price")
-    t = m.trades.select("instrument_id", "expiry_id", "contracts", "value_in_lakh", "open_interest")
-    j = m.with_instrument(t.join(m.dim_filtered(exp, "expiries"), "expiry_id"), "symbol")
+    t = m.trades.where(F.col("option_type").isin(OPTIONS)) \
+        .select("instrument_id", "expiry_date", "strike_price", "contracts", "value_in_lakh", "open_interest")
+    j = m.with_instrument(t, "symbol")
     g = j.groupBy("symbol", "expiry_date").agg(
         F.countDistinct("strike_price").alias("num_strikes"),
         M.sum_long("contracts").alias("total_volume"),
@@ -315,11 +309,11 @@ def runner_q7_active_expiries(m: Model, k: int = 15) -> DataFrame:
 
 def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: int = 20) -> DataFrame:
     """Index options activity per (symbol, expiry month)."""
-    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "expiry_date")
     inst = m.instruments.where(F.col("instrument_type") == instrument_type).select("instrument_id", "symbol")
-    t = m.trades_of(F.col("instrument_type") == instrument_type) \
-        .select("instrument_id", "expiry_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
-    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    t = m.trades_of(F.col("instrument_type") == instrument_type).where(F.col("option_type").isin(OPTIONS)) \
+        .select("instrument_id", "expiry_id", "expiry_date", "trade_date", "contracts", "value_in_lakh",
+                "open_interest")
+    j = t.join(m.dim_filtered(inst, "instruments"), "instrument_id")
     g = j.groupBy("symbol", F.date_trunc("month", "expiry_date").cast("date").alias("month")).agg(
         F.countDistinct("expiry_id").alias("num_contracts"),
         M.sum_long("contracts").alias("total_volume"),
@@ -421,7 +415,7 @@ def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
     ids = m.instrument_keys(F.col("symbol").isin(symbols))
     d = m.daily if ids is None else m.daily.where(id_in("instrument_id", ids))
-    t = d.select("instrument_id", "trade_date", "total_oi").join(F.broadcast(inst), "instrument_id")
+    t = d.select("instrument_id", "trade_date", "total_oi").join(m.dim_filtered(inst, "instruments"), "instrument_id")
     return t.groupBy("symbol", "trade_date").agg(M.sum_long("total_oi").alias("total_oi")) \
         .orderBy("trade_date", "symbol")
 
@@ -440,13 +434,10 @@ def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "
                              strike_lo: float = 10800, strike_hi: float = 11200,
                              start: str = ORIGINAL_START, end: str = "2019-08-15") -> DataFrame:
     """Stddev of close per (strike, date), long form (NULL stddev dropped)."""
-    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
-    exp = m.expiries.where((F.col("option_type") == option_type)
-                           & F.col("strike_price").between(strike_lo, strike_hi)) \
-        .select("expiry_id", "strike_price")
-    t = m.trades_of(F.col("symbol") == symbol, start, end).select("instrument_id", "expiry_id", "trade_date", "close")
-    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
-    g = j.groupBy("strike_price", "trade_date").agg(F.stddev_samp("close").alias("sd"))
+    t = m.trades_of(F.col("symbol") == symbol, start, end) \
+        .where((F.col("option_type") == option_type) & F.col("strike_price").between(strike_lo, strike_hi)) \
+        .select("strike_price", "trade_date", "close")
+    g = t.groupBy("strike_price", "trade_date").agg(F.stddev_samp("close").alias("sd"))
     return g.where(F.col("sd").isNotNull()) \
         .select("strike_price", "trade_date", M.round_half_up("sd", STAT_PLACES).alias("volatility"))
 
@@ -460,12 +451,10 @@ def heatmap_matrix(long: DataFrame) -> DataFrame:
 def chart_option_chain(m: Model, symbol: str = NIFTY, expiry: str = "2019-08-29",
                        day: str = ORIGINAL_START) -> DataFrame:
     """Volume per strike, calls and puts side by side, missing -> 0."""
-    inst = m.instruments.where(F.col("symbol") == symbol).select("instrument_id")
-    exp = m.expiries.where((F.col("expiry_date") == F.lit(expiry).cast("date")) & F.col("option_type").isin(OPTIONS)) \
-        .select("expiry_id", "strike_price", "option_type")
-    t = m.trades_of(F.col("symbol") == symbol, day, day).select("instrument_id", "expiry_id", "contracts")
-    j = t.join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
-    g = j.groupBy("strike_price", "option_type").agg(M.sum_long("contracts").alias("total_volume"))
+    t = m.trades_of(F.col("symbol") == symbol, day, day) \
+        .where((F.col("expiry_date") == F.lit(expiry).cast("date")) & F.col("option_type").isin(OPTIONS)) \
+        .select("strike_price", "option_type", "contracts")
+    g = t.groupBy("strike_price", "option_type").agg(M.sum_long("contracts").alias("total_volume"))
     wide = g.groupBy("strike_price").pivot("option_type", OPTIONS).agg(F.first("total_volume"))
     return wide.na.fill(0, subset=OPTIONS).select("strike_price", *[F.col(o).cast("bigint") for o in OPTIONS]) \
         .orderBy("strike_price")

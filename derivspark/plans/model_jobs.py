@@ -76,7 +76,7 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ storage ----
 from derivspark.plans import storage as S  # noqa: E402
-from derivspark.schemas import RAW_COLUMNS  # noqa: E402
+from derivspark.schemas import RAW_COLUMNS, TRADE_COLUMNS  # noqa: E402
 from derivspark.session import scratch_dir  # noqa: E402
 from derivspark.sources import raw_feed as RF  # noqa: E402
 from derivspark.sources.testdata import read_table  # noqa: E402
@@ -170,7 +170,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixes.write.parquet(inbox)
     SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"),
                    part_col=m.part_col)
-    return spark.read.parquet(table).drop("trade_id", m.part_col)
+    return spark.read.parquet(table).select(*[c for c in TRADE_COLUMNS if c != "trade_id"])
 
 
 def stream_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

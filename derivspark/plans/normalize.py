@@ -15,6 +15,7 @@ from derivspark.schemas import (DEFAULT_OPTION_TYPE, DEFAULT_STRIKE, EXCHANGE_RO
                                 MEASURES, PRICE)
 
 INSTRUMENT_KEY = ["exchange_id", "instrument_type", "symbol"]
+CONTRACT_ATTRS = ["expiry_date", "strike_price", "option_type"]
 EXPIRY_KEY = ["instrument_id", "expiry_date", "strike_price", "option_type"]
 # Salt buckets per trade_date for fact ids: a hot date is split this many ways.
 TRADE_ID_SALT = 64
@@ -64,18 +65,27 @@ def contract_lookup(instruments: DataFrame, expiries: DataFrame) -> DataFrame:
 
 
 def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
-                 lookup_rows: int | None = None, with_ids: bool = True) -> DataFrame:
+                 lookup_rows: int | None = None, with_ids: bool = True, covering: bool = False) -> DataFrame:
     """Fact build: rows with a timestamp, keyed through the contract lookup
-    (NULL expiry rows drop out of the inner join), measures NULL -> 0."""
+    (NULL expiry rows drop out of the inner join), measures NULL -> 0.
+
+    ``covering`` also keeps the contract attributes (expiry date, strike,
+    option type) on each fact row: the stored fact's equivalent of a covering
+    index, so option-chain style reports filter and group on them without
+    joining a contract dimension that can outgrow any broadcast. The values
+    come from the same lookup row as ``expiry_id``; ``expiries`` stays the
+    system of record."""
     rows = fill_contract_keys(feed.where(F.col("timestamp").isNotNull()))
     lookup = maybe_broadcast(contract_lookup(instruments, expiries), lookup_rows)
     keyed = rows.join(lookup, [*INSTRUMENT_KEY, "expiry_date", "strike_price", "option_type"])
     measures = [F.coalesce(F.col(m), F.lit(0).cast(feed.schema[m].dataType)).alias(m) for m in MEASURES]
+    extra = CONTRACT_ATTRS if covering else []
     trades = keyed.select("expiry_id", "instrument_id", F.to_date("timestamp").alias("trade_date"),
-                          *measures, "timestamp")
+                          *measures, "timestamp", *extra)
     if not with_ids:
         return trades
-    order = [c for c in trades.columns if c != "trade_date"]
+    # ids depend on the 3NF columns only (the covering ones follow expiry_id)
+    order = [c for c in trades.columns if c != "trade_date" and c not in extra]
     ids = dense_ids(trades, order_cols=order, id_col="trade_id", bucket_cols=["trade_date"],
                     salt_buckets=TRADE_ID_SALT, collapse_copies=True)
     return ids.select("trade_id", *trades.columns)

@@ -29,9 +29,8 @@ def filter_in_list(m: Model, symbols=None, option_types=None) -> DataFrame:
     symbols = symbols or [NIFTY, BANKNIFTY]
     option_types = option_types or OPTIONS
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
-    exp = m.expiries.where(F.col("option_type").isin(option_types)).select("expiry_id", "option_type")
-    j = m.trades_of(F.col("symbol").isin(symbols)).select("instrument_id", "expiry_id", "contracts") \
-        .join(F.broadcast(inst), "instrument_id").join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    j = m.trades_of(F.col("symbol").isin(symbols)).where(F.col("option_type").isin(option_types)) \
+        .select("instrument_id", "option_type", "contracts").join(m.dim_filtered(inst, "instruments"), "instrument_id")
     return _counts(j, "symbol", "option_type")
 
 
@@ -63,7 +62,7 @@ def filter_expression(m: Model) -> DataFrame:
 def filter_not_null_or(m: Model) -> DataFrame:
     """C11: IS NOT NULL / OR over conditional sums that are NULL when a
     side has no rows (futures-only days drop out)."""
-    t = m.with_contract(m.trades.select("instrument_id", "expiry_id", "trade_date", "contracts"), "option_type")
+    t = m.trades.select("instrument_id", "trade_date", "option_type", "contracts")
     g = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
         F.sum(F.when(F.col("option_type") == "CE", F.col("contracts"))).cast("bigint").alias("ce_volume"),
         F.sum(F.when(F.col("option_type") == "PE", F.col("contracts"))).cast("bigint").alias("pe_volume"))
@@ -113,9 +112,8 @@ def agg_count_distinct(m: Model) -> DataFrame:
 
 
 def _option_days(m: Model) -> DataFrame:
-    exp = m.expiries.where(F.col("option_type").isin(OPTIONS)).select("expiry_id", "option_type")
-    t = m.trades.select("instrument_id", "expiry_id", "trade_date", "change_in_oi") \
-        .join(m.dim_filtered(exp, "expiries"), "expiry_id")
+    t = m.trades.where(F.col("option_type").isin(OPTIONS)) \
+        .select("instrument_id", "trade_date", "option_type", "change_in_oi")
     return m.with_instrument(t, "symbol")
 
 
@@ -134,7 +132,7 @@ def pivot_zero(m: Model) -> DataFrame:
 
 def distinct_rows(m: Model) -> DataFrame:
     """DISTINCT over joined attributes."""
-    t = m.with_contract(m.trades.select("instrument_id", "expiry_id"), "expiry_date", "option_type")
+    t = m.trades.select("instrument_id", "expiry_date", "option_type")
     return m.with_instrument(t, "instrument_type", "symbol") \
         .select("instrument_type", "symbol", "expiry_date", "option_type").distinct()
 
@@ -175,7 +173,7 @@ def scalar_null(m: Model) -> DataFrame:
 
 def scalar_cast(m: Model) -> DataFrame:
     """Casts to text, integer, double and date."""
-    g = m.trades.join(m.dim("expiries", "expiry_id", "strike_price"), "expiry_id").groupBy("instrument_id").agg(
+    g = m.trades.groupBy("instrument_id").agg(
         F.min("trade_date").alias("d0"), F.max("strike_price").alias("k"), F.sum("contracts").alias("v"),
         F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("ts"))
     return g.select("instrument_id", F.col("d0").cast("string").alias("first_day"),

@@ -40,7 +40,7 @@ from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 4
+STORE_VERSION = 5
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
@@ -129,13 +129,17 @@ class Model:
     def trades_of(self, cond, lo=None, hi=None, hi_exclusive: bool = False) -> DataFrame:
         """Trades of the instruments matching ``cond`` (and in a date range).
 
-        The matching instrument ids are pushed into the Parquet scan as a
-        literal IN list: fact files are sorted by instrument within each month,
-        so min/max statistics skip files and row groups of other instruments.
-        The join with the filtered dimension still applies the predicate."""
+        When few instruments match, their ids are pushed into the Parquet
+        scan as a literal IN list: fact files are sorted by instrument within
+        each partition, so min/max statistics skip files and row groups of
+        other instruments, and no join is needed. Otherwise a semi-join with
+        the filtered dimension (checked broadcast) applies the predicate."""
         t = self.trades_between(lo, hi, hi_exclusive)
         ids = self.instrument_keys(cond)
-        return t if ids is None else t.where(id_in("instrument_id", ids))
+        if ids is not None:
+            return t.where(id_in("instrument_id", ids))
+        keys = self.instruments.where(cond).select("instrument_id")
+        return t.join(maybe_broadcast(keys, self.rows.get("instruments")), "instrument_id", "left_semi")
 
     def dim(self, name: str, *cols: str) -> DataFrame:
         """A projected dimension, hinted for broadcast when its recorded row
@@ -170,8 +174,10 @@ class Model:
         return trades.join(maybe_broadcast(inst, self.rows.get("instruments")), "instrument_id")
 
     def with_contract(self, trades: DataFrame, *cols: str) -> DataFrame:
+        """Explicit join with the contract dimension (the fact also carries
+        these attributes; see ``normalize.build_trades(covering=True)``)."""
         cols = cols or ("expiry_date", "strike_price", "option_type")
-        return trades.join(self.dim("expiries", "expiry_id", *cols), "expiry_id")
+        return trades.drop(*cols).join(self.dim("expiries", "expiry_id", *cols), "expiry_id")
 
 
 _CACHE: dict[str, Model] = {}
@@ -223,7 +229,7 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
     # instrument and date. With AQE the range sampling reads the already
     # materialised upstream shuffle, so the id assignment is not redone.
     part = GRAINS[grain]
-    trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"]) \
+    trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"], covering=True) \
         .withColumn(part, period_key("trade_date", grain))
     rows["trades"] = _write_counted(
         trades.repartitionByRange(part, "instrument_id", "trade_date", "trade_id")
