@@ -64,16 +64,22 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def equal_width_histogram(values: DataFrame, value_col: str, bins: int = 50) -> DataFrame:
+def equal_width_histogram(values: DataFrame, value_col: str, bins: int = 50,
+                          bounds: DataFrame | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] (last bin closed, like numpy).
 
     min/max come from one global aggregate used as scalar subqueries (Spark
-    merges them into a single partial+final aggregate), each value is binned
-    with column arithmetic and counted per bin (partial aggregation per
-    task); every bin, empty ones included, is reported.
+    merges them into a single partial+final aggregate) — over ``values``, or
+    over a precomputed one-row ``bounds`` frame with columns lo, hi (e.g.
+    from a roll-up, sparing a second pass over the values); each value is
+    binned with column arithmetic and counted per bin (partial aggregation
+    per task); every bin, empty ones included, is reported.
     """
     v = F.col(value_col).cast("double")
-    bounds = values.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    if bounds is None:
+        bounds = values.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    else:
+        bounds = bounds.select(F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
     width = (hi - lo) / bins

@@ -427,7 +427,11 @@ def chart_volume_histogram(m: Model, bins: int = 50, sample_rows: int | None = N
     v = m.trades.where(F.col("contracts") > 0)
     if sample_rows is not None:
         v = hash_sample(v.select("trade_id", "contracts"), sample_rows, ["trade_id"])
-    return equal_width_histogram(v.select("contracts"), "contracts", bins)
+        return equal_width_histogram(v.select("contracts"), "contracts", bins)
+    # bounds of the whole data from the daily roll-up: one pass over the fact
+    bounds = m.daily.agg(F.min("min_pos_contracts").alias("lo"),
+                         F.max(F.when(F.col("max_contracts") > 0, F.col("max_contracts"))).alias("hi"))
+    return equal_width_histogram(v.select("contracts"), "contracts", bins, bounds)
 
 
 def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "CE",

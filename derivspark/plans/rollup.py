@@ -23,7 +23,9 @@ def daily_aggregates(trades: DataFrame, part_col: str = "trade_month") -> DataFr
         M.sum_long("open_interest").alias("total_oi"), M.sum_long("change_in_oi").alias("net_oi_change"),
         F.sum("close").cast("decimal(38,2)").alias("sum_close"),
         F.sum("settle_price").cast("decimal(38,2)").alias("sum_settle"),
-        F.min("low").alias("day_low"), F.max("high").alias("day_high"))
+        F.min("low").alias("day_low"), F.max("high").alias("day_high"),
+        F.min(F.when(F.col("contracts") > 0, F.col("contracts"))).alias("min_pos_contracts"),
+        F.max("contracts").alias("max_contracts"))
 
 
 def avg_of(sum_col: str, n_col: str = "n_trades") -> F.Column:
