@@ -44,6 +44,10 @@ STAT_PLACES = 6
 r2 = M.round_half_up
 
 
+def _midnight(ts: str) -> bool:
+    return len(ts) == 10 or ts[10:].strip(" T").replace(":", "").replace(".", "").strip("0") == ""
+
+
 def r0(c):
     return M.round_half_up(c, 0)
 
@@ -226,10 +230,11 @@ def full_q4_option_chain(m: Model, symbols=None, instrument_type: str = INDEX_OP
 # ---------------------------------------------------------------------- Q5 ----
 
 def runner_q5_max_volume(m: Model, k: int = 10) -> DataFrame:
-    """Single best (positive-volume) day per symbol, top k of those."""
-    t = m.trades.where(F.col("contracts") > 0).select("instrument_id", "trade_date", "contracts")
-    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date") \
-        .agg(M.sum_long("contracts").alias("daily_volume"))
+    """Single best (positive-volume) day per symbol, top k of those; from the
+    roll-up's positive-volume sums (days without such rows drop out)."""
+    d = m.daily.where(F.col("pos_n") > 0).select("instrument_id", "trade_date", "pos_volume")
+    daily = m.with_instrument(d, "symbol").groupBy("symbol", "trade_date") \
+        .agg(M.sum_long("pos_volume").alias("daily_volume"))
     best = top_k_per_group(daily, ["symbol"], [F.col("daily_volume").desc(), F.col("trade_date")], 1)
     return top_k(best.select("symbol", "trade_date", "daily_volume"),
                  [F.col("daily_volume").desc(), "symbol"], k)
@@ -238,13 +243,14 @@ def runner_q5_max_volume(m: Model, k: int = 10) -> DataFrame:
 def full_q5_max_volume(m: Model, days: int = 30, as_of=None, per_group: int = 5, k: int = 50) -> DataFrame:
     """Top volume days per (symbol, type) in the last N days; the rank
     partition ignores the exchange, as in the original."""
-    t = m.last_days(days, as_of).where(F.col("contracts") > 0) \
-        .select("instrument_id", "trade_date", "contracts", "value_in_lakh", "open_interest")
-    daily = m.with_exchange(t, "symbol", "instrument_type") \
+    as_of = as_date(as_of) or m.last_trade_date()
+    d = m.daily_between(as_of - timedelta(days=days)).where(F.col("pos_n") > 0) \
+        .select("instrument_id", "trade_date", "pos_volume", "pos_value", "pos_oi", "pos_n")
+    daily = m.with_exchange(d, "symbol", "instrument_type") \
         .groupBy("symbol", "instrument_type", "exchange_code", "trade_date").agg(
-            M.sum_long("contracts").alias("daily_volume"),
-            F.sum("value_in_lakh").alias("daily_value"),
-            M.exact_avg("open_interest").alias("avg_oi"))
+            M.sum_long("pos_volume").alias("daily_volume"),
+            F.sum("pos_value").alias("daily_value"),
+            avg_of("pos_oi", "pos_n").alias("avg_oi"))
     ranked = top_k_per_group(daily, ["symbol", "instrument_type"],
                              [F.col("daily_volume").desc(), "exchange_code", "trade_date"], per_group)
     out = ranked.select(
@@ -332,15 +338,15 @@ def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: i
 
 def bench_b1_volume(m: Model, start: str = "2019-09-01", end: str = "2019-09-30", k: int = 10,
                     nonzero: bool = False) -> DataFrame:
-    """Top daily volumes in a date range (month partition pruned). Without
-    the row filter it is answered from the daily roll-up; ``contracts > 0``
-    removes trade rows (and zero-volume days), so that form reads the fact."""
+    """Top daily volumes in a date range, from the daily roll-up (partitions
+    pruned); with ``nonzero`` only positive-volume rows count, and days
+    without any drop out."""
+    d = m.daily_between(start, end)
     if nonzero:
-        t = m.trades_between(start, end).where(F.col("contracts") > 0) \
-            .select("instrument_id", "trade_date", F.col("contracts").alias("volume"),
-                    F.col("value_in_lakh").alias("value"))
+        t = d.where(F.col("pos_n") > 0).select("instrument_id", "trade_date", F.col("pos_volume").alias("volume"),
+                                                F.col("pos_value").alias("value"))
     else:
-        t = m.daily_between(start, end).select("instrument_id", "trade_date", "volume", "value")
+        t = d.select("instrument_id", "trade_date", "volume", "value")
     g = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
         M.sum_long("volume").alias("daily_volume"),
         F.sum("value").cast("decimal(38,2)").alias("daily_value"))
@@ -352,12 +358,20 @@ def bench_b2_rolling(m: Model, start: str = "2019-08-01 00:00:00", end: str = "2
     """Daily volume / close with 7-row moving average and stddev; half-open
     timestamp range (the month partition bounds are derived from it)."""
     lo, hi = start[:10], end[:10]
-    t = m.trades_between(lo, hi).where(
-        (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
-        & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))) \
-        .select("instrument_id", "trade_date", "contracts", "close")
-    daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
-        M.sum_long("contracts").alias("volume"), M.exact_avg("close").alias("avg_close"))
+    if _midnight(start) and _midnight(end):
+        # trade_date = CAST(timestamp AS DATE): with both bounds at midnight the
+        # timestamp range is exactly the days [lo, hi), served by the roll-up
+        d = m.daily_between(lo, as_date(hi) - timedelta(days=1)) \
+            .select("instrument_id", "trade_date", "volume", "sum_close", "n_trades")
+        daily = m.with_instrument(d, "symbol").groupBy("symbol", "trade_date").agg(
+            M.sum_long("volume").alias("volume"), avg_of("sum_close").alias("avg_close"))
+    else:
+        t = m.trades_between(lo, hi).where(
+            (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+            & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))) \
+            .select("instrument_id", "trade_date", "contracts", "close")
+        daily = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
+            M.sum_long("contracts").alias("volume"), M.exact_avg("close").alias("avg_close"))
     w_daily = rolling_stats(daily, ["symbol"], "trade_date", "volume", window_rows, mean="ma_7day_volume")
     w_daily = rolling_stats(w_daily, ["symbol"], "trade_date", "avg_close", window_rows,
                             stddev="sd7")

@@ -3,8 +3,9 @@
 
 It keeps exact sums and row counts (never averages), so every SUM, COUNT,
 MIN/MAX and AVG = SUM/COUNT over instruments and days that a report needs
-can be recomputed from it exactly. Reports that filter individual trade
-rows (``contracts > 0``, ``high > 0``, ...) cannot use it and read the fact.
+can be recomputed from it exactly — also over positive-volume rows only
+(``pos_*``, for reports that filter ``contracts > 0``). Reports with other
+row filters (``high > 0``, option types, strikes) read the fact.
 """
 
 from __future__ import annotations
@@ -25,7 +26,13 @@ def daily_aggregates(trades: DataFrame, part_col: str = "trade_month") -> DataFr
         F.sum("settle_price").cast("decimal(38,2)").alias("sum_settle"),
         F.min("low").alias("day_low"), F.max("high").alias("day_high"),
         F.min(F.when(F.col("contracts") > 0, F.col("contracts"))).alias("min_pos_contracts"),
-        F.max("contracts").alias("max_contracts"))
+        F.max("contracts").alias("max_contracts"),
+        # the same measures over positive-volume rows only (reports that
+        # filter contracts > 0); NULL / 0 when the day has no such row
+        F.sum(F.when(F.col("contracts") > 0, 1).otherwise(0)).cast("bigint").alias("pos_n"),
+        F.sum(F.when(F.col("contracts") > 0, F.col("contracts"))).cast("bigint").alias("pos_volume"),
+        F.sum(F.when(F.col("contracts") > 0, F.col("value_in_lakh"))).cast("decimal(38,2)").alias("pos_value"),
+        F.sum(F.when(F.col("contracts") > 0, F.col("open_interest"))).cast("bigint").alias("pos_oi"))
 
 
 def avg_of(sum_col: str, n_col: str = "n_trades") -> F.Column:

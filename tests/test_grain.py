@@ -49,3 +49,10 @@ def test_day_grain_prunes_on_its_partition_and_retention_keeps_whole_months(spar
         S.drop_partitions_before(spark, path, S.keep_last_months(m, 2), column=m.part_col)
         kept[m.grain] = rows(S.partition_summary(spark.read.parquet(path)))
     assert kept["day"] == kept["month"] and len(kept["month"]) == 2
+
+
+def test_timestamp_range_on_midnights_uses_the_rollup_with_the_same_result(spark, month):
+    via_rollup = A.bench_b2_rolling(month, "2019-08-01 00:00:00", "2019-09-01 00:00:00")
+    via_fact = A.bench_b2_rolling(month, "2019-08-01 00:00:00", "2019-08-31 23:59:59.999999")
+    assert "daily" in plan(via_rollup) and "daily" not in plan(via_fact)
+    assert rows(via_rollup) == rows(via_fact)
