@@ -30,6 +30,16 @@ HEADLINE = [
 ]
 
 
+def cpu_probe() -> float:
+    """Seconds for a fixed pure-Python loop: the host's speed at run time
+    (shared machines vary), to put the query times in context."""
+    t = time.perf_counter()
+    s = 0
+    for i in range(5_000_000):
+        s += i
+    return round(time.perf_counter() - t, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -67,6 +77,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "load_sec": round(load_sec, 3),
+        "host_cpu_probe_sec": cpu_probe(),
         "fact_rows": model.rows.get("trades"),
         "config": {"master": f"local[{cpus}]", "shuffle_partitions": cpus, "repeats": repeats,
                    "driver_memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"), "aqe": True},
