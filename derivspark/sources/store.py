@@ -26,6 +26,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 7
+STORE_VERSION = 8
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
@@ -218,9 +219,18 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
     ex.write.mode("overwrite").parquet(f"{root}/exchanges")
     rows["exchanges"] = len(N.EXCHANGE_ROWS)
 
-    rows["instruments"] = _write_counted(N.build_instruments(feed), f"{root}/instruments")
-    inst = spark.read.parquet(f"{root}/instruments")
-    rows["expiries"] = _write_counted(N.build_expiries(feed, inst, rows["instruments"]), f"{root}/expiries")
+    # Both dimensions derive from the distinct contract tuples (one pass over
+    # the feed; the result is small — one row per contract — and kept in
+    # memory for the two builds, recomputed from lineage if a block is lost).
+    contracts = N.fill_contract_keys(feed).select(*N.INSTRUMENT_KEY, *N.CONTRACT_ATTRS).distinct() \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows["instruments"] = _write_counted(N.build_instruments(contracts), f"{root}/instruments")
+        inst = spark.read.parquet(f"{root}/instruments")
+        rows["expiries"] = _write_counted(N.build_expiries(contracts, inst, rows["instruments"]),
+                                          f"{root}/expiries")
+    finally:
+        contracts.unpersist()
     exp = spark.read.parquet(f"{root}/expiries")
 
     # Range bounds on (month, instrument, date, id) split any hot
