@@ -3,13 +3,17 @@
 ``ROW_NUMBER() OVER (ORDER BY k)`` over a whole table makes Spark move every
 row into a single task. Instead:
 
-1. rows are grouped into buckets by a prefix of the order (for big tables
-   plus a hash salt, so a hot prefix value is spread over ``salt`` buckets);
-2. identical rows ("copies") are collapsed first with a count — partial
+1. identical rows ("copies") are collapsed first with a count — partial
    aggregation map-side, so a huge group of copies becomes one row;
-3. bucket totals (one row per bucket, bounded by the bucket count) are turned
-   into start offsets with a small window, broadcast back, and each row gets
-   ``offset + running count within its bucket``;
+2. rows are grouped into buckets by a prefix of the order plus, for big
+   tables, a hash salt. With ``salt_buckets="auto"`` each prefix value (e.g.
+   a trade date) gets as many salt values as it needs for every bucket to
+   hold about ``rows_per_bucket`` rows, so a prefix value holding a third of
+   all rows is spread over proportionally many tasks;
+3. bucket totals (one row per bucket: bounded by rows / rows_per_bucket plus
+   the number of prefix values) become start offsets through a small window,
+   are broadcast back, and each row gets ``offset + running count within its
+   bucket`` — the only sort is per bucket;
 4. copies are expanded again in chunks spread over the cluster.
 
 Ids are 1..n, unique, and follow the total order (bucket, [salt], order).
@@ -22,26 +26,38 @@ from pyspark.sql import functions as F
 
 # Copies are re-expanded in chunks of this many rows per generated row.
 COPY_CHUNK = 100_000
+# Target rows per id bucket with automatic salting (one task sorts one bucket).
+ROWS_PER_BUCKET = 2_000_000
 
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: list[str],
-              salt_buckets: int = 0, collapse_copies: bool = False,
-              id_type: str = "bigint") -> DataFrame:
-    if not bucket_cols and not salt_buckets:
-        raise ValueError("dense_ids needs bucket columns or a salt")
+              salt_buckets: int | str = 0, collapse_copies: bool = False,
+              id_type: str = "bigint", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``salt_buckets``: 0 = buckets are the prefix values; an int = that many
+    hash salts per prefix value; ``"auto"`` = per prefix value, enough salts
+    for about ``rows_per_bucket`` rows per bucket."""
+    if not bucket_cols:
+        raise ValueError("dense_ids needs bucket (prefix) columns")
     cols = df.columns
     keys = list(bucket_cols)
-    data = df
-    if salt_buckets:
-        data = data.withColumn("_salt", F.pmod(F.xxhash64(*order_cols), F.lit(salt_buckets)))
-        keys.append("_salt")
     if collapse_copies:
-        data = data.groupBy(*cols, *(["_salt"] if salt_buckets else [])).agg(F.count(F.lit(1)).alias("_n"))
+        data = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     else:
-        data = data.withColumn("_n", F.lit(1).cast("bigint"))
+        data = df.withColumn("_n", F.lit(1).cast("bigint"))
+    if salt_buckets:
+        if salt_buckets == "auto":
+            # one row per prefix value (e.g. per trade date): a bounded table
+            sizes = data.groupBy(*bucket_cols).agg(
+                F.greatest(F.lit(1), F.ceil(F.sum("_n") / F.lit(rows_per_bucket))).cast("bigint").alias("_s"))
+            data = data.join(F.broadcast(sizes), bucket_cols)
+            n_salt = F.col("_s")
+        else:
+            n_salt = F.lit(int(salt_buckets))
+        data = data.withColumn("_salt", F.pmod(F.xxhash64(*order_cols), n_salt))
+        keys.append("_salt")
 
-    # One row per bucket: a bounded table, so the ordered window and the
-    # broadcast below stay small whatever the data volume.
+    # One row per bucket: bounded by rows / rows_per_bucket + prefix values,
+    # so the ordered window and the broadcast below stay small.
     totals = data.groupBy(*keys).agg(F.sum("_n").alias("_bn"))
     offsets = totals.select(
         *keys,

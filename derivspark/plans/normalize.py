@@ -17,8 +17,10 @@ from derivspark.schemas import (DEFAULT_OPTION_TYPE, DEFAULT_STRIKE, EXCHANGE_RO
 INSTRUMENT_KEY = ["exchange_id", "instrument_type", "symbol"]
 CONTRACT_ATTRS = ["expiry_date", "strike_price", "option_type"]
 EXPIRY_KEY = ["instrument_id", "expiry_date", "strike_price", "option_type"]
-# Salt buckets per trade_date for fact ids: a hot date is split this many ways.
-TRADE_ID_SALT = 64
+# Fact ids: each trade date is split into as many hash buckets as its row
+# count needs (about ids.ROWS_PER_BUCKET rows each), so a hot date is spread
+# over proportionally many tasks.
+TRADE_ID_SALT = "auto"
 
 
 def exchange_dim(spark: SparkSession) -> DataFrame:

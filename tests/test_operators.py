@@ -124,3 +124,17 @@ def test_histogram_over_a_sample(spark):
     m = open_model(spark, SF001)
     h = chart_volume_histogram(m, sample_rows=1000).collect()
     assert len(h) == 50 and sum(r.frequency for r in h) == 1000
+
+
+def test_dense_ids_auto_salting_splits_a_hot_prefix(spark):
+    hot = [(dt.date(2019, 8, 1), f"k{i}", i) for i in range(400)]      # the hot date: 400 rows
+    cold = [(dt.date(2019, 8, 2), f"k{i}", i) for i in range(10)]
+    df = spark.createDataFrame(hot + cold, "d date, k string, v int")
+    out = dense_ids(df, ["k", "v"], "id", ["d"], salt_buckets="auto", collapse_copies=True, rows_per_bucket=50)
+    got = out.collect()
+    assert sorted(r.id for r in got) == list(range(1, 411))
+    assert max(r.id for r in got if r.d == dt.date(2019, 8, 1)) == 400   # prefix order kept
+    # the hot date was split into ceil(400 / 50) = 8 salt buckets of ~50 rows
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64("k", "v"), F.lit(8))).where("d = DATE'2019-08-01'")
+    sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 100
