@@ -96,10 +96,29 @@ def equal_width_histogram(values: DataFrame, value_col: str, bins: int = 50,
                     F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency")))
 
 
-def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed_col: str = "_h") -> DataFrame:
-    """A reproducible n-row sample: the rows with the n smallest xxhash64 of
-    ``key_cols`` (ties broken by the keys). A per-task top-n then an n-row
-    merge, so the same input always gives the same sample, on any cluster and
-    across task retries (unlike an arbitrary LIMIT)."""
-    h = F.xxhash64(*key_cols)
-    return df.withColumn(seed_col, h).orderBy(seed_col, *key_cols).limit(n).drop(seed_col)
+# Uniform sampling key: xxhash64 folded onto [0, SAMPLE_MOD).
+SAMPLE_MOD = 2**61 - 1
+
+
+def hash_sample(df: DataFrame, n: int, key_cols: list[str]) -> DataFrame:
+    """A reproducible n-row sample: the rows with the n smallest
+    (pmod(xxhash64(keys), M), keys). The same input gives the same sample on
+    any cluster and across task retries (unlike an arbitrary LIMIT).
+
+    ORDER BY + LIMIT n alone would merge every task's top n in one task;
+    instead the rows are counted once and only those whose hash value falls
+    below a threshold sized for ~1.1 n + 1000 expected survivors are kept,
+    then the exact top n of that small set is taken. If fewer than n survive
+    (rare), the threshold is widened; the result is exact either way."""
+    u = F.pmod(F.xxhash64(*key_cols), F.lit(SAMPLE_MOD))
+    keyed = df.withColumn("_u", u)
+    total = df.count()
+    if total <= n:
+        return df
+    frac = min(1.0, (1.1 * n + 1000) / total)
+    while True:
+        cut = keyed.where(F.col("_u") < F.lit(int(frac * SAMPLE_MOD)))
+        if frac >= 1.0 or cut.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    return cut.orderBy("_u", *key_cols).limit(n).drop("_u")

@@ -108,13 +108,14 @@ def test_quality_checks_pass_on_null_and_count_violations(spark):
 
 
 def test_hash_sample_is_the_n_smallest_hashes_and_reproducible(spark):
-    from derivspark.operators.reshape import hash_sample
+    from derivspark.operators.reshape import SAMPLE_MOD, hash_sample
     df = spark.range(0, 5000).withColumnRenamed("id", "k")
-    a = sorted(r.k for r in hash_sample(df, 100, ["k"]).collect())
-    b = sorted(r.k for r in hash_sample(df.repartition(7), 100, ["k"]).collect())
-    assert a == b and len(a) == 100
-    brute = df.withColumn("h", F.xxhash64("k")).toPandas().sort_values(["h", "k"]).head(100)
-    assert a == sorted(brute.k.tolist())
+    ordered = df.withColumn("u", F.pmod(F.xxhash64("k"), F.lit(SAMPLE_MOD))).toPandas().sort_values(["u", "k"])
+    for n in (100, 4000):  # 4000: the first threshold keeps too few rows and is widened
+        a = sorted(r.k for r in hash_sample(df, n, ["k"]).collect())
+        b = sorted(r.k for r in hash_sample(df.repartition(7), n, ["k"]).collect())
+        assert a == b == sorted(ordered.k.head(n).tolist())
+    assert hash_sample(df.limit(50), 100, ["k"]).count() == 50  # n above the input: all rows
 
 
 def test_histogram_over_a_sample(spark):
