@@ -111,7 +111,7 @@ def test_hash_sample_is_the_n_smallest_hashes_and_reproducible(spark):
     from derivspark.operators.reshape import SAMPLE_MOD, hash_sample
     df = spark.range(0, 5000).withColumnRenamed("id", "k")
     ordered = df.withColumn("u", F.pmod(F.xxhash64("k"), F.lit(SAMPLE_MOD))).toPandas().sort_values(["u", "k"])
-    for n in (100, 4000):  # 4000: the first threshold keeps too few rows and is widened
+    for n in (100, 4000):  # 100: a small threshold cut; 4000: the cut covers every row
         a = sorted(r.k for r in hash_sample(df, n, ["k"]).collect())
         b = sorted(r.k for r in hash_sample(df.repartition(7), n, ["k"]).collect())
         assert a == b == sorted(ordered.k.head(n).tolist())
