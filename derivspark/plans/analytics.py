@@ -264,30 +264,32 @@ def full_q5_max_volume(m: Model, days: int = 30, as_of=None, per_group: int = 5,
 # ---------------------------------------------------------------------- Q6 ----
 
 def runner_q6_price_movement(m: Model, min_pct: float = 5, k: int = 10) -> DataFrame:
-    """Daily high-low range as % of close; filter on the rounded value."""
-    t = m.trades.where(((F.col("high") - F.col("low")) > 0) & (F.col("close") > 0)) \
-        .select("instrument_id", "trade_date", "high", "low", "close")
-    rng = F.col("high") - F.col("low")
-    g = m.with_instrument(t, "symbol").groupBy("symbol", "trade_date").agg(
-        r2(M.exact_avg(rng)).alias("avg_range"),
-        r2(F.avg(M.range_pct("high", "low", "close"))).alias("avg_range_pct"),
-        r2(F.max(rng)).alias("max_range"),
-        F.count(F.lit(1)).alias("num_contracts"))
+    """Daily high-low range as % of close; filter on the rounded value. From
+    the roll-up's aggregates over rows with high - low > 0 and close > 0."""
+    d = m.daily.where(F.col("n_rc") > 0) \
+        .select("instrument_id", "trade_date", "n_rc", "sum_range_rc", "max_range_rc", "sum_pct_rc")
+    g = m.with_instrument(d, "symbol").groupBy("symbol", "trade_date").agg(
+        r2(avg_of("sum_range_rc", "n_rc")).alias("avg_range"),
+        r2(F.sum("sum_pct_rc") / F.sum("n_rc")).alias("avg_range_pct"),
+        r2(F.max("max_range_rc")).alias("max_range"),
+        M.sum_long("n_rc").alias("num_contracts"))
     return top_k(g.where(F.col("avg_range_pct") > min_pct),
                  [F.col("avg_range_pct").desc(), "symbol", "trade_date"], k)
 
 
 def full_q6_price_movement(m: Model, start: str = ORIGINAL_START, end: str = "2019-10-31",
                            min_pct: float = 1, k: int = 30) -> DataFrame:
-    """Daily averages per (symbol, type); range as % of low, classified."""
-    t = m.trades_between(start, end).where((F.col("high") > 0) & (F.col("low") > 0)) \
-        .select("instrument_id", "trade_date", "high", "low", "close", "contracts")
-    g = m.with_instrument(t, "symbol", "instrument_type").groupBy("symbol", "instrument_type", "trade_date").agg(
-        M.exact_avg("high").alias("avg_high"), M.exact_avg("low").alias("avg_low"),
-        M.exact_avg("close").alias("avg_close"),
-        M.exact_avg(F.col("high") - F.col("low")).alias("avg_range"),
-        M.sum_long("contracts").alias("total_volume"),
-        F.avg(M.range_pct("high", "low", "low")).alias("avg_range_pct"))
+    """Daily averages per (symbol, type); range as % of low, classified. From
+    the roll-up's aggregates over rows with high > 0 and low > 0."""
+    d = m.daily_between(start, end).where(F.col("n_hl") > 0) \
+        .select("instrument_id", "trade_date", "n_hl", "sum_high_hl", "sum_low_hl", "sum_close_hl",
+                "sum_contracts_hl", "sum_pct_hl")
+    g = m.with_instrument(d, "symbol", "instrument_type").groupBy("symbol", "instrument_type", "trade_date").agg(
+        avg_of("sum_high_hl", "n_hl").alias("avg_high"), avg_of("sum_low_hl", "n_hl").alias("avg_low"),
+        avg_of("sum_close_hl", "n_hl").alias("avg_close"),
+        ((F.sum("sum_high_hl") - F.sum("sum_low_hl")).cast("double") / F.sum("n_hl")).alias("avg_range"),
+        M.sum_long("sum_contracts_hl").alias("total_volume"),
+        (F.sum("sum_pct_hl") / F.sum("n_hl")).alias("avg_range_pct"))
     out = g.where(F.col("avg_range_pct") > min_pct).select(
         "symbol", "instrument_type", "trade_date",
         r2("avg_high").alias("avg_high"), r2("avg_low").alias("avg_low"),

@@ -75,6 +75,7 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ storage ----
+from derivspark.functions.metrics import round_half_up  # noqa: E402
 from derivspark.plans import storage as S  # noqa: E402
 from derivspark.schemas import RAW_COLUMNS, TRADE_COLUMNS  # noqa: E402
 from derivspark.session import scratch_dir  # noqa: E402
@@ -130,7 +131,9 @@ def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = open_model(spark, sf_dir)
     path = S.refresh_daily_rollup(m, scratch_dir(spark, "rollup"))
     S.refresh_daily_rollup(m, path, periods=[m.period(m.last_trade_date())])
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    # per-day floating-point sums are order-dependent: reported at 6 decimals
+    return out.withColumns({c: round_half_up(c, 6) for c in ("sum_pct_hl", "sum_pct_rc")})
 
 
 # ------------------------------------------------------------------- ingest ----

@@ -4,8 +4,10 @@
 It keeps exact sums and row counts (never averages), so every SUM, COUNT,
 MIN/MAX and AVG = SUM/COUNT over instruments and days that a report needs
 can be recomputed from it exactly — also over positive-volume rows only
-(``pos_*``, for reports that filter ``contracts > 0``). Reports with other
-row filters (``high > 0``, option types, strikes) read the fact.
+(``pos_*``, for reports that filter ``contracts > 0``) and under the two
+price filters of the range reports (``*_hl``: high > 0 and low > 0;
+``*_rc``: high - low > 0 and close > 0). Reports filtering option types or
+strikes read the fact.
 """
 
 from __future__ import annotations
@@ -16,6 +18,31 @@ from pyspark.sql import functions as F
 from derivspark.functions import metrics as M
 
 
+# Row filters of the range reports (fixed by their definitions).
+def hl_positive():
+    return (F.col("high") > 0) & (F.col("low") > 0)
+
+
+def range_and_close_positive():
+    return ((F.col("high") - F.col("low")) > 0) & (F.col("close") > 0)
+
+
+def _filtered(cond, tag: str, measures: list[tuple[str, str]], pct_base: str) -> list:
+    """Count, sums/maxes and the sum of per-row range % over rows matching
+    ``cond``: n_<tag>, <fn>_<col>_<tag>, sum_pct_<tag>."""
+    def col(c):
+        return (F.col("high") - F.col("low")) if c == "_range" else F.col(c)
+    out = [F.sum(F.when(cond, 1).otherwise(0)).cast("bigint").alias(f"n_{tag}")]
+    for c, fn in measures:
+        v = (F.sum if fn == "sum" else F.max)(F.when(cond, col(c)))
+        if fn == "sum":
+            v = v.cast("bigint" if c == "contracts" else "decimal(38,2)")
+        out.append(v.alias(f"{fn}{c}_{tag}" if c == "_range" else f"{fn}_{c}_{tag}"))
+    pct = M.range_pct("high", "low", pct_base)
+    out.append(F.sum(F.when(cond, pct)).alias(f"sum_pct_{tag}"))
+    return out
+
+
 def daily_aggregates(trades: DataFrame, part_col: str = "trade_month") -> DataFrame:
     """(partition, instrument_id, trade_date) -> exact daily aggregates."""
     return trades.groupBy(part_col, "instrument_id", "trade_date").agg(
@@ -32,7 +59,11 @@ def daily_aggregates(trades: DataFrame, part_col: str = "trade_month") -> DataFr
         F.sum(F.when(F.col("contracts") > 0, 1).otherwise(0)).cast("bigint").alias("pos_n"),
         F.sum(F.when(F.col("contracts") > 0, F.col("contracts"))).cast("bigint").alias("pos_volume"),
         F.sum(F.when(F.col("contracts") > 0, F.col("value_in_lakh"))).cast("decimal(38,2)").alias("pos_value"),
-        F.sum(F.when(F.col("contracts") > 0, F.col("open_interest"))).cast("bigint").alias("pos_oi"))
+        F.sum(F.when(F.col("contracts") > 0, F.col("open_interest"))).cast("bigint").alias("pos_oi"),
+        # price-range aggregates under the two row filters the range reports use
+        *_filtered(hl_positive(), "hl", [("high", "sum"), ("low", "sum"), ("close", "sum"), ("contracts", "sum")],
+                   pct_base="low"),
+        *_filtered(range_and_close_positive(), "rc", [("_range", "sum"), ("_range", "max")], pct_base="close"))
 
 
 def avg_of(sum_col: str, n_col: str = "n_trades") -> F.Column:

@@ -50,7 +50,7 @@ NULLABLE_INTEGER_OUTPUTS = {
     "full_q3_cross_exchange": ["nse_volume", "bse_volume", "mcx_volume"],
     "full_q4_option_chain": ["call_volume", "call_oi", "put_volume", "put_oi"],
     "pivot_null": ["ce_max_oi_change", "pe_max_oi_change"],
-    "daily_rollup": ["min_pos_contracts", "pos_volume", "pos_oi"],
+    "daily_rollup": ["min_pos_contracts", "pos_volume", "pos_oi", "sum_contracts_hl"],
 }
 
 

@@ -41,7 +41,7 @@ from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 9
+STORE_VERSION = 10
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
