@@ -148,3 +148,15 @@ def test_split_by_year(spark, tmp_path):
     from derivspark.sources.fs import list_partitions
     assert [v for v, _ in list_partitions(spark, path, "trade_year")] == ["2019"]
     assert spark.read.parquet(path).count() == m.trades.count()
+
+
+def test_publish_is_first_writer_wins(spark, tmp_path):
+    from derivspark.sources.fs import delete_path, exists, publish
+    a, b, dst = tmp_path / "a", tmp_path / "b", str(tmp_path / "store")
+    for d, tag in ((a, "a"), (b, "b")):
+        d.mkdir()
+        (d / "_meta").write_text(tag)
+    assert publish(spark, str(a), dst) is True
+    assert publish(spark, str(b), dst) is False       # a concurrent builder loses ...
+    delete_path(spark, str(b))                         # ... and drops its copy
+    assert (tmp_path / "store" / "_meta").read_text() == "a" and not exists(spark, str(b))
