@@ -152,16 +152,19 @@ EXCHANGE_SIDES = {"NSE": "nse", "BSE": "bse", "MCX": "mcx"}
 
 def full_q3_cross_exchange(m: Model, since: str = ORIGINAL_START, types=None, k: int = 30) -> DataFrame:
     """Futures settle price per exchange side by side, spread vs. BSE
-    (a missing BSE side gives spread 0)."""
+    (a missing BSE side gives spread 0); from the daily roll-up."""
     types = types or FUTURES_TYPES
-    t = m.trades_of(F.col("instrument_type").isin(types), since) \
-        .select("instrument_id", "trade_date", "settle_price", "contracts")
-    inst = m.instrument_view().where(F.col("instrument_type").isin(types)) \
-        .select("instrument_id", "exchange_code", "symbol", "instrument_type")
-    per_ex = t.join(m.dim_filtered(inst, "instruments"), "instrument_id") \
+    cond = F.col("instrument_type").isin(types)
+    ids = m.instrument_keys(cond)
+    d = m.daily_between(since)
+    if ids is not None:
+        d = d.where(id_in("instrument_id", ids))
+    inst = m.instrument_view().where(cond).select("instrument_id", "exchange_code", "symbol", "instrument_type")
+    per_ex = d.select("instrument_id", "trade_date", "sum_settle", "n_trades", "volume") \
+        .join(m.dim_filtered(inst, "instruments"), "instrument_id") \
         .groupBy("exchange_code", "symbol", "instrument_type", "trade_date").agg(
-            M.exact_avg("settle_price").alias("avg_settle"),
-            M.sum_long("contracts").alias("total_contracts"))
+            avg_of("sum_settle").alias("avg_settle"),
+            M.sum_long("volume").alias("total_contracts"))
     wide = side_by_side(per_ex, ["symbol", "trade_date"], "exchange_code", EXCHANGE_SIDES,
                         {"avg_settle": "_settle", "total_contracts": "_volume"})
     out = wide.where(F.col("nse_settle").isNotNull()).select(
