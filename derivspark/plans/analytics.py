@@ -6,11 +6,13 @@ Two variants of each of the seven reports exist and differ in meaning:
 thresholds are parameters; defaults are the original literals. Every LIMIT
 has extra sort keys that make the cut reproducible.
 
-Plans: symbol/day reports whose aggregates are sums, counts and
-averages read the stored daily roll-up (``Model.daily_between``); reports
-that filter single trade rows read the fact with partition + Parquet
-predicates (``Model.trades_between`` / ``trades_of``), projected to the used
-columns; dimensions
+Plans: reports whose aggregates are sums, counts, min/max and averages
+per symbol and day — also under the positive-volume and price-range row
+filters — read the stored daily roll-up (``Model.daily_between``); reports
+that need contract detail (option type, strike, expiry) or other row
+filters read the fact with partition + Parquet predicates
+(``Model.trades_between`` / ``trades_of``), projected to the used columns;
+dimensions
 are joined as checked broadcasts; aggregates run partial (map side) then
 final; ranking and rolling windows run over already aggregated rows
 (one row per symbol/contract and day), never over raw trades.
@@ -399,6 +401,7 @@ def bench_b3_oi(m: Model, start: str = "2019-09-15", end: str = "2019-09-20", mi
 
 
 def bench_verify_global(m: Model, since: str = ORIGINAL_START) -> DataFrame:
+    """Global row count, volume and average close since a date (roll-up)."""
     return m.daily_between(since).agg(
         M.sum_long("n_trades").alias("n_trades"),
         M.sum_long("volume").alias("total_contracts"),
@@ -430,6 +433,7 @@ def db_statistics(m: Model) -> DataFrame:
 # ------------------------------------------------------------------ charts ----
 
 def chart_oi_trends(m: Model, symbols=None) -> DataFrame:
+    """Daily total open interest of a few symbols (roll-up), by date."""
     symbols = symbols or [NIFTY, BANKNIFTY]
     inst = m.instruments.where(F.col("symbol").isin(symbols)).select("instrument_id", "symbol")
     ids = m.instrument_keys(F.col("symbol").isin(symbols))
