@@ -22,7 +22,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     # Malformed raw CSV lines are only detected when all fields are parsed.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
@@ -74,10 +73,11 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Pin the SQL settings the engine's semantics depend on (time zone,
-    dynamic partition overwrite) on an existing session."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
-              "spark.sql.csv.parser.columnPruning.enabled", "spark.sql.streaming.stateStore.providerClass"):
+    """Pin the SQL settings the engine's semantics depend on (time zone, CSV
+    malformed-line detection, streaming state store) on an existing session."""
+    # (partition overwrite mode is set per write where a job needs it)
+    for k in ("spark.sql.session.timeZone", "spark.sql.csv.parser.columnPruning.enabled",
+              "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
 
 
