@@ -1,6 +1,7 @@
 """Command line: build the curated store, run the reports, export chart data.
 
     python -m derivspark.cli load    --sf-dir DIR
+    python -m derivspark.cli load-csv --csv DIR --store DIR [--exchange-id N] [--grain month|week|day]
     python -m derivspark.cli reports --sf-dir DIR --out OUT [--form runner|full]
     python -m derivspark.cli charts  --sf-dir DIR --out OUT
     python -m derivspark.cli stats   --sf-dir DIR
@@ -16,7 +17,7 @@ import argparse
 from derivspark.registry import REGISTRY
 from derivspark.session import get_spark
 from derivspark.sources.sinks import print_result, write_result_csv
-from derivspark.sources.store import open_model
+from derivspark.sources.store import load_csv, open_model
 
 REPORTS = {
     "runner": ["runner_q1_oi_change", "runner_q2_volatility", "runner_q3_cross_exchange", "runner_q4_option_chain",
@@ -29,13 +30,20 @@ CHARTS = ["chart_oi_trends", "chart_volume_histogram", "chart_volatility_heatmap
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="derivspark")
-    ap.add_argument("command", choices=["load", "reports", "charts", "stats"])
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("command", choices=["load", "load-csv", "reports", "charts", "stats"])
+    ap.add_argument("--sf-dir")
+    ap.add_argument("--csv")
+    ap.add_argument("--store")
+    ap.add_argument("--exchange-id", type=int, default=None)
+    ap.add_argument("--grain", choices=["month", "week", "day"], default="month")
     ap.add_argument("--out", default=None)
     ap.add_argument("--form", choices=sorted(REPORTS), default="runner")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
+    if a.command == "load-csv":
+        print(load_csv(spark, a.csv, a.store, a.exchange_id, a.grain).rows)
+        return
     if a.command == "load":
         print(open_model(spark, a.sf_dir).rows)
         return

@@ -37,6 +37,7 @@ from derivspark.plans.rollup import daily_aggregates
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
 from derivspark.sources.fs import delete_path, exists, list_partitions, publish
+from derivspark.sources.raw_feed import read_raw_csv, typed_feed
 from derivspark.sources.testdata import fingerprint
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
@@ -290,3 +291,16 @@ def open_model(spark: SparkSession, sf_dir: str, grain: str = "month") -> Model:
     model = read_model(spark, root)
     _CACHE[key] = model
     return model
+
+
+def load_csv(spark: SparkSession, csv_path: str, root: str, exchange_id: int | None = None,
+             grain: str = "month") -> Model:
+    """Load raw exchange CSV files (``exchange_id=<n>`` folders, or one
+    exchange's files with ``exchange_id``) into a store at ``root``:
+    lenient typed projection, normalisation, ids, fact and roll-up."""
+    building = f"{root}.building-{uuid.uuid4().hex[:12]}"
+    write_model(spark, typed_feed(read_raw_csv(spark, csv_path, exchange_id)), building, grain)
+    if not publish(spark, building, root):
+        delete_path(spark, building)
+        raise FileExistsError(f"a store already exists at {root}")
+    return read_model(spark, root)
