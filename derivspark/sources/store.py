@@ -199,7 +199,8 @@ def _write_counted(df: DataFrame, path: str, partition_by: str | None = None) ->
 
 
 def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "month") -> dict:
-    """Normalise ``feed`` and write the four tables; returns row counts.
+    """Normalise ``feed`` and write the four tables and the daily roll-up;
+    returns row counts.
 
     The typed feed is staged once as Parquet (the loader's temporary
     ``raw_data`` table): each table build then reads only the columns it
@@ -234,7 +235,7 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
         contracts.unpersist()
     exp = spark.read.parquet(f"{root}/expiries")
 
-    # Range bounds on (month, instrument, date, id) split any hot
+    # Range bounds on (period, instrument, date, id) split any hot
     # instrument/day over several files (the id makes every key unique), and
     # the sort within files gives tight row-group min/max statistics on
     # instrument and date. With AQE the range sampling reads the already
