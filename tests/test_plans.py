@@ -72,8 +72,5 @@ def test_symbol_filter_reaches_the_fact_scan_as_instrument_ids(spark):
                                  "full_q4_option_chain", "chart_volume_histogram"])
 def test_fact_aggregations_combine_map_side_before_the_shuffle(spark, key):
     """A hot symbol reaches the shuffle as one partial row per task."""
-    lines = plan(q(spark, key)).splitlines()
-    tree = [ln for ln in lines if ln.strip().startswith(("+-", ":", "HashAggregate", "AdaptiveSparkPlan"))
-            or "HashAggregate" in ln]
-    assert any("HashAggregate" in ln for ln in tree)
-    assert "partial_" in plan(q(spark, key))
+    p = plan(q(spark, key))
+    assert "HashAggregate" in p and "partial_" in p
