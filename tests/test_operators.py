@@ -139,3 +139,18 @@ def test_dense_ids_auto_salting_splits_a_hot_prefix(spark):
     salted = df.withColumn("_salt", F.pmod(F.xxhash64("k", "v"), F.lit(8))).where("d = DATE'2019-08-01'")
     sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
     assert len(sizes) == 8 and max(sizes) <= 100
+
+
+def test_sizing_conf_scales_with_input_and_slots():
+    from derivspark.session import sizing_conf
+    big = sizing_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    small = sizing_conf(2**30, executors=10, cores_per_executor=8)
+    assert small["spark.sql.shuffle.partitions"] == "80"  # never fewer than task slots
+
+
+def test_period_values_per_grain():
+    from derivspark.functions.metrics import period_value
+    d = dt.date(2019, 8, 7)  # a Wednesday
+    assert (period_value(d, "month"), period_value(d, "week"), period_value(d, "day")) == \
+        (201908, 20190805, 20190807)
