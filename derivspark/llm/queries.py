@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, hyperminhash, mixing, quality, sharding, token_count, toxicity, url_filter
+from . import chat_format, decontaminate, hyperminhash, mixing, quality, sharding, token_count, toxicity, url_filter
 from .common import crc_mod, table
 
 SPACE_SQL = "[\\x20\\x09-\\x0D]+"
@@ -28,6 +28,10 @@ def op3_toxicity_ftrl(spark, sf_dir):
                .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op4_latent_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -56,7 +60,7 @@ def op10_hyperminhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op5_url_filter, op7_curriculum_mix, op8_chat_format,
+    op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op7_curriculum_mix, op8_chat_format,
     op9_token_counts, op10_hyperminhash)}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))

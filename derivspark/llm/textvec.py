@@ -117,3 +117,34 @@ def pieces(batch: pa.RecordBatch, text: int, limit: int = BATCH_BYTES) -> Iterat
         j = max(i + 1, int(np.searchsorted(size, size[i] + limit, "right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+
+
+class Lookup:
+    """Positions of 64-bit hashes in a fixed sorted key array (-1: absent): the top
+    bits give the place to start, a few steps along the keys find the rest."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(1, int(np.ceil(np.log2(max(len(keys), 2)))))
+        heads = np.arange((1 << self.bits) + 1, dtype=np.float64)
+        edges = np.minimum(heads, (1 << self.bits) - 1).astype(U) << U(64 - self.bits)
+        self.start = np.searchsorted(keys, edges).astype(np.int64)
+        self.start[-1] = len(keys)
+        self.steps = int(np.diff(self.start).max()) if len(keys) else 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), -1, np.int64)
+        if not len(self.keys):
+            return out
+        top = (h >> U(64 - self.bits)).astype(np.int64)
+        at, end = self.start[top], self.start[top + 1]
+        left = np.flatnonzero(at < end)
+        for _ in range(self.steps):
+            p = at[left]
+            same = self.keys[p] == h[left]
+            out[left[same]] = p[same]
+            at[left] += 1
+            left = left[~same & (p + 1 < end[left])]
+            if not len(left):
+                break
+        return out
