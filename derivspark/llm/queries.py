@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, hyperminhash, mixing, quality, sharding, token_count, toxicity, url_filter
+from . import chat_format, decontaminate, gru_lm, hyperminhash, mixing, quality, sharding, token_count, toxicity, url_filter
 from .common import crc_mod, table
 
 SPACE_SQL = "[\\x20\\x09-\\x0D]+"
@@ -36,6 +36,11 @@ def op5_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_gru_lm(spark, sf_dir):
+    scored = gru_lm.score(table(spark, sf_dir, "documents"), train_on=crc_mod("doc_id", 7) != 2)
+    return scored.withColumn("held_out", F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)))
+
+
 def op7_curriculum_mix(spark, sf_dir):
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return (plan.withColumn("first_position", F.get("positions", F.lit(0))).drop("positions")
@@ -60,7 +65,7 @@ def op10_hyperminhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op7_curriculum_mix, op8_chat_format,
+    op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op6_gru_lm, op7_curriculum_mix, op8_chat_format,
     op9_token_counts, op10_hyperminhash)}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))
