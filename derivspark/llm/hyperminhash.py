@@ -13,9 +13,11 @@ register with a probability near the sets' similarity for sets of any size.
    0.4 meets with probability 0.04.
 3. A bucket of candidates is not expanded into pairs. Its hub is compared with
    the other members; the links found join classes into components, buckets
-   within one component are done, and the rest get other hubs. What is left
-   after ``STAR_ROUNDS`` is compared in full across components, so no link
-   between two components is lost to the hubs' choice.
+   within one component are done, and the rest get other hubs. Buckets that
+   still hold several components after ``STAR_ROUNDS`` are compared in blocks of
+   bounded size: the overlaps of a block's full sets are one matrix product, and
+   only links between components come out. So no link between two components is
+   lost to the hubs' choice, and no pairs are emitted.
 4. A pair's similarity is estimated from its registers, corrected for
    registers that agree by chance; clear misses go, and all others are
    verified on their full sets.
@@ -36,9 +38,10 @@ SHINGLE, PERCENT = 5, 80
 BUCKET_BITS, MANTISSA = 9, 10
 BUCKETS = 1 << BUCKET_BITS
 BANDS, BAND = 64, 8
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+BLOCK = 768  # members of a block; a task compares two blocks at most
 DRAWS = 2000  # donors tried for an empty bucket before its text's first register is taken
-PRUNE_SLACK, PRUNE_SIZE = 0.3, 64  # estimates that far under the threshold go, for sets of that size on
+PRUNE_SIGMAS, PRUNE_SIZE = 5, 64  # estimates that far under the threshold go, for sets of that size on
 
 
 def sets(arr: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +152,10 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 p = b.slice(i, 2048)
                 x, y = (np.frombuffer(b"".join(p.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in (3, 5))
                 n, m = p.column(2).to_numpy(), p.column(4).to_numpy()
-                good = (estimate(x, y, n, m) >= percent / 100 - PRUNE_SLACK) | (np.minimum(n, m) < PRUNE_SIZE)
+                level, small = percent / 100, np.minimum(n, m)
+                own = BUCKETS * (1 - np.exp(-small / BUCKETS))  # registers that aren't borrowed
+                slack = PRUNE_SIGMAS * np.sqrt(level * (1 - level) / np.maximum(own, 1))
+                good = (estimate(x, y, n, m) >= level - slack) | (small < PRUNE_SIZE)
                 good &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
                 yield pa.RecordBatch.from_arrays([p.column(0), p.column(1)], ["a", "b"]).filter(pa.array(good))
 
@@ -159,10 +165,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made again from the
-    texts of the classes concerned."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """``f, s``: the full sets of classes (``nodes.f``), made again from their texts, staged."""
     need = classes.join(nodes, "f").select(F.col("first").alias(P + "first"), F.col("f").alias(P + "f"))
 
     def full(batches):
@@ -174,8 +178,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
 
     texts = (docs.select(F.col(key).alias(P + "k"), F.col(text).alias(P + "t"))
              .join(need, F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t").dropDuplicates([P + "f"]))
-    full_sets = stage(texts.mapInArrow(full, "f long, s binary"), "near-sets")
+    return stage(texts.mapInArrow(full, "f long, s binary"), "near-sets")
 
+
+def _verified(pairs: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     def check(batches):
         for b in batches:
             keep = []
@@ -189,6 +196,38 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
     return pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
+def _block_links(members: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members (key, f, comp) of one bucket and different components, found
+    block by block on full sets; one link a member and other component."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = (members.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int"))
+            .withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "f", "comp")
+            .join(full_sets, "f"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        f, comp = group["f"].to_numpy(), group["comp"].to_numpy()
+        parts = [np.frombuffer(x.as_buffer(), U) for x in group["s"]]
+        n = np.array([len(x) for x in parts])
+        values, back, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(parts)), n)
+        column = np.cumsum(times > 1) - 1
+        common = times[back] > 1  # a shingle of one set only overlaps with nothing
+        both = np.zeros((len(parts), len(parts)), np.float32)
+        for at in range(0, int((times > 1).sum()), 8192):
+            use = common & (column[back] >= at) & (column[back] < at + 8192)
+            x = np.zeros((len(parts), 8192), np.float32)
+            x[owner[use], column[back][use] - at] = 1
+            both += x @ x.T
+        linked = (100 * both >= percent * (n[:, None] + n[None] - both)) & (comp[:, None] < comp[None])
+        a, b = np.nonzero(linked)
+        keep = np.unique(np.stack([a, comp[b]]), axis=1, return_index=True)[1] if len(a) else a
+        a, b = f[a[keep]], f[b[keep]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+
+
 def links(classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame | None:
     """Verified links between classes that suffice for the components; None without any."""
     rows = _bands(classes)
@@ -208,26 +247,26 @@ def links(classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, perc
                 .filter("lo < hi").select("key", F.col("hub.f").alias("hub"), F.col("hub.comp").alias("hub_comp")))
         open_rows = stage(members.join(hubs, "key"), "near-open")
         members = open_rows.drop("hub", "hub_comp")
+        if open_rows.isEmpty():
+            break
         if turn < STAR_ROUNDS:
-            pairs = open_rows.filter("comp <> hub_comp").select("f", F.col("hub").alias("g"))
+            pairs = open_rows.filter("comp <> hub_comp").select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b"))
+            pairs = pairs.distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = stage(pairs, "near-pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            likely = stage(_estimated(pairs, classes, percent), "near-likely")
+            nodes = likely.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+            good = _verified(likely, _full_sets(nodes, classes, docs, key, text, k), percent)
         else:
-            x, y = members.select("key", "f", "comp"), members.select("key", F.col("f").alias("g"), F.col("comp").alias("c2"))
-            pairs = x.join(y, "key").filter("comp < c2").select("f", "g")
-        pairs = pairs.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "near-pairs")
-        if pairs.isEmpty():
-            if turn < STAR_ROUNDS and not open_rows.isEmpty():
-                continue
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        likely = stage(_estimated(pairs, classes, percent), "near-likely")
-        good = stage(_verified(likely, classes, docs, key, text, k, percent), "near-links")
+            left = members.select("key", "f", "comp")
+            good = _block_links(left, _full_sets(left.select("f").distinct(), classes, docs, key, text, k), percent)
+        good = stage(good, "near-links")
         if not good.isEmpty():
             found = good if found is None else found.unionByName(good)
             comp = components(found)
-    return None if comp is None else comp
+    return comp
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
