@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage
+from .common import ship, smallest, stage
 from .textvec import BATCH_BYTES, U, Lookup, pieces, words
 
 VOCABULARY, CLASS = 1024, 32  # symbols (two of them: end, other), symbols a class
@@ -268,8 +268,8 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
                 lists = [s[i:min(j, i + FIT_WORDS)] for i, j in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["s"])
 
-    sample = train_docs.select(F.col(text).alias("t"), F.xxhash64(F.lit("lm"), F.col(key).cast("string")).alias("o"))
-    sample = sample.orderBy("o", "t").limit(FIT_DOCS).select("t").repartition(SHARDS)
+    sample = train_docs.select(F.col(text).alias("t"), F.xxhash64(F.lit("lm"), F.col(key).cast("string"), text).alias("o"))
+    sample = smallest(sample, "o", FIT_DOCS).select("t")
     sample = stage(sample.mapInArrow(symbols, "s array<int>"), "lm-sample").repartition(SHARDS)
     sample = stage(sample, "lm-shards")
     flat = net.flat

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import P, ship, stage
+from .common import P, ship, smallest, stage
 from .textvec import U, mix, pieces, words
 
 DIMENSIONS = 1 << 18
@@ -76,7 +76,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array((both % dimensions).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(0), lists, b.column(2)], ["h", "f", "y"])
 
-    sample = ship(rows).select("h", "text", "y").orderBy("h", "y").limit(max_rows)
+    sample = smallest(ship(rows), "h", max_rows)
     sample = stage(sample.repartition(SHARDS).mapInArrow(extract, "h long, f array<int>, y int"), "toxicity-sample")
     shards = max(1, min(SHARDS, sample.count() // ROWS_A_SHARD))
     sample = stage(sample.repartition(shards), "toxicity-shards") if shards > 1 else sample.coalesce(1)
