@@ -21,6 +21,9 @@ Ids are 1..n, unique, and follow the total order (bucket, [salt], order).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,14 @@ COPY_CHUNK = 100_000
 ROWS_PER_BUCKET = 2_000_000
 
 
+def _join_null_safe(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Join in which NULL keys meet, so a row with a NULL bucket value keeps its place.
+    No hint: the adaptive planner broadcasts ``small`` when its measured size allows."""
+    s = small.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    match = [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys]
+    return rows.join(s, reduce(and_, match)).drop(*[f"_j_{k}" for k in keys])
+
+
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: list[str],
               salt_buckets: int | str = 0, collapse_copies: bool = False,
               id_type: str = "bigint", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -49,7 +60,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: li
             # one row per prefix value (e.g. per trade date): a bounded table
             sizes = data.groupBy(*bucket_cols).agg(
                 F.greatest(F.lit(1), F.ceil(F.sum("_n") / F.lit(rows_per_bucket))).cast("bigint").alias("_s"))
-            data = data.join(F.broadcast(sizes), bucket_cols)
+            data = _join_null_safe(data, sizes, bucket_cols)
             n_salt = F.col("_s")
         else:
             n_salt = F.lit(int(salt_buckets))
@@ -57,13 +68,13 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: li
         keys.append("_salt")
 
     # One row per bucket: bounded by rows / rows_per_bucket + prefix values,
-    # so the ordered window and the broadcast below stay small.
+    # so the ordered window below stays small.
     totals = data.groupBy(*keys).agg(F.sum("_n").alias("_bn"))
     offsets = totals.select(
         *keys,
         F.coalesce(F.sum("_bn").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    ranked = data.join(F.broadcast(offsets), keys)
+    ranked = _join_null_safe(data, offsets, keys)
     within = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranked.withColumn("_start", F.col("_off") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + 1)
 

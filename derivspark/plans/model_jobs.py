@@ -4,6 +4,8 @@ and runs over the whole feed derived from the driver tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,21 +158,32 @@ from derivspark.streaming import bars as SB, ingest as SI, upsert as SU  # noqa:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _rendered_raw(spark, sf_dir)
-    out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ck")
-    SI.run_ingest(spark, raw, out, ck)
+    """Two deliveries in two runs of one query: first the newer half of the days,
+    then all of them (older days late, the newer ones again)."""
+    feed = fno_feed(spark, sf_dir, keep_source_keys=True)
+    inbox, out, ck = (scratch_dir(spark, n) for n in ("stream-in", "stream-out", "stream-ck"))
+    late = feed.agg(F.percentile_approx(F.unix_date(F.to_date("timestamp")), 0.5)).first()[0]
+    for delivery in (feed.where(F.unix_date(F.to_date("timestamp")) >= late), feed):
+        (RF.render_raw(delivery).repartition("exchange_id").write.mode("append").partitionBy("exchange_id")
+         .option("header", "true").csv(inbox))  # a file an exchange
+        SI.run_ingest(spark, inbox, out, ck)
     return spark.read.parquet(out).drop("trade_month")
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copy of the fact, then a correction stream (rows from a date on, with
-    change_in_oi + 1) applied as upserts."""
+    """Copy of the fact, then a correction stream: of the rows from a date on those with
+    an even volume (so that others of their contract and day stay), each in an
+    older version and in the one that counts, change_in_oi + 1."""
     m = open_model(spark, sf_dir)
     table = scratch_dir(spark, "upsert-table")
     S.write_partitioned(m.trades, table, partition_by=m.part_col)
     inbox = scratch_dir(spark, "upsert-inbox")
-    fixes = m.trades_between(CORRECTION_FROM).withColumn("change_in_oi", F.col("change_in_oi") + 1)
-    fixes.write.parquet(inbox)
+    rows = m.trades_between(CORRECTION_FROM).where("contracts % 2 = 0")
+    newer = rows.withColumn("change_in_oi", F.col("change_in_oi") + 1)
+    older = rows.withColumns({"change_in_oi": F.col("change_in_oi") + 9,
+                              "timestamp": (F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
+                              .cast(rows.schema["timestamp"].dataType)})
+    newer.unionByName(older).coalesce(1).write.parquet(inbox)
     SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"),
                    part_col=m.part_col)
     return spark.read.parquet(table).select(*[c for c in TRADE_COLUMNS if c != "trade_id"])

@@ -65,9 +65,9 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None,
             parent_rows: int | None = None) -> DataFrame:
-    """Child rows whose foreign key has no parent row."""
+    """Child rows whose foreign key has no parent row (a NULL key passes, as in SQL)."""
     keys = parent.select(F.col(pk or fk).alias(fk)).distinct()
-    return child.join(maybe_broadcast(keys, parent_rows), fk, "left_anti")
+    return child.where(F.col(fk).isNotNull()).join(maybe_broadcast(keys, parent_rows), fk, "left_anti")
 
 
 # Fixed rule-derived dirt for the fixture feed (FIXTURES.md §4) ----------------

@@ -44,8 +44,8 @@ def new_rows_with_ids(existing: DataFrame, batch: DataFrame, key: list[str], id_
                       bucket_cols: list[str], existing_rows: int | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: batch rows whose unique key is
     neither repeated in the batch nor present in the table, numbered after
-    the current maximum id in key order."""
-    fresh = batch.dropDuplicates(key).join(maybe_broadcast(existing.select(*key), existing_rows), key, "left_anti")
+    the current maximum id in key order. A NULL in the key is never inserted."""
+    fresh = batch.dropna(subset=key).dropDuplicates(key).join(maybe_broadcast(existing.select(*key), existing_rows), key, "left_anti")
     order = [c for c in key if c not in bucket_cols]
     numbered = dense_ids(fresh, order_cols=order, id_col="_rank", bucket_cols=bucket_cols)
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()

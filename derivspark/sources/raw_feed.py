@@ -35,9 +35,10 @@ def read_raw_csv(spark: SparkSession, path: str, exchange_id: int | None = None)
         .withColumn("exchange_id", F.lit(exchange_id).cast("int"))
 
 
-def stream_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def stream_raw_csv(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     spark.conf.set(*NO_CSV_PRUNING)
-    return spark.readStream.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS).csv(path)
+    return (spark.readStream.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS)
+            .option("maxFilesPerTrigger", max_files).csv(path))
 
 
 def lenient_decimal(c: str, dtype: T.DecimalType) -> Column:
@@ -55,8 +56,8 @@ def lenient_date(c: str) -> Column:
     return F.try_to_date(F.col(c), RAW_DATE_FORMAT)
 
 
-def typed_feed(raw: DataFrame) -> DataFrame:
-    """The typed projection of the raw columns (schemas.FEED order)."""
+def typed_feed(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The typed projection of the raw columns (schemas.FEED order), then ``keep`` as they are."""
     return raw.select(
         F.col("exchange_id").cast("int").alias("exchange_id"),
         F.col("INSTRUMENT").alias("instrument_type"),
@@ -74,6 +75,7 @@ def typed_feed(raw: DataFrame) -> DataFrame:
         lenient_bigint("OPEN_INT").alias("open_interest"),
         lenient_bigint("CHG_IN_OI").alias("change_in_oi"),
         lenient_date("TIMESTAMP").cast("timestamp_ntz").alias("timestamp"),
+        *keep,
     )
 
 

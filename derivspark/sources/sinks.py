@@ -15,5 +15,11 @@ def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str
     return path
 
 
-def print_result(df: DataFrame, n: int = 50) -> None:
-    df.show(n, truncate=False)
+def print_result(df: DataFrame, n: int | None = None) -> None:
+    """Print a result: all of its rows (streamed, a partition at a time), or the first ``n``."""
+    if n is not None:
+        df.show(n, truncate=False)
+        return
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("NULL" if v is None else str(v) for v in row))

@@ -1,10 +1,14 @@
 """Continuous ingest of raw feed files (Structured Streaming).
 
-File source over the raw CSV folders -> the same lenient typed projection
-as the batch loader -> replayed records dropped within the watermark ->
-month-partitioned Parquet sink. State (RocksDB) is bounded by the
-watermark delay — the feed is end-of-day, so two days of rows; the
-checkpoint makes the sink exactly-once across restarts.
+File source over the raw CSV folders -> the same lenient typed projection as
+the batch loader -> month-partitioned Parquet. Rows have no key, so a delivery is
+compared with what is stored: a row that a delivered file holds n times ends up
+stored n times, and delivering it again, in any file, adds nothing. There is no watermark,
+so a late delivery (another exchange, an older day) is never dropped. Only the
+months that a delivery touches are read, and ``max_files`` bounds a micro-batch.
+
+A batch that is tried again, also after some of its files were written, adds
+only the copies that are missing.
 """
 
 from __future__ import annotations
@@ -13,25 +17,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derivspark.functions.metrics import month_key
+from derivspark.sources.fs import list_partitions
 from derivspark.sources.raw_feed import stream_raw_csv, typed_feed
 
+PARTITION = "trade_month"
+FILE = "_file"
+MAX_FILES = 1000
 
-def ingest_stream(raw: DataFrame, delay: str = "2 days") -> DataFrame:
-    typed = typed_feed(raw).where(F.col("timestamp").isNotNull())
-    keyed = typed.withColumn("event_time", F.col("timestamp").cast("timestamp"))
-    return (keyed.withWatermark("event_time", delay)
-                 .dropDuplicatesWithinWatermark(typed.columns)
-                 .drop("event_time")
-                 .withColumn("trade_month", month_key(F.to_date("timestamp"))))
 
+def ingest_stream(raw: DataFrame) -> DataFrame:
+    typed = typed_feed(raw.withColumn(FILE, F.col("_metadata.file_path")), keep=(FILE,))
+    return typed.where(F.col("timestamp").isNotNull()).withColumn(PARTITION, month_key(F.to_date("timestamp")))
 
-def run_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-               delay: str = "2 days", available_now: bool = True):
+
+def ingest_batch(spark: SparkSession, batch: DataFrame, out_dir: str) -> None:
+    """Append the rows of one delivery that ``out_dir`` lacks."""
+    columns = [c for c in batch.columns if c != FILE]
+    schema = batch.select(*columns).schema
+    months = [r[0] for r in batch.select(PARTITION).distinct().collect()]  # bounded by the partition count
+    have = {value for value, _ in list_partitions(spark, out_dir, PARTITION)}
+    a_file = batch.groupBy(*batch.columns).agg(F.count("*").alias("_new"))
+    rows = a_file.select(*columns, "_new", F.lit(0).cast("long").alias("_stored"))
+    if any(str(m) in have for m in months):
+        stored = spark.read.schema(schema).parquet(out_dir).where(F.col(PARTITION).isin(months))
+        rows = rows.unionByName(stored.select(*columns, F.lit(0).cast("long").alias("_new"),
+                                              F.lit(1).cast("long").alias("_stored")))
+    missing = rows.groupBy(*columns).agg((F.max("_new") - F.sum("_stored")).alias("_n")).where("_n > 0")
+    (missing.withColumn("_copy", F.explode(F.expr("sequence(1, _n)"))).select(*columns)
+     .write.mode("append").partitionBy(PARTITION).parquet(out_dir))
+
+
+def run_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, available_now: bool = True,
+               max_files: int = MAX_FILES):
     """Start the ingest query; with ``available_now`` it processes what is in
     ``raw_dir`` and stops."""
-    writer = (ingest_stream(stream_raw_csv(spark, raw_dir), delay).writeStream
-              .format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-              .partitionBy("trade_month").outputMode("append"))
+    writer = (ingest_stream(stream_raw_csv(spark, raw_dir, max_files)).writeStream
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda df, epoch: ingest_batch(df.sparkSession, df, out_dir)))
     q = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
     if available_now:
         q.awaitTermination()

@@ -1,12 +1,14 @@
 """Corrections as upserts on the month-partitioned fact.
 
-Each micro-batch of corrected rows replaces, key by key, the stored rows of
-the same (contract, trade_date): the touched month partitions are read,
-rows whose key appears in the batch are dropped, the batch rows are added,
-the result is staged, and only those partitions are overwritten (dynamic
-partition overwrite). Untouched partitions are never rewritten. A retried
-batch re-stages to the same epoch folder and rewrites the same partitions
-with the same rows, so ``foreachBatch`` stays idempotent.
+A row is identified by its ``trade_id``. Of several versions of one row in a
+micro-batch the newest stays (file time, then ``timestamp``, then the values).
+The partitions that hold a corrected row, before or after its correction, are
+read; corrected rows are replaced, new ids added, the result is staged, and only
+those partitions are overwritten. Other partitions are never rewritten.
+
+A finished stage (its ``_SUCCESS`` file) is the commit: a batch that is tried
+again, even after a crash in the middle of the overwrite, reuses the stage and
+does not read the damaged table.
 """
 
 from __future__ import annotations
@@ -14,33 +16,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from derivspark.sources.fs import delete_path, exists, list_partitions
+
 PARTITION = "trade_month"
-KEY = ["expiry_id", "trade_date"]
+KEY = ["trade_id"]
+FILE_TIME = "_file_time"
+
+
+def newest_versions(batch: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """One row a key: the newest version. Partial maxima, so many versions of one key are cheap."""
+    order = [c for c in (FILE_TIME, "timestamp") if c in batch.columns]
+    version = F.struct(F.struct(F.lit(0), *order).alias("order"), F.struct(*columns).alias("row"))
+    return batch.groupBy(*key).agg(F.max(version).alias("_v")).select("_v.row.*")
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, table: str, staging_root: str, epoch: int,
                  key: list[str] | None = None, part_col: str = PARTITION) -> list:
+    """Apply one batch; the touched partition values. Rows with a null key are refused."""
     key = key or KEY
-    # Partition values touched by the batch: bounded by the partition count.
-    months = [r[0] for r in batch.select(part_col).distinct().collect()]
-    if not months:
-        return []
-    current = spark.read.parquet(table).where(F.col(part_col).isin(months))
-    kept = current.join(batch.select(*key).distinct(), key, "left_anti")
-    merged = kept.unionByName(batch.select(*current.columns))
     staging = f"{staging_root}/epoch={epoch}"
-    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(part_col).parquet(table))
-    return months
+    if not exists(spark, f"{staging}/_SUCCESS"):
+        if not batch.where(" or ".join(f"{k} is null" for k in key)).isEmpty():
+            raise ValueError("a correction without a key")
+        current = spark.read.parquet(table)
+        fixed = newest_versions(batch, key, current.columns).persist()
+        # Partition values that the batch touches, or that hold a corrected row: bounded by the partition count.
+        old = current.select(*key, part_col).join(fixed.select(*key), key, "left_semi").select(part_col)
+        months = sorted(r[0] for r in fixed.select(part_col).union(old).distinct().collect())
+        if not months:
+            fixed.unpersist()
+            return []
+        kept = current.where(F.col(part_col).isin(months)).join(fixed.select(*key), key, "left_anti")
+        merged = kept.unionByName(fixed)
+        order = [c for c in ("instrument_id", "trade_date", *key) if c in merged.columns]
+        spread = merged.repartitionByRange(part_col, *order).sortWithinPartitions(part_col, *order)
+        spread.withColumn("_months", F.lit(",".join(map(str, months)))) \
+              .write.mode("overwrite").partitionBy(part_col).parquet(staging)
+        fixed.unpersist()
+    staged = spark.read.parquet(staging)
+    kinds = spark.read.parquet(table).schema[part_col].dataType
+    named = staged.select("_months").limit(1).collect()
+    (staged.drop("_months").withColumn(part_col, F.col(part_col).cast(kinds))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table))
+    filled = {v for v, _ in list_partitions(spark, staging, part_col)}
+    months = named[0][0].split(",") if named else []
+    for value, folder in list_partitions(spark, table, part_col):
+        if value in months and value not in filled:  # every row of it moved to another month
+            delete_path(spark, folder)
+    for value, folder in list_partitions(spark, staging_root, "epoch"):
+        if int(value) < epoch:
+            delete_path(spark, folder)
+    return [int(m) if m.lstrip("-").isdigit() else m for m in months]
 
 
 def run_upserts(spark: SparkSession, inbox: str, table: str, checkpoint: str, staging_root: str,
-                part_col: str = PARTITION):
+                part_col: str = PARTITION, max_files: int = 1000):
     """Apply every correction file in ``inbox`` (Parquet, fact schema) to
     ``table`` and stop."""
     schema = spark.read.parquet(table).schema
-    source = spark.readStream.schema(schema).parquet(inbox)
+    source = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(inbox)
+              .select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME)))
     q = (source.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, epoch: upsert_batch(spark, df, table, staging_root, epoch,
                                                       part_col=part_col))

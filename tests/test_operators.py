@@ -154,3 +154,24 @@ def test_period_values_per_grain():
     d = dt.date(2019, 8, 7)  # a Wednesday
     assert (period_value(d, "month"), period_value(d, "week"), period_value(d, "day")) == \
         (201908, 20190805, 20190807)
+
+
+def test_dense_ids_keep_rows_with_null_buckets(spark):
+    from derivspark.operators.ids import dense_ids
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d")], "g int, v string")
+    for salt in (0, "auto"):
+        ids = sorted(r.id for r in dense_ids(df, ["v"], "id", ["g"], salt_buckets=salt).collect())
+        assert ids == [1, 2, 3, 4]
+
+
+def test_orphans_pass_null_keys(spark):
+    from derivspark.plans.quality import orphans
+    child = spark.createDataFrame([(1,), (None,), (9,)], "fk int")
+    parent = spark.createDataFrame([(1,)], "fk int")
+    assert [r.fk for r in orphans(child, parent, "fk").collect()] == [9]
+
+
+def test_print_result_prints_every_row(spark, capsys):
+    from derivspark.sources.sinks import print_result
+    print_result(spark.range(120))
+    assert len(capsys.readouterr().out.strip().splitlines()) == 121
