@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from derivspark.registry import REGISTRY
 from tests.conftest import SF01
 
 
@@ -47,7 +48,7 @@ def test_scalar_subquery_not_a_join(spark):
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith(("stream_", "upsert",
+@pytest.mark.parametrize("key", sorted(k for k in REGISTRY if not k.startswith(("stream_", "upsert",
                                                                                        "insert_if", "ingest",
                                                                                        "archive", "retention",
                                                                                        "daily_rollup"))))
