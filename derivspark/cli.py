@@ -1,23 +1,25 @@
-"""Command line: build the curated store, run the reports, export chart data.
+"""Command line: build a store, run the reports, export chart data.
 
-    python -m derivspark.cli load    --sf-dir DIR
+    python -m derivspark.cli load     --sf-dir DIR
     python -m derivspark.cli load-csv --csv DIR --store DIR [--exchange-id N] [--grain month|week|day]
-    python -m derivspark.cli reports --sf-dir DIR --out OUT [--form runner|full]
-    python -m derivspark.cli charts  --sf-dir DIR --out OUT
-    python -m derivspark.cli stats   --sf-dir DIR
+    python -m derivspark.cli reports  (--store DIR | --sf-dir DIR) [--out OUT] [--form runner|full]
+    python -m derivspark.cli charts   (--store DIR | --sf-dir DIR) [--out OUT]
+    python -m derivspark.cli stats    (--store DIR | --sf-dir DIR)
 
-Reports are printed and written as one header CSV each; the statistics
-report prints the labelled counters.
+Results are printed whole and written as CSV with a header, with their own types
+(DATE, DECIMAL). ``--symbols`` names the two index symbols of the symbol reports:
+NIFTY,BANKNIFTY on a store, their stand-ins on the test tables.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from derivspark.registry import REGISTRY
+from derivspark.plans import analytics as A
 from derivspark.session import get_spark
+from derivspark.sources import fixtures
 from derivspark.sources.sinks import print_result, write_result_csv
-from derivspark.sources.store import load_csv, open_model
+from derivspark.sources.store import load_csv, open_model, read_model
 
 REPORTS = {
     "runner": ["runner_q1_oi_change", "runner_q2_volatility", "runner_q3_cross_exchange", "runner_q4_option_chain",
@@ -26,6 +28,14 @@ REPORTS = {
              "full_q5_max_volume", "full_q6_price_movement", "full_q7_active_expiries"],
 }
 CHARTS = ["chart_oi_trends", "chart_volume_histogram", "chart_volatility_heatmap", "chart_option_chain"]
+ONE_SYMBOL = {"full_q2_volatility", "runner_q4_option_chain", "chart_volatility_heatmap", "chart_option_chain"}
+TWO_SYMBOLS = {"full_q4_option_chain", "chart_oi_trends"}
+
+
+def parameters(key: str, symbols: list[str]) -> dict:
+    if key in ONE_SYMBOL:
+        return {"symbol": symbols[0]}
+    return {"symbols": symbols} if key in TWO_SYMBOLS else {}
 
 
 def main(argv=None) -> None:
@@ -38,8 +48,12 @@ def main(argv=None) -> None:
     ap.add_argument("--grain", choices=["month", "week", "day"], default="month")
     ap.add_argument("--out", default=None)
     ap.add_argument("--form", choices=sorted(REPORTS), default="runner")
+    ap.add_argument("--symbols", default=None)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    needed = {"load": a.sf_dir, "load-csv": a.csv and a.store}.get(a.command, a.store or a.sf_dir)
+    if not needed:
+        ap.error(f"{a.command} needs its input folder")
     spark = get_spark(a.master)
     if a.command == "load-csv":
         print(load_csv(spark, a.csv, a.store, a.exchange_id, a.grain).rows)
@@ -47,14 +61,16 @@ def main(argv=None) -> None:
     if a.command == "load":
         print(open_model(spark, a.sf_dir).rows)
         return
+    model = read_model(spark, a.store) if a.store else open_model(spark, a.sf_dir)
+    named = [A.NIFTY, A.BANKNIFTY] if a.store else [fixtures.NIFTY, fixtures.BANKNIFTY]
+    symbols = a.symbols.split(",") if a.symbols else named
     keys = {"reports": REPORTS[a.form], "charts": CHARTS, "stats": ["db_statistics"]}[a.command]
     for key in keys:
-        df = REGISTRY[key](spark, a.sf_dir)
+        df = getattr(A, key)(model, **parameters(key, symbols))
         print(f"== {key}")
         print_result(df)
-        if a.out:
-            # reports are LIMIT-ed; chart data sets are small aggregates
-            write_result_csv(df, f"{a.out}/{key}", single_file=True)
+        if a.out:  # reports end in a limit; chart data may be large
+            write_result_csv(df, f"{a.out}/{key}", single_file=a.command == "reports")
 
 
 if __name__ == "__main__":

@@ -76,12 +76,38 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def dq_declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per stored table: values of its declared key that occur twice or more, and rows with a NULL in it."""
+    m, out = open_model(spark, sf_dir), None
+    for name, key in Q.DECLARED_KEYS.items():
+        rows = getattr(m, name).select(*key)
+        null = " or ".join(f"{k} is null" for k in key)
+        part = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+                .agg(F.count_if((F.col("n") > 1) & ~F.expr(null)).alias("n_repeated"),
+                     F.coalesce(F.sum(F.when(F.expr(null), F.col("n"))), F.lit(0)).cast("bigint").alias("n_null"))
+                .select(F.lit(name).alias("table_name"), "n_repeated", "n_null"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def dq_model_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CHECK and NOT NULL violations of the stored tables, one scan a table."""
+    m, out = open_model(spark, sf_dir), None
+    for name, rules in Q.model_rules().items():
+        part = (Q.check_violations(getattr(m, name), rules, Q.MODEL_NOT_NULL[name])
+                .select(F.lit(name).alias("table_name"), "rule", "violations"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------------------ storage ----
 from derivspark.functions.metrics import round_half_up  # noqa: E402
+from derivspark.plans import analytics as A  # noqa: E402
 from derivspark.plans import storage as S  # noqa: E402
 from derivspark.schemas import RAW_COLUMNS, TRADE_COLUMNS  # noqa: E402
 from derivspark.session import scratch_dir  # noqa: E402
 from derivspark.sources import raw_feed as RF  # noqa: E402
+from derivspark.sources.sinks import write_result_csv  # noqa: E402
 from derivspark.sources.testdata import read_table  # noqa: E402
 
 ARCHIVE_CUTOFF = "2019-09-01"
@@ -127,6 +153,21 @@ def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.partition_summary(spark.read.parquet(path))
 
 
+def split_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written as one folder a year, read back."""
+    path = S.split_by_year(open_model(spark, sf_dir), scratch_dir(spark, "by-year"))
+    return spark.read.parquet(path).groupBy("trade_year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("contracts").cast("bigint").alias("volume"),
+        F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
+
+
+def csv_result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as CSV with a header, read back with its schema."""
+    df = A.runner_q6_price_movement(open_model(spark, sf_dir))
+    path = write_result_csv(df, scratch_dir(spark, "result-csv"))
+    return spark.read.schema(df.schema).option("header", "true").csv(path)
+
+
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build of the roll-up, then an incremental refresh of the newest
     partition (replaces that partition only); the result equals a full build."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.operators.joins import maybe_broadcast
-from derivspark.schemas import INSTRUMENT_TYPES, OPTION_TYPES, SERIES_VALUES
+from derivspark.schemas import EXCHANGE_ROWS, INSTRUMENT_TYPES, OPTION_TYPES, SERIES_VALUES
 from derivspark.plans.normalize import series_of
 
 
@@ -70,6 +70,33 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None,
     return child.where(F.col(fk).isNotNull()).join(maybe_broadcast(keys, parent_rows), fk, "left_anti")
 
 
+# Declared keys and value rules of the stored tables ---------------------------
+DECLARED_KEYS = {
+    "exchanges": ["exchange_code"],
+    "instruments": ["exchange_id", "instrument_type", "symbol"],
+    "expiries": ["instrument_id", "expiry_date", "strike_price", "option_type"],
+    "trades": ["trade_id", "trade_date"],
+}
+MODEL_NOT_NULL = {
+    "exchanges": ["exchange_id", "exchange_code", "exchange_name"],
+    "instruments": ["instrument_id", "exchange_id", "instrument_type", "symbol", "series"],
+    "expiries": ["expiry_id", "instrument_id", "expiry_date", "strike_price", "option_type"],
+    "trades": ["trade_id", "instrument_id", "expiry_id", "trade_date"],
+}
+
+
+def model_rules() -> dict[str, dict[str, Column]]:
+    """CHECK rules on stored columns: table -> name -> predicate that must hold."""
+    feed, c = feed_rules(), F.col
+    return {
+        "exchanges": {"exchange_code_domain": c("exchange_code").isin([r[1] for r in EXCHANGE_ROWS])},
+        "instruments": {"instrument_type_domain": feed["instrument_type_domain"],
+                        "series_domain": c("series").isin(SERIES_VALUES)},
+        "expiries": {k: feed[k] for k in ("option_type_domain", "strike_non_negative")},
+        "trades": {"ohlc_consistent": feed["ohlc_consistent"]},
+    }
+
+
 # Fixed rule-derived dirt for the fixture feed (FIXTURES.md §4) ----------------
 DIRT_SWAP_HIGH_LOW, DIRT_BAD_OPTION, DIRT_NEG_STRIKE, DIRT_BAD_FK = 211, 223, 227, 229
 

@@ -89,6 +89,8 @@ model_query("full_q7_active_expiries", A.full_q7_active_expiries)
 model_query("bench_b1_volume", A.bench_b1_volume)
 model_query("bench_b1_volume_nonzero", A.bench_b1_volume, nonzero=True)
 model_query("bench_b2_rolling", A.bench_b2_rolling)
+# Bounds within a day: the timestamp filter runs over the fact.
+model_query("rolling_timestamp_range", A.bench_b2_rolling, start="2019-08-05 09:15:00", end="2019-09-20 15:30:00")
 # The original HAVING literal (10,000) is a parameter; 100 suits the fixture's scale.
 model_query("bench_b3_oi", A.bench_b3_oi, min_net_change=100)
 model_query("bench_verify_global", A.bench_verify_global)
@@ -125,10 +127,10 @@ model_query("scalar_date", REL.scalar_date)
 from derivspark.plans import model_jobs as MJ  # noqa: E402
 
 for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_keys",
-             "dq_check_violations", "dq_duplicate_keys", "dq_orphans"]:
+             "dq_check_violations", "dq_duplicate_keys", "dq_orphans", "dq_declared_keys", "dq_model_rules"]:
     REGISTRY[_key] = _reported(_key, getattr(MJ, _key))
 
 for _key in ["exchange_dim", "insert_if_new", "monthly_partition_rollup", "archive_slice", "retention_keep",
              "daily_rollup", "ingest_raw_csv", "ingest_typed", "stream_ingest", "upsert_latest",
-             "stream_daily_bars"]:
+             "stream_daily_bars", "split_by_year", "csv_result_sink"]:
     REGISTRY[_key] = _reported(_key, getattr(MJ, _key))

@@ -25,6 +25,16 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[tuple[s
     return out
 
 
+def file_stats(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, length, modification time) of every file under ``path``, sorted."""
+    jpath, fs = _fs(spark, path)
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     jpath, fs = _fs(spark, path)
     return bool(fs.delete(jpath, True))

@@ -186,7 +186,7 @@ _CACHE: dict[str, Model] = {}
 
 
 def store_root(spark: SparkSession, sf_dir: str, grain: str = "month") -> str:
-    key = f"v{STORE_VERSION}#{grain}#{sf_dir}#" + fingerprint(sf_dir, fixtures.INPUT_TABLES)
+    key = f"v{STORE_VERSION}#{grain}#{sf_dir}#" + fingerprint(spark, sf_dir, fixtures.INPUT_TABLES)
     digest = hashlib.sha1(key.encode()).hexdigest()[:16]
     return f"{shared_root(spark)}/derivspark/store/{digest}"
 
@@ -299,6 +299,8 @@ def load_csv(spark: SparkSession, csv_path: str, root: str, exchange_id: int | N
     """Load raw exchange CSV files (``exchange_id=<n>`` folders, or one
     exchange's files with ``exchange_id``) into a store at ``root``:
     lenient typed projection, normalisation, ids, fact and roll-up."""
+    if exists(spark, root):
+        raise FileExistsError(f"a store already exists at {root}")
     building = f"{root}.building-{uuid.uuid4().hex[:12]}"
     write_model(spark, typed_feed(read_raw_csv(spark, csv_path, exchange_id)), building, grain)
     if not publish(spark, building, root):

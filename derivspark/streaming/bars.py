@@ -1,7 +1,7 @@
 """Time-series roll-up of a live event stream: 1-day tumbling OHLC bars.
 
 Event time is the zone-less timestamp interpreted in the session zone
-(UTC); the watermark bounds state and late rows are dropped. In append mode
+(UTC); events of one time are ordered by ``tie_col``; the watermark bounds state and late rows are dropped. In append mode
 a bar is emitted once the watermark passes its end, so only closed days
 appear in the sink.
 """
@@ -18,12 +18,13 @@ SUM_PLACES = 6
 
 
 def daily_bars(events: DataFrame, ts_col: str = "ts", value_col: str = "value", key_col: str = "event_type",
-               window: str = "1 day", delay: str = "1 day") -> DataFrame:
+               window: str = "1 day", delay: str = "1 day", tie_col: str = "event_id") -> DataFrame:
     ev = events.withColumn("event_time", F.col(ts_col).cast("timestamp"))
+    at = F.struct("event_time", *[c for c in (tie_col,) if c in events.columns])
     bars = (ev.withWatermark("event_time", delay)
               .groupBy(F.window("event_time", window), key_col)
-              .agg(F.min_by(value_col, "event_time").alias("open"), F.max(value_col).alias("high"),
-                   F.min(value_col).alias("low"), F.max_by(value_col, "event_time").alias("close"),
+              .agg(F.min_by(value_col, at).alias("open"), F.max(value_col).alias("high"),
+                   F.min(value_col).alias("low"), F.max_by(value_col, at).alias("close"),
                    F.count(F.lit(1)).alias("n_events"), F.sum(value_col).alias("total")))
     return bars.select(F.to_date(F.col("window.start")).alias("bar_date"), key_col, "open", "high", "low",
                        "close", "n_events", round_half_up("total", SUM_PLACES).alias("total_value"))
