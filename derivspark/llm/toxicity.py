@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import P, ship, smallest, stage
+from .common import P, ship, stage
 from .textvec import U, mix, pieces, words
 
 DIMENSIONS = 1 << 18
@@ -76,10 +76,13 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array((both % dimensions).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(0), lists, b.column(2)], ["h", "f", "y"])
 
-    sample = smallest(ship(rows), "h", max_rows)
-    sample = stage(sample.repartition(SHARDS).mapInArrow(extract, "h long, f array<int>, y int"), "toxicity-sample")
-    shards = max(1, min(SHARDS, sample.count() // ROWS_A_SHARD))
-    sample = stage(sample.repartition(shards), "toxicity-shards") if shards > 1 else sample.coalesce(1)
+    rows = ship(rows)
+    cut, count = rows.select("h").orderBy("h").limit(max_rows).agg(F.max("h"), F.count("*")).first()
+    chosen = rows.filter(F.col("h") <= cut) if count else rows.limit(0)
+    shards = max(1, min(SHARDS, count // ROWS_A_SHARD))
+    sample = chosen.mapInArrow(extract, "h long, f array<int>, y int")
+    sample = stage(sample.repartition(shards) if shards > 1 else sample, "toxicity-sample")
+    sample = sample if shards > 1 else sample.coalesce(1)
     z, n = np.zeros(dimensions + 1), np.zeros(dimensions + 1)
     for _ in range(rounds):
         state = sample.sparkSession.sparkContext.broadcast((z, n))
