@@ -92,6 +92,18 @@ def words(arr: pa.Array, table: np.ndarray = T_LOWER) -> tuple[np.ndarray, np.nd
     return span_hashes(data, starts, ends, table), np.searchsorted(doc, np.arange(len(arr) + 1))
 
 
+def heads(arr: pa.Array, k: int, table: np.ndarray = T_LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``k`` code points of all words longer than that, and the
+    index of each one's text."""
+    data, off = buffers(arr)
+    starts, ends, doc = bounds(data, off)
+    points = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
+    cut = np.searchsorted(points, starts) + k
+    cut = np.append(points, len(data))[np.minimum(cut, len(points))]
+    longer = cut < ends
+    return span_hashes(data, starts[longer], cut[longer], table), doc[longer]
+
+
 def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all k-word shingles (a shorter non-empty text: its whole
     sequence) and the position of each text's first shingle."""

@@ -1,7 +1,8 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams.
 
-Features of a text are the distinct hashes of its words, word pairs and skip
-pairs (one word left out), folded to ``DIMENSIONS``. Per-coordinate learning
+Features of a text are the distinct hashes of its words, word pairs, skip pairs
+(one word left out) and word stems (the first ``STEMS`` code points of longer words,
+for languages that compound and inflect), folded to ``DIMENSIONS``. Per-coordinate learning
 rates and L1 make the weights sparse; they are broadcast, which is bounded by
 the number of dimensions.
 
@@ -19,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import P, ship, stage
-from .textvec import U, mix, pieces, words
+from .textvec import U, heads, mix, pieces, words
 
 DIMENSIONS = 1 << 18
+STEMS = (4, 6)
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.001
 MAX_ROWS, ROWS_A_SHARD, SHARDS, ROUNDS = 32_000, 4_000, 8, 6
 
@@ -36,6 +38,10 @@ def features(arr: pa.Array, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, n
             same = doc[gap:] == doc[:-gap]
             ids.append(mix(h[:-gap] * U(salt | 1) + h[gap:])[same])
             docs.append(doc[gap:][same])
+    for k in STEMS:
+        h, doc = heads(arr, k)
+        ids.append(mix(h ^ U(0xA24BAED4963EE407 * k & 0xFFFFFFFFFFFFFFFF)))
+        docs.append(doc)
     return np.concatenate(docs), (np.concatenate(ids) % U(dimensions)).astype(np.int64)
 
 
@@ -73,14 +79,15 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                 doc, f = features(b.column(1), dimensions)
                 both = np.unique(doc * dimensions + f)
                 cuts = np.searchsorted(both // dimensions, np.arange(b.num_rows + 1))
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array((both % dimensions).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0), lists, b.column(2)], ["h", "f", "y"])
+                ids = (both % dimensions).astype("<i4")
+                packed = pa.array([ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), packed, b.column(2)], ["h", "f", "y"])
 
     rows = ship(rows)
     cut, count = rows.select("h").orderBy("h").limit(max_rows).agg(F.max("h"), F.count("*")).first()
     chosen = rows.filter(F.col("h") <= cut) if count else rows.limit(0)
     shards = max(1, min(SHARDS, count // ROWS_A_SHARD))
-    sample = chosen.mapInArrow(extract, "h long, f array<int>, y int")
+    sample = chosen.mapInArrow(extract, "h long, f binary, y int")
     sample = stage(sample.repartition(shards) if shards > 1 else sample, "toxicity-sample")
     sample = sample if shards > 1 else sample.coalesce(1)
     z, n = np.zeros(dimensions + 1), np.zeros(dimensions + 1)
@@ -90,10 +97,9 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
         def shard(batches, state=state):
             z0, n0 = state.value
             z1, n1 = z0.copy(), n0.copy()
-            rows = [(h, np.asarray(f.values, np.int64) if f.is_valid else np.empty(0, np.int64), y)
-                    for b in batches for h, f, y in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist())]
+            rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
             rows.sort(key=lambda r: (r[0], r[2]))
-            ftrl_pass(z1, n1, [r[1:] for r in rows])
+            ftrl_pass(z1, n1, ((np.frombuffer(f, "<i4"), y) for _, f, y in rows))
             i = np.flatnonzero((z1 != z0) | (n1 != n0))
             yield pa.RecordBatch.from_arrays([pa.array(i), pa.array((z1 - z0)[i]), pa.array((n1 - n0)[i])], ["i", "z", "n"])
 

@@ -313,3 +313,11 @@ def test_word_hashes_agree_across_batches():
     one = np.concatenate([textvec.words(pa.array([t]))[0] for t in texts])
     assert (whole == one).all() and len(whole) == sum(len(words(t)) for t in texts)
     assert len(set(textvec.words(pa.array(["é É"]))[0])) == 2  # only A-Z are lower-cased
+
+
+def test_word_stems_equal_hashes_of_cut_words():
+    texts = ["Überraschung naïve cat 日本語テキスト x", None, "", "stems  stem\tstemmed"]
+    h, doc = textvec.heads(pa.array(texts), 4)
+    want = [(i, w[:4]) for i, t in enumerate(texts) for w in words(t) if len(w) > 4]
+    cut, _ = textvec.words(pa.array([w for _, w in want]))
+    assert doc.tolist() == [i for i, _ in want] and h.tolist() == cut.tolist()
