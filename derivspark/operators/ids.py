@@ -1,91 +1,59 @@
 """Dense, reproducible surrogate keys without a one-partition window.
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` over a whole table makes Spark move every
-row into a single task. Instead:
-
-1. identical rows ("copies") are collapsed first with a count — partial
-   aggregation map-side, so a huge group of copies becomes one row;
-2. rows are grouped into buckets by a prefix of the order plus, for big
-   tables, a hash salt. With ``salt_buckets="auto"`` each prefix value (e.g.
-   a trade date) gets as many salt values as it needs for every bucket to
-   hold about ``rows_per_bucket`` rows, so a prefix value holding a third of
-   all rows is spread over proportionally many tasks;
-3. bucket totals (one row per bucket: bounded by rows / rows_per_bucket plus
-   the number of prefix values) become start offsets through a small window,
-   are broadcast back, and each row gets ``offset + running count within its
-   bucket`` — the only sort is per bucket;
-4. copies are expanded again in chunks spread over the cluster.
-
-Ids are 1..n, unique, and follow the total order (bucket, [salt], order).
+row into a single task. Instead the rows are range-partitioned and sorted by
+the whole key once, and written with their (task, row in task) position; the
+number of rows in each task (one row per range partition) becomes its start
+offset, and ``offset + row`` is the id. Ids are 1..n, unique, and follow the
+natural order (bucket columns, order columns; NULLs first) at every size.
+
+Rows that agree in the whole key cannot be told apart by ranges, so with
+``copies`` the input is written first and each row's place in that table
+becomes the last sort column (or ``tie_col``, where the caller has such a
+column): a group of copies of any size is split over tasks like any other
+rows. Copies differ in nothing but their ids, so the result is the same on
+every run. The written tables make retried tasks see the same rows in the
+same order.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Copies are re-expanded in chunks of this many rows per generated row.
-COPY_CHUNK = 100_000
-# Target rows per id bucket with automatic salting (one task sorts one bucket).
-ROWS_PER_BUCKET = 2_000_000
-
-
-def _join_null_safe(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Join in which NULL keys meet, so a row with a NULL bucket value keeps its place.
-    No hint: the adaptive planner broadcasts ``small`` when its measured size allows."""
-    s = small.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    match = [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys]
-    return rows.join(s, reduce(and_, match)).drop(*[f"_j_{k}" for k in keys])
-
-
-def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: list[str],
-              salt_buckets: int | str = 0, collapse_copies: bool = False,
-              id_type: str = "bigint", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``salt_buckets``: 0 = buckets are the prefix values; an int = that many
-    hash salts per prefix value; ``"auto"`` = per prefix value, enough salts
-    for about ``rows_per_bucket`` rows per bucket."""
-    if not bucket_cols:
-        raise ValueError("dense_ids needs bucket (prefix) columns")
-    cols = df.columns
-    keys = list(bucket_cols)
-    if collapse_copies:
-        data = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    else:
-        data = df.withColumn("_n", F.lit(1).cast("bigint"))
-    if salt_buckets:
-        if salt_buckets == "auto":
-            # one row per prefix value (e.g. per trade date): a bounded table
-            sizes = data.groupBy(*bucket_cols).agg(
-                F.greatest(F.lit(1), F.ceil(F.sum("_n") / F.lit(rows_per_bucket))).cast("bigint").alias("_s"))
-            data = _join_null_safe(data, sizes, bucket_cols)
-            n_salt = F.col("_s")
-        else:
-            n_salt = F.lit(int(salt_buckets))
-        data = data.withColumn("_salt", F.pmod(F.xxhash64(*order_cols), n_salt))
-        keys.append("_salt")
-
-    # One row per bucket: bounded by rows / rows_per_bucket + prefix values,
-    # so the ordered window below stays small.
-    totals = data.groupBy(*keys).agg(F.sum("_n").alias("_bn"))
-    offsets = totals.select(
-        *keys,
-        F.coalesce(F.sum("_bn").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    ranked = _join_null_safe(data, offsets, keys)
-    within = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ranked.withColumn("_start", F.col("_off") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + 1)
-
-    single = ranked.where(F.col("_n") == 1).select(*cols, F.col("_start").cast(id_type).alias(id_col))
-    if not collapse_copies:
-        return single
-    chunk = F.lit(COPY_CHUNK)
-    multi = (ranked.where(F.col("_n") > 1)
-             .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / chunk))))
-             .repartition(F.xxhash64("_start", "_chunk"))
-             .withColumn("_k", F.explode(F.sequence(F.col("_chunk") * chunk,
-                                                     F.least(F.col("_n"), (F.col("_chunk") + 1) * chunk) - 1)))
-             .select(*cols, (F.col("_start") + F.col("_k")).cast(id_type).alias(id_col)))
-    return single.unionByName(multi)
+from derivspark.session import scratch_dir
+
+# monotonically_increasing_id: task number above this bit, row number below.
+TASK_SHIFT = 33
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, bucket_cols: list[str] | tuple = (),
+              copies: bool = False, id_type: str = "bigint", stage_dir: str | None = None,
+              tie_col: str | None = None) -> DataFrame:
+    """``df`` with ``id_col``: its rank by (``bucket_cols``, ``order_cols``). ``copies``: the
+    key may repeat, in rows that are equal in every column; ``tie_col``: a column that
+    differs in every row and stays the same when a task is run again, left out of the
+    result (without it ``copies`` writes the rows first). ``stage_dir``: a folder for
+    the written steps, which must outlive the result (default: a new scratch folder)."""
+    root = stage_dir or scratch_dir(df.sparkSession, f"ids-{id_col}")
+    cols, keys = [c for c in df.columns if c != tie_col], [*bucket_cols, *order_cols]
+    if copies and not tie_col:
+        tie_col = "_copy"
+        df = _written(df, f"{root}/rows").withColumn(tie_col, F.monotonically_increasing_id())
+    if tie_col:
+        keys.append(tie_col)
+    ranked = _written(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                      .withColumn("_at", F.monotonically_increasing_id()).select(*cols, "_at"), f"{root}/ranked")
+    ranked = ranked.withColumn("_task", F.shiftright("_at", TASK_SHIFT))
+    # One row per range partition: bounded by spark.sql.shuffle.partitions.
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranked.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows")) \
+        .select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    row = F.col("_at").bitwiseAND(F.lit((1 << TASK_SHIFT) - 1))
+    return ranked.join(F.broadcast(offsets), "_task") \
+        .select(*cols, (F.col("_off") + row + 1).cast(id_type).alias(id_col))

@@ -17,10 +17,6 @@ from derivspark.schemas import (DEFAULT_OPTION_TYPE, DEFAULT_STRIKE, EXCHANGE_RO
 INSTRUMENT_KEY = ["exchange_id", "instrument_type", "symbol"]
 CONTRACT_ATTRS = ["expiry_date", "strike_price", "option_type"]
 EXPIRY_KEY = ["instrument_id", "expiry_date", "strike_price", "option_type"]
-# Fact ids: each trade date is split into as many hash buckets as its row
-# count needs (about ids.ROWS_PER_BUCKET rows each), so a hot date is spread
-# over proportionally many tasks.
-TRADE_ID_SALT = "auto"
 
 
 def exchange_dim(spark: SparkSession) -> DataFrame:
@@ -67,7 +63,8 @@ def contract_lookup(instruments: DataFrame, expiries: DataFrame) -> DataFrame:
 
 
 def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
-                 lookup_rows: int | None = None, with_ids: bool = True, covering: bool = False) -> DataFrame:
+                 lookup_rows: int | None = None, with_ids: bool = True, covering: bool = False,
+                 stage_dir: str | None = None, tie_col: str | None = None) -> DataFrame:
     """Fact build: rows with a timestamp, keyed through the contract lookup
     (NULL expiry rows drop out of the inner join), measures NULL -> 0.
 
@@ -76,18 +73,18 @@ def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
     index, so option-chain style reports filter and group on them without
     joining a contract dimension that can outgrow any broadcast. The values
     come from the same lookup row as ``expiry_id``; ``expiries`` stays the
-    system of record."""
+    system of record. ``stage_dir``, ``tie_col``: see ``dense_ids``."""
     rows = fill_contract_keys(feed.where(F.col("timestamp").isNotNull()))
     lookup = maybe_broadcast(contract_lookup(instruments, expiries), lookup_rows)
     keyed = rows.join(lookup, [*INSTRUMENT_KEY, "expiry_date", "strike_price", "option_type"])
     measures = [F.coalesce(F.col(m), F.lit(0).cast(feed.schema[m].dataType)).alias(m) for m in MEASURES]
     extra = CONTRACT_ATTRS if covering else []
     trades = keyed.select("expiry_id", "instrument_id", F.to_date("timestamp").alias("trade_date"),
-                          *measures, "timestamp", *extra)
+                          *measures, "timestamp", *extra, *([tie_col] if tie_col else []))
     if not with_ids:
         return trades
     # ids depend on the 3NF columns only (the covering ones follow expiry_id)
-    order = [c for c in trades.columns if c != "trade_date" and c not in extra]
+    order = [c for c in trades.columns if c not in ("trade_date", tie_col, *extra)]
     ids = dense_ids(trades, order_cols=order, id_col="trade_id", bucket_cols=["trade_date"],
-                    salt_buckets=TRADE_ID_SALT, collapse_copies=True)
-    return ids.select("trade_id", *trades.columns)
+                    copies=True, stage_dir=stage_dir, tie_col=tie_col)
+    return ids.select("trade_id", *[c for c in trades.columns if c != tie_col])

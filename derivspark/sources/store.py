@@ -238,10 +238,12 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
     # Range bounds on (period, instrument, date, id) split any hot
     # instrument/day over several files (the id makes every key unique), and
     # the sort within files gives tight row-group min/max statistics on
-    # instrument and date. With AQE the range sampling reads the already
-    # materialised upstream shuffle, so the id assignment is not redone.
+    # instrument and date. The range sampling and the write both read the
+    # written rows with their ids.
     part = GRAINS[grain]
-    trades = N.build_trades(feed, inst, exp, lookup_rows=rows["expiries"], covering=True) \
+    placed = feed.withColumn("_place", F.monotonically_increasing_id())  # a row's place in the written feed
+    trades = N.build_trades(placed, inst, exp, lookup_rows=rows["expiries"], covering=True,
+                            stage_dir=f"{root}/_ids", tie_col="_place") \
         .withColumn(part, period_key("trade_date", grain))
     rows["trades"] = _write_counted(
         trades.repartitionByRange(part, "instrument_id", "trade_date", "trade_id")
@@ -258,6 +260,7 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
     spark.createDataFrame([(k, int(v)) for k, v in rows.items()], "table string, n_rows bigint") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root}/_meta")
     delete_path(spark, stage)
+    delete_path(spark, f"{root}/_ids")
     return rows
 
 

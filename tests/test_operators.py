@@ -69,13 +69,11 @@ def test_histogram_last_bin_closed_and_constant_values(spark):
     assert {r.bin: r.frequency for r in const} == {0: 2, 1: 0, 2: 0}
 
 
-def test_dense_ids_with_hot_group_of_copies(spark, monkeypatch):
-    import derivspark.operators.ids as ids
-    monkeypatch.setattr(ids, "COPY_CHUNK", 7)  # force several chunks for the hot group
+def test_dense_ids_with_hot_group_of_copies(spark):
     rows = [(dt.date(2019, 8, 1), "hot", 1)] * 50 + [(dt.date(2019, 8, 1), f"k{i}", i) for i in range(20)] \
         + [(dt.date(2019, 8, 2), "x", 1)] * 3
     df = spark.createDataFrame(rows, "d date, k string, v int")
-    out = dense_ids(df, ["k", "v"], "id", ["d"], salt_buckets=4, collapse_copies=True)
+    out = dense_ids(df, ["k", "v"], "id", ["d"], copies=True)
     got = out.collect()
     assert len(got) == len(rows)
     assert sorted(r.id for r in got) == list(range(1, len(rows) + 1))
@@ -127,18 +125,25 @@ def test_histogram_over_a_sample(spark):
     assert len(h) == 50 and sum(r.frequency for r in h) == 1000
 
 
-def test_dense_ids_auto_salting_splits_a_hot_prefix(spark):
+def test_dense_ids_split_a_hot_prefix_in_natural_order(spark, tmp_path):
     hot = [(dt.date(2019, 8, 1), f"k{i}", i) for i in range(400)]      # the hot date: 400 rows
     cold = [(dt.date(2019, 8, 2), f"k{i}", i) for i in range(10)]
     df = spark.createDataFrame(hot + cold, "d date, k string, v int")
-    out = dense_ids(df, ["k", "v"], "id", ["d"], salt_buckets="auto", collapse_copies=True, rows_per_bucket=50)
-    got = out.collect()
+    copies = df.where("k = 'k7'").withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("x")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = dense_ids(df, ["k", "v"], "id", ["d"], copies=True).collect()
+        dense_ids(df.union(copies), ["k", "v"], "id", ["d"], copies=True, stage_dir=str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert sorted(r.id for r in got) == list(range(1, 411))
     assert max(r.id for r in got if r.d == dt.date(2019, 8, 1)) == 400   # prefix order kept
-    # the hot date was split into ceil(400 / 50) = 8 salt buckets of ~50 rows
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64("k", "v"), F.lit(8))).where("d = DATE'2019-08-01'")
-    sizes = [r["count"] for r in salted.groupBy("_salt").count().collect()]
-    assert len(sizes) == 8 and max(sizes) <= 100
+    assert [(r.d, r.k) for r in sorted(got, key=lambda r: r.id)] == sorted((d, k) for d, k, _ in hot + cold)
+    # the hot date, and the copies of one of its rows, are sorted in several tasks
+    staged = spark.read.parquet(f"{tmp_path}/ranked").withColumn("task", F.shiftright("_at", 33))
+    assert staged.where("d = DATE'2019-08-01'").select("task").distinct().count() >= 4
+    assert staged.where("k = 'k7' AND d = DATE'2019-08-01'").select("task").distinct().count() >= 2
 
 
 def test_sizing_conf_scales_with_input_and_slots():
@@ -159,9 +164,10 @@ def test_period_values_per_grain():
 def test_dense_ids_keep_rows_with_null_buckets(spark):
     from derivspark.operators.ids import dense_ids
     df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d")], "g int, v string")
-    for salt in (0, "auto"):
-        ids = sorted(r.id for r in dense_ids(df, ["v"], "id", ["g"], salt_buckets=salt).collect())
-        assert ids == [1, 2, 3, 4]
+    for copies in (False, True):
+        got = sorted((r.id, r.v) for r in dense_ids(df, ["v"], "id", ["g"], copies=copies).collect())
+        assert got == [(1, "b"), (2, "c"), (3, "a"), (4, "d")]
+    assert dense_ids(df.limit(0), ["v"], "id", ["g"], copies=True).count() == 0
 
 
 def test_orphans_pass_null_keys(spark):
