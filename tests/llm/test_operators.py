@@ -131,6 +131,27 @@ def test_leaks_exact_and_paraphrased(spark, odd):
     assert decontaminate.drop_leaks(odd, items).count() == odd.count()
 
 
+def test_leaks_of_hot_items_and_of_frequent_words(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("text is not null").orderBy("doc_id").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect()
+    n = {}
+    for r in docs:
+        for w in set(words(r.text.lower())):
+            n[w] = n.get(w, 0) + 1
+    frequent = " ".join(sorted(n, key=lambda w: (-n[w], w))[:40])
+    assert min(n[w] for w in frequent.split()) > 0.05 * len(docs)
+    rows = [(r.doc_id, r.text + (" " + items[0].text if k % 3 == 0 else "") + (" " + frequent if k % 40 == 0 else ""))
+            for k, r in enumerate(docs)]
+    bench = [(r.item_id, r.text) for r in items] + [(10_000_000, frequent)]
+    docs_df, items_df = (spark.createDataFrame(x, f"{k} long, text string") for x, k in ((rows, "doc_id"), (bench, "item_id")))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs_df, items_df).collect()}
+    want = {(d, items[0].item_id) for k, (d, _) in enumerate(rows) if k % 3 == 0}
+    want |= {(d, 10_000_000) for k, (d, _) in enumerate(rows) if k % 40 == 0}
+    assert want <= got
+    kept = {r.doc_id for r in decontaminate.drop_leaks(docs_df, items_df).collect()}
+    assert not kept & {d for d, _ in want}
+
+
 def test_automaton_equals_regular_expressions(spark):
     globs = ["*.com/**", "a*b/**x", "**", "abc", "*/en/*", "é*" + "z" * 70 + "**"]
     strings = ["x.com/", "x.com", "a/b/x", "aXXb/yyx", "", "abc", "q/en/", "q/en/a/b", "é" + "z" * 75, "a" * 3000 + "b/x"]
