@@ -7,9 +7,8 @@ class). Output biases start at the corpus's unigram model. A word outside the
 vocabulary has the symbol's probability times its share of the add-one counts
 outside the vocabulary, so every text has a proper probability.
 
-The network is fitted in numpy by truncated backpropagation on a bounded sample
-of training texts, sharded over tasks whose parameters are averaged after each
-round. Scoring runs every whole text through it: many texts in step, in windows,
+The network is fitted in numpy by truncated backpropagation on every whole
+training text, by tasks whose parameters are averaged after each round. Scoring runs every whole text through it: many texts in step, in windows,
 with the hidden state carried from window to window.
 
 Counts of the ``SHARED`` most frequent words are broadcast (a fixed bound);
@@ -24,14 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, smallest, stage
+from .common import ship, stage
 from .textvec import BATCH_BYTES, U, Lookup, pieces, words
 
 VOCABULARY, CLASS = 1024, 32  # symbols (two of them: end, other), symbols a class
 HIDDEN, EMBED = 32, 24
 SHARED = 1 << 18
-FIT_DOCS, FIT_WORDS = 2400, 1000  # sampled texts; words of a text that fitting reads
-SHARDS, ROUNDS, STEP, STREAMS, RATE = 6, 3, 16, 32, 0.004
+LEAST_SHARDS, ROUNDS, STEP, STREAMS, RATE = 6, 3, 16, 32, 0.004
 WINDOW_CELLS = 1 << 15  # (text, position) pairs whose states are held at once
 LN10 = np.log(10.0)
 
@@ -165,22 +163,31 @@ class Net:
         return g.flat, h, loss, n
 
 
-def train(net: Net, texts: list[np.ndarray], end: int, rate: float = RATE) -> float:
-    """One pass over symbol sequences (Adam, in place); loss per token in nats."""
-    m, v, turn, total, seen = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0.0, 0
+def train(net: Net, texts: list[np.ndarray], end: int, rate: float = RATE, moments: dict | None = None) -> float:
+    """One pass over symbol sequences (Adam, in place); loss per token in nats. ``moments``
+    carries Adam's state from call to call."""
+    moments = {} if moments is None else moments
+    m, v = (moments.setdefault(k, np.zeros_like(net.flat)) for k in "mv")
+    turn, total, seen = moments.get("turn", 0), 0.0, 0
     texts = sorted(texts, key=len)
     groups = [texts[i:i + STREAMS] for i in range(0, len(texts), STREAMS)]
     for k in np.random.default_rng(5).permutation(len(groups)):
         group = groups[k]
-        longest = max(map(len, group)) + 1
-        target, live = np.full((longest, len(group)), end), np.zeros((longest, len(group)), bool)
-        for j, t in enumerate(group):
-            target[:len(t), j] = t
-            live[:len(t) + 1, j] = True
-        given = np.vstack([np.full((1, len(group)), end), target[:-1]])
-        h = np.zeros((len(group), HIDDEN), np.float32)
-        for i in range(0, longest, STEP):
-            grad, h, loss, n = net.gradient(given[i:i + STEP], target[i:i + STEP], live[i:i + STEP], h)
+        sizes = np.array([len(t) + 1 for t in group])  # ascending
+        h, last = np.zeros((len(group), HIDDEN), np.float32), np.full(len(group), end)
+        for i in range(0, int(sizes[-1]), STEP):
+            done = len(sizes) - len(h)
+            some = int(np.searchsorted(sizes, i, "right"))  # texts before it have ended
+            h, last = h[some - done:], last[some - done:]
+            steps = min(STEP, int(sizes[-1]) - i)
+            target = np.full((steps, len(h)), end)
+            for j, t in enumerate(group[some:]):
+                x = t[i:i + steps]
+                target[:len(x), j] = x
+            live = np.arange(i, i + steps)[:, None] < sizes[some:]
+            given = np.vstack([last[None], target[:-1]])
+            last = target[-1]
+            grad, h, loss, n = net.gradient(given, target, live, h)
             size = np.linalg.norm(grad)
             grad *= min(1.0, 1.0 / max(size, 1e-9))
             turn += 1
@@ -189,6 +196,7 @@ def train(net: Net, texts: list[np.ndarray], end: int, rate: float = RATE) -> fl
             net.flat -= rate * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
             total += loss
             seen += n
+    moments["turn"] = turn
     return total / max(seen, 1)
 
 
@@ -237,6 +245,7 @@ class Lexicon:
         counted = np.concatenate([self.counts[frequent], [self.other_tokens, n_texts]])
         rank = np.empty(len(counted), np.int64)
         rank[np.argsort(-counted, kind="stable")] = np.arange(len(counted))
+        self.fitted = 0  # tokens that a round of fitting has read
         self.symbols, self.other, self.end = len(counted), int(rank[-2]), int(rank[-1])
         self.symbol = np.full(len(keys) + 1, self.other)  # the last entry: words that aren't shared
         self.symbol[frequent] = rank[:-2]
@@ -265,13 +274,12 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
             for b in pieces(whole, 0):
                 h, first = words(b.column(0))
                 s = lex.symbol[find.find(h)].astype(np.int32)
-                lists = [s[i:min(j, i + FIT_WORDS)] for i, j in zip(first, first[1:])]
+                lists = [s[i:j] for i, j in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["s"])
 
-    sample = train_docs.select(F.col(text).alias("t"), F.xxhash64(F.lit("lm"), F.col(key).cast("string"), text).alias("o"))
-    sample = smallest(sample, "o", FIT_DOCS).select("t")
-    sample = stage(sample.mapInArrow(symbols, "s array<int>"), "lm-sample").repartition(SHARDS)
-    sample = stage(sample, "lm-shards")
+    rows = stage(train_docs.select(text).mapInArrow(symbols, "s array<int>"), "lm-symbols")
+    if rows.rdd.getNumPartitions() < LEAST_SHARDS:
+        rows = stage(rows.repartition(LEAST_SHARDS), "lm-shards")
     flat = net.flat
     for turn in range(ROUNDS):
         now = sc.broadcast(flat)
@@ -279,16 +287,22 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
         def shard(batches, now=now, turn=turn):
             lex = shared.value
             own = Net(lex.symbols, flat=now.value)
-            texts = [x.values.to_numpy().astype(np.int64) for b in batches for x in b.column(0)]
-            texts.sort(key=lambda x: (len(x), x.tobytes()))
-            if texts:
-                train(own, texts, lex.end, RATE * 0.6 ** turn)
-                yield pa.RecordBatch.from_arrays([pa.array([own.flat.tobytes()], pa.binary()),
-                                                  pa.array([sum(map(len, texts)) + len(texts)])], ["p", "n"])
-
-        parts = sample.mapInArrow(shard, "p binary, n long").collect()  # one row of fixed size a shard
-        weight = np.array([p.n for p in parts], float)
-        flat = np.average([np.frombuffer(p.p, np.float32) for p in parts], axis=0, weights=weight).astype(np.float32)
+            moments, n = {}, 0
+            for b in batches:
+                texts = [x.values.to_numpy() for x in b.column(0)]
+                texts.sort(key=lambda x: (len(x), x.tobytes()))
+                if texts:
+                    train(own, texts, lex.end, RATE * 0.6 ** turn, moments)
+                    n += sum(map(len, texts)) + len(texts)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([own.flat.tobytes()], pa.binary()), pa.array([n])], ["p", "n"])
+
+        # One row of fixed size a task, read a part at a time.
+        total, lexicon.fitted = np.zeros(len(flat)), 0
+        for p in stage(rows.mapInArrow(shard, "p binary, n long"), "lm-round").toLocalIterator():
+            total += np.frombuffer(p.p, np.float32) * float(p.n)
+            lexicon.fitted += p.n
+        flat = (total / lexicon.fitted).astype(np.float32)
         now.unpersist()
     return Net(lexicon.symbols, flat=flat), lexicon, counts
 

@@ -184,6 +184,16 @@ def test_language_model_base_and_probability(spark, odd):
     assert set(got.train_tokens) == {n} and got.score.sum() > got.base_score.sum()
 
 
+def test_network_is_fitted_on_every_whole_text(spark):
+    head, tail = " ".join(f"w{i % 50}" for i in range(1000)), [f"w{i % 7}" for i in range(500)]
+    nets = [gru_lm.fit(spark.createDataFrame([(1, head + " " + " ".join(x))], "doc_id long, text string"), "doc_id", "text")[0]
+            for x in (tail, sorted(tail))]  # equal counts, another order behind word 1,000
+    assert not np.array_equal(nets[0].flat, nets[1].flat)
+    short = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("one two "), F.col("id") % 9).alias("text"))
+    lexicon = gru_lm.fit(short, "doc_id", "text")[1]
+    assert lexicon.fitted == 3000 * 4 == lexicon.tokens
+
+
 def test_network_probabilities_sum_to_one_and_windows_agree():
     net = gru_lm.Net(70, counts=np.arange(70)[::-1] + 1.0)
     h = np.random.default_rng(1).standard_normal((3, gru_lm.HIDDEN)).astype(np.float32)
