@@ -213,8 +213,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy of the fact, then a correction stream: of the rows from a date on those with
-    an even volume (so that others of their contract and day stay), each in an
-    older version and in the one that counts, change_in_oi + 1."""
+    an even volume (so that others of their contract and day stay), each in the
+    version that counts, change_in_oi + 1, and in an older one in a later file."""
     m = open_model(spark, sf_dir)
     table = scratch_dir(spark, "upsert-table")
     S.write_partitioned(m.trades, table, partition_by=m.part_col)
@@ -224,7 +224,8 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = rows.withColumns({"change_in_oi": F.col("change_in_oi") + 9,
                               "timestamp": (F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
                               .cast(rows.schema["timestamp"].dataType)})
-    newer.unionByName(older).coalesce(1).write.parquet(inbox)
+    newer.write.parquet(inbox)
+    older.write.mode("append").parquet(inbox)
     SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"),
                    part_col=m.part_col)
     return spark.read.parquet(table).select(*[c for c in TRADE_COLUMNS if c != "trade_id"])

@@ -1,7 +1,7 @@
 """Corrections as upserts on the month-partitioned fact.
 
 A row is identified by its ``trade_id``. Of several versions of one row in a
-micro-batch the newest stays (file time, then ``timestamp``, then the values).
+micro-batch the newest stays (``timestamp``, then file time, then the values).
 The partitions that hold a corrected row, before or after its correction, are
 read; corrected rows are replaced, new ids added, the result is staged, and only
 those partitions are overwritten. Other partitions are never rewritten.
@@ -25,7 +25,7 @@ FILE_TIME = "_file_time"
 
 def newest_versions(batch: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """One row a key: the newest version. Partial maxima, so many versions of one key are cheap."""
-    order = [c for c in (FILE_TIME, "timestamp") if c in batch.columns]
+    order = [c for c in ("timestamp", FILE_TIME) if c in batch.columns]
     version = F.struct(F.struct(F.lit(0), *order).alias("order"), F.struct(*columns).alias("row"))
     return batch.groupBy(*key).agg(F.max(version).alias("_v")).select("_v.row.*")
 

@@ -210,3 +210,11 @@ def test_upsert_retry_after_a_crash_in_the_overwrite(spark, tmp_path):
     SU.upsert_batch(spark, fix, table, stage, epoch=0)
     got = {r.trade_id: (r.change_in_oi, r.trade_month) for r in spark.read.parquet(table).collect()}
     assert got == {1: (10, 201908), 2: (20, 201908), 3: (33, 201910), 4: (40, 201909)}
+
+
+def test_upsert_takes_the_newest_timestamp_not_the_latest_file(spark):
+    rows = [(1, 5, dt.datetime(2019, 8, 2), dt.datetime(2026, 1, 1)), (1, 9, dt.datetime(2019, 8, 1), dt.datetime(2026, 1, 2)),
+            (2, 5, dt.datetime(2019, 8, 2), dt.datetime(2026, 1, 1)), (2, 6, dt.datetime(2019, 8, 2), dt.datetime(2026, 1, 2))]
+    batch = spark.createDataFrame(rows, f"trade_id long, v int, timestamp timestamp_ntz, {SU.FILE_TIME} timestamp")
+    got = {r.trade_id: r.v for r in SU.newest_versions(batch, ["trade_id"], ["trade_id", "v", "timestamp"]).collect()}
+    assert got == {1: 5, 2: 6}
