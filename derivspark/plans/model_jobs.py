@@ -113,6 +113,7 @@ from derivspark.sources.testdata import read_table  # noqa: E402
 ARCHIVE_CUTOFF = "2019-09-01"
 KEEP_MONTHS = 2
 CORRECTION_FROM = "2019-11-01"
+DELIVERY_FILES = 4  # files an exchange in a delivery of stream_ingest
 
 
 def exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,15 +200,16 @@ from derivspark.streaming import bars as SB, ingest as SI, upsert as SU  # noqa:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries in two runs of one query: first the newer half of the days,
-    then all of them (older days late, the newer ones again)."""
+    """Two deliveries of several files an exchange: first the newer half of the days, then
+    the older ones, late. The second run has a new checkpoint, so it gets the first files again."""
     feed = fno_feed(spark, sf_dir, keep_source_keys=True)
-    inbox, out, ck = (scratch_dir(spark, n) for n in ("stream-in", "stream-out", "stream-ck"))
+    inbox, out = (scratch_dir(spark, n) for n in ("stream-in", "stream-out"))
     late = feed.agg(F.percentile_approx(F.unix_date(F.to_date("timestamp")), 0.5)).first()[0]
-    for delivery in (feed.where(F.unix_date(F.to_date("timestamp")) >= late), feed):
-        (RF.render_raw(delivery).repartition("exchange_id").write.mode("append").partitionBy("exchange_id")
-         .option("header", "true").csv(inbox))  # a file an exchange
-        SI.run_ingest(spark, inbox, out, ck)
+    newer = F.unix_date(F.to_date("timestamp")) >= late
+    for n, part in enumerate((newer, ~F.coalesce(newer, F.lit(False)))):
+        (RF.render_raw(feed.where(part)).repartition(DELIVERY_FILES).write.mode("append").partitionBy("exchange_id")
+         .option("header", "true").csv(inbox))  # copies of a row are spread over the files
+        SI.run_ingest(spark, inbox, out, scratch_dir(spark, f"stream-ck-{n}"))
     return spark.read.parquet(out).drop("trade_month")
 
 

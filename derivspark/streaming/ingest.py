@@ -1,50 +1,80 @@
 """Continuous ingest of raw feed files (Structured Streaming).
 
 File source over the raw CSV folders -> the same lenient typed projection as
-the batch loader -> month-partitioned Parquet. Rows have no key, so a delivery is
-compared with what is stored: a row that a delivered file holds n times ends up
-stored n times, and delivering it again, in any file, adds nothing. There is no watermark,
-so a late delivery (another exchange, an older day) is never dropped. Only the
-months that a delivery touches are read, and ``max_files`` bounds a micro-batch.
-
-A batch that is tried again, also after some of its files were written, adds
-only the copies that are missing.
+the batch loader -> month-partitioned Parquet. Rows have no key, so deliveries are
+recognised by file: every copy of a row in every new file is stored, and a file whose
+content (length, number and checksum of its typed rows) is in the ledger beside the
+table, or twice in a delivery, is a replay and adds nothing, whatever its name. There is
+no watermark, so a late delivery (another exchange, an older day) is never dropped.
+``max_files`` bounds a micro-batch, and with it the files that the driver lists.
+
+Before a batch is appended, the table's files are noted; what an attempt that broke off
+has added besides them is deleted first. One query at a time writes a table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derivspark.functions.metrics import month_key
-from derivspark.sources.fs import list_partitions
+from derivspark.sources.fs import delete_path, exists, file_stats
 from derivspark.sources.raw_feed import stream_raw_csv, typed_feed
 
 PARTITION = "trade_month"
-FILE = "_file"
+FILE, SIZE = "_file", "_file_size"
+LEDGER = "key string, token string"
 MAX_FILES = 1000
 
 
 def ingest_stream(raw: DataFrame) -> DataFrame:
-    typed = typed_feed(raw.withColumn(FILE, F.col("_metadata.file_path")), keep=(FILE,))
+    typed = typed_feed(raw.withColumns({FILE: F.col("_metadata.file_path"), SIZE: F.col("_metadata.file_size")}),
+                       keep=(FILE, SIZE))
     return typed.where(F.col("timestamp").isNotNull()).withColumn(PARTITION, month_key(F.to_date("timestamp")))
 
 
+def _undo_broken_attempt(spark: SparkSession, out_dir: str, ledger: str) -> None:
+    pending = f"{ledger}/pending"
+    if exists(spark, f"{pending}/_SUCCESS"):
+        noted = spark.read.parquet(pending).collect()  # a row a file of the table
+        token = noted[0].token
+        done = exists(spark, f"{ledger}/files") and not spark.read.schema(LEDGER).parquet(f"{ledger}/files") \
+            .where(F.col("token") == token).isEmpty()
+        if not done and exists(spark, out_dir):
+            had = {r.path for r in noted}
+            for path, _, _ in file_stats(spark, out_dir):
+                if path not in had:
+                    delete_path(spark, path)
+    if exists(spark, pending):
+        delete_path(spark, pending)
+
+
 def ingest_batch(spark: SparkSession, batch: DataFrame, out_dir: str) -> None:
-    """Append the rows of one delivery that ``out_dir`` lacks."""
-    columns = [c for c in batch.columns if c != FILE]
-    schema = batch.select(*columns).schema
-    months = [r[0] for r in batch.select(PARTITION).distinct().collect()]  # bounded by the partition count
-    have = {value for value, _ in list_partitions(spark, out_dir, PARTITION)}
-    a_file = batch.groupBy(*batch.columns).agg(F.count("*").alias("_new"))
-    rows = a_file.select(*columns, "_new", F.lit(0).cast("long").alias("_stored"))
-    if any(str(m) in have for m in months):
-        stored = spark.read.schema(schema).parquet(out_dir).where(F.col(PARTITION).isin(months))
-        rows = rows.unionByName(stored.select(*columns, F.lit(0).cast("long").alias("_new"),
-                                              F.lit(1).cast("long").alias("_stored")))
-    missing = rows.groupBy(*columns).agg((F.max("_new") - F.sum("_stored")).alias("_n")).where("_n > 0")
-    (missing.withColumn("_copy", F.explode(F.expr("sequence(1, _n)"))).select(*columns)
+    """Append the rows of the batch's files that were not stored before."""
+    ledger = f"{out_dir.rstrip('/')}-ledger"
+    columns = [c for c in batch.columns if c not in (FILE, SIZE)]
+    _undo_broken_attempt(spark, out_dir, ledger)
+    seen = {r.key for r in spark.read.schema(LEDGER).parquet(f"{ledger}/files").collect()} \
+        if exists(spark, f"{ledger}/files") else set()
+    files = batch.groupBy(FILE).agg(F.concat_ws(
+        "-", F.max(SIZE), F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")),
+        F.bit_xor(F.xxhash64(F.lit("x"), *columns))).alias("key")).collect()  # at most max_files rows
+    new = {}
+    for r in sorted(files, key=lambda r: r[FILE]):
+        if r.key not in seen:
+            new.setdefault(r.key, r[FILE])
+    if not new:
+        return
+    token = uuid.uuid4().hex
+    noted = [(path, token) for path, _, _ in file_stats(spark, out_dir)] if exists(spark, out_dir) else []
+    spark.createDataFrame(noted or [(None, token)], "path string, token string").write.parquet(f"{ledger}/pending")
+    chosen = spark.createDataFrame([(f,) for f in new.values()], f"{FILE} string")
+    (batch.join(F.broadcast(chosen), FILE, "left_semi").select(*columns)
      .write.mode("append").partitionBy(PARTITION).parquet(out_dir))
+    spark.createDataFrame([(k, token) for k in new], LEDGER).coalesce(1).write.mode("append").parquet(f"{ledger}/files")
+    delete_path(spark, f"{ledger}/pending")
 
 
 def run_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, available_now: bool = True,

@@ -48,3 +48,22 @@ def test_stream_ingest_drops_a_replayed_file(spark, tmp_path):
     SI.run_ingest(spark, raw, twice, str(tmp_path / "ck2"))
     a, b = spark.read.parquet(once), spark.read.parquet(twice)
     assert b.count() == a.count() and b.exceptAll(a).count() == 0
+
+
+def test_stream_ingest_keeps_copies_in_several_files_and_a_later_file(spark, tmp_path):
+    raw, out, ck = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "ck")
+    RF.write_raw_csv(RF.render_raw(fno_feed(spark, SF001, keep_source_keys=True).where("exchange_id = 1").limit(2)).coalesce(1), str(raw))
+    folder = raw / "exchange_id=1"
+    first = next(folder.glob("*.csv"))
+    head, a, b = first.read_text().splitlines()
+    put = lambda name, *lines: (folder / name).write_text("\n".join([head, *lines]) + "\n")
+    first.unlink()
+    put("p1.csv", a, a, b), put("p2.csv", a, a, a)
+    SI.run_ingest(spark, str(raw), out, ck)
+    n = lambda: sorted(r["count"] for r in spark.read.parquet(out).groupBy(*spark.read.parquet(out).columns).count().collect())
+    assert n() == [1, 5]
+    put("p3.csv", a), put("p4.csv", a, a, b)  # a later file, and the first one again under another name
+    SI.run_ingest(spark, str(raw), out, ck)
+    assert n() == [1, 6]
+    SI.run_ingest(spark, str(raw), out, str(tmp_path / "ck2"))  # everything again
+    assert n() == [1, 6]
