@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, gru_lm, hyperminhash, mixing, quality, sharding, token_count, toxicity, url_filter
+from . import (chat_format, decontaminate, gru_lm, hyperminhash, mixing, ngram_join, quality, sharding, token_count, toxicity,
+               url_filter)
 from .common import crc_mod, table
 
 SPACE_SQL = "[\\x20\\x09-\\x0D]+"
@@ -64,9 +65,13 @@ def op10_hyperminhash(spark, sf_dir):
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op11_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op6_gru_lm, op7_curriculum_mix, op8_chat_format,
-    op9_token_counts, op10_hyperminhash)}
+    op9_token_counts, op10_hyperminhash, op11_ngram_join)}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))
 _BAD = " OR ".join([f"contains(host, '{w}')" for w in ("casino", "porn", "ads-track", "malware")])
