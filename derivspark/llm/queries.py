@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, gru_lm, hyperminhash, mixing, ngram_join, quality, sharding, token_count, toxicity,
-               url_filter)
+from . import (chat_format, decontaminate, gru_lm, hyperminhash, mixing, ngram_join, periodic_runs, quality, sharding,
+               token_count, toxicity, url_filter)
 from .common import crc_mod, table
 
 SPACE_SQL = "[\\x20\\x09-\\x0D]+"
@@ -69,9 +72,25 @@ def op11_ngram_join(spark, sf_dir):
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def _made_periodic(doc_id, n):
+    """Every tenth id's words repeat a stretch of them from some word on (the others: None)."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), places=_made_periodic)
+    return periodic_runs.run_digests(found)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op6_gru_lm, op7_curriculum_mix, op8_chat_format,
-    op9_token_counts, op10_hyperminhash, op11_ngram_join)}
+    op9_token_counts, op10_hyperminhash, op11_ngram_join, op13_periodic_runs)}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))
 _BAD = " OR ".join([f"contains(host, '{w}')" for w in ("casino", "porn", "ads-track", "malware")])
