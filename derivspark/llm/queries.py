@@ -7,9 +7,9 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, gru_lm, hyperminhash, mixing, ngram_join, periodic_runs, quality, sharding,
-               token_count, toxicity, url_filter)
-from .common import crc_mod, table
+from . import (chat_format, conversation_repair, decontaminate, gru_lm, hyperminhash, mixing, ngram_join, periodic_runs,
+               quality, sharding, token_count, toxicity, url_filter)
+from .common import crc_mod, stage, table
 
 SPACE_SQL = "[\\x20\\x09-\\x0D]+"
 
@@ -72,6 +72,27 @@ def op11_ngram_join(spark, sf_dir):
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def _damaged(rows):
+    """Conversation rows with a fault planted in five of twenty, chosen by a checksum of conversation
+    and turn: dropped, emptied, without full stops, repeated, said by the user. Nulls are one space."""
+    def shown(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    d = rows.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"),
+                    (F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20).alias("h"))
+    d = d.filter("h <> 0")
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("h") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.expr("sequence(1, if(h = 3, 2, 1))"))
+    return d.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    faults = conversation_repair.with_faults(_damaged(rows), originals=rows)
+    return conversation_repair.repair_digests(stage(conversation_repair.repaired_rows(faults), "repair-edits"))
+
+
 def _made_periodic(doc_id, n):
     """Every tenth id's words repeat a stretch of them from some word on (the others: None)."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
@@ -90,7 +111,8 @@ def op13_periodic_runs(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality_lines, op3_toxicity_ftrl, op4_latent_decontamination, op5_url_filter, op6_gru_lm, op7_curriculum_mix, op8_chat_format,
-    op9_token_counts, op10_hyperminhash, op11_ngram_join, op13_periodic_runs)}
+    op9_token_counts, op10_hyperminhash, op11_ngram_join, op12_conversation_repair,
+    op13_periodic_runs)}
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))
 _BAD = " OR ".join([f"contains(host, '{w}')" for w in ("casino", "porn", "ads-track", "malware")])
