@@ -19,7 +19,9 @@ from derivspark.plans import analytics as A
 from derivspark.session import get_spark
 from derivspark.sources import fixtures
 from derivspark.sources.sinks import print_result, write_result_csv
-from derivspark.sources.store import load_csv, open_model, read_model
+from derivspark.plans.maintain import append_csv, compact, load_csv, retain
+from derivspark.sources.store import open_model, read_model
+from derivspark.sources.versions import vacuum
 
 REPORTS = {
     "runner": ["runner_q1_oi_change", "runner_q2_volatility", "runner_q3_cross_exchange", "runner_q4_option_chain",

@@ -3,6 +3,9 @@ they work on any storage the cluster mounts)."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -56,3 +59,49 @@ def publish(spark: SparkSession, src: str, dst: str) -> bool:
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
     return bool(fs.rename(jsrc, jdst))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jpath, fs = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path`` (none if it doesn't exist)."""
+    jpath, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its whole content, or return False because it exists. Of several writers
+    one succeeds, and no reader sees a part of the content: it is written under another name
+    first, which then gets its final one by a hard link (local files) or by a rename that doesn't
+    overwrite (atomic on HDFS and on object stores with atomic renames)."""
+    jvm = spark._jvm
+    jpath, fs = _fs(spark, path)
+    fs.mkdirs(jpath.getParent())
+    draft, _ = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    uri = fs.makeQualified(jpath).toUri()
+    try:
+        if uri.getScheme() == "file":
+            get = jvm.java.nio.file.Paths.get
+            jvm.java.nio.file.Files.createLink(get(uri), get(fs.makeQualified(draft).toUri()))
+        else:
+            none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, spark._jsc.hadoopConfiguration()).rename(draft, jpath, none)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)

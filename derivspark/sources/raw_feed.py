@@ -18,6 +18,8 @@ from derivspark.schemas import PRICE, RAW_COLUMNS, RAW_DATE_FORMAT, RAW_SCHEMA,
 
 RAW_WITH_EXCHANGE = T.StructType(RAW_SCHEMA.fields + [T.StructField("exchange_id", T.IntegerType(), True)])
 CSV_OPTIONS = {"header": "true", "mode": "DROPMALFORMED"}
+CORRUPT = "_corrupt"  # text of a line that has too few or too many fields
+LINE_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 # A line's field count is only checked when every field is tokenized; with
 # CSV column pruning on, a line with extra fields would pass as well-formed.
 # The loader needs all fields anyway, so pruning is switched off.
@@ -35,6 +37,17 @@ def read_raw_csv(spark: SparkSession, path: str, exchange_id: int | None = None)
         .withColumn("exchange_id", F.lit(exchange_id).cast("int"))
 
 
+def read_raw_lines(spark: SparkSession, path: str, exchange_id: int | None = None) -> DataFrame:
+    """Scan raw CSV files keeping every line: a malformed one has its text in ``CORRUPT`` (NULL
+    otherwise), so that it can be counted and stored with the reason."""
+    spark.conf.set(*NO_CSV_PRUNING)
+    schema = RAW_SCHEMA if exchange_id is not None else RAW_WITH_EXCHANGE
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True),
+                           *schema.fields[len(RAW_SCHEMA.fields):]])
+    raw = spark.read.schema(schema).options(**LINE_OPTIONS).csv(path)
+    return raw if exchange_id is None else raw.withColumn("exchange_id", F.lit(exchange_id).cast("int"))
+
+
 def stream_raw_csv(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     spark.conf.set(*NO_CSV_PRUNING)
     return (spark.readStream.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS)

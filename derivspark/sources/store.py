@@ -37,12 +37,12 @@ from derivspark.plans.rollup import daily_aggregates
 from derivspark.session import shared_root
 from derivspark.sources import fixtures
 from derivspark.sources.fs import delete_path, exists, list_partitions, publish
-from derivspark.sources.raw_feed import read_raw_csv, typed_feed
 from derivspark.sources.testdata import fingerprint
+from derivspark.sources.versions import Version, open_version
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 10
+STORE_VERSION = 11
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
@@ -71,6 +71,7 @@ class Model:
     root: str | None = None
     memo: dict = field(default_factory=dict)  # per-model lookups (last date, key lists)
     grain: str = "month"
+    periods: list[int] | None = None  # partition values, where they are known (stores with versions)
 
     @property
     def part_col(self) -> str:
@@ -105,7 +106,9 @@ class Model:
         from the partition folder names, then the max date inside that one
         partition. Returned as a literal so later filters still prune."""
         if "last_date" not in self.memo:
-            periods = [int(v) for v, _ in list_partitions(self.spark, f"{self.root}/trades", self.part_col)]
+            periods = self.periods
+            if periods is None:
+                periods = [int(v) for v, _ in list_partitions(self.spark, f"{self.root}/trades", self.part_col)]
             t = self.trades.where(F.col(self.part_col) == max(periods)) if periods else self.trades
             self.memo["last_date"] = t.agg(F.max("trade_date")).first()[0]
         return self.memo["last_date"]
@@ -264,7 +267,24 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
     return rows
 
 
-def read_model(spark: SparkSession, root: str) -> Model:
+def model_of(version: Version) -> Model:
+    """The model of one version of a store: later changes of the store are not seen."""
+    spark, grain = version.spark, version.info["grain"]
+    rows = {n: version.rows(n) for n in [*DIMENSIONS, "trades", "daily"]}
+    rows.update({n: version.info[n] for n in ("feed", "rejected")})
+    t = {n: version.table(n) for n in [*DIMENSIONS, "trades", "daily"]}
+    for n in DIMENSIONS:
+        if rows[n] <= max_broadcast_rows(spark):
+            t[n] = t[n].cache()
+    return Model(spark, t["exchanges"], t["instruments"], t["expiries"], t["trades"], t["daily"], rows, version.root,
+                 grain=grain, periods=version.partitions("trades"))
+
+
+def read_model(spark: SparkSession, root: str, version: int | None = None) -> Model:
+    """The store at ``root``; of a store with versions the latest one, or a given one."""
+    held = open_version(spark, root, version)
+    if held.number:
+        return model_of(held)
     meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}  # a few rows
     t = {n: spark.read.parquet(f"{root}/{n}") for n in [*DIMENSIONS, "trades", "daily"]}
     # Dimensions under the broadcast bound are kept in executor memory: every
@@ -295,18 +315,3 @@ def open_model(spark: SparkSession, sf_dir: str, grain: str = "month") -> Model:
     model = read_model(spark, root)
     _CACHE[key] = model
     return model
-
-
-def load_csv(spark: SparkSession, csv_path: str, root: str, exchange_id: int | None = None,
-             grain: str = "month") -> Model:
-    """Load raw exchange CSV files (``exchange_id=<n>`` folders, or one
-    exchange's files with ``exchange_id``) into a store at ``root``:
-    lenient typed projection, normalisation, ids, fact and roll-up."""
-    if exists(spark, root):
-        raise FileExistsError(f"a store already exists at {root}")
-    building = f"{root}.building-{uuid.uuid4().hex[:12]}"
-    write_model(spark, typed_feed(read_raw_csv(spark, csv_path, exchange_id)), building, grain)
-    if not publish(spark, building, root):
-        delete_path(spark, building)
-        raise FileExistsError(f"a store already exists at {root}")
-    return read_model(spark, root)

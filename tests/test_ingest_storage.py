@@ -171,7 +171,8 @@ def test_raw_csv_load_gives_the_same_store_as_the_direct_mapping(spark, tmp_path
     futures, upper-case month names), load them back: identical tables."""
     from derivspark.sources import raw_feed as RF
     from derivspark.sources.fixtures import fno_feed
-    from derivspark.sources.store import load_csv, open_model
+    from derivspark.plans.maintain import load_csv
+    from derivspark.sources.store import open_model
     from tests.conftest import SF001
     csv = RF.write_raw_csv(RF.render_raw(fno_feed(spark, SF001, keep_source_keys=True)), str(tmp_path / "csv"))
     loaded = load_csv(spark, csv, str(tmp_path / "store"))
