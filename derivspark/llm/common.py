@@ -68,7 +68,8 @@ def ship(df: DataFrame) -> DataFrame:
         root = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="derivspark-ship-")) / "derivspark_llm.zip"
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-            for f in (root / "__init__.py", root / "session.py", *sorted((root / "llm").glob("*.py"))):
+            for f in (root / "__init__.py", root / "session.py", root / "operators/__init__.py", root / "operators/ids.py",
+                      *sorted((root / "llm").glob("*.py"))):
                 z.write(f, f.relative_to(root.parent))
         sc.addPyFile(str(archive))  # Spark copies it to every executor
         _shipped.add(sc.applicationId)
