@@ -30,7 +30,7 @@ from derivspark.plans.storage import new_rows_with_ids
 from derivspark.schemas import RAW_COLUMNS
 from derivspark.sources.raw_feed import CORRUPT, read_raw_lines, typed_feed
 from derivspark.sources.store import Model, model_of
-from derivspark.sources.versions import Transaction, Version, open_version, update
+from derivspark.sources.versions import MAIN, Transaction, Version, open_version, update
 
 INSTRUMENTS = "instrument_id int, exchange_id int, instrument_type string, symbol string, series string"
 EXPIRIES = "expiry_id int, instrument_id int, expiry_date date, strike_price decimal(12,2), option_type string"
@@ -39,6 +39,8 @@ REJECTS = "delivery string, exchange_id int, reason string, line string"
 FACT_ORDER = ["instrument_id", "trade_date", "trade_id"]
 DAILY_ORDER = ["instrument_id", "trade_date"]
 LINE = "_line"
+FILE, SIZE = "_file", "_file_size"
+LEDGER_BUCKETS = 64
 Step = Callable[[str], None] | None
 
 
@@ -149,10 +151,55 @@ def _change_daily(t: Transaction, part: str, plus: DataFrame, minus: DataFrame |
     t.add("daily", plus, part, DAILY_ORDER)
 
 
-def load(spark: SparkSession, root: str, feed: DataFrame, delivery: str, grain: str = "month", on_step: Step = None) -> Version:
+def file_keys(batch: DataFrame) -> DataFrame:
+    """One row a file of a batch (columns ``FILE``, ``SIZE`` and the lines' own): its path and what
+    identifies it: delivery (``delivery=<id>`` folder, else empty), name, length, checksum of its lines."""
+    columns = [c for c in batch.columns if c not in (FILE, SIZE)]
+    keys = batch.groupBy(FILE).agg(
+        F.max(SIZE).alias("n_bytes"), F.count(F.lit(1)).alias("n_lines"),
+        F.concat_ws("-", F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit("x"), *columns)))
+        .alias("checksum"))
+    name = F.regexp_extract(FILE, "[^/]+$", 0)
+    return keys.select(FILE, F.regexp_extract(FILE, "/delivery=([^/]+)/", 1).alias("delivery"), name.alias("name"),
+                       "n_bytes", "n_lines", "checksum",
+                       F.pmod(F.xxhash64(name), F.lit(LEDGER_BUCKETS)).cast("int").alias("bucket"))
+
+
+def new_files(t: Transaction, batch: DataFrame) -> DataFrame | None:
+    """The rows of the batch's files that are not in the ledger ``files`` (None: there are none);
+    the files are entered in the same version. Equal files of one delivery have names of their own
+    and all count; the same file sent again, at any time and under any path, doesn't. The batch's
+    files are few (a micro-batch's limit) and are sent to the ledger, which is never collected."""
+    batch = t.staged(batch, "batch")
+    found = t.staged(file_keys(batch), "files")
+    key = ["bucket", "delivery", "name", "n_bytes", "checksum"]
+    fresh = found.dropDuplicates(key)
+    if "files" in t.base.tables:
+        buckets = [r[0] for r in found.select("bucket").distinct().collect()]  # at most LEDGER_BUCKETS
+        known = t.base.table("files", buckets).join(F.broadcast(found.select(*key)), key, "left_semi").select(*key)
+        fresh = fresh.join(F.broadcast(known), key, "left_anti")
+    fresh = t.staged(fresh, "fresh")
+    if fresh.isEmpty():
+        return None
+    t.add("files", fresh.select(*key[1:], "n_lines", "bucket"), "bucket")
+    return batch.join(F.broadcast(fresh.select(FILE)), FILE, "left_semi").drop(FILE, SIZE)
+
+
+def load_files(spark: SparkSession, root: str, batch: DataFrame, grain: str = "month", on_step: Step = None,
+               branch: str = MAIN) -> Version:
+    """Add the lines of a batch's new files to the model (see ``new_files``); ``batch`` is a typed feed
+    with ``FILE`` and ``SIZE`` of each line's file."""
+    def change(t: Transaction) -> bool | None:
+        rows = new_files(t, batch)
+        return False if rows is None else _load(t, rows, f"files of {t.txn}", grain)
+    return update(spark, root, "load files", change, on_step=on_step, branch=branch)
+
+
+def load(spark: SparkSession, root: str, feed: DataFrame, delivery: str, grain: str = "month", on_step: Step = None,
+         branch: str = MAIN) -> Version:
     """Add a typed feed to the store at ``root`` (made by its first load, with partitions of ``grain``).
     ``delivery`` identifies it: loaded once, whenever and however often it is sent."""
-    return update(spark, root, "load", lambda t: _load(t, feed, delivery, grain), on_step=on_step)
+    return update(spark, root, "load", lambda t: _load(t, feed, delivery, grain), on_step=on_step, branch=branch)
 
 
 def csv_feed(spark: SparkSession, path: str, exchange_id: int | None = None) -> DataFrame:
@@ -225,12 +272,13 @@ def _correct(t: Transaction, corrections: DataFrame, delivery: str, order: list[
 
 
 def correct(spark: SparkSession, root: str, corrections: DataFrame, delivery: str, order: list[str] | None = None,
-            on_step: Step = None) -> Version:
+            on_step: Step = None, branch: str = MAIN) -> Version:
     """Apply corrected rows (columns of ``trades``) by ``trade_id``; ids that are not stored are added.
     A row's version is its ``timestamp``: an older one than the stored row's is counted as stale
     and changes nothing, also in a later call; an equal one replaces it. Of several versions in one
     call the newest by ``order`` (default: ``timestamp``) counts. A delivery is applied once."""
-    return update(spark, root, "correct", lambda t: _correct(t, corrections, delivery, order or ["timestamp"]), on_step=on_step)
+    return update(spark, root, "correct", lambda t: _correct(t, corrections, delivery, order or ["timestamp"]),
+                  on_step=on_step, branch=branch)
 
 
 def keep_from(version: Version, months: int) -> int:
@@ -243,7 +291,7 @@ def keep_from(version: Version, months: int) -> int:
     return period_value(date(y, m, 1), version.info["grain"])
 
 
-def retain(spark: SparkSession, root: str, months: int, on_step: Step = None) -> Version:
+def retain(spark: SparkSession, root: str, months: int, on_step: Step = None, branch: str = MAIN) -> Version:
     """Drop the partitions before the last ``months`` calendar months from ``trades`` and ``daily``."""
     def change(t: Transaction) -> bool | None:
         first = keep_from(t.base, months)
@@ -252,10 +300,10 @@ def retain(spark: SparkSession, root: str, months: int, on_step: Step = None) ->
             return False
         for name in ("trades", "daily"):
             t.drop(name, old)
-    return update(spark, root, "retain", change, on_step=on_step)
+    return update(spark, root, "retain", change, on_step=on_step, branch=branch)
 
 
-def compact(spark: SparkSession, root: str, max_folders: int = 8, on_step: Step = None) -> Version:
+def compact(spark: SparkSession, root: str, max_folders: int = 8, on_step: Step = None, branch: str = MAIN) -> Version:
     """Write partitions of more than ``max_folders`` folders again as one, and small tables likewise."""
     def change(t: Transaction) -> bool | None:
         changed = False
@@ -271,4 +319,4 @@ def compact(spark: SparkSession, root: str, max_folders: int = 8, on_step: Step
                 t.add(name, rows, held["partition"], sort.get(name))
                 changed = True
         return None if changed else False
-    return update(spark, root, "compact", change, on_step=on_step)
+    return update(spark, root, "compact", change, on_step=on_step, branch=branch)

@@ -4,7 +4,9 @@ and runs over the whole feed derived from the driver tables."""
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,17 +105,24 @@ def dq_model_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ storage ----
 from derivspark.functions.metrics import round_half_up  # noqa: E402
 from derivspark.plans import analytics as A  # noqa: E402
+from derivspark.plans import maintain as MT  # noqa: E402
 from derivspark.plans import storage as S  # noqa: E402
-from derivspark.schemas import RAW_COLUMNS, TRADE_COLUMNS  # noqa: E402
+from derivspark.schemas import MEASURES, RAW_COLUMNS  # noqa: E402
 from derivspark.session import scratch_dir  # noqa: E402
 from derivspark.sources import raw_feed as RF  # noqa: E402
 from derivspark.sources.sinks import write_result_csv  # noqa: E402
+from derivspark.sources.store import model_of, read_model, store_root  # noqa: E402
 from derivspark.sources.testdata import read_table  # noqa: E402
+from derivspark.sources.versions import MAIN, Conflict, fork, open_version  # noqa: E402
 
 ARCHIVE_CUTOFF = "2019-09-01"
 KEEP_MONTHS = 2
 CORRECTION_FROM = "2019-11-01"
 DELIVERY_FILES = 4  # files an exchange in a delivery of stream_ingest
+EVENT_FILES = 4
+NEW_DAYS = 3  # trading days that are added to the stored history
+# Planted defects of load_reconciliation: every n-th order key.
+TOO_LONG, BLANK_DATE, BLANK_EXPIRY, BLANK_SYMBOL = 101, 103, 109, 113
 
 
 def exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,12 +155,115 @@ def archive_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.partition_summary(spark.read.parquet(path))
 
 
+def _maintained(spark: SparkSession, sf_dir: str, whole: bool = True) -> tuple[str, str]:
+    """(root, branch) of a store with versions over the feed of ``sf_dir``, built on first use: branch
+    ``main`` holds all days but the last ``NEW_DAYS``, branch ``whole`` has them added one by one."""
+    root = f"{store_root(spark, sf_dir)}-versions"
+    if not open_version(spark, root).number:
+        feed = fno_feed(spark, sf_dir)
+        MT.load(spark, root, feed.where(F.to_date("timestamp") < F.lit(_new_days(spark, sf_dir)[0])), "history")
+    if not whole:
+        return root, MAIN
+    if not open_version(spark, root, branch="whole").number:
+        with contextlib.suppress(Conflict):
+            fork(open_version(spark, root, 1), "whole")
+    if open_version(spark, root, branch="whole").number < 1 + NEW_DAYS:
+        _add_days(spark, sf_dir, root, "whole")
+    return root, "whole"
+
+
+def _new_days(spark: SparkSession, sf_dir: str) -> list:
+    last = open_model(spark, sf_dir).last_trade_date()
+    return [last - timedelta(days=d) for d in reversed(range(NEW_DAYS))]
+
+
+def _add_days(spark: SparkSession, sf_dir: str, root: str, branch: str) -> None:
+    feed = fno_feed(spark, sf_dir)
+    for day in _new_days(spark, sf_dir):
+        MT.load(spark, root, feed.where(F.to_date("timestamp") == F.lit(day)), f"day {day}", branch=branch)
+
+
+def _own_branch(spark: SparkSession, sf_dir: str, whole: bool = True) -> tuple[str, str]:
+    """A branch of the store for one job: shares the data, changes by itself."""
+    root, branch = _maintained(spark, sf_dir, whole)
+    name = f"job-{uuid.uuid4().hex[:12]}"
+    fork(open_version(spark, root, 1 if not whole else None, branch), name)
+    return root, name
+
+
+def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last trading days added to the stored history one by one, the last one sent twice: the
+    facts by their natural keys."""
+    root, branch = _own_branch(spark, sf_dir, whole=False)
+    for _ in range(2):  # the second round is known and changes nothing
+        _add_days(spark, sf_dir, root, branch)
+    m = read_model(spark, root, branch=branch)
+    return m.with_instrument(m.trades, "exchange_id", "instrument_type", "symbol", "series").select(
+        "exchange_id", "instrument_type", "symbol", "series", *N.CONTRACT_ATTRS, "trade_date", *MEASURES)
+
+
+def _corrections(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(versions that count, older ones) of the rows with an even volume."""
+    rows = rows.where("contracts % 2 = 0")
+    newer = rows.withColumn("change_in_oi", F.col("change_in_oi") + 1)
+    older = rows.withColumns({"change_in_oi": F.col("change_in_oi") + 9,
+                              "timestamp": (F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
+                              .cast(rows.schema["timestamp"].dataType)})
+    return newer, older
+
+
+def corrected_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections of prices, volumes and dates of the last month, in two runs, and the daily
+    aggregates that the store keeps: rows with a volume that 40 divides lose their low (now their
+    close), those that 30 divides have no volume, the others one more lot."""
+    root, branch = _own_branch(spark, sf_dir)
+    rows = open_version(spark, root, branch=branch).table("trades").where(F.col("trade_date") >= F.lit(CORRECTION_FROM).cast("date"))
+    lots = F.col("contracts")
+    fixed = rows.where("contracts % 20 = 0").withColumns({
+        "low": F.when(lots % 40 == 0, F.col("close")).otherwise(F.col("low")),
+        "contracts": F.when(lots % 30 == 0, F.lit(0)).otherwise(lots + 1)})
+    MT.correct(spark, root, fixed, "prices", branch=branch)
+    newer, _ = _corrections(rows.where("contracts % 20 <> 0"))
+    MT.correct(spark, root, newer, "interest", branch=branch)
+    m = read_model(spark, root, branch=branch)
+    keys = m.instruments.select("instrument_id", "exchange_id", "instrument_type", "symbol")
+    out = m.daily.join(keys, "instrument_id").drop("instrument_id")
+    return out.withColumns({c: round_half_up(c, 6) for c in ("sum_pct_hl", "sum_pct_rc")})
+
+
 def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = open_model(spark, sf_dir)
-    path = scratch_dir(spark, "retention")
-    S.write_partitioned(m.trades, path, partition_by=m.part_col)
-    S.drop_partitions_before(spark, path, S.keep_last_months(m, KEEP_MONTHS), column=m.part_col)
-    return S.partition_summary(spark.read.parquet(path))
+    """The last months kept in a branch of the store; per month the facts and, beside them, what the
+    daily aggregates of the same version say."""
+    root, branch = _own_branch(spark, sf_dir)
+    m = model_of(MT.retain(spark, root, KEEP_MONTHS, branch=branch))
+    daily = m.daily.groupBy(S.PARTITION).agg(F.sum("n_trades").cast("bigint").alias("daily_rows"),
+                                             F.sum("volume").cast("bigint").alias("daily_volume"))
+    return S.partition_summary(m.trades).join(daily, S.PARTITION)
+
+
+def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV with planted defects, loaded: lines = trades + rejects, by reason."""
+    feed, k = fno_feed(spark, sf_dir, keep_source_keys=True), F.col("l_orderkey")
+
+    def blank(column, every):
+        return F.when(k % every != 0, F.col(column)).otherwise(F.lit(None)).alias(column)
+
+    holes = feed.withColumns({c: blank(c, n) for c, n in (("timestamp", BLANK_DATE), ("expiry_date", BLANK_EXPIRY),
+                                                          ("symbol", BLANK_SYMBOL))})
+    raw = RF.write_raw_csv(RF.render_raw(holes.where(k % TOO_LONG != 0)), scratch_dir(spark, "holes-csv"))
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS], F.lit("x"), F.lit("y"))
+    long_lines = RF.render_raw(feed.where(k % TOO_LONG == 0)).select("exchange_id", F.lit(1).alias("at"), line.alias("value"))
+    head = spark.range(1, 4).select(F.col("id").cast("int").alias("exchange_id"), F.lit(0).alias("at"),
+                                    F.lit(",".join(RAW_COLUMNS)).alias("value"))
+    (head.unionByName(long_lines).repartition("exchange_id").sortWithinPartitions("exchange_id", "at")
+     .select("value", "exchange_id").write.mode("append").partitionBy("exchange_id").text(raw))
+    root = scratch_dir(spark, "reconciled")
+    MT.load_csv(spark, raw, root)
+    v = open_version(spark, root)
+    rejects = v.table("rejects").groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_lines"))
+    trades = v.table("trades").agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit("trade").alias("outcome"), "n_lines")
+    total = v.table("deliveries").agg(F.sum("n_lines").alias("n_lines")).select(F.lit("all lines").alias("outcome"), "n_lines")
+    return rejects.unionByName(trades).unionByName(total)
 
 
 def split_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,45 +311,62 @@ def ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 from derivspark.streaming import bars as SB, ingest as SI, upsert as SU  # noqa: E402
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries of several files an exchange: first the newer half of the days, then
-    the older ones, late. The second run has a new checkpoint, so it gets the first files again."""
+def _deliveries(spark: SparkSession, sf_dir: str):
+    """Two deliveries of several files an exchange, as folders of one inbox: first the newer half of
+    the days, then the older ones, late. Yields the inbox after each."""
     feed = fno_feed(spark, sf_dir, keep_source_keys=True)
-    inbox, out = (scratch_dir(spark, n) for n in ("stream-in", "stream-out"))
+    inbox = scratch_dir(spark, "stream-in")
     late = feed.agg(F.percentile_approx(F.unix_date(F.to_date("timestamp")), 0.5)).first()[0]
     newer = F.unix_date(F.to_date("timestamp")) >= late
     for n, part in enumerate((newer, ~F.coalesce(newer, F.lit(False)))):
-        (RF.render_raw(feed.where(part)).repartition(DELIVERY_FILES).write.mode("append").partitionBy("exchange_id")
-         .option("header", "true").csv(inbox))  # copies of a row are spread over the files
+        (RF.render_raw(feed.where(part)).repartition(DELIVERY_FILES).write.partitionBy("exchange_id")
+         .option("header", "true").csv(f"{inbox}/delivery={n}"))  # copies of a row are spread over the files
+        yield inbox
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries landed as they come. The second run has a new checkpoint, so it is given the first
+    files again, which the ledger knows."""
+    out = scratch_dir(spark, "stream-out")
+    for n, inbox in enumerate(_deliveries(spark, sf_dir)):
         SI.run_ingest(spark, inbox, out, scratch_dir(spark, f"stream-ck-{n}"))
-    return spark.read.parquet(out).drop("trade_month")
+    return open_version(spark, out).table("feed").drop(SI.PARTITION)
+
+
+def stream_to_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries streamed into a model: its daily aggregates by symbol."""
+    out = scratch_dir(spark, "stream-model")
+    for n, inbox in enumerate(_deliveries(spark, sf_dir)):
+        SI.run_ingest(spark, inbox, out, scratch_dir(spark, f"model-ck-{n}"), into_model=True)
+    m = read_model(spark, out)
+    return m.with_exchange(m.daily, "symbol").groupBy("symbol", "exchange_code", "trade_date").agg(
+        F.sum("n_trades").cast("bigint").alias("n_trades"), F.sum("volume").cast("bigint").alias("volume"),
+        F.sum("value").cast("decimal(38,2)").alias("value"), F.min("day_low").alias("day_low"), F.max("day_high").alias("day_high"))
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copy of the fact, then a correction stream: of the rows from a date on those with
-    an even volume (so that others of their contract and day stay), each in the
-    version that counts, change_in_oi + 1, and in an older one in a later file."""
-    m = open_model(spark, sf_dir)
-    table = scratch_dir(spark, "upsert-table")
-    S.write_partitioned(m.trades, table, partition_by=m.part_col)
+    """Correction streams to a branch of the store, of the rows from a date on with an even volume (so
+    that others of their contract and day stay): a run with the version that counts (change_in_oi
+    + 1) and an older one in a later file, then a run with the older ones alone."""
+    root, branch = _own_branch(spark, sf_dir)
+    rows = open_version(spark, root, branch=branch).table("trades")
+    newer, older = _corrections(rows.where(F.col("trade_date") >= F.lit(CORRECTION_FROM).cast("date")))
     inbox = scratch_dir(spark, "upsert-inbox")
-    rows = m.trades_between(CORRECTION_FROM).where("contracts % 2 = 0")
-    newer = rows.withColumn("change_in_oi", F.col("change_in_oi") + 1)
-    older = rows.withColumns({"change_in_oi": F.col("change_in_oi") + 9,
-                              "timestamp": (F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
-                              .cast(rows.schema["timestamp"].dataType)})
     newer.write.parquet(inbox)
     older.write.mode("append").parquet(inbox)
-    SU.run_upserts(spark, inbox, table, scratch_dir(spark, "upsert-ck"), scratch_dir(spark, "upsert-stage"),
-                   part_col=m.part_col)
-    return spark.read.parquet(table).select(*[c for c in TRADE_COLUMNS if c != "trade_id"])
+    late = scratch_dir(spark, "upsert-late")
+    older.write.parquet(late)
+    for n, folder in enumerate((inbox, late)):
+        SU.run_corrections(spark, folder, root, scratch_dir(spark, f"upsert-ck-{n}"), branch=branch)
+    m = read_model(spark, root, branch=branch)
+    return m.with_instrument(m.trades, "exchange_id", "instrument_type", "symbol").select(
+        "exchange_id", "instrument_type", "symbol", *N.CONTRACT_ATTRS, "trade_date", *MEASURES, "timestamp")
 
 
 def stream_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events arrive as files; closed 1-day bars per event type."""
+    """Events arrive as files, a few a batch; 1-day bars per event type, closed and open."""
     events = read_table(spark, sf_dir, "events")
-    inbox = scratch_dir(spark, "events-inbox")
-    events.write.parquet(inbox)
-    out = scratch_dir(spark, "bars-out")
-    SB.run_daily_bars(spark, inbox, out, scratch_dir(spark, "bars-ck"), events.schema)
-    return spark.read.parquet(out)
+    inbox, out = scratch_dir(spark, "events-inbox"), scratch_dir(spark, "bars-out")
+    events.repartition(EVENT_FILES).write.parquet(inbox)
+    SB.run_daily_bars(spark, inbox, out, scratch_dir(spark, "bars-ck"), events.schema, max_files=EVENT_FILES // 2)
+    return SB.read_bars(spark, out)

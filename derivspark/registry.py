@@ -51,6 +51,7 @@ NULLABLE_INTEGER_OUTPUTS = {
     "full_q4_option_chain": ["call_volume", "call_oi", "put_volume", "put_oi"],
     "pivot_null": ["ce_max_oi_change", "pe_max_oi_change"],
     "daily_rollup": ["min_pos_contracts", "pos_volume", "pos_oi", "sum_contracts_hl"],
+    "corrected_rollup": ["min_pos_contracts", "pos_volume", "pos_oi", "sum_contracts_hl"],
 }
 
 
@@ -132,5 +133,6 @@ for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_k
 
 for _key in ["exchange_dim", "insert_if_new", "monthly_partition_rollup", "archive_slice", "retention_keep",
              "daily_rollup", "ingest_raw_csv", "ingest_typed", "stream_ingest", "upsert_latest",
-             "stream_daily_bars", "split_by_year", "csv_result_sink"]:
+             "stream_daily_bars", "split_by_year", "csv_result_sink", "append_day", "corrected_rollup",
+             "load_reconciliation", "stream_to_model"]:
     REGISTRY[_key] = _reported(_key, getattr(MJ, _key))

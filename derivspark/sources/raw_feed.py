@@ -54,6 +54,13 @@ def stream_raw_csv(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
             .option("maxFilesPerTrigger", max_files).csv(path))
 
 
+def stream_raw_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """As ``stream_raw_csv``, keeping malformed lines with their text in ``CORRUPT``."""
+    spark.conf.set(*NO_CSV_PRUNING)
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True), RAW_WITH_EXCHANGE["exchange_id"]])
+    return spark.readStream.schema(schema).options(**LINE_OPTIONS).option("maxFilesPerTrigger", max_files).csv(path)
+
+
 def lenient_decimal(c: str, dtype: T.DecimalType) -> Column:
     return F.col(c).try_cast(dtype)
 

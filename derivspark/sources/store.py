@@ -38,7 +38,7 @@ from derivspark.session import shared_root
 from derivspark.sources import fixtures
 from derivspark.sources.fs import delete_path, exists, list_partitions, publish
 from derivspark.sources.testdata import fingerprint
-from derivspark.sources.versions import Version, open_version
+from derivspark.sources.versions import MAIN, Version, open_version
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
@@ -280,9 +280,9 @@ def model_of(version: Version) -> Model:
                  grain=grain, periods=version.partitions("trades"))
 
 
-def read_model(spark: SparkSession, root: str, version: int | None = None) -> Model:
-    """The store at ``root``; of a store with versions the latest one, or a given one."""
-    held = open_version(spark, root, version)
+def read_model(spark: SparkSession, root: str, version: int | None = None, branch: str = MAIN) -> Model:
+    """The store at ``root``; of a store with versions a branch's latest one, or a given one."""
+    held = open_version(spark, root, version, branch)
     if held.number:
         return model_of(held)
     meta = {r["table"]: r["n_rows"] for r in spark.read.parquet(f"{root}/_meta").collect()}  # a few rows

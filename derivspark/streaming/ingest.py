@@ -1,89 +1,65 @@
 """Continuous ingest of raw feed files (Structured Streaming).
 
-File source over the raw CSV folders -> the same lenient typed projection as
-the batch loader -> month-partitioned Parquet. Rows have no key, so deliveries are
-recognised by file: every copy of a row in every new file is stored, and a file whose
-content (length, number and checksum of its typed rows) is in the ledger beside the
-table, or twice in a delivery, is a replay and adds nothing, whatever its name. There is
-no watermark, so a late delivery (another exchange, an older day) is never dropped.
-``max_files`` bounds a micro-batch, and with it the files that the driver lists.
+File source over the raw CSV folders -> the same lenient typed projection as the batch loader ->
+one version of the target a micro-batch (``sources/versions.py``). Rows have no key, so files
+are what is recognised: every line of every new file is stored, and a file that is sent again
+(delivery, name, length, checksum) adds nothing; see ``maintain.new_files``. Data, rejected
+lines and the ledger of files appear together or not at all, so a batch that broke off
+and is tried again is neither lost nor doubled. There is no watermark, so a late delivery
+(another exchange, an older day) is never dropped.
 
-Before a batch is appended, the table's files are noted; what an attempt that broke off
-has added besides them is deleted first. One query at a time writes a table.
+Targets: the model itself (``into_model``: dimensions, facts and aggregates, as a batch load), or a
+landing store with the tables ``feed`` (typed rows by month), ``rejects`` and ``files``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derivspark.functions.metrics import month_key
-from derivspark.sources.fs import delete_path, exists, file_stats
-from derivspark.sources.raw_feed import stream_raw_csv, typed_feed
+from derivspark.plans.maintain import FILE, LINE, SIZE, load_files, new_files
+from derivspark.schemas import RAW_COLUMNS
+from derivspark.sources.raw_feed import CORRUPT, stream_raw_lines, typed_feed
+from derivspark.sources.versions import MAIN, Transaction, Version, update
 
 PARTITION = "trade_month"
-FILE, SIZE = "_file", "_file_size"
-LEDGER = "key string, token string"
 MAX_FILES = 1000
 
 
 def ingest_stream(raw: DataFrame) -> DataFrame:
-    typed = typed_feed(raw.withColumns({FILE: F.col("_metadata.file_path"), SIZE: F.col("_metadata.file_size")}),
-                       keep=(FILE, SIZE))
-    return typed.where(F.col("timestamp").isNotNull()).withColumn(PARTITION, month_key(F.to_date("timestamp")))
-
+    """Typed rows with their line, file and its length."""
+    text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*RAW_COLUMNS)))
+    named = raw.withColumns({FILE: F.col("_metadata.file_path"), SIZE: F.col("_metadata.file_size"), LINE: text})
+    return typed_feed(named, keep=(CORRUPT, LINE, FILE, SIZE))
 
-def _undo_broken_attempt(spark: SparkSession, out_dir: str, ledger: str) -> None:
-    pending = f"{ledger}/pending"
-    if exists(spark, f"{pending}/_SUCCESS"):
-        noted = spark.read.parquet(pending).collect()  # a row a file of the table
-        token = noted[0].token
-        done = exists(spark, f"{ledger}/files") and not spark.read.schema(LEDGER).parquet(f"{ledger}/files") \
-            .where(F.col("token") == token).isEmpty()
-        if not done and exists(spark, out_dir):
-            had = {r.path for r in noted}
-            for path, _, _ in file_stats(spark, out_dir):
-                if path not in had:
-                    delete_path(spark, path)
-    if exists(spark, pending):
-        delete_path(spark, pending)
 
+def ingest_batch(spark: SparkSession, batch: DataFrame, root: str, on_step=None) -> Version:
+    """Land the lines of the batch's new files."""
+    def change(t: Transaction) -> bool | None:
+        rows = new_files(t, batch)
+        if rows is None:
+            return False
+        reason = F.when(F.col(CORRUPT).isNotNull(), "malformed line").when(F.col("timestamp").isNull(), "no trade date")
+        rows = rows.withColumn("_reason", reason)
+        good = rows.where(F.col("_reason").isNull()).drop("_reason", CORRUPT, LINE)
+        t.add("feed", good.withColumn(PARTITION, month_key(F.to_date("timestamp"))), PARTITION)
+        t.add("rejects", rows.where(F.col("_reason").isNotNull())
+              .select("exchange_id", F.col("_reason").alias("reason"), F.col(LINE).alias("line")))
+    return update(spark, root, "ingest", change, on_step=on_step)
 
-def ingest_batch(spark: SparkSession, batch: DataFrame, out_dir: str) -> None:
-    """Append the rows of the batch's files that were not stored before."""
-    ledger = f"{out_dir.rstrip('/')}-ledger"
-    columns = [c for c in batch.columns if c not in (FILE, SIZE)]
-    _undo_broken_attempt(spark, out_dir, ledger)
-    seen = {r.key for r in spark.read.schema(LEDGER).parquet(f"{ledger}/files").collect()} \
-        if exists(spark, f"{ledger}/files") else set()
-    files = batch.groupBy(FILE).agg(F.concat_ws(
-        "-", F.max(SIZE), F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")),
-        F.bit_xor(F.xxhash64(F.lit("x"), *columns))).alias("key")).collect()  # at most max_files rows
-    new = {}
-    for r in sorted(files, key=lambda r: r[FILE]):
-        if r.key not in seen:
-            new.setdefault(r.key, r[FILE])
-    if not new:
-        return
-    token = uuid.uuid4().hex
-    noted = [(path, token) for path, _, _ in file_stats(spark, out_dir)] if exists(spark, out_dir) else []
-    spark.createDataFrame(noted or [(None, token)], "path string, token string").write.parquet(f"{ledger}/pending")
-    chosen = spark.createDataFrame([(f,) for f in new.values()], f"{FILE} string")
-    (batch.join(F.broadcast(chosen), FILE, "left_semi").select(*columns)
-     .write.mode("append").partitionBy(PARTITION).parquet(out_dir))
-    spark.createDataFrame([(k, token) for k in new], LEDGER).coalesce(1).write.mode("append").parquet(f"{ledger}/files")
-    delete_path(spark, f"{ledger}/pending")
 
+def run_ingest(spark: SparkSession, raw_dir: str, root: str, checkpoint: str, available_now: bool = True,
+               max_files: int = MAX_FILES, into_model: bool = False, branch: str = MAIN):
+    """Start the ingest query; with ``available_now`` it processes what is in ``raw_dir`` and stops."""
+    def store(df: DataFrame, epoch: int) -> None:
+        if into_model:
+            load_files(df.sparkSession, root, df, branch=branch)
+        else:
+            ingest_batch(df.sparkSession, df, root)
 
-def run_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, available_now: bool = True,
-               max_files: int = MAX_FILES):
-    """Start the ingest query; with ``available_now`` it processes what is in
-    ``raw_dir`` and stops."""
-    writer = (ingest_stream(stream_raw_csv(spark, raw_dir, max_files)).writeStream
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, epoch: ingest_batch(df.sparkSession, df, out_dir)))
+    writer = (ingest_stream(stream_raw_lines(spark, raw_dir, max_files)).writeStream
+              .option("checkpointLocation", checkpoint).foreachBatch(store))
     q = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
     if available_now:
         q.awaitTermination()

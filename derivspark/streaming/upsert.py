@@ -1,7 +1,13 @@
 """Corrections as upserts on the month-partitioned fact.
 
 A row is identified by its ``trade_id``. Of several versions of one row in a
-micro-batch the newest stays (``timestamp``, then file time, then the values).
+micro-batch the newest stays (``timestamp``, then file time, then the values); it
+replaces the stored row unless that has a newer ``timestamp``, so an older version
+that arrives in a later run changes nothing.
+
+``run_corrections`` applies a stream of corrections to a store with versions
+(``plans/maintain.correct``), where fact and aggregates change together.
+``upsert_batch`` and ``run_upserts`` work on a plain partitioned table:
 The partitions that hold a corrected row, before or after its correction, are
 read; corrected rows are replaced, new ids added, the result is staged, and only
 those partitions are overwritten. Other partitions are never rewritten.
@@ -16,11 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from derivspark.plans.maintain import correct
 from derivspark.sources.fs import delete_path, exists, list_partitions
+from derivspark.sources.versions import MAIN, open_version
 
 PARTITION = "trade_month"
 KEY = ["trade_id"]
 FILE_TIME = "_file_time"
+VERSION = "timestamp"
 
 
 def newest_versions(batch: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
@@ -39,7 +48,12 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, table: str, staging_root
         if not batch.where(" or ".join(f"{k} is null" for k in key)).isEmpty():
             raise ValueError("a correction without a key")
         current = spark.read.parquet(table)
-        fixed = newest_versions(batch, key, current.columns).persist()
+        fixed = newest_versions(batch, key, current.columns)
+        if VERSION in current.columns:
+            stored = current.select(*key, F.col(VERSION).alias("_stored"))
+            not_older = F.col("_stored").isNull() | F.coalesce(F.col(VERSION) >= F.col("_stored"), F.lit(False))
+            fixed = fixed.join(stored, key, "left").where(not_older).drop("_stored").select(*current.columns)
+        fixed = fixed.persist()
         # Partition values that the batch touches, or that hold a corrected row: bounded by the partition count.
         old = current.select(*key, part_col).join(fixed.select(*key), key, "left_semi").select(part_col)
         months = sorted(r[0] for r in fixed.select(part_col).union(old).distinct().collect())
@@ -82,3 +96,18 @@ def run_upserts(spark: SparkSession, inbox: str, table: str, checkpoint: str, st
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def run_corrections(spark: SparkSession, inbox: str, root: str, checkpoint: str, max_files: int = 1000, branch: str = MAIN):
+    """Apply every correction file in ``inbox`` (Parquet, columns of ``trades``) to the store at
+    ``root`` and stop. A micro-batch is one delivery, known by checkpoint and number."""
+    schema = open_version(spark, root, branch=branch).table("trades").schema
+    source = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(inbox)
+              .select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME)))
+
+    def apply(df: DataFrame, epoch: int) -> None:
+        correct(df.sparkSession, root, df, f"{checkpoint}#{epoch}", [VERSION, FILE_TIME], branch=branch)
+
+    q = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
