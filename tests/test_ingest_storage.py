@@ -114,19 +114,30 @@ def test_insert_if_new_skips_existing_and_batch_duplicates(spark):
     assert sorted((r.instrument_id, r.exchange_id, r.symbol) for r in new) == [(3, 1, "C"), (4, 2, "B")]
 
 
-def test_stream_bars_equal_batch_bars_on_closed_windows(spark, tmp_path):
+def test_stream_bars_hold_every_event_open_days_and_late_ones(spark, tmp_path):
     from tests.conftest import SF001
     events = spark.read.parquet(f"{SF001}/events.parquet")
-    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
-    events.write.parquet(inbox)
-    SB.run_daily_bars(spark, inbox, out, str(tmp_path / "ck"), events.schema)
-    streamed = spark.read.parquet(out)
-    batch = SB.daily_bars(events)  # same transform, batch mode: every window
-    wm = events.agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
-    closed = batch.where(F.col("bar_date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-                         <= F.lit(wm.isoformat(sep=" ")).cast("timestamp_ntz"))
-    assert streamed.count() > 0
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, closed.collect()))
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "bars")
+    middle = events.agg(F.percentile_approx(F.unix_date(F.to_date("ts")), 0.5)).first()[0]
+    newer = F.unix_date(F.to_date("ts")) >= middle
+    events.where(newer).repartition(3).write.parquet(inbox)
+    SB.run_daily_bars(spark, inbox, root, str(tmp_path / "ck"), events.schema, max_files=2)
+    events.where(~newer).write.mode("append").parquet(inbox)  # far later than any watermark
+    SB.run_daily_bars(spark, inbox, root, str(tmp_path / "ck"), events.schema)
+    want = sorted(map(tuple, SB.daily_bars(events).collect()))  # the same aggregate over all events at once
+    assert sorted(map(tuple, SB.read_bars(spark, root).collect())) == want
+    SB.add_events(spark, root, events, str(tmp_path / "ck"), 0)  # a batch that is tried again
+    assert sorted(map(tuple, SB.read_bars(spark, root).collect())) == want
+
+
+def test_bars_of_ties_and_nulls(spark, tmp_path):
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    at = dt.datetime(2024, 1, 1, 9)
+    root = str(tmp_path / "bars")
+    SB.add_events(spark, root, spark.createDataFrame([(2, at, "a", 5.0), (3, at, "a", 7.0), (4, None, "a", 1.0)], schema), "s", 0)
+    SB.add_events(spark, root, spark.createDataFrame([(1, at, "a", 6.0), (9, at, None, 2.0)], schema), "s", 1)
+    got = {r.event_type: (r.open, r.high, r.low, r.close, r.n_events, r.total_value) for r in SB.read_bars(spark, root).collect()}
+    assert got == {"a": (6.0, 7.0, 5.0, 7.0, 3, 18.0), None: (2.0, 2.0, 2.0, 2.0, 1, 2.0)}
 
 
 def test_load_counters_rows_in_equal_trades_plus_rejects(spark, tmp_path):
@@ -219,3 +230,14 @@ def test_upsert_takes_the_newest_timestamp_not_the_latest_file(spark):
     batch = spark.createDataFrame(rows, f"trade_id long, v int, timestamp timestamp_ntz, {SU.FILE_TIME} timestamp")
     got = {r.trade_id: r.v for r in SU.newest_versions(batch, ["trade_id"], ["trade_id", "v", "timestamp"]).collect()}
     assert got == {1: 5, 2: 6}
+
+
+def test_upsert_refuses_an_older_version_in_a_later_run(spark, tmp_path):
+    table = str(tmp_path / "fact")
+    rows = [(1, dt.date(2019, 8, 5), 10, dt.datetime(2019, 8, 5), 201908)]
+    schema = "trade_id long, trade_date date, change_in_oi bigint, timestamp timestamp_ntz, trade_month int"
+    S.write_partitioned(spark.createDataFrame(rows, schema), table)
+    for epoch, (day, value, want) in enumerate([(7, 1, 1), (6, 9, 1), (7, 2, 2), (8, 3, 3)]):
+        fix = spark.createDataFrame([(1, dt.date(2019, 8, 5), value, dt.datetime(2019, 8, day), 201908)], schema)
+        SU.upsert_batch(spark, fix, table, str(tmp_path / "stage"), epoch)
+        assert [r.change_in_oi for r in spark.read.parquet(table).collect()] == [want], epoch

@@ -1,14 +1,14 @@
 """Wide heat-map pivot, DQ quarantine and replay-safe stream ingest."""
 
-import shutil
-
 from pyspark.sql import functions as F
 
 from derivspark.plans import analytics as A
+from derivspark.plans import maintain as MT
 from derivspark.plans import quality as Q
 from derivspark.sources import raw_feed as RF
 from derivspark.sources.fixtures import NIFTY, fno_feed
-from derivspark.sources.store import open_model
+from derivspark.sources.store import open_model, read_model
+from derivspark.sources.versions import open_version
 from derivspark.streaming import ingest as SI
 from tests.conftest import SF001, SF01
 
@@ -36,34 +36,92 @@ def test_quarantine_lists_failed_rules(spark):
                                                        if v and not k.startswith("not_null")}
 
 
-def test_stream_ingest_drops_a_replayed_file(spark, tmp_path):
-    raw = str(tmp_path / "raw")
-    RF.write_raw_csv(RF.render_raw(fno_feed(spark, SF001, keep_source_keys=True)), raw)
-    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
-    SI.run_ingest(spark, raw, once, str(tmp_path / "ck1"))
-    # deliver every file of exchange 1 a second time (a replay)
-    src = tmp_path / "raw" / "exchange_id=1"
-    for f in list(src.glob("*.csv")):
-        shutil.copy(f, src / f"replay-{f.name}")
-    SI.run_ingest(spark, raw, twice, str(tmp_path / "ck2"))
-    a, b = spark.read.parquet(once), spark.read.parquet(twice)
-    assert b.count() == a.count() and b.exceptAll(a).count() == 0
-
-
-def test_stream_ingest_keeps_copies_in_several_files_and_a_later_file(spark, tmp_path):
-    raw, out, ck = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "ck")
+def _inbox(spark, tmp_path):
+    """Two raw lines of exchange 1, and a writer of files made of them."""
+    raw = tmp_path / "raw"
     RF.write_raw_csv(RF.render_raw(fno_feed(spark, SF001, keep_source_keys=True).where("exchange_id = 1").limit(2)).coalesce(1), str(raw))
     folder = raw / "exchange_id=1"
     first = next(folder.glob("*.csv"))
     head, a, b = first.read_text().splitlines()
-    put = lambda name, *lines: (folder / name).write_text("\n".join([head, *lines]) + "\n")
     first.unlink()
-    put("p1.csv", a, a, b), put("p2.csv", a, a, a)
-    SI.run_ingest(spark, str(raw), out, ck)
-    n = lambda: sorted(r["count"] for r in spark.read.parquet(out).groupBy(*spark.read.parquet(out).columns).count().collect())
-    assert n() == [1, 5]
-    put("p3.csv", a), put("p4.csv", a, a, b)  # a later file, and the first one again under another name
-    SI.run_ingest(spark, str(raw), out, ck)
-    assert n() == [1, 6]
-    SI.run_ingest(spark, str(raw), out, str(tmp_path / "ck2"))  # everything again
-    assert n() == [1, 6]
+
+    def put(name, *lines, into="raw/exchange_id=1"):
+        (tmp_path / into).mkdir(parents=True, exist_ok=True)
+        (tmp_path / into / name).write_text("\n".join([head, *lines]) + "\n")
+    return str(raw), a, b, put
+
+
+def _copies(spark, root):
+    rows = open_version(spark, root).table("feed")
+    return sorted(r["count"] for r in rows.groupBy(*rows.columns).count().collect())
+
+
+def test_stream_ingest_stores_every_file_once(spark, tmp_path):
+    raw, a, b, put = _inbox(spark, tmp_path)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    put("p1.csv", a, a, b), put("p2.csv", a, a, b)  # equal files of one delivery: both count
+    SI.run_ingest(spark, raw, out, ck)
+    assert _copies(spark, out) == [2, 4]
+    SI.run_ingest(spark, raw, out, str(tmp_path / "ck2"))  # everything again: known
+    assert _copies(spark, out) == [2, 4] and open_version(spark, out).number == 1
+    put("p3.csv", a), put("p1.csv", a, a, b, b)  # a later file, and a known name with other content
+    SI.run_ingest(spark, raw, out, str(tmp_path / "ck3"))
+    assert _copies(spark, out) == [4, 7]
+    put("p3.csv", a, into="elsewhere/exchange_id=1")  # sent again from another place
+    SI.run_ingest(spark, str(tmp_path / "elsewhere"), out, str(tmp_path / "ck4"))
+    assert _copies(spark, out) == [4, 7]
+    put("late.csv", a + ",x", "junk", b.replace("2019", "x"))
+    SI.run_ingest(spark, raw, out, ck)
+    v = open_version(spark, out)
+    assert _copies(spark, out) == [4, 7] and v.rows("files") == 5
+    assert sorted(r.reason for r in v.table("rejects").collect()) == ["malformed line", "malformed line", "no trade date"]
+
+
+def test_the_same_file_in_a_new_delivery_is_new(spark, tmp_path):
+    _, a, b, put = _inbox(spark, tmp_path)
+    out, inbox = str(tmp_path / "out"), str(tmp_path / "in")
+    put("p.csv", a, b, into="in/delivery=1/exchange_id=1")
+    SI.run_ingest(spark, inbox, out, str(tmp_path / "ck"))
+    put("p.csv", a, b, into="in/delivery=2/exchange_id=1")
+    SI.run_ingest(spark, inbox, out, str(tmp_path / "ck"))
+    SI.run_ingest(spark, inbox, out, str(tmp_path / "ck2"))
+    assert _copies(spark, out) == [2, 2]
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_batch_that_broke_off_is_neither_lost_nor_doubled(spark, tmp_path):
+    raw, a, b, put = _inbox(spark, tmp_path)
+    put("p.csv", a, b, b)
+    batch = SI.ingest_stream(RF.read_raw_lines(spark, raw)).cache()
+    root = str(tmp_path / "out")
+    for step in range(20):
+        seen = [0]
+
+        def hook(name):
+            seen[0] += 1
+            if seen[0] > step:
+                raise Broken(name)
+        try:
+            SI.ingest_batch(spark, batch, root, on_step=hook)
+        except Broken as e:
+            if str(e) == "after publish":
+                break
+            assert open_version(spark, root).number == 0
+    assert SI.ingest_batch(spark, batch, root).number == 1 and _copies(spark, root) == [1, 2]
+
+
+def test_streaming_into_the_model_equals_a_load(spark, tmp_path):
+    raw, model, once = (str(tmp_path / n) for n in ("raw", "model", "once"))
+    feed = fno_feed(spark, SF001, keep_source_keys=True)
+    RF.write_raw_csv(RF.render_raw(feed), raw)
+    SI.run_ingest(spark, raw, model, str(tmp_path / "ck"), into_model=True)
+    SI.run_ingest(spark, raw, model, str(tmp_path / "ck2"), into_model=True)  # known files
+    MT.load_csv(spark, raw, once)
+    streamed, loaded = read_model(spark, model), read_model(spark, once)
+    assert open_version(spark, model).number == 1
+    for t in ("instruments", "expiries", "trades", "daily"):
+        x, y = getattr(streamed, t), getattr(loaded, t)
+        assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty(), t
