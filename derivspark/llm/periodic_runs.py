@@ -88,9 +88,10 @@ def common_before(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray, start:
 
 
 def smaller_before(v: np.ndarray, strict: bool) -> np.ndarray:
-    """Index of the nearest earlier value below v[i] (or equal, unless strict); v[0] must be below all."""
+    """Index of the nearest earlier value below v[i] (or equal, unless strict) for all v[i] > 0;
+    v[0] must be below all."""
     p = np.maximum(np.arange(len(v)) - 1, 0)
-    todo = np.arange(1, len(v))
+    todo = np.flatnonzero(v > 0)
     while len(todo):
         far = v[p[todo]] >= v[todo] if strict else v[p[todo]] > v[todo]
         todo = todo[far]
