@@ -2,26 +2,36 @@
 
     python -m derivspark.cli load     --sf-dir DIR
     python -m derivspark.cli load-csv --csv DIR --store DIR [--exchange-id N] [--grain month|week|day]
+    python -m derivspark.cli append-csv --csv DIR --store DIR [--exchange-id N] [--delivery NAME]
+    python -m derivspark.cli correct  --csv PARQUET_DIR --store DIR [--delivery NAME]
+    python -m derivspark.cli retain   --store DIR --months N
+    python -m derivspark.cli compact  --store DIR
+    python -m derivspark.cli vacuum   --store DIR
+    python -m derivspark.cli rejects  --store DIR [--out OUT]
     python -m derivspark.cli reports  (--store DIR | --sf-dir DIR) [--out OUT] [--form runner|full]
     python -m derivspark.cli charts   (--store DIR | --sf-dir DIR) [--out OUT]
     python -m derivspark.cli stats    (--store DIR | --sf-dir DIR)
 
 Results are printed whole and written as CSV with a header, with their own types
 (DATE, DECIMAL). ``--symbols`` names the two index symbols of the symbol reports:
-NIFTY,BANKNIFTY on a store, their stand-ins on the test tables.
+NIFTY,BANKNIFTY on a store, their stand-ins on the test tables. ``append-csv`` adds a delivery (e.g. a
+trading day) once; ``correct`` replaces trades by id unless the stored version is newer; both, and
+``retain``, make one new version of the store, and running reports keep the one they opened.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from derivspark.plans import analytics as A
 from derivspark.session import get_spark
 from derivspark.sources import fixtures
 from derivspark.sources.sinks import print_result, write_result_csv
-from derivspark.plans.maintain import append_csv, compact, load_csv, retain
+from derivspark.plans.maintain import append_csv, compact, correct, load_csv, retain
 from derivspark.sources.store import open_model, read_model
-from derivspark.sources.versions import vacuum
+from derivspark.sources.versions import open_version, vacuum
 
 REPORTS = {
     "runner": ["runner_q1_oi_change", "runner_q2_volatility", "runner_q3_cross_exchange", "runner_q4_option_chain",
@@ -42,7 +52,8 @@ def parameters(key: str, symbols: list[str]) -> dict:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="derivspark")
-    ap.add_argument("command", choices=["load", "load-csv", "reports", "charts", "stats"])
+    ap.add_argument("command", choices=["load", "load-csv", "append-csv", "correct", "retain", "compact", "vacuum", "rejects",
+                                        "reports", "charts", "stats"])
     ap.add_argument("--sf-dir")
     ap.add_argument("--csv")
     ap.add_argument("--store")
@@ -51,15 +62,39 @@ def main(argv=None) -> None:
     ap.add_argument("--out", default=None)
     ap.add_argument("--form", choices=sorted(REPORTS), default="runner")
     ap.add_argument("--symbols", default=None)
+    ap.add_argument("--delivery", default=None)
+    ap.add_argument("--months", type=int, default=None)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
-    needed = {"load": a.sf_dir, "load-csv": a.csv and a.store}.get(a.command, a.store or a.sf_dir)
+    files = a.csv and a.store
+    needed = {"load": a.sf_dir, "load-csv": files, "append-csv": files, "correct": files, "retain": a.store and a.months,
+              "compact": a.store, "vacuum": a.store, "rejects": a.store}.get(a.command, a.store or a.sf_dir)
     if not needed:
         ap.error(f"{a.command} needs its input folder")
     spark = get_spark(a.master)
     if a.command == "load-csv":
         print(load_csv(spark, a.csv, a.store, a.exchange_id, a.grain).rows)
         return
+    if a.command == "append-csv":
+        print(append_csv(spark, a.csv, a.store, a.exchange_id, a.delivery).rows)
+        return
+    if a.command == "correct":
+        v = correct(spark, a.store, spark.read.parquet(a.csv), a.delivery or a.csv)
+        print(v.table("deliveries").where(F.col("delivery") == (a.delivery or a.csv)).first().asDict())
+        return
+    if a.command in ("retain", "compact"):
+        v = retain(spark, a.store, a.months) if a.command == "retain" else compact(spark, a.store)
+        print({"version": v.number, "trades": v.rows("trades"), "partitions": v.partitions("trades")})
+        return
+    if a.command == "vacuum":
+        print(f"{len(vacuum(spark, a.store))} files and folders removed")
+        return
+    if a.command == "rejects":
+        rejects = open_version(spark, a.store).table("rejects")
+        print_result(rejects.groupBy("delivery", "reason").count().orderBy("delivery", "reason"))
+        if a.out:
+            write_result_csv(rejects, f"{a.out}/rejects")
+        return
     if a.command == "load":
         print(open_model(spark, a.sf_dir).rows)
         return

@@ -57,6 +57,16 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     return F.round(_c(c).cast("decimal(38,10)"), scale).cast("double")
 
 
+# Sums of money: exact to 10^36 units, two decimals.
+MONEY = "decimal(38,2)"
+
+
+def round_money(c: ColumnOrName) -> Column:
+    """A sum of decimals rounded half up to two places, still a DECIMAL: exact at any size, where a
+    DOUBLE has no room for cents beyond 2^53 of them."""
+    return F.round(_c(c), 2).cast(MONEY)
+
+
 def exact_avg(c: ColumnOrName) -> Column:
     """AVG as ``CAST(SUM(x) AS DOUBLE) / COUNT(x)``: exact sum of decimals /
     integers first, one division at the end (aggregate expression)."""

@@ -64,6 +64,34 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def distinct_counts(df: DataFrame, keys: list[str], counted: dict[str, str]) -> DataFrame:
+    """``keys`` and, for each name -> column of ``counted``, the number of its distinct values. Each
+    column is brought to its distinct values first (per task, then per key) and counted
+    after, from a scan of that column alone, where several COUNT(DISTINCT) in one aggregate would
+    copy every row once a column."""
+    out = None
+    for name, c in counted.items():
+        one = df.select(*keys, c).distinct().groupBy(*keys).agg(F.count(c).alias(name))
+        if out is None:
+            out = one
+        else:
+            other = one.select(*[F.col(k).alias(f"_{k}") for k in keys], name)
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            out = out.join(other, same).drop(*[f"_{k}" for k in keys])
+    return out
+
+
+def pivot_discovered(df: DataFrame, keys: list[str], column: str, value: str, max_columns: int = 1000) -> DataFrame:
+    """Long to wide, a column a value of ``column`` that occurs (as text, in order): a first pass finds
+    the values, at most ``max_columns`` of them (an error beyond), a second one pivots with them
+    known. Missing cells are NULL; rows without a value of ``column`` are left out."""
+    rows = df.where(F.col(column).isNotNull()).withColumn("_name", F.col(column).cast("string"))
+    names = sorted(r[0] for r in rows.select("_name").distinct().limit(max_columns + 1).collect())
+    if len(names) > max_columns:
+        raise ValueError(f"more than {max_columns} values of {column}: keep the long form")
+    return rows.groupBy(*keys).pivot("_name", names).agg(F.first(value, ignorenulls=True))
+
+
 def equal_width_histogram(values: DataFrame, value_col: str, bins: int = 50,
                           bounds: DataFrame | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] (last bin closed, like numpy).

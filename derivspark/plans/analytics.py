@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
-from derivspark.operators.reshape import (equal_width_histogram, hash_sample, rolling_stats, side_by_side,
-                                          top_k, top_k_per_group)
+from derivspark.operators.reshape import (distinct_counts, equal_width_histogram, hash_sample, pivot_discovered, rolling_stats,
+                                          side_by_side, top_k, top_k_per_group)
 from derivspark.plans.rollup import avg_of
 from derivspark.sources.store import Model, as_date, id_in
 
@@ -41,6 +41,8 @@ INDEX_OPTIONS = "OPTIDX"
 # decimals: parallel floating-point sums depend on the partial-aggregation
 # order, so the last bits are not reproducible across runs or engines.
 STAT_PLACES = 6
+# Results of at most so many rows are sorted by one merge of the tasks' sorted rows.
+MAX_SORTED_ROWS = 100_000
 # ---------------------------------------------------------------------------------
 
 r2 = M.round_half_up
@@ -144,7 +146,7 @@ def runner_q3_cross_exchange(m: Model) -> DataFrame:
     g = m.with_exchange(d, "symbol", "instrument_type").groupBy("exchange_code", "instrument_type").agg(
         F.countDistinct("symbol").alias("unique_symbols"),
         M.sum_long("volume").alias("total_volume"),
-        r2(F.sum("value")).alias("total_value_lakh"),
+        M.round_money(F.sum("value")).alias("total_value_lakh"),
         r2(avg_of("sum_close")).alias("avg_settlement_price"))
     return g.orderBy(F.col("total_volume").desc(), "exchange_code", "instrument_type")
 
@@ -260,7 +262,7 @@ def full_q5_max_volume(m: Model, days: int = 30, as_of=None, per_group: int = 5,
                              [F.col("daily_volume").desc(), "exchange_code", "trade_date"], per_group)
     out = ranked.select(
         "symbol", "instrument_type", "exchange_code", "trade_date", "daily_volume",
-        r2("daily_value").alias("daily_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
+        M.round_money("daily_value").alias("daily_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
         M.value_per_contract("daily_value", "daily_volume").alias("avg_price_per_contract"))
     return top_k(out, [F.col("daily_volume").desc(), "symbol", "instrument_type", "exchange_code",
                        "trade_date"], k)
@@ -315,7 +317,7 @@ def runner_q7_active_expiries(m: Model, k: int = 15) -> DataFrame:
     g = j.groupBy("symbol", "expiry_date").agg(
         F.countDistinct("strike_price").alias("num_strikes"),
         M.sum_long("contracts").alias("total_volume"),
-        r2(F.sum("value_in_lakh")).alias("total_value_lakh"),
+        M.round_money(F.sum("value_in_lakh")).alias("total_value_lakh"),
         r0(M.exact_avg("open_interest")).alias("avg_oi"))
     return top_k(g, [F.col("total_volume").desc(), "symbol", "expiry_date"], k)
 
@@ -326,16 +328,19 @@ def full_q7_active_expiries(m: Model, instrument_type: str = INDEX_OPTIONS, k: i
     t = m.trades_of(F.col("instrument_type") == instrument_type).where(F.col("option_type").isin(OPTIONS)) \
         .select("instrument_id", "expiry_id", "expiry_date", "trade_date", "contracts", "value_in_lakh",
                 "open_interest")
-    j = t.join(m.dim_filtered(inst, "instruments"), "instrument_id")
-    g = j.groupBy("symbol", F.date_trunc("month", "expiry_date").cast("date").alias("month")).agg(
-        F.countDistinct("expiry_id").alias("num_contracts"),
-        M.sum_long("contracts").alias("total_volume"),
-        F.sum("value_in_lakh").alias("total_value"),
-        M.exact_avg("open_interest").alias("avg_oi"),
-        F.countDistinct("trade_date").alias("trading_days"))
+    j = t.join(m.dim_filtered(inst, "instruments"), "instrument_id") \
+        .withColumn("month", F.date_trunc("month", "expiry_date").cast("date"))
+    # Per contract first, so contracts are counted as rows; days are counted from their own scan.
+    held = j.groupBy("symbol", "month", "expiry_id").agg(
+        F.sum("contracts").alias("contracts"), F.sum("value_in_lakh").alias("value"), F.sum("open_interest").alias("oi"),
+        F.count("open_interest").alias("n"))
+    sums = held.groupBy("symbol", "month").agg(
+        F.count("expiry_id").alias("num_contracts"), M.sum_long("contracts").alias("total_volume"),
+        F.sum("value").cast(M.MONEY).alias("total_value"), (F.sum("oi").cast("double") / F.sum("n")).alias("avg_oi"))
+    g = sums.join(distinct_counts(j, ["symbol", "month"], {"trading_days": "trade_date"}), ["symbol", "month"])
     out = g.select(
         "symbol", F.date_format("month", "yyyy-MM").alias("expiry_month"), "num_contracts",
-        "total_volume", r2("total_value").alias("total_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
+        "total_volume", M.round_money("total_value").alias("total_value_lakh"), r0("avg_oi").alias("avg_open_interest"),
         "trading_days", M.avg_daily_volume("total_volume", "trading_days").alias("avg_daily_volume"),
         M.value_per_contract("total_value", "total_volume").alias("avg_premium"))
     return top_k(out, [F.col("total_volume").desc(), "symbol", "expiry_month"], k)
@@ -397,7 +402,10 @@ def bench_b3_oi(m: Model, start: str = "2019-09-15", end: str = "2019-09-20", mi
         M.sum_long("open_interest").alias("total_oi"),
         M.sum_long("change_in_oi").alias("net_oi_change"),
         F.max("open_interest").alias("max_oi"))
-    return g.where(F.col("net_oi_change") > min_net_change).orderBy(F.col("net_oi_change").desc(), "symbol")
+    out = g.where(F.col("net_oi_change") > min_net_change)
+    order = [F.col("net_oi_change").desc(), "symbol"]
+    most = m.rows.get("instruments")  # a row a symbol: no more than there are instruments
+    return top_k(out, order, most) if most is not None and most <= MAX_SORTED_ROWS else out.orderBy(*order)
 
 
 def bench_verify_global(m: Model, since: str = ORIGINAL_START) -> DataFrame:
@@ -470,9 +478,14 @@ def chart_volatility_heatmap(m: Model, symbol: str = NIFTY, option_type: str = "
 
 
 def heatmap_matrix(long: DataFrame) -> DataFrame:
-    """Strike x date matrix of the long heat-map rows (dynamic pivot: the
-    date values are discovered by Spark, bounded by the date range)."""
-    return long.groupBy("strike_price").pivot("trade_date").agg(F.first("volatility")).orderBy("strike_price")
+    """Strike x date matrix of the long heat-map rows: a column a date that occurs (no more than
+    the date range has)."""
+    return pivot_discovered(long, ["strike_price"], "trade_date", "volatility").orderBy("strike_price")
+
+
+def chart_heatmap_matrix(m: Model, symbol: str = NIFTY) -> DataFrame:
+    """The volatility heat map as a strike x date matrix."""
+    return heatmap_matrix(chart_volatility_heatmap(m, symbol=symbol))
 
 
 def chart_option_chain(m: Model, symbol: str = NIFTY, expiry: str = "2019-08-29",

@@ -110,6 +110,7 @@ from derivspark.plans import storage as S  # noqa: E402
 from derivspark.schemas import MEASURES, RAW_COLUMNS  # noqa: E402
 from derivspark.session import scratch_dir  # noqa: E402
 from derivspark.sources import raw_feed as RF  # noqa: E402
+from derivspark.sources.catalog import create_tables  # noqa: E402
 from derivspark.sources.sinks import write_result_csv  # noqa: E402
 from derivspark.sources.store import model_of, read_model, store_root  # noqa: E402
 from derivspark.sources.testdata import read_table  # noqa: E402
@@ -266,6 +267,23 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.unionByName(trades).unionByName(total)
 
 
+def column_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts inserted into a new table: futures with their keys alone, so that strike, option type,
+    the active flag and the load time are filled in; options with strike and type."""
+    m = open_model(spark, sf_dir)
+    database = f"derivspark_defaults_{uuid.uuid4().hex[:12]}"
+    create_tables(spark, database, scratch_dir(spark, "defaults"))
+    view = f"{database}_rows"
+    m.expiries.join(m.instruments.select("instrument_id", "series"), "instrument_id").createOrReplaceTempView(view)
+    keys = "expiry_id, instrument_id, expiry_date"
+    for columns, series in ((keys, "FUT"), (f"{keys}, strike_price, option_type", "OPT")):
+        spark.sql(f"INSERT INTO {database}.expiries ({columns}) SELECT {columns} FROM {view} WHERE series = '{series}'")
+    spark.catalog.dropTempView(view)
+    return spark.table(f"{database}.expiries").select(
+        "expiry_id", "instrument_id", "expiry_date", "strike_price", "option_type", "is_active",
+        (F.col("created_at") <= F.current_timestamp()).alias("has_load_time"))
+
+
 def split_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written as one folder a year, read back."""
     path = S.split_by_year(open_model(spark, sf_dir), scratch_dir(spark, "by-year"))

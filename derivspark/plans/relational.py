@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derivspark.functions import metrics as M
-from derivspark.operators.reshape import side_by_side, top_k, top_k_per_group
+from derivspark.operators.reshape import distinct_counts, side_by_side, top_k, top_k_per_group
 from derivspark.plans.analytics import BANKNIFTY, NIFTY, OPTIONS, ORIGINAL_START
 from derivspark.sources.store import Model
 
@@ -105,10 +105,11 @@ def agg_basic(m: Model) -> DataFrame:
 
 def agg_count_distinct(m: Model) -> DataFrame:
     """E5: exact COUNT(DISTINCT) (several per group)."""
-    t = m.with_exchange(m.trades.select("instrument_id", "expiry_id", "trade_date"), "symbol")
-    return t.groupBy("exchange_code").agg(
-        F.countDistinct("symbol").alias("n_symbols"), F.countDistinct("trade_date").alias("n_days"),
-        F.countDistinct("expiry_id").alias("n_contracts"))
+    # Symbols and days are in the roll-up; contracts are brought to distinct ones before the join.
+    days = m.with_exchange(m.daily.select("instrument_id", "trade_date"), "symbol")
+    held = m.with_exchange(m.trades.select("instrument_id", "expiry_id").distinct())
+    counts = distinct_counts(days, ["exchange_code"], {"n_symbols": "symbol", "n_days": "trade_date"})
+    return counts.join(distinct_counts(held, ["exchange_code"], {"n_contracts": "expiry_id"}), "exchange_code")
 
 
 def _option_days(m: Model) -> DataFrame:

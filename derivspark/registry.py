@@ -19,6 +19,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
+# Decimal digits that a DOUBLE always holds.
+DOUBLE_DIGITS = 15
+
+
 def _reported_type(f: T.StructField, as_double: frozenset = frozenset()):
     if isinstance(f.dataType, T.DecimalType) or f.name in as_double:
         return "double"
@@ -28,8 +32,9 @@ def _reported_type(f: T.StructField, as_double: frozenset = frozenset()):
 
 
 def report(df: DataFrame, as_double: frozenset = frozenset()) -> DataFrame:
-    """Output boundary. Exact DECIMAL results are reported as DOUBLE (values
-    here are far below 2^53 cents, so the conversion is exact to the cent)
+    """Output boundary. Exact DECIMAL results are reported as DOUBLE — where the
+    type allows values beyond 2^53 units of its last place, a value that large stops the query
+    instead of losing cents (the reports themselves, and the command line, give DECIMAL) —
     and DATE results as zone-less TIMESTAMP at midnight — the types a
     pandas consumer receives for them from a columnar SQL engine — so every
     consumer sees the same values whichever way it fetches them. Columns in
@@ -41,7 +46,12 @@ def report(df: DataFrame, as_double: frozenset = frozenset()) -> DataFrame:
     for f in df.schema.fields:
         t = _reported_type(f, as_double)
         changed |= t is not None
-        exprs.append(f"CAST(`{f.name}` AS {t}) AS `{f.name}`" if t else f"`{f.name}`")
+        value = f"CAST(`{f.name}` AS {t})"
+        if t == "double" and isinstance(f.dataType, T.DecimalType) and f.dataType.precision > DOUBLE_DIGITS:
+            most = (1 << 53) // 10 ** f.dataType.scale
+            value = (f"CASE WHEN abs(`{f.name}`) > {most} THEN raise_error('{f.name} has no exact DOUBLE') "
+                     f"ELSE {value} END")
+        exprs.append(f"{value} AS `{f.name}`" if t else f"`{f.name}`")
     return df.selectExpr(*exprs) if changed else df
 
 
@@ -99,6 +109,7 @@ model_query("db_statistics", A.db_statistics)
 model_query("chart_oi_trends", A.chart_oi_trends, symbols=[FX_NIFTY, FX_BANKNIFTY])
 model_query("chart_volume_histogram", A.chart_volume_histogram)
 model_query("chart_volatility_heatmap", A.chart_volatility_heatmap, symbol=FX_NIFTY)
+model_query("chart_heatmap_matrix", A.chart_heatmap_matrix, symbol=FX_NIFTY)
 model_query("chart_option_chain", A.chart_option_chain, symbol=FX_NIFTY)
 
 from derivspark.plans import relational as REL  # noqa: E402
@@ -134,5 +145,5 @@ for _key in ["build_instruments", "build_expiries", "build_trades", "surrogate_k
 for _key in ["exchange_dim", "insert_if_new", "monthly_partition_rollup", "archive_slice", "retention_keep",
              "daily_rollup", "ingest_raw_csv", "ingest_typed", "stream_ingest", "upsert_latest",
              "stream_daily_bars", "split_by_year", "csv_result_sink", "append_day", "corrected_rollup",
-             "load_reconciliation", "stream_to_model"]:
+             "load_reconciliation", "stream_to_model", "column_defaults"]:
     REGISTRY[_key] = _reported(_key, getattr(MJ, _key))
