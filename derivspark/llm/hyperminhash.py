@@ -51,6 +51,12 @@ def sets(arr: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else h), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
+def fingerprints(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit fingerprint of each set."""
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(values ^ U(0x5851F42D4C957F2D)))])
+    return mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(U)).view(np.int64)
+
+
 def registers(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """(texts x BUCKETS) registers, 0 only for texts without shingles."""
     texts = len(at) - 1
@@ -120,8 +126,7 @@ def sketch(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             for b in pieces(whole, 1):
                 values, at = sets(b.column(1), k)
                 n = np.diff(at)
-                sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(values ^ U(0x5851F42D4C957F2D)))])
-                f = mix(sums[at[1:]] - sums[at[:-1]] + n.astype(U)).view(np.int64)
+                f = fingerprints(values, at)
                 regs = registers(values, at)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(n), pa.array(f, mask=n == 0),
@@ -166,19 +171,21 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """``f, s``: the full sets of classes (``nodes.f``), made again from their texts, staged."""
+    """``f, s``: the full sets of classes (``nodes.f``), made again from their texts, staged. Of an id
+    with several texts the one with the class's own set is taken."""
     need = classes.join(nodes, "f").select(F.col("first").alias(P + "first"), F.col("f").alias(P + "f"))
 
     def full(batches):
         for whole in batches:
             for b in pieces(whole, 1):
                 values, at = sets(b.column(1), k)
+                own = pa.array(fingerprints(values, at) == b.column(0).to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([values[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())], ["f", "s"])
+                    [b.column(0), pa.array([values[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())], ["f", "s"]).filter(own)
 
     texts = (docs.select(F.col(key).alias(P + "k"), F.col(text).alias(P + "t"))
-             .join(need, F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t").dropDuplicates([P + "f"]))
-    return stage(texts.mapInArrow(full, "f long, s binary"), "near-sets")
+             .join(need, F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t"))
+    return stage(texts.mapInArrow(full, "f long, s binary").dropDuplicates(["f"]), "near-sets")
 
 
 def _verified(pairs: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame:

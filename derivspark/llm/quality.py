@@ -4,7 +4,7 @@ Each line is judged by itself: bad lines are removed, and a document that loses
 too much of its text is rejected. Line rules:
 
 * navigation: many separators, or nearly every word next to one;
-* boilerplate: known phrases in a short line;
+* boilerplate: phrases of page furniture in a short line, in four languages;
 * punctuation: mostly symbols, shouted (most words end in "!!"), or a long run
   of words without any sentence punctuation;
 * repetition: a line of many words with few distinct ones.
@@ -23,12 +23,29 @@ from .common import SPACE_CHARS, n_words, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_FRACTION = 0.5
-# Fixed phrases of page furniture, matched in short lines without regard to case.
-BOILERPLATE = (
-    "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service",
-    "privacy policy", "cookie policy", "we use cookies", "accept cookies", "click here", "read more", "sign in",
-    "log in", "subscribe to", "newsletter", "javascript", "lorem ipsum", "share this", "skip to content", "copyright",
+# Fixed patterns of page furniture in four languages, for lower-cased lines of few words. Phrases match
+# between characters that are neither letters nor digits, so "dialog in" holds no "log in"; words that are
+# common in prose count as a whole line only.
+BOILERPLATE_PHRASES = (
+    "all rights reserved", "(licensed|released) under (the|an?) .{0,80}licen[cs]e", "privacy policy", "cookie policy",
+    "terms of (use|service) (apply|and)", "(we|this (web)?site) uses? cookies", "accept (all )?cookies", "click here (to|for)",
+    "subscribe to (our|the) newsletter", "enable javascript", "lorem ipsum dolor", "skip to (main )?content",
+    "share this (page|post|article) on", "copyright ?(©|\\(c\\)|[0-9]{4})",
+    "alle rechte vorbehalten", "datenschutzerklärung lesen", "(diese|unsere) (web)?seite verwendet cookies",
+    "newsletter (abonnieren|anmelden)", "cookies akzeptieren",
+    "tous droits réservés", "politique de confidentialité", "conditions générales d.utilisation",
+    "ce site utilise des cookies", "accepter les cookies", "abonnez-vous à (notre|la) (newsletter|lettre)",
+    "todos los derechos reservados", "política de (privacidad|cookies)", "este sitio (web )?(usa|utiliza) cookies",
+    "aceptar (las )?cookies", "suscríbete a (nuestro|la) (boletín|newsletter)",
 )
+BOILERPLATE_LINES = (
+    "(read|learn|show) more", "(sign|log) (in|up|out)", "terms of (use|service)", "privacy", "contact( us)?", "impressum",
+    "datenschutz(erklärung)?", "nutzungsbedingungen", "weiterlesen", "mehr (lesen|anzeigen)", "anmelden", "mentions légales",
+    "lire la suite", "(se connecter|connexion)", "s.inscrire", "aviso legal", "leer más", "iniciar sesión", "registrarse",
+)
+_EDGE = "[^\\p{L}\\p{N}]"
+BOILERPLATE = (f"(?:^|{_EDGE})(?:{'|'.join(BOILERPLATE_PHRASES)})(?:$|{_EDGE})|©"
+               f"|^{_EDGE}*(?:{'|'.join(BOILERPLATE_LINES)}){_EDGE}*$")
 BOILERPLATE_WORDS = 20
 
 
@@ -48,7 +65,7 @@ def line_reason(line: Column) -> Column:
     symbols = F.regexp_count(line, F.lit("[^\\p{L}\\p{M}\\p{N}\\s]"))
     chars = F.regexp_count(line, F.lit("\\S"))
     return (F.when((marks >= 3) & (marks * 5 >= n), F.lit("navigation"))
-            .when((n <= BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE)), F.lit("boilerplate"))
+            .when((n <= BOILERPLATE_WORDS) & F.lower(line).rlike(BOILERPLATE), F.lit("boilerplate"))
             .when((symbols * 4 > chars) | ((shouts >= 3) & (shouts * 2 > n)), F.lit("punctuation"))
             .when((n >= 20) & ~line.rlike("[.!?:;…]"), F.lit("punctuation"))
             .when((n >= 20) & (F.size(F.array_distinct(words(line))) * 4 < n), F.lit("repetition")))
@@ -61,7 +78,8 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     ``n_removed_lines``, one per rule), ``lost_fraction``, ``clean_text``, ``kept``.
 
     Null or blank text has no words, fails the base rules and is not kept.
-    Repeated rows are judged each by itself; an empty table gives no rows.
+    Repeated rows are judged each by itself; an empty table gives no rows. A text's lines
+    and windows are arrays of its row, so a very long text takes memory in proportion.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.select(F.col(key).alias("doc_id"), t.alias("t"))

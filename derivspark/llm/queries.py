@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -117,6 +118,35 @@ QUERIES = {f.__name__: f for f in (
 _RULES = ", ".join(f"('{v}', '{h}', '{p}', {i})" for i, (v, h, p) in enumerate(url_filter.RULES))
 _BAD = " OR ".join([f"contains(host, '{w}')" for w in ("casino", "porn", "ads-track", "malware")])
 
+# Words and shingles in SQL.
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text):
+    return f"list_filter(regexp_split_to_array({text}, '{SPACE_SQL}'), lambda v: v <> '')"
+
+
+def _joined(k, percent, last):
+    """Documents linked by equal shares of k-word shingles, by an exact join, and ``last`` from them."""
+    window = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words(_LOWERED)} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: {window})) END AS held FROM d),
+n AS (SELECT doc_id, len(held)::BIGINT AS n_shingles FROM s),
+x AS (SELECT doc_id, unnest(held) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * c >= {percent} * (p.n_shingles + q.n_shingles - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, n_shingles, component_id, {last} FROM n JOIN comp USING (doc_id)
+"""
+
+
+_CONTROL = "|".join(re.escape(c[0]) + "[\\\\]*" + re.escape(c[1:]) for c in chat_format.CONTROLS)
+_FURNITURE = quality.BOILERPLATE.replace("'", "''")
+
 ORACLE = {
     "op1_sharding": f"""
 WITH d AS (SELECT doc_id, text, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
@@ -144,4 +174,51 @@ SELECT h.page_id, host, path, rule,
            OR contains(host || path, '/wp-login.php') OR ends_with(host || path, '.exe') THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN m USING (page_id)
 """,
+    "op2_quality_lines": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS w FROM documents),
+l AS (SELECT doc_id, x AS line, i, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n
+      FROM (SELECT doc_id, unnest(a) AS x, unnest(range(len(a))) AS i FROM (SELECT doc_id, string_split(t, chr(10)) AS a FROM d) b) c
+      WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]')),
+m AS (SELECT *, len(regexp_extract_all(line, '[|»›•·→]')) AS marks,
+             len(regexp_extract_all(line || ' ', '!![\\x20\\x09-\\x0D]')) AS shouts,
+             len(regexp_extract_all(line, '[^\\pL\\pM\\pN\\x20\\x09-\\x0D]')) AS symbols,
+             len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]')) AS chars FROM l),
+r AS (SELECT *, CASE WHEN marks >= 3 AND marks * 5 >= n THEN 'navigation'
+                     WHEN n <= {quality.BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{_FURNITURE}') THEN 'boilerplate'
+                     WHEN symbols * 4 > chars OR (shouts >= 3 AND shouts * 2 > n) THEN 'punctuation'
+                     WHEN n >= 20 AND NOT regexp_matches(line, '[.!?:;…]') THEN 'punctuation'
+                     WHEN n >= 20 AND len(list_distinct({_words("line")})) * 4 < n THEN 'repetition' END AS reason FROM m),
+g AS (SELECT doc_id, count(*) AS n_lines, count(reason) AS n_removed_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+             count(*) FILTER (reason = 'navigation') AS n_navigation_lines, count(*) FILTER (reason = 'boilerplate') AS n_boilerplate_lines,
+             count(*) FILTER (reason = 'punctuation') AS n_punctuation_lines, count(*) FILTER (reason = 'repetition') AS n_repetition_lines,
+             length(string_agg(line, chr(10) ORDER BY i)) AS whole,
+             coalesce(length(string_agg(line, chr(10) ORDER BY i) FILTER (reason IS NULL)), 0) AS good FROM r GROUP BY doc_id),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d) u),
+again AS (SELECT doc_id, x FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM win JOIN again USING (doc_id, x), (SELECT unnest([0, 1, 2]) AS j) k GROUP BY doc_id),
+b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed_lines, 0) AS n_removed_lines,
+             coalesce(n_navigation_lines, 0) AS n_navigation_lines, coalesce(n_boilerplate_lines, 0) AS n_boilerplate_lines,
+             coalesce(n_punctuation_lines, 0) AS n_punctuation_lines, coalesce(n_repetition_lines, 0) AS n_repetition_lines,
+             coalesce(1 - good::DOUBLE / nullif(whole, 0), 0) AS lost_fraction
+      FROM d LEFT JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_fraction <= {quality.MAX_LOST_FRACTION} AS kept
+FROM b
+""",
+    "op8_chat_format": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+t AS (SELECT *, len(regexp_extract_all(role, '{_CONTROL}')) + len(regexp_extract_all(text, '{_CONTROL}')) AS controls FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({len(chat_format.START) + len(chat_format.END) + 2} + length(role) + length(text) + controls)::BIGINT AS formatted_chars,
+       count(*) FILTER (controls > 0) AS escaped_turns
+FROM t GROUP BY conv_id
+""",
+    "op10_hyperminhash": _joined(4, 80, "doc_id = component_id AS kept"),
+    "op11_ngram_join": _joined(3, 90, "(SELECT count(*) FROM links WHERE a = doc_id) AS n_links"),
 }
