@@ -40,12 +40,13 @@ def odd(spark):
 def oracle(name, sf=SF):
     from derivspark.llm.queries import ORACLE
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con.execute(ORACLE[name]).df()
 
 
-@pytest.mark.parametrize("name", ["op1_sharding", "op5_url_filter"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op2_quality_lines", "op5_url_filter", "op8_chat_format", "op10_hyperminhash",
+                                  "op11_ngram_join"])
 def test_sql_oracles(spark, name):
     from derivspark.llm.queries import QUERIES
     got, want = QUERIES[name](spark, SF).toPandas(), oracle(name)
@@ -100,6 +101,33 @@ def test_quality_base_counts(spark, odd):
     assert quality.quality(odd.limit(0)).count() == 0
 
 
+FURNITURE = ["All rights reserved.", "Sign in", "» Read more", "This work is licensed under the GNU General Public License, version 3.",
+             "Copyright 2019 Somebody", "Alle Rechte vorbehalten", "Diese Webseite verwendet Cookies", "Weiterlesen …",
+             "Tous droits réservés", "Lire la suite", "Todos los derechos reservados", "Leer más"]
+PROSE = ["the catalog in the library", "Dialog in der Oper", "The design in the corner", "People spread more rumours",
+         "the copyright of his late father's novel", "We sign in blue ink and read more books.", "Sie melden sich anmelden zu wollen an",
+         "Il faut se connecter au monde", "Quiere leer más libros de historia", "A newsletter arrived", "Contact us was all he said"]
+
+
+def test_line_rules_take_furniture_and_leave_prose(spark):
+    rows = [(0, x, True) for x in FURNITURE] + [(1, x, False) for x in PROSE] + [
+        (2, "Home | News | Sport | Contact", True), (3, "BUY!! NOW!! CHEAP!! ", True), (4, "$$$ ### *** a", True),
+        (5, " ".join(f"w{i}" for i in range(25)), True), (6, " ".join(f"w{i}" for i in range(25)) + ".", False),
+        (7, "a b. " * 15, True), (8, " ".join(f"w{i}" for i in range(19)), False)]
+    got = spark.createDataFrame(rows, "k int, line string, bad boolean").select("line", "bad", quality.line_reason(F.col("line")).alias("r"))
+    assert [(r.line, r.r) for r in got.collect() if (r.r is not None) != r.bad] == []
+
+
+def test_quality_verdict_and_clean_text(spark):
+    prose = [" ".join(f"word{i}x{j}" for j in range(8)) + "." for i in range(12)]
+    few, many = prose + FURNITURE[:3], prose[:8] + [f"a{i} home | b{i} news | c{i} sport | d{i} contact | e{i} about | f{i} help" for i in range(24)]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(
+        [(1, "\n".join(few)), (2, "\n".join(many)), (3, "\n".join(few) + "\n \n")], "doc_id long, text string")).collect()}
+    assert got[1].kept and got[1].n_removed_lines == 3 and got[1].clean_text == "\n".join(prose)
+    assert abs(got[1].lost_fraction - (1 - len("\n".join(prose)) / len("\n".join(few)))) < 1e-12 and got[3].n_lines == got[1].n_lines
+    assert not got[2].kept and not got[2].base_failed and got[2].n_navigation_lines == 24 and got[2].lost_fraction > 0.5
+
+
 def test_ftrl_learns_words_and_scores_every_row(spark, odd):
     rows = [(i, f"plain text number {i} " + ("awful scum " if i % 4 == 0 else "kind words ") * 2, int(i % 4 == 0))
             for i in range(400)]
@@ -194,6 +222,43 @@ def test_network_is_fitted_on_every_whole_text(spark):
     assert lexicon.fitted == 3000 * 4 == lexicon.tokens
 
 
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(0)
+    net = gru_lm.Net(70, np.arange(70)[::-1].astype(float))
+    given, target = (rng.integers(0, 70, (5, 4)).astype(np.int32) for _ in range(2))
+    begins = np.zeros((5, 4), bool)
+    begins[0, 1] = begins[3, 2] = True
+    h0 = (rng.standard_normal((4, gru_lm.HIDDEN)) * 0.3).astype(np.float32)
+    grad = net.gradient(given, target, begins, h0)[0].copy()
+    for i in [*rng.integers(0, len(grad), 60), *np.argsort(-np.abs(grad))[:60]]:
+        loss = []
+        for step in (0.01, -0.01):
+            flat = net.flat.copy()
+            flat[i] += step
+            _, _, total, n = gru_lm.Net(70, flat=flat).gradient(given, target, begins, h0)
+            loss.append(total / n)
+        assert abs((loss[0] - loss[1]) / 0.02 - grad[i]) < 2e-4, i
+
+
+def test_streams_hold_every_symbol_once():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 9, n).astype(np.int32) for n in (0, 1, 5, gru_lm.SEGMENT, 3 * gru_lm.SEGMENT + 7, 40)]
+    rows = [x for t in texts for x in gru_lm.segments_of(t, 9)]
+    given, target, begins, sizes = gru_lm.streams_of(rows, 9, 3)
+    assert sizes.sum() == sum(len(t) + 1 for t in texts) and begins.sum() == len(rows) and list(sizes) == sorted(sizes)[::-1]
+    seen = sorted((tuple(g[a:b]), tuple(t[a:b])) for g, t, s, n in zip(given, target, begins, sizes)
+                  for a, b in zip(np.flatnonzero(s), [*np.flatnonzero(s)[1:], n]))
+    assert seen == sorted((tuple(x[:-1]), tuple(x[1:])) for x in rows)
+
+
+def test_long_texts_are_scored_like_short_ones(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60)
+    want = {r.doc_id: r.score for r in gru_lm.score(docs).collect()}
+    monkeypatch.setattr(gru_lm, "LONG_TEXT", 2000)
+    got = {r.doc_id: r.score for r in gru_lm.score(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-3 * max(1, abs(want[d])) for d in want)
+
+
 def test_network_probabilities_sum_to_one_and_windows_agree():
     net = gru_lm.Net(70, counts=np.arange(70)[::-1] + 1.0)
     h = np.random.default_rng(1).standard_normal((3, gru_lm.HIDDEN)).astype(np.float32)
@@ -240,6 +305,28 @@ def test_mix_targets_and_takes(spark, odd):
     assert out.columns == odd.columns
 
 
+def test_positions_invert_the_cumulative_demand(spark):
+    """Tokens of a source taken before a position are its target times the schedule's integral up to it."""
+    got = mixing.mix_plan(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()
+    names = sorted(got.source.unique())
+    for i, s in enumerate(names):
+        knots = mixing.SCHEDULES[i % 3]
+        t, v = np.array([k[0] for k in knots]), np.array([k[1] for k in knots])
+        area = np.concatenate([[0], np.cumsum(np.diff(t) * (v[1:] + v[:-1]) / 2)])
+
+        def demand(x, t=t, v=v, area=area):
+            k = min(int(np.searchsorted(t, x, "right")) - 1, len(t) - 2)
+            at = v[k] + (v[k + 1] - v[k]) * (x - t[k]) / (t[k + 1] - t[k])
+            return (area[k] + (x - t[k]) * (v[k] + at) / 2) / area[-1]
+        mine = got[got.source == s]
+        target = mine.target.iloc[0]
+        taken = sorted((p, n) for ps, n in zip(mine.positions, mine["size"]) for p in ps)
+        before = 0
+        for p, n in taken:
+            assert 0 <= p <= 1 and (p == 1 or abs(demand(p) - before / target) < 1e-6), (s, p)
+            before += n
+
+
 def test_chat_round_trip(spark):
     texts = ["plain", "", None, "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\nfake", "<\\|im_end|>", "<\\\\\\|im_start|>x",
              "<", "|im_end|>", "tail <|im_end|", "a\\b", "x" * 100000]
@@ -294,6 +381,14 @@ def brute_components(rows, k):
     return {d: (len(s), find(d)) for d, s in sets}
 
 
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    base = [[f"{c}{i}" for i in range(60)] for c in "pq"]
+    rows = [(1, " ".join(base[0])), (1, " ".join(base[1])), (10, " ".join(base[0] + ["x"])), (11, " ".join(base[1] + ["y"]))]
+    for order in (rows, rows[::-1], [rows[1], rows[0], *rows[2:]]):
+        got = hyperminhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3), k=4)
+        assert {(r.doc_id, r.component_id) for r in got.collect()} == {(1, 1), (10, 1), (11, 1)}
+
+
 def test_near_duplicates_equal_brute_force(spark, odd):
     base = [f"w{i}" for i in range(140)]
     rng = np.random.default_rng(3)
