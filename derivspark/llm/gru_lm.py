@@ -8,8 +8,9 @@ vocabulary has the symbol's probability times its share of the add-one counts
 outside the vocabulary, so every text has a proper probability.
 
 The network is fitted in numpy by truncated backpropagation on every whole
-training text, by tasks whose parameters are averaged after each round. Scoring runs every whole text through it: many texts in step, in windows,
-with the hidden state carried from window to window.
+training text, by tasks whose parameters are averaged after each round (on the
+executors, weighted by tokens). Scoring runs every whole text through it: many
+texts in step, in windows, with the hidden state carried from window to window.
 
 Counts of the ``SHARED`` most frequent words are broadcast (a fixed bound);
 those of rarer words are joined by word hash.
@@ -17,8 +18,11 @@ those of rarer words are joined by word hash.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +31,15 @@ from .common import ship, stage
 from .textvec import BATCH_BYTES, U, Lookup, pieces, words
 
 VOCABULARY, CLASS = 1024, 32  # symbols (two of them: end, other), symbols a class
-HIDDEN, EMBED = 32, 24
+HIDDEN = 16
 SHARED = 1 << 18
-LEAST_SHARDS, ROUNDS, STEP, STREAMS, RATE = 6, 3, 16, 32, 0.004
+LEAST_SHARDS, ROUNDS, STEP, STREAMS, RATE = 6, 1, 16, 128, 0.01
+SEGMENT = 512  # symbols of a text that one stream reads on end
+FULL = 512  # symbols a window from which on its step has its whole length
+SHARD = 1 << 21  # tokens that a task trains on
+SLICES = 16  # of the parameters, added up by as many groups
+LONG_TEXT = 1 << 14  # bytes; longer texts are scored together, in step
+LONG_BYTES = 64 << 20  # bytes of long texts held at once
 WINDOW_CELLS = 1 << 15  # (text, position) pairs whose states are held at once
 LN10 = np.log(10.0)
 
@@ -62,12 +72,21 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     return ship(texts).select(text).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def softmax(logits: np.ndarray) -> np.ndarray:
+    """Row by row, in place. Biases are log shares, so logits stay small; the cut keeps any finite."""
+    np.clip(logits, -60, 60, out=logits)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+    return logits
+
+
 class Net:
-    """Parameters by name in one flat float32 vector, and the model's arithmetic."""
+    """Parameters by name in one flat float32 vector, and the model's arithmetic. A symbol's row of
+    ``x`` holds what it adds to the gates (its embedding times the input weights)."""
 
     def __init__(self, symbols: int, counts: np.ndarray | None = None, flat: np.ndarray | None = None):
         self.symbols, self.classes = symbols, -(-symbols // CLASS)
-        shapes = {"emb": (symbols, EMBED), "wx": (EMBED, 3 * HIDDEN), "wh": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,),
+        shapes = {"x": (symbols, 3 * HIDDEN), "wh": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,),
                   "cw": (HIDDEN, self.classes), "cb": (self.classes,),
                   "ow": (self.classes, HIDDEN, CLASS), "ob": (self.classes, CLASS)}
         size = sum(int(np.prod(s)) for s in shapes.values())
@@ -79,14 +98,15 @@ class Net:
             at += int(np.prod(s))
         if fresh:
             rng = np.random.default_rng(11)
-            for name in ("emb", "wx", "wh"):
+            for name, scale in (("x", 0.2), ("wh", HIDDEN ** -0.5)):
                 p = getattr(self, name)
-                p[:] = rng.standard_normal(p.shape) * (0.1 if name == "emb" else p.shape[0] ** -0.5)
+                p[:] = rng.standard_normal(p.shape) * scale
             c = np.zeros(self.classes * CLASS)
             c[:symbols] = counts + 1.0
             c = c.reshape(self.classes, CLASS)
-            self.cb[:] = np.log(c.sum(1))
-            self.ob[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9)), -30.0)
+            own = c.sum(1, keepdims=True)  # shares, so that no logit starts above 0
+            self.cb[:] = np.log(own[:, 0] / c.sum())
+            self.ob[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9) / own), -30.0)
 
     def step(self, gates: np.ndarray, h: np.ndarray):
         u = h @ self.wh
@@ -98,104 +118,135 @@ class Net:
     def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target symbol given each state."""
         cls, inner = target // CLASS, target % CLASS
-        logits = h @ self.cw + self.cb
-        top = logits.max(1)
-        out = logits[np.arange(len(h)), cls] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-        order = np.argsort(cls, kind="stable")
+        out = np.log(softmax(h @ self.cw + self.cb)[np.arange(len(h)), cls] + 1e-30).astype(np.float64)
+        order = np.argsort(cls.astype(np.int16), kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
         for c in range(self.classes):
             rows = order[cuts[c]:cuts[c + 1]]
             if len(rows):
-                x = h[rows] @ self.ow[c] + self.ob[c]
-                top = x.max(1)
-                out[rows] += x[np.arange(len(rows)), inner[rows]] - top - np.log(np.exp(x - top[:, None]).sum(1))
+                out[rows] += np.log(softmax(h[rows] @ self.ow[c] + self.ob[c])[np.arange(len(rows)), inner[rows]] + 1e-30)
         return out
 
-    def gradient(self, inputs, targets, live, h0):
-        """Truncated backpropagation over one window (steps x streams): gradient, last
-        states, loss. ``live`` masks the positions past a stream's end."""
-        steps, streams = inputs.shape
-        g = Net(self.symbols, flat=np.zeros_like(self.flat))
-        hs, keep, h = [], [], h0
+    def gradient(self, given, target, begins, h0, g=None):
+        """Truncated backpropagation over one window (steps x streams) of full streams: gradient (in
+        ``g``), last states, loss. Where ``begins`` is set a text starts, from a state of zeros."""
+        steps, streams = given.shape
+        g = Net(self.symbols, flat=np.zeros_like(self.flat)) if g is None else g
+        g.flat[:] = 0
+        gates = (self.x + self.b)[given.ravel()].reshape(steps, streams, -1)
+        shape = (steps, streams, HIDDEN)
+        states, before, z, r, cand, un = (np.empty(shape, np.float32) for _ in range(6))
+        h = h0
         for t in range(steps):
-            gates = self.emb[inputs[t]] @ self.wx + self.b
-            new, z, r, cand, un = self.step(gates, h)
-            keep.append((h, z, r, cand, un))
-            h = np.where(live[t][:, None], new, h)
-            hs.append(h)
-        states, target, on = np.concatenate(hs), targets.ravel(), live.ravel()
-        n = max(int(on.sum()), 1)
-        cls, inner = target // CLASS, target % CLASS
-        logits = states @ self.cw + self.cb
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        x = np.einsum("nh,nhc->nc", states, self.ow[cls]) + self.ob[cls]
-        q = np.exp(x - x.max(1, keepdims=True))
-        q /= q.sum(1, keepdims=True)
-        rows = np.arange(len(target))
-        loss = -(np.log(p[rows, cls] + 1e-30) + np.log(q[rows, inner] + 1e-30))[on].sum()
+            h = np.where(begins[t][:, None], np.float32(0), h) if begins[t].any() else h
+            before[t] = h
+            h, z[t], r[t], cand[t], un[t] = self.step(gates[t], h)
+            states[t] = h
+        flat, n = states.reshape(-1, HIDDEN), steps * streams
+        cls, inner = (target // CLASS).ravel(), (target % CLASS).ravel()
+        rows = np.arange(n)
+        p = softmax(flat @ self.cw + self.cb)
+        loss = -np.log(p[rows, cls] + 1e-30).sum()
         p[rows, cls] -= 1
-        q[rows, inner] -= 1
-        p *= (on / n)[:, None]
-        q *= (on / n)[:, None]
-        g.cw += states.T @ p
+        p /= n
+        g.cw += flat.T @ p
         g.cb += p.sum(0)
-        dstates = p @ self.cw.T + np.einsum("nc,nhc->nh", q, self.ow[cls])
-        np.add.at(g.ow, cls, states[:, :, None] * q[:, None, :])
-        np.add.at(g.ob, cls, q)
-        dstates, dh = dstates.reshape(steps, streams, HIDDEN), np.zeros_like(h0)
+        dstates = p @ self.cw.T
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # rows of a class together: one product a class
+        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = order[cuts[c]:cuts[c + 1]]
+            s = flat[own]
+            q = softmax(s @ self.ow[c] + self.ob[c])
+            at = (np.arange(len(own)), inner[own])
+            loss -= np.log(q[at] + 1e-30).sum()
+            q[at] -= 1
+            q /= n
+            g.ow[c] += s.T @ q
+            g.ob[c] += q.sum(0)
+            dstates[own] += q @ self.ow[c].T
+        dstates, dh = dstates.reshape(shape), np.zeros((streams, HIDDEN), np.float32)
+        to_z, to_r, to_c = (before - cand) * z * (1 - z), un * r * (1 - r), (1 - z) * (1 - cand * cand)
+        dgates, du = (np.empty((steps, streams, 3 * HIDDEN), np.float32) for _ in range(2))
+        back = np.ascontiguousarray(self.wh.T)
         for t in range(steps - 1, -1, -1):
-            prev, z, r, cand, un = keep[t]
-            on = live[t][:, None]
             dh = dh + dstates[t]
-            d = dh * on
-            dc = d * (1 - z) * (1 - cand * cand)
-            dz = d * (prev - cand) * z * (1 - z)
-            dr = dc * un * r * (1 - r)
-            du = np.concatenate([dz, dr, dc * r], 1)
-            dg = np.concatenate([dz, dr, dc], 1)
-            g.wh += prev.T @ du
-            e = self.emb[inputs[t]]
-            g.wx += e.T @ dg
-            g.b += dg.sum(0)
-            np.add.at(g.emb, inputs[t], dg @ self.wx.T)
-            dh = d * z + du @ self.wh.T + dh * ~on
-        return g.flat, h, loss, n
-
-
-def train(net: Net, texts: list[np.ndarray], end: int, rate: float = RATE, moments: dict | None = None) -> float:
-    """One pass over symbol sequences (Adam, in place); loss per token in nats. ``moments``
-    carries Adam's state from call to call."""
+            dc = dh * to_c[t]
+            dgates[t, :, :HIDDEN] = dh * to_z[t]
+            dgates[t, :, HIDDEN:2 * HIDDEN] = dc * to_r[t]
+            dgates[t, :, 2 * HIDDEN:] = dc
+            du[t, :, :2 * HIDDEN] = dgates[t, :, :2 * HIDDEN]
+            du[t, :, 2 * HIDDEN:] = dc * r[t]
+            dh = dh * z[t] + du[t] @ back
+            if begins[t].any():
+                dh[begins[t]] = 0
+        g.wh += before.reshape(-1, HIDDEN).T @ du.reshape(n, -1)
+        dgates = dgates.reshape(n, -1)
+        g.b += dgates.sum(0)
+        order = np.argsort(given.ravel().astype(np.int32), kind="stable")
+        symbol = given.ravel()[order]
+        heads = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
+        g.x[symbol[heads]] += np.add.reduceat(dgates[order], heads, axis=0)
+        return g.flat, h, float(loss), n
+
+
+def segments_of(symbols: np.ndarray, end: int) -> list[np.ndarray]:
+    """A text as training rows of at most ``SEGMENT`` targets: the symbol given first, then the
+    targets. A text starts with the end mark given, and its last target is the end mark."""
+    whole = np.concatenate([[end], symbols, [end]]).astype(np.int32)
+    return [whole[i:i + SEGMENT + 1] for i in range(0, len(whole) - 1, SEGMENT)]
+
+
+def streams_of(segments: list[np.ndarray], end: int, streams: int) -> tuple[np.ndarray, ...]:
+    """Segments dealt to streams, longest first, each to the shortest stream: symbols given, targets and
+    starts (streams x steps, longest stream first), and each stream's length."""
+    heap = [(0, i) for i in range(min(streams, len(segments)))]
+    dealt = [[] for _ in heap]
+    for x in sorted(segments, key=lambda x: (-len(x), x.tobytes())):
+        size, i = heapq.heappop(heap)
+        dealt[i].append(x)
+        heapq.heappush(heap, (size + len(x) - 1, i))
+    sizes = np.array([sum(len(x) - 1 for x in d) for d in dealt])
+    order = np.argsort(-sizes, kind="stable")
+    mix = np.random.default_rng(5)
+    given, target = (np.full((len(dealt), int(sizes.max())), end, np.int32) for _ in range(2))
+    begins = np.zeros(target.shape, bool)
+    for row, i in enumerate(order):
+        at = 0
+        for k in mix.permutation(len(dealt[i])):
+            x = dealt[i][k]
+            n = len(x) - 1
+            begins[row, at] = True
+            given[row, at:at + n], target[row, at:at + n] = x[:-1], x[1:]
+            at += n
+    return given, target, begins, sizes[order]
+
+
+def train(net: Net, segments: list[np.ndarray], end: int, rate: float = RATE, moments: dict | None = None) -> float:
+    """One pass over segments (Adam, in place); loss per token in nats. They run one after another in
+    ``STREAMS`` streams, in windows of ``STEP`` symbols; states pass from window to window, up to
+    the segment's end. ``moments`` carries Adam's state from call to call."""
     moments = {} if moments is None else moments
     m, v = (moments.setdefault(k, np.zeros_like(net.flat)) for k in "mv")
     turn, total, seen = moments.get("turn", 0), 0.0, 0
-    texts = sorted(texts, key=len)
-    groups = [texts[i:i + STREAMS] for i in range(0, len(texts), STREAMS)]
-    for k in np.random.default_rng(5).permutation(len(groups)):
-        group = groups[k]
-        sizes = np.array([len(t) + 1 for t in group])  # ascending
-        h, last = np.zeros((len(group), HIDDEN), np.float32), np.full(len(group), end)
-        for i in range(0, int(sizes[-1]), STEP):
-            done = len(sizes) - len(h)
-            some = int(np.searchsorted(sizes, i, "right"))  # texts before it have ended
-            h, last = h[some - done:], last[some - done:]
-            steps = min(STEP, int(sizes[-1]) - i)
-            target = np.full((steps, len(h)), end)
-            for j, t in enumerate(group[some:]):
-                x = t[i:i + steps]
-                target[:len(x), j] = x
-            live = np.arange(i, i + steps)[:, None] < sizes[some:]
-            given = np.vstack([last[None], target[:-1]])
-            last = target[-1]
-            grad, h, loss, n = net.gradient(given, target, live, h)
-            size = np.linalg.norm(grad)
-            grad *= min(1.0, 1.0 / max(size, 1e-9))
-            turn += 1
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            net.flat -= rate * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
-            total += loss
-            seen += n
+    given, target, begins, sizes = streams_of(segments, end, STREAMS)
+    h, g = np.zeros((len(sizes), HIDDEN), np.float32), Net(net.symbols, flat=np.zeros_like(net.flat))
+    at, longest = 0, int(sizes[0])
+    while at < longest:
+        live = int(np.searchsorted(-sizes, -at, "left"))  # streams longer than what was read
+        to = min(at + STEP, int(sizes[live - 1]))  # up to the end of the shortest of them
+        view = (slice(0, live), slice(at, to))
+        grad, h, loss, n = net.gradient(given[view].T, target[view].T, begins[view].T, h[:live], g)
+        # The norm is cut at 1; short windows at the streams' ends count by their size.
+        grad *= min(1.0, 1.0 / max(float(np.linalg.norm(grad)), 1e-9))
+        pace = rate * min(1.0, n / FULL)
+        turn += 1
+        m += 0.1 * (grad - m)
+        v += 0.01 * (grad * grad - v)
+        net.flat -= pace * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
+        total += loss
+        seen += n
+        at = to
     moments["turn"] = turn
     return total / max(seen, 1)
 
@@ -206,7 +257,7 @@ def text_log_probabilities(net: Net, symbols: np.ndarray, first: np.ndarray, end
     sizes = np.diff(first) + 1
     order = np.argsort(-sizes, kind="stable")
     starts, longest = first[:-1][order], sizes[order]
-    table = net.emb @ net.wx + net.b
+    table = net.x + net.b
     out = np.zeros(len(order))
     h = np.zeros((len(order), HIDDEN), np.float32)
     given = np.full(len(order), end)
@@ -232,6 +283,23 @@ def text_log_probabilities(net: Net, symbols: np.ndarray, first: np.ndarray, end
     return back
 
 
+def long_together(batches):
+    """The batches without their long texts, then those, many at a time: a text's states follow one
+    another, so a long text alone would make as many small products as it has words."""
+    held, size = [], 0
+    for b in batches:
+        long = pc.fill_null(pc.greater(pc.binary_length(b.column(1)), LONG_TEXT), False)
+        yield b.filter(pc.invert(long)), BATCH_BYTES
+        some = b.filter(long)
+        held.append(some)
+        size += pc.sum(pc.binary_length(some.column(1))).as_py() or 0
+        if size > LONG_BYTES:
+            yield from ((x, LONG_BYTES) for x in pa.Table.from_batches(held).combine_chunks().to_batches())
+            held, size = [], 0
+    if size:
+        yield from ((x, LONG_BYTES) for x in pa.Table.from_batches(held).combine_chunks().to_batches())
+
+
 class Lexicon:
     """Shared word counts and the symbols of the model."""
 
@@ -274,12 +342,14 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
             for b in pieces(whole, 0):
                 h, first = words(b.column(0))
                 s = lex.symbol[find.find(h)].astype(np.int32)
-                lists = [s[i:j] for i, j in zip(first, first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["s"])
-
-    rows = stage(train_docs.select(text).mapInArrow(symbols, "s array<int>"), "lm-symbols")
-    if rows.rdd.getNumPartitions() < LEAST_SHARDS:
-        rows = stage(rows.repartition(LEAST_SHARDS), "lm-shards")
+                rows = [x for i, j in zip(first, first[1:]) for x in segments_of(s[i:j], lex.end)]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["s"])
+
+    # Segments are dealt evenly over shards of about SHARD tokens, whatever the input's size, so a shard is
+    # like the whole: copies, long texts and sources are spread. Within a shard they have one order.
+    made = train_docs.select(text).mapInArrow(symbols, "s array<int>")
+    shards = max(LEAST_SHARDS, -(-lexicon.tokens // SHARD))
+    rows = made.repartition(shards).sortWithinPartitions(F.xxhash64("s"))
     flat = net.flat
     for turn in range(ROUNDS):
         now = sc.broadcast(flat)
@@ -287,22 +357,27 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
         def shard(batches, now=now, turn=turn):
             lex = shared.value
             own = Net(lex.symbols, flat=now.value)
-            moments, n = {}, 0
-            for b in batches:
-                texts = [x.values.to_numpy() for x in b.column(0)]
-                texts.sort(key=lambda x: (len(x), x.tobytes()))
-                if texts:
-                    train(own, texts, lex.end, RATE * 0.6 ** turn, moments)
-                    n += sum(map(len, texts)) + len(texts)
+            segments = [x.values.to_numpy() for b in batches for x in b.column(0)]
+            n = sum(map(len, segments)) - len(segments)
+            if segments:
+                train(own, segments, lex.end, RATE * 0.6 ** turn)
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array([own.flat.tobytes()], pa.binary()), pa.array([n])], ["p", "n"])
-
-        # One row of fixed size a task, read a part at a time.
-        total, lexicon.fitted = np.zeros(len(flat)), 0
-        for p in stage(rows.mapInArrow(shard, "p binary, n long"), "lm-round").toLocalIterator():
-            total += np.frombuffer(p.p, np.float32) * float(p.n)
-            lexicon.fitted += p.n
-        flat = (total / lexicon.fitted).astype(np.float32)
+                cut = np.array_split(own.flat.astype(np.float64) * n, SLICES)
+                yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([c.tobytes() for c in cut], pa.binary()),
+                                                  pa.array([n] * SLICES)], ["slice", "p", "n"])
+
+        def add(group: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(p.as_buffer(), np.float64) for p in group["p"])
+            return pa.table({"slice": group["slice"][:1], "p": pa.array([total.tobytes()], pa.binary()),
+                             "n": [sum(group["n"].to_pylist())]})
+
+        # The tasks' parameters, weighted by their tokens, are averaged on the executors; the driver gets one set.
+        tuned = stage(rows.mapInArrow(shard, "slice int, p binary, n long"), "lm-round")
+        some = tuned.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(16)))
+        sums = some.groupBy("slice", "salt").applyInArrow(add, "slice int, p binary, n long")
+        parts = sorted(sums.groupBy("slice").applyInArrow(add, "slice int, p binary, n long").collect(), key=lambda r: r["slice"])
+        lexicon.fitted = parts[0]["n"]
+        flat = (np.concatenate([np.frombuffer(r["p"], np.float64) for r in parts]) / lexicon.fitted).astype(np.float32)
         now.unpersist()
     return Net(lexicon.symbols, flat=flat), lexicon, counts
 
@@ -328,8 +403,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train_on: Co
         own, find = Net(symbols, flat=flat), Lookup(lex.keys)
         logs = np.append(np.log10(lex.counts + 1.0), 0.0)
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for whole in batches:
-            for b in pieces(whole, 1, BATCH_BYTES):
+        for whole, limit in long_together(batches):
+            for b in pieces(whole, 1, limit):
                 h, first = words(b.column(1))
                 at = find.find(h)
                 s = lex.symbol[at]
