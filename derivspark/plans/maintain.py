@@ -110,9 +110,9 @@ def _load(t: Transaction, feed: DataFrame, delivery: str, grain: str) -> bool |
     placed = good.withColumn("_place", F.monotonically_increasing_id())  # a row's place in the staged feed
     last = t.info.get("max_trade_id", 0)
     trades = N.build_trades(placed, instruments, expiries, lookup_rows=n_expiries, covering=True,
-                            stage_dir=t.scratch("ids"), tie_col="_place")
-    trades = trades.withColumns({"trade_id": F.col("trade_id") + F.lit(last), part: period_key("trade_date", grain)})
-    written = t.add("trades", trades, part, FACT_ORDER)
+                            stage_dir=t.scratch("ids"), tie_col="_place", grain=grain)
+    trades = trades.withColumn("trade_id", F.col("trade_id") + F.lit(last))
+    written = t.add("trades", N.written_order(trades, grain), part)
     n_trades = sum(n for _, txn, n in t.tables["trades"]["folders"] if txn == t.txn)
     if n_trades != n_lines - n_rejected:
         raise ValueError(f"{n_lines} lines, {n_rejected} rejected, but {n_trades} trades")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from derivspark.functions.metrics import GRAINS, period_key
 from derivspark.operators.ids import dense_ids
 from derivspark.operators.joins import maybe_broadcast
 from derivspark.schemas import (DEFAULT_OPTION_TYPE, DEFAULT_STRIKE, EXCHANGE_ROWS, EXCHANGES,
@@ -64,7 +65,7 @@ def contract_lookup(instruments: DataFrame, expiries: DataFrame) -> DataFrame:
 
 def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
                  lookup_rows: int | None = None, with_ids: bool = True, covering: bool = False,
-                 stage_dir: str | None = None, tie_col: str | None = None) -> DataFrame:
+                 stage_dir: str | None = None, tie_col: str | None = None, grain: str | None = None) -> DataFrame:
     """Fact build: rows with a timestamp, keyed through the contract lookup
     (NULL expiry rows drop out of the inner join), measures NULL -> 0.
 
@@ -73,7 +74,11 @@ def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
     index, so option-chain style reports filter and group on them without
     joining a contract dimension that can outgrow any broadcast. The values
     come from the same lookup row as ``expiry_id``; ``expiries`` stays the
-    system of record. ``stage_dir``, ``tie_col``: see ``dense_ids``."""
+    system of record. ``stage_dir``, ``tie_col``: see ``dense_ids``.
+
+    ``grain`` adds the partition column and numbers the rows in the order of the files' layout
+    (partition, instrument, day, then the rest): the one range sort that finds the ids leaves
+    the rows as they are to be written (``written_order``); otherwise ids go by day."""
     rows = fill_contract_keys(feed.where(F.col("timestamp").isNotNull()))
     lookup = maybe_broadcast(contract_lookup(instruments, expiries), lookup_rows)
     keyed = rows.join(lookup, [*INSTRUMENT_KEY, "expiry_date", "strike_price", "option_type"])
@@ -83,8 +88,18 @@ def build_trades(feed: DataFrame, instruments: DataFrame, expiries: DataFrame,
                           *measures, "timestamp", *extra, *([tie_col] if tie_col else []))
     if not with_ids:
         return trades
+    first = ["trade_date"]
+    if grain:
+        trades = trades.withColumn(GRAINS[grain], period_key("trade_date", grain))
+        first = [GRAINS[grain], "instrument_id", "trade_date"]
     # ids depend on the 3NF columns only (the covering ones follow expiry_id)
-    order = [c for c in trades.columns if c not in ("trade_date", tie_col, *extra)]
-    ids = dense_ids(trades, order_cols=order, id_col="trade_id", bucket_cols=["trade_date"],
+    order = [c for c in trades.columns if c not in (*first, tie_col, *extra)]
+    ids = dense_ids(trades, order_cols=order, id_col="trade_id", bucket_cols=first,
                     copies=True, stage_dir=stage_dir, tie_col=tie_col)
     return ids.select("trade_id", *[c for c in trades.columns if c != tie_col])
+
+
+def written_order(trades: DataFrame, grain: str) -> DataFrame:
+    """``build_trades`` with a ``grain`` as it is written: its tasks hold ranges of the layout already, so
+    they only sort what they read, without a shuffle."""
+    return trades.sortWithinPartitions(GRAINS[grain], "instrument_id", "trade_date", "trade_id")

@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from derivspark.functions.metrics import GRAINS, period_key, period_value
+from derivspark.functions.metrics import GRAINS, period_value
 from derivspark.operators.joins import max_broadcast_rows, maybe_broadcast
 from derivspark.plans import normalize as N
 from derivspark.plans.rollup import daily_aggregates
@@ -42,7 +42,7 @@ from derivspark.sources.versions import MAIN, Version, open_version
 
 DIMENSIONS = ["exchanges", "instruments", "expiries"]
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 11
+STORE_VERSION = 12
 # Largest instrument-id list pushed into the fact scan as a literal IN.
 MAX_PUSHED_KEYS = 2000
 
@@ -238,20 +238,14 @@ def write_model(spark: SparkSession, feed: DataFrame, root: str, grain: str = "m
         contracts.unpersist()
     exp = spark.read.parquet(f"{root}/expiries")
 
-    # Range bounds on (period, instrument, date, id) split any hot
-    # instrument/day over several files (the id makes every key unique), and
-    # the sort within files gives tight row-group min/max statistics on
-    # instrument and date. The range sampling and the write both read the
-    # written rows with their ids.
+    # One range sort on (period, instrument, date, rest, place) gives the ids and the files' layout: it
+    # splits any hot instrument/day over several files (the place makes every key unique), and
+    # the order within files gives tight row-group min/max statistics on instrument and date.
     part = GRAINS[grain]
     placed = feed.withColumn("_place", F.monotonically_increasing_id())  # a row's place in the written feed
     trades = N.build_trades(placed, inst, exp, lookup_rows=rows["expiries"], covering=True,
-                            stage_dir=f"{root}/_ids", tie_col="_place") \
-        .withColumn(part, period_key("trade_date", grain))
-    rows["trades"] = _write_counted(
-        trades.repartitionByRange(part, "instrument_id", "trade_date", "trade_id")
-              .sortWithinPartitions(part, "instrument_id", "trade_date", "trade_id"),
-        f"{root}/trades", partition_by=part)
+                            stage_dir=f"{root}/_ids", tie_col="_place", grain=grain)
+    rows["trades"] = _write_counted(N.written_order(trades, grain), f"{root}/trades", partition_by=part)
     # Daily roll-up from the written fact (partial aggregation per task; one
     # output row per instrument and day, range-split on that unique key).
     rows["daily"] = _write_counted(
