@@ -24,15 +24,15 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_FRACTION = 0.5
 # Fixed patterns of page furniture in four languages, for lower-cased lines of few words. Phrases match
-# between characters that are neither letters nor digits, so "dialog in" holds no "log in"; words that are
-# common in prose count as a whole line only.
+# between spaces and punctuation, so "dialog in" holds no "log in"; words that are common in prose
+# count as a whole line only. Each phrase starts with a plain letter.
 BOILERPLATE_PHRASES = (
-    "all rights reserved", "(licensed|released) under (the|an?) .{0,80}licen[cs]e", "privacy policy", "cookie policy",
-    "terms of (use|service) (apply|and)", "(we|this (web)?site) uses? cookies", "accept (all )?cookies", "click here (to|for)",
-    "subscribe to (our|the) newsletter", "enable javascript", "lorem ipsum dolor", "skip to (main )?content",
-    "share this (page|post|article) on", "copyright ?(©|\\(c\\)|[0-9]{4})",
-    "alle rechte vorbehalten", "datenschutzerklärung lesen", "(diese|unsere) (web)?seite verwendet cookies",
-    "newsletter (abonnieren|anmelden)", "cookies akzeptieren",
+    "all rights reserved", "licensed under (the|an?) .{0,80}licen[cs]e", "released under (the|an?) .{0,80}licen[cs]e",
+    "privacy policy", "cookie policy", "terms of (use|service) (apply|and)", "we use cookies", "this (web)?site uses cookies",
+    "accept (all )?cookies", "click here (to|for)", "subscribe to (our|the) newsletter", "enable javascript",
+    "lorem ipsum dolor", "skip to (main )?content", "share this (page|post|article) on", "copyright ?(©|\\(c\\)|[0-9]{4})",
+    "alle rechte vorbehalten", "datenschutzerklärung lesen", "diese (web)?seite verwendet cookies",
+    "unsere (web)?seite verwendet cookies", "newsletter (abonnieren|anmelden)", "cookies akzeptieren",
     "tous droits réservés", "politique de confidentialité", "conditions générales d.utilisation",
     "ce site utilise des cookies", "accepter les cookies", "abonnez-vous à (notre|la) (newsletter|lettre)",
     "todos los derechos reservados", "política de (privacidad|cookies)", "este sitio (web )?(usa|utiliza) cookies",
@@ -43,29 +43,40 @@ BOILERPLATE_LINES = (
     "datenschutz(erklärung)?", "nutzungsbedingungen", "weiterlesen", "mehr (lesen|anzeigen)", "anmelden", "mentions légales",
     "lire la suite", "(se connecter|connexion)", "s.inscrire", "aviso legal", "leer más", "iniciar sesión", "registrarse",
 )
-_EDGE = "[^\\p{L}\\p{N}]"
-BOILERPLATE = (f"(?:^|{_EDGE})(?:{'|'.join(BOILERPLATE_PHRASES)})(?:$|{_EDGE})|©"
-               f"|^{_EDGE}*(?:{'|'.join(BOILERPLATE_LINES)}){_EDGE}*$")
-BOILERPLATE_WORDS = 20
+LINE_WORDS = 6  # most words of a line that is one of BOILERPLATE_LINES, marks around it included
+_EDGE = "[\\x00-/:-@\\[-`{-\\x7f«»„“”‘’…–—·•›]"  # what may stand beside a phrase
+
 
+def by_first_letter(phrases: tuple[str, ...]) -> str:
+    """One pattern of all phrases that looks at each first letter once."""
+    rest: dict[str, list[str]] = {}
+    for x in phrases:
+        rest.setdefault(x[0], []).append(x[1:])
+    return "|".join(f"{a}(?:{'|'.join(x)})" for a, x in rest.items())
 
-def _spaces_cut(x: Column) -> Column:
-    return F.btrim(x, F.lit(SPACE_CHARS))
+
+# For lines with a space before and after.
+BOILERPLATE = f"{_EDGE}(?:{by_first_letter(BOILERPLATE_PHRASES)}){_EDGE}"
+BOILERPLATE_LINE = f"^{_EDGE}*(?:{'|'.join(BOILERPLATE_LINES)}){_EDGE}*$"
+BOILERPLATE_WORDS = 20
 
 
 def _count(lines: str, reason: str) -> Column:
     return F.size(F.filter(lines, lambda x: x["reason"] == reason)).cast("long")
 
 
-def line_reason(line: Column) -> Column:
-    """Why a line is removed: navigation, boilerplate, punctuation, repetition; null if it stays."""
-    n = n_words(line)
+def line_reason(line: Column, n: Column | None = None) -> Column:
+    """Why a line (of ``n`` words) is removed: navigation, boilerplate, punctuation, repetition; null if
+    it stays."""
+    n = n_words(line) if n is None else n
     marks = F.regexp_count(line, F.lit("[|»›•·→]"))
     shouts = F.regexp_count(line, F.lit("!!(?=\\s|$)"))
     symbols = F.regexp_count(line, F.lit("[^\\p{L}\\p{M}\\p{N}\\s]"))
-    chars = F.regexp_count(line, F.lit("\\S"))
+    chars = F.char_length(F.translate(line, SPACE_CHARS, ""))
     return (F.when((marks >= 3) & (marks * 5 >= n), F.lit("navigation"))
-            .when((n <= BOILERPLATE_WORDS) & F.lower(line).rlike(BOILERPLATE), F.lit("boilerplate"))
+            .when((n <= BOILERPLATE_WORDS) & F.contains(line, F.lit("©")), F.lit("boilerplate"))
+            .when((n <= LINE_WORDS) & F.lower(line).rlike(BOILERPLATE_LINE), F.lit("boilerplate"))
+            .when((n <= BOILERPLATE_WORDS) & F.concat(F.lit(" "), F.lower(line), F.lit(" ")).rlike(BOILERPLATE), F.lit("boilerplate"))
             .when((symbols * 4 > chars) | ((shouts >= 3) & (shouts * 2 > n)), F.lit("punctuation"))
             .when((n >= 20) & ~line.rlike("[.!?:;…]"), F.lit("punctuation"))
             .when((n >= 20) & (F.size(F.array_distinct(words(line))) * 4 < n), F.lit("repetition")))
@@ -84,8 +95,10 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.select(F.col(key).alias("doc_id"), t.alias("t"))
     d = d.select("doc_id", "t", words(F.col("t")).alias("w"),
-                 F.filter(F.split("t", "\n"), lambda x: _spaces_cut(x) != "").alias("lines"))
-    d = d.select("doc_id", "t", "w", "lines", F.size("w").cast("long").alias("n_words"),
+                 F.filter(F.transform(F.split("t", "\n"), lambda x: F.struct(x.alias("line"), n_words(x).alias("n"))),
+                          lambda x: x["n"] > 0).alias("counted"))
+    d = d.withColumn("lines", F.col("counted.line"))
+    d = d.select("doc_id", "t", "w", "lines", "counted", F.size("w").cast("long").alias("n_words"),
                  F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
                  F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
@@ -96,7 +109,7 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
                     | F.coalesce((F.get("s", k + 1)["h"] == x["h"]), F.lit(False)))
     covered = F.array_distinct(F.flatten(F.transform(same, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
     d = d.withColumn("n_repeat_words", F.coalesce(F.size(covered), F.lit(0)).cast("long")).drop("s", "w")
-    judged = F.transform("lines", lambda x: F.struct(x.alias("line"), line_reason(x).alias("reason")))
+    judged = F.transform("counted", lambda x: F.struct(x["line"].alias("line"), line_reason(x["line"], x["n"]).alias("reason")))
     d = d.withColumn("j", judged)
     d = d.withColumn("good", F.transform(F.filter("j", lambda x: x["reason"].isNull()), lambda x: x["line"]))
     counts = [_count("j", r).alias(f"n_{r}_lines") for r in ("navigation", "boilerplate", "punctuation", "repetition")]

@@ -146,6 +146,7 @@ SELECT doc_id, n_shingles, component_id, {last} FROM n JOIN comp USING (doc_id)
 
 _CONTROL = "|".join(re.escape(c[0]) + "[\\\\]*" + re.escape(c[1:]) for c in chat_format.CONTROLS)
 _FURNITURE = quality.BOILERPLATE.replace("'", "''")
+_FURNITURE_LINE = quality.BOILERPLATE_LINE.replace("'", "''")
 
 ORACLE = {
     "op1_sharding": f"""
@@ -184,7 +185,8 @@ m AS (SELECT *, len(regexp_extract_all(line, '[|»›•·→]')) AS marks,
              len(regexp_extract_all(line, '[^\\pL\\pM\\pN\\x20\\x09-\\x0D]')) AS symbols,
              len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]')) AS chars FROM l),
 r AS (SELECT *, CASE WHEN marks >= 3 AND marks * 5 >= n THEN 'navigation'
-                     WHEN n <= {quality.BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{_FURNITURE}') THEN 'boilerplate'
+                     WHEN n <= {quality.BOILERPLATE_WORDS} AND (contains(line, '©') OR regexp_matches(' ' || lower(line) || ' ', '{_FURNITURE}')
+                          OR (n <= {quality.LINE_WORDS} AND regexp_matches(lower(line), '{_FURNITURE_LINE}'))) THEN 'boilerplate'
                      WHEN symbols * 4 > chars OR (shouts >= 3 AND shouts * 2 > n) THEN 'punctuation'
                      WHEN n >= 20 AND NOT regexp_matches(line, '[.!?:;…]') THEN 'punctuation'
                      WHEN n >= 20 AND len(list_distinct({_words("line")})) * 4 < n THEN 'repetition' END AS reason FROM m),
