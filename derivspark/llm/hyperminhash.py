@@ -172,20 +172,28 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """``f, s``: the full sets of classes (``nodes.f``), made again from their texts, staged. Of an id
-    with several texts the one with the class's own set is taken."""
+    with several texts the one with the class's own set is taken; a task makes a class's set once
+    (rows that repeat an id and a text may give it in several tasks, which the comparisons bear)."""
     need = classes.join(nodes, "f").select(F.col("first").alias(P + "first"), F.col("f").alias(P + "f"))
 
     def full(batches):
+        seen = set()
         for whole in batches:
             for b in pieces(whole, 1):
                 values, at = sets(b.column(1), k)
-                own = pa.array(fingerprints(values, at) == b.column(0).to_numpy())
+                f = fingerprints(values, at)
+                own = f == b.column(0).to_numpy()
+                for i, x in enumerate(f.tolist()):
+                    own[i] &= x not in seen
+                    if own[i]:
+                        seen.add(x)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([values[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())], ["f", "s"]).filter(own)
+                    [b.column(0), pa.array([values[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())],
+                    ["f", "s"]).filter(pa.array(own))
 
     texts = (docs.select(F.col(key).alias(P + "k"), F.col(text).alias(P + "t"))
              .join(need, F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t"))
-    return stage(texts.mapInArrow(full, "f long, s binary").dropDuplicates(["f"]), "near-sets")
+    return stage(texts.mapInArrow(full, "f long, s binary"), "near-sets")
 
 
 def _verified(pairs: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame:
