@@ -28,8 +28,3 @@ def maybe_broadcast(dim: DataFrame, dim_rows: int | None) -> DataFrame:
     if dim_rows is None:
         dim_rows = dim.count()
     return F.broadcast(dim) if dim_rows <= max_broadcast_rows(dim.sparkSession) else dim
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, dim_rows: int | None,
-             how: str = "inner") -> DataFrame:
-    return fact.join(maybe_broadcast(dim, dim_rows), on, how)

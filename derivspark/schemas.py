@@ -13,7 +13,6 @@ EXCHANGE_ROWS = [
     (2, "BSE", "Bombay Stock Exchange", "India", True),
     (3, "MCX", "Multi Commodity Exchange of India", "India", True),
 ]
-EXCHANGE_CODES = ["NSE", "BSE", "MCX"]
 INSTRUMENT_TYPES = ["FUTIDX", "OPTIDX", "FUTSTK", "OPTSTK"]
 SERIES_VALUES = ["FUT", "OPT"]
 OPTION_TYPES = ["CE", "PE", "XX"]

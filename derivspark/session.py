@@ -86,7 +86,7 @@ def shared_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
     (tests, local runs) a private directory is created and registered as the
-    checkpoint dir.
+    checkpoint dir; on a cluster that would be a folder of one machine, so it is refused.
     """
     global _LOCAL_ROOT
     sc = spark.sparkContext
@@ -100,6 +100,8 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset config raises
             root = None
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="derivspark-")
             sc.setCheckpointDir(os.path.join(_LOCAL_ROOT, "checkpoints"))

@@ -48,14 +48,8 @@ def read_raw_lines(spark: SparkSession, path: str, exchange_id: int | None = Non
     return raw if exchange_id is None else raw.withColumn("exchange_id", F.lit(exchange_id).cast("int"))
 
 
-def stream_raw_csv(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    spark.conf.set(*NO_CSV_PRUNING)
-    return (spark.readStream.schema(RAW_WITH_EXCHANGE).options(**CSV_OPTIONS)
-            .option("maxFilesPerTrigger", max_files).csv(path))
-
-
 def stream_raw_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """As ``stream_raw_csv``, keeping malformed lines with their text in ``CORRUPT``."""
+    """The files of ``exchange_id=<n>`` folders as a stream, malformed lines with their text in ``CORRUPT``."""
     spark.conf.set(*NO_CSV_PRUNING)
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True), RAW_WITH_EXCHANGE["exchange_id"]])
     return spark.readStream.schema(schema).options(**LINE_OPTIONS).option("maxFilesPerTrigger", max_files).csv(path)
