@@ -34,3 +34,37 @@ def test_sums_beyond_the_cents_of_a_double_are_reported(spark, dear, key):
     assert got == pytest.approx(sorted(want[column]), rel=1e-15)
     assert max(got) > 2 ** 53 / 100
     assert isinstance(got[0], float) and all(Decimal(g).is_finite() for g in got)
+
+
+def test_range_sorts_take_more_tasks_for_more_rows(spark, monkeypatch, tmp_path):
+    from derivspark.operators import ids
+    monkeypatch.setattr(ids, "ROWS_A_TASK", 100)
+    rows = spark.range(5000).selectExpr("id % 7 AS k", "id AS v")
+    assert ids.by_range(rows, ["k", "v"], 5000).rdd.getNumPartitions() == 50
+    got = ids.dense_ids(rows, ["v"], "n", ["k"], stage_dir=str(tmp_path), rows=5000)
+    assert [r.n for r in got.orderBy("k", "v").select("n").collect()] == list(range(1, 5001))
+
+
+def test_deliveries_have_more_files_for_more_rows(spark, monkeypatch):
+    from derivspark.plans import model_jobs as MJ
+    from derivspark.sources.fs import file_stats
+    monkeypatch.setattr(MJ, "DELIVERY_ROWS", 500)
+    names = {len([n for n, _, _ in file_stats(spark, inbox) if "exchange_id=1/" in n and n.endswith(".csv")])
+             for inbox in MJ._deliveries(spark, SF001)}
+    files = -(-spark.read.parquet(f"{SF001}/lineitem.parquet").count() // 500)
+    assert names == {files, 2 * files}
+
+
+def test_builds_read_small_pieces_and_leave_the_settings(spark):
+    from derivspark.session import BOUNDED, bounded_tasks
+    before = {k: spark.conf.get(k, None) for k in BOUNDED}
+    with pytest.raises(ZeroDivisionError), bounded_tasks(spark):
+        assert {k: spark.conf.get(k) for k in BOUNDED} == BOUNDED
+        1 / 0
+    assert {k: spark.conf.get(k, None) for k in BOUNDED} == before
+
+
+def test_new_days_are_those_of_the_built_model(spark):
+    from derivspark.plans import model_jobs as MJ
+    from derivspark.sources.store import open_model
+    assert MJ._new_days(spark, SF001)[-1] == open_model(spark, SF001).last_trade_date()
