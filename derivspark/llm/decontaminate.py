@@ -2,9 +2,10 @@
 
 Terms are the benchmark's words (A-Z lower-cased), weighted by idf over all
 documents and never less than ``FLOOR``, so that an item in most documents, or of
-frequent words only, is searched too. A matrix of TF-IDF passages (the benchmark's and a bounded sample of the corpus's) is
-factored by a distributed randomised SVD: each partition multiplies its rows,
-the driver keeps (terms x rank) matrices only. Every document's overlapping
+frequent words only, is searched too. A matrix of TF-IDF passages (the benchmark's and those of
+every document) is factored: subspace iteration on the benchmark's passages gives a start, which is then
+multiplied once with all passages of the corpus, each task adding up its own. The driver keeps
+(terms x rank) matrices only. Every document's overlapping
 passages are projected to the latent space and searched for benchmark passages
 by cosine, scaled to the share of the benchmark passage that they hold.
 
@@ -24,17 +25,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, smallest, stage
+from .common import ship, stage
 from .textvec import Lookup, pieces, words
 
 BLOCK, SPAN = 16, 3  # words a block; blocks a passage (passages start at every block)
 QUERY = 32  # words of a benchmark passage
 RANK, OVERSAMPLE, POWER = 128, 16, 2
-FIT_DOCS, FIT_PARTS = 512, 4
+CORPUS_DOCS, FIT_PARTS = 512, 4  # all documents together weigh like this many in the factors
+FIT_BYTES, SLICE = 1 << 20, 256  # text multiplied at once; terms of a slice of a matrix
 FLOOR = 0.05  # least weight of a term
 CONTAINED = 0.4  # share of a benchmark passage's weight that makes a candidate
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
 MAX_ITEM_WORDS = 2_000_000  # benchmark words searched in one block
+MAX_SHARES = 8_000_000  # terms times items up to which texts are first compared by their words
 
 
 def _document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[int, np.ndarray]:
@@ -73,32 +76,87 @@ def _rows(term: np.ndarray, group: np.ndarray, idf: np.ndarray):
                 yield t, v / size
 
 
-def _factor(fit: DataFrame, terms: int, rank: int) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the staged rows, by randomised power iteration."""
+def _product(rows: DataFrame, q: np.ndarray) -> np.ndarray:
+    """X' X q of the staged rows X."""
+    shared = rows.sparkSession.sparkContext.broadcast(q)
+
+    def multiply(batches):
+        out = np.zeros(shared.value.shape, np.float32)
+        for b in batches:
+            for t, v in zip(b.column(0), b.column(1)):
+                t, v = t.values.to_numpy(), v.values.to_numpy().astype(np.float32)
+                out[t] += v[:, None] * (v @ shared.value[t])[None]
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["g"])
+
+    total = np.zeros(q.shape, np.float64)
+    for r in rows.mapInArrow(multiply, "g binary").toLocalIterator():
+        total += np.frombuffer(r.g, np.float32).reshape(q.shape)
+    shared.unpersist()
+    return total
+
+
+def _corpus_product(docs: DataFrame, text: str, terms: np.ndarray, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """X' X q of the unit-length TF-IDF passages X of every document. A task adds up its passages; the
+    tasks' matrices are added in slices of terms, so the driver gets one (terms x width) matrix."""
+    shared = ship(docs).sparkSession.sparkContext.broadcast((terms, idf.astype(np.float32), q))
+
+    def multiply(batches):
+        terms, idf, q = shared.value
+        find, out = Lookup(terms), np.zeros(q.shape, np.float32)
+        for whole in batches:
+            for b in pieces(whole, 0, FIT_BYTES):
+                h, first = words(b.column(0))
+                t = find.find(h)
+                sizes = np.diff(first)
+                passages = -(-sizes // (BLOCK * SPAN))
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                at = (np.cumsum(passages) - passages)[doc] + (np.arange(len(t)) - first[:-1][doc]) // (BLOCK * SPAN)
+                key, n = np.unique((at * len(terms) + t)[t >= 0], return_counts=True)
+                if not len(key):
+                    continue
+                at, t = key // len(terms), key % len(terms)
+                heads = np.flatnonzero(np.diff(at, prepend=-1))
+                row = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at))))
+                v = n * idf[t]
+                v /= np.sqrt(np.add.reduceat(v * v, heads))[row]
+                y = np.add.reduceat(q[t] * v[:, None], heads, axis=0)
+                order = np.argsort(t, kind="stable")
+                heads = np.flatnonzero(np.diff(t[order], prepend=-1))
+                out[t[order][heads]] += np.add.reduceat(y[row[order]] * v[order, None], heads, axis=0)
+        for i in range(0, len(out), SLICE):
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([out[i:i + SLICE].astype(np.float64).tobytes()], pa.binary())],
+                                             ["i", "g"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(g.as_buffer(), np.float64) for g in parts["g"])
+        return pa.table({"i": parts["i"][:1], "g": pa.array([total.tobytes()], pa.binary())})
+
+    summed = docs.select(text).mapInArrow(multiply, "i long, g binary").groupBy("i").applyInArrow(add, "i long, g binary")
+    total = np.zeros(q.shape, np.float64)
+    for r in summed.collect():  # one row a slice of terms
+        part = np.frombuffer(r.g, np.float64).reshape(-1, q.shape[1])
+        total[r.i:r.i + len(part)] = part
+    shared.unpersist()
+    return total
+
+
+def _leading(total: np.ndarray) -> np.ndarray:
+    """Left singular vectors that carry weight."""
+    u, s, _ = np.linalg.svd(total, full_matrices=False)
+    return u[:, s > max(s[0], 1e-12) * 1e-6].astype(np.float32) if s[0] > 0 else u[:, :0].astype(np.float32)
+
+
+def _factor(rows: DataFrame, terms: int, rank: int) -> np.ndarray:
+    """An orthonormal start (terms x (rank + OVERSAMPLE)): the staged rows' leading right singular vectors by
+    randomised power iteration, filled up with random directions."""
     width = min(terms, rank + OVERSAMPLE)
-    sc = fit.sparkSession.sparkContext
-    q = np.linalg.qr(np.random.default_rng(7).standard_normal((terms, width)))[0].astype(np.float32)
-    for _ in range(POWER + 1):
-        shared = sc.broadcast(q)
-
-        def multiply(batches, shared=shared):
-            out = np.zeros((terms, width), np.float32)
-            for b in batches:
-                for t, v in zip(b.column(0), b.column(1)):
-                    t, v = t.values.to_numpy(), v.values.to_numpy().astype(np.float32)
-                    out[t] += v[:, None] * (v @ shared.value[t])[None]
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["g"])
-
-        total = np.zeros((terms, width), np.float64)
-        for r in fit.mapInArrow(multiply, "g binary").toLocalIterator():
-            total += np.frombuffer(r.g, np.float32).reshape(terms, width)
-        shared.unpersist()
-        u, s, _ = np.linalg.svd(total, full_matrices=False)
-        q = u[:, s > max(s[0], 1e-12) * 1e-6].astype(np.float32) if s[0] > 0 else u[:, :0].astype(np.float32)
-        width = q.shape[1]
-        if not width:
+    noise = np.random.default_rng(7).standard_normal((terms, width))
+    q = np.linalg.qr(noise)[0].astype(np.float32)
+    for _ in range(POWER):
+        q = _leading(_product(rows, q))
+        if not q.shape[1]:
             break
-    return q[:, :rank]
+    return np.linalg.qr(np.concatenate([q, noise[:, :width - q.shape[1]]], axis=1))[0].astype(np.float32)
 
 
 class Model:
@@ -116,6 +174,13 @@ class Model:
         self.queries = np.array(rows, np.float32).reshape(len(rows), vectors.shape[1])
         self.norms = np.linalg.norm(self.queries, axis=1)
         self.usable = self.norms > 1e-6
+        # Share of each item's weight that a term holds; the blocks that an item's region can span.
+        self.shares = None
+        if len(terms) * len(items) <= MAX_SHARES:
+            self.shares = np.zeros((len(terms), len(items)), np.float32)
+            for i, item in enumerate(items):
+                np.add.at(self.shares[:, i], item, idf[item] / idf[item].sum())
+        self.reach = -(-(max(map(len, items)) + (SPAN + 2) * BLOCK) // BLOCK) + 1
 
     def lookup(self):
         return Lookup(self.terms)
@@ -131,6 +196,29 @@ def _common_weight(region: np.ndarray, item: np.ndarray, w: np.ndarray) -> float
     return float(row[-1])
 
 
+def _promising(model: Model, t: np.ndarray, block: np.ndarray, blocks: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Blocks around which the words suffice for some item: a leak's region holds at least ``LCS_WITH_ANSWER`` of
+    the item's weight, and lies in two adjacent stretches of ``reach`` blocks. No leak is lost."""
+    if model.shares is None:
+        return np.ones(base[-1], bool)
+    stretches = -(-blocks // model.reach)
+    first = np.concatenate([[0], np.cumsum(stretches)])
+    owner = np.repeat(np.arange(len(blocks)), blocks)
+    at = first[:-1][owner] + (np.arange(base[-1]) - base[:-1][owner]) // model.reach
+    held = np.zeros((first[-1] + 1, len(model.terms)), bool)  # the last row stays empty
+    held[at[block[t >= 0]], t[t >= 0]] = True
+    after = np.arange(1, first[-1] + 1)
+    after[first[1:][stretches > 0] - 1] = first[-1]  # a text's last stretch has none after it
+    enough = np.zeros(first[-1] + 1, bool)
+    for i in range(0, first[-1], 2048):
+        both = held[i:min(i + 2048, first[-1])] | held[after[i:i + 2048]]
+        enough[i:i + len(both)] = (both.astype(np.float32) @ model.shares).max(1) >= LCS_WITH_ANSWER - 1e-3
+    before = np.zeros(first[-1], bool)
+    before[1:] = enough[:-2]
+    before[first[:-1][stretches > 0]] = False
+    return (enough[:-1] | before)[at]
+
+
 def search(model: Model, find: Lookup, texts: pa.Array):
     """(row, item, cosine, lcs share, answer share) of every leak in the texts."""
     h, first = words(texts)
@@ -142,7 +230,11 @@ def search(model: Model, find: Lookup, texts: pa.Array):
     base = np.concatenate([[0], np.cumsum(blocks)])
     doc = np.repeat(np.arange(len(sizes)), sizes)
     block = base[:-1][doc] + (np.arange(len(t)) - first[:-1][doc]) // BLOCK
-    good = np.flatnonzero(t >= 0)
+    promising = _promising(model, t, block, blocks, base)
+    needed = promising.copy()  # passages start at promising blocks
+    for j in range(1, SPAN):
+        needed[j:] |= promising[:-j]
+    good = np.flatnonzero((t >= 0) & needed[block])
     dense = np.zeros((base[-1] + SPAN, model.latent.shape[1]), np.float32)
     if len(good):
         heads = np.flatnonzero(np.diff(block[good], prepend=-1))
@@ -155,7 +247,7 @@ def search(model: Model, find: Lookup, texts: pa.Array):
         passage += dense[j:j + base[-1]] * inside[:, None]
         length += square[j:j + base[-1]] * inside
     least = CONTAINED * model.norms[model.usable].min() if model.usable.any() else np.inf
-    hot = np.flatnonzero(np.einsum("ij,ij->i", passage, passage) >= least * least)
+    hot = np.flatnonzero(promising & (np.einsum("ij,ij->i", passage, passage) >= least * least))
     best: dict = {}
     for i in range(0, len(hot), 8192):
         some = hot[i:i + 8192]
@@ -227,35 +319,20 @@ def _fit_block(docs, key, text, ids, texts, rank):
     idf = np.maximum(np.log((n + 1) / (df + 1)), FLOOR)
     item_terms = [find.find(h[first[i]:first[i + 1]]) for i in full]
 
-    def sample(batches):
-        for whole in batches:
-            for b in pieces(whole, 0):
-                hh, f = words(b.column(0))
-                t = find.find(hh)
-                doc = np.repeat(np.arange(b.num_rows), np.diff(f))
-                group = doc * (1 << 32) + (np.arange(len(t)) - f[:-1][doc]) // (BLOCK * SPAN)
-                rows = list(_rows(t[t >= 0], group[t >= 0], idf))
-                yield _row_batch(rows)
-
     spark = docs.sparkSession
-    corpus = docs.select(F.col(text).alias("x"), F.xxhash64(F.lit("fit"), F.col(key).cast("string"), text).alias("o"))
-    corpus = smallest(corpus, "o", FIT_DOCS).select("x")
     schema = "t array<int>, v array<double>"
     own_terms = np.concatenate(item_terms)
     own_group = np.concatenate([i * (1 << 32) + np.arange(len(x)) // QUERY for i, x in enumerate(item_terms)])
     own = list(_rows(own_terms, own_group, idf))
-    weight = 10.0  # benchmark passages lead the factors; the corpus sample shapes the rest
+    weight = 10.0  # benchmark passages lead the factors; the corpus shapes the rest
     own = spark.createDataFrame([([int(x) for x in t], [float(x) * weight for x in v]) for t, v in own], schema)
-    rows = stage(ship(corpus).mapInArrow(sample, schema).unionByName(own).repartition(FIT_PARTS), "leak-rows")
-    vectors = _factor(rows.coalesce(FIT_PARTS), len(terms), rank)
+    own = stage(own.repartition(FIT_PARTS), "leak-rows").coalesce(FIT_PARTS)
+    start = _factor(own, len(terms), rank)
+    total = _product(own, start) + min(1.0, CORPUS_DOCS / max(n, 1)) * _corpus_product(docs, text, terms, idf, start)
+    vectors = _leading(total)[:, :rank]
     return Model([ids[i] for i in full], item_terms, terms, idf, vectors, float(idf.mean()))
 
 
-def _row_batch(rows):
-    return pa.RecordBatch.from_arrays([pa.array([t.astype(np.int32) for t, _ in rows], pa.list_(pa.int32())),
-                                       pa.array([v for _, v in rows], pa.list_(pa.float64()))], ["t", "v"])
-
-
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                item_text: str = "text", rank: int = RANK) -> DataFrame:
     """One row a document and benchmark item that it leaks: ``doc_id, item_id, cosine,

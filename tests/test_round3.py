@@ -68,3 +68,55 @@ def test_new_days_are_those_of_the_built_model(spark):
     from derivspark.plans import model_jobs as MJ
     from derivspark.sources.store import open_model
     assert MJ._new_days(spark, SF001)[-1] == open_model(spark, SF001).last_trade_date()
+
+
+def test_the_factors_take_in_every_document(spark, monkeypatch):
+    import numpy as np
+
+    from derivspark.llm import decontaminate as D
+    texts = [f"w{i % 11} w{i % 7} w{i % 5} other w{i % 3}" for i in range(60)] + [None, "", "w1 " * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(11)))], "item_id long, text string")
+    seen = []
+    product = D._corpus_product
+
+    def record(docs, text, terms, idf, q):
+        seen.append((terms, idf, q, product(docs, text, terms, idf, q)))
+        return seen[-1][-1]
+
+    monkeypatch.setattr(D, "_corpus_product", record)
+    monkeypatch.setattr(D, "SLICE", 4)
+    D.fit(docs, items)
+    terms, idf, q, got = seen[0]
+    find, want = D.Lookup(terms), np.zeros(q.shape)
+    for text in texts:
+        t = find.find(D.words(D.pa.array([text or ""]))[0])
+        for i in range(0, len(t), D.BLOCK * D.SPAN):
+            x = np.bincount(t[i:i + D.BLOCK * D.SPAN][t[i:i + D.BLOCK * D.SPAN] >= 0], minlength=len(terms)) * idf
+            if x.any():
+                x /= np.linalg.norm(x)
+                want += np.outer(x, x @ q)
+    assert np.allclose(got, want, atol=1e-4) and np.abs(want).max() > 1
+
+
+def test_toxicity_features_are_made_in_small_pieces(spark, monkeypatch):
+    from derivspark.llm import toxicity as X
+    assert X.PIECE <= 1 << 20
+
+
+def test_comparing_words_first_loses_no_leak(spark, monkeypatch):
+    import random
+
+    from derivspark.llm import decontaminate as D
+    rng = random.Random(5)
+    items = [(i, " ".join(f"q{rng.randrange(300)}" for _ in range(rng.choice([1, 5, 30, 70])))) for i in range(30)]
+    texts = []
+    for i in range(150):
+        filler = [f"q{rng.randrange(900)}" for _ in range(rng.choice([0, 3, 200, 900]))]
+        at, leak = rng.randrange(len(filler) + 1), [w for w in rng.choice(items)[1].split() if rng.random() < 0.9]
+        texts.append((i, " ".join(filler[:at] + leak + filler[at:])))
+    docs = spark.createDataFrame([*texts, (900, None), (901, " ")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in D.find_leaks(docs, bench).collect())
+    monkeypatch.setattr(D, "MAX_SHARES", 0)
+    assert found == sorted((r.doc_id, r.item_id) for r in D.find_leaks(docs, bench).collect()) and len(found) > 100
