@@ -25,6 +25,7 @@ from .textvec import U, heads, mix, pieces, words
 DIMENSIONS = 1 << 18
 STEMS = (4, 6)
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.001
+PIECE = 1 << 20  # bytes of text whose features are held at once
 MAX_ROWS, ROWS_A_SHARD, SHARDS, ROUNDS = 32_000, 4_000, 8, 6
 
 
@@ -75,7 +76,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
 
     def extract(batches):
         for whole in batches:
-            for b in pieces(whole, 1):
+            for b in pieces(whole, 1, PIECE):
                 doc, f = features(b.column(1), dimensions)
                 both = np.unique(doc * dimensions + f)
                 cuts = np.searchsorted(both // dimensions, np.arange(b.num_rows + 1))
@@ -126,7 +127,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
         w = np.zeros(dimensions)
         w[at] = value
         out = []
-        for b in pieces(pa.RecordBatch.from_arrays([t], ["t"]), 0):
+        for b in pieces(pa.RecordBatch.from_arrays([t], ["t"]), 0, PIECE):
             doc, f = features(b.column(0), dimensions)
             hit = w[f] != 0
             both = np.unique(doc[hit] * dimensions + f[hit])
