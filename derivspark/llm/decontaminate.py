@@ -32,7 +32,7 @@ BLOCK, SPAN = 16, 3  # words a block; blocks a passage (passages start at every
 QUERY = 32  # words of a benchmark passage
 RANK, OVERSAMPLE, POWER = 128, 16, 2
 CORPUS_DOCS, FIT_PARTS = 512, 4  # all documents together weigh like this many in the factors
-FIT_BYTES, SLICE = 1 << 20, 256  # text multiplied at once; terms of a slice of a matrix
+PIECE, SLICE = 1 << 20, 256  # bytes of text searched or multiplied at once; terms of a slice of a matrix
 FLOOR = 0.05  # least weight of a term
 CONTAINED = 0.4  # share of a benchmark passage's weight that makes a candidate
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
@@ -46,7 +46,7 @@ def _document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[
         find = Lookup(terms)
         df, n = np.zeros(len(terms), np.int64), 0
         for whole in batches:
-            for b in pieces(whole, 0):
+            for b in pieces(whole, 0, PIECE):
                 h, first = words(b.column(0))
                 t = find.find(h)
                 doc = np.repeat(np.arange(b.num_rows), np.diff(first))[t >= 0]
@@ -104,7 +104,7 @@ def _corpus_product(docs: DataFrame, text: str, terms: np.ndarray, idf: np.ndarr
         terms, idf, q = shared.value
         find, out = Lookup(terms), np.zeros(q.shape, np.float32)
         for whole in batches:
-            for b in pieces(whole, 0, FIT_BYTES):
+            for b in pieces(whole, 0, PIECE):
                 h, first = words(b.column(0))
                 t = find.find(h)
                 sizes = np.diff(first)
@@ -353,7 +353,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             m = shared.value
             find = m.lookup()
             for whole in batches:
-                for b in pieces(whole, 1):
+                for b in pieces(whole, 1, PIECE):
                     hits = list(search(m, find, b.column(1)))
                     if hits:
                         r, i, *rest = zip(*hits)
@@ -378,7 +378,7 @@ def _judge(shared):
     def judged(t: pa.Array) -> pa.Array:
         m, out, at = shared.value, np.zeros(len(t), bool), 0
         find = m.lookup()
-        for b in pieces(pa.RecordBatch.from_arrays([t], ["t"]), 0):
+        for b in pieces(pa.RecordBatch.from_arrays([t], ["t"]), 0, PIECE):
             for d, *_ in search(m, find, b.column(0)):
                 out[at + d] = True
             at += b.num_rows

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 R = 0x9E3779B97F4A7C15 | 1
-SEGMENT = 1 << 21  # bytes hashed at once
+SEGMENT = 1 << 19  # bytes hashed at once
 BATCH_BYTES = 4 << 20  # bytes of text handled at once
 
 
