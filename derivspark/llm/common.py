@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,47 @@ def smallest(df: DataFrame, order: str, n: int) -> DataFrame:
     return df.limit(0) if cut is None else df.filter(F.col(order) <= cut)
 
 
+FILTER_SPOTS, FILTER_BITS, FILTER_MOST = 4, 16, 26  # bits set a key, bits a key, log2 of a filter's size at most (8 MB)
+
+
+class KeyFilter:
+    """A Bloom filter of the one column of ``keys``: ``has`` is true for every value that occurs
+    there and false for nearly all others. Rows that fail it need no shuffle; those that pass
+    still have to be joined. It has at most 8 MB; beyond some ten million keys it lets more
+    rows pass, and loses none."""
+
+    def __init__(self, keys: DataFrame):
+        self.size = 1 << min(max((FILTER_BITS * keys.count()).bit_length(), 12), FILTER_MOST)
+        low, high = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("h", 32)
+        spots = F.array(*[(low + high * F.lit(i)).bitwiseAND(F.lit(self.size - 1)) for i in range(FILTER_SPOTS)])
+        found = (keys.select(F.xxhash64(keys.columns[0]).alias("h")).select(F.explode(spots).alias("spot"))
+                 .groupBy(F.shiftright("spot", 6).alias("word"))
+                 .agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("bits")).toArrow())
+        bits = np.zeros(self.size >> 6, np.uint64)
+        bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        self.shared = ship(keys).sparkSession.sparkContext.broadcast(bits)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """Of values by their ``xxhash64``, in a task."""
+        words, h, good = self.shared.value, h.view(np.uint64), np.ones(len(h), bool)
+        low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)
+        for i in range(FILTER_SPOTS):
+            spot = (low + np.uint64(i) * high) & np.uint64(self.size - 1)
+            good &= (words[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return good
+
+
+def maybe_in(keys: DataFrame | KeyFilter) -> Callable[[Column], Column]:
+    """A condition on a column of the type of ``keys``' one column, by ``KeyFilter``."""
+    known = keys if isinstance(keys, KeyFilter) else KeyFilter(keys)
+
+    @F.arrow_udf("boolean")
+    def passes(h: pa.Array) -> pa.Array:
+        return pa.array(known.has(h.to_numpy(zero_copy_only=False)))
+
+    return lambda col: passes(F.xxhash64(col))
+
+
 _shipped: set[str] = set()
 
 

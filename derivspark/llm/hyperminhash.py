@@ -21,16 +21,21 @@ register with a probability near the sets' similarity for sets of any size.
 4. A pair's similarity is estimated from its registers, corrected for
    registers that agree by chance; clear misses go, and all others are
    verified on their full sets.
+
+Sketches and texts are large and stay where they are: rows that a step needs
+are picked by a Bloom filter of their keys (``common.KeyFilter``), and only
+those are shuffled to the exact join. No task runs two Python steps at a time,
+which would take two workers' memory.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import P, ship, stage
+from .common import P, KeyFilter, maybe_in, ship, stage
 from .graph import components
 from .textvec import U, mix, pieces, shingles, words
 
@@ -137,9 +142,14 @@ def sketch(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return d.mapInArrow(run, f"doc_id {kind}, n long, f long, regs binary")
 
 
-def _bands(classes: DataFrame) -> DataFrame:
-    def run(batches):
+def _bands(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, f``: the bands of each class once; only sketches of classes of several rows are shuffled."""
+    several = KeyFilter(classes.filter("rows > 1").select("f"))
+
+    def run(batches, alone):
         for b in batches:
+            if alone:
+                b = b.filter(pa.array(~several.has(b.column(2).to_numpy())))
             for i in range(0, b.num_rows, 2048):
                 p = b.slice(i, 2048)
                 regs = np.frombuffer(b"".join(p.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
@@ -147,10 +157,13 @@ def _bands(classes: DataFrame) -> DataFrame:
                 f = np.repeat(p.column(0).to_numpy(), BANDS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(f)], ["key", "f"])
 
-    return classes.select("f", "regs").mapInArrow(run, "key long, f long")
+    rows = sketches.select("f", "regs", F.xxhash64("f").alias("h"))
+    again = rows.filter(maybe_in(several)(F.col("f"))).dropDuplicates(["f"])
+    return (rows.mapInArrow(lambda batches: run(batches, True), "key long, f long")
+            .unionByName(again.mapInArrow(lambda batches: run(batches, False), "key long, f long")))
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for i in range(0, b.num_rows, 2048):
@@ -164,8 +177,10 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 good &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
                 yield pa.RecordBatch.from_arrays([p.column(0), p.column(1)], ["a", "b"]).filter(pa.array(good))
 
-    x = classes.select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
-    y = classes.select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+    near = sketches.select("f", "n", "regs").filter(maybe_in(nodes)(F.col("f"))).dropDuplicates(["f"])
+    x = near.select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
+    y = near.select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "na", "ra", "nb", "rb")
             .mapInArrow(run, "a long, b long"))
 
@@ -192,7 +207,8 @@ def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str,
                     ["f", "s"]).filter(pa.array(own))
 
     texts = (docs.select(F.col(key).alias(P + "k"), F.col(text).alias(P + "t"))
-             .join(need, F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t"))
+             .filter(maybe_in(need.select(P + "first"))(F.col(P + "k")))
+             .join(need.hint("merge"), F.col(P + "k") == F.col(P + "first")).select(P + "f", P + "t"))
     return stage(texts.mapInArrow(full, "f long, s binary"), "near-sets")
 
 
@@ -213,7 +229,11 @@ def _verified(pairs: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame
 
 def _block_links(members: DataFrame, full_sets: DataFrame, percent: int) -> DataFrame:
     """Links between members (key, f, comp) of one bucket and different components, found
-    block by block on full sets; one link a member and other component."""
+    block by block on full sets; one link a member and other component. Buckets of
+    the same members are compared once."""
+    whole = members.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("f")).alias("x"),
+                                       F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"))
+    members = members.join(whole.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = (members.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int"))
             .withColumn("j", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -243,11 +263,10 @@ def _block_links(members: DataFrame, full_sets: DataFrame, percent: int) -> Data
     return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
-def links(classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame | None:
+def links(classes: DataFrame, sketches: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame | None:
     """Verified links between classes that suffice for the components; None without any."""
-    rows = _bands(classes)
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    members = stage(rows.join(sizes, "key"), "near-members")
+    rows = _bands(sketches, classes)  # one shuffle; a join with the sizes takes a second
+    members = stage(rows.withColumn("size", F.count("*").over(Window.partitionBy("key"))).filter("size > 1"), "near-members")
     weight = members.groupBy("f").agg(F.sum("size").alias("weight"))
     members = members.drop("size").join(weight, "f").withColumn("comp", F.col("f"))
     tested = found = comp = None
@@ -271,7 +290,7 @@ def links(classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, perc
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = stage(pairs, "near-pairs")
             tested = pairs if tested is None else tested.unionByName(pairs)
-            likely = stage(_estimated(pairs, classes, percent), "near-likely")
+            likely = stage(_estimated(pairs, sketches, percent), "near-likely")
             nodes = likely.select(F.explode(F.array("a", "b")).alias("f")).distinct()
             good = _verified(likely, _full_sets(nodes, classes, docs, key, text, k), percent)
         else:
@@ -297,10 +316,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """
     s = stage(sketch(docs, key, text, k), "near-sketch")
     named = s.filter(F.col("f").isNotNull() & F.col("doc_id").isNotNull())
-    classes = named.groupBy("f").agg(F.min("doc_id").alias("first"))
-    whole = classes.alias("c").join(named.alias("s"), (F.col("s.f") == F.col("c.f")) & (F.col("s.doc_id") == F.col("c.first")))
-    classes = stage(whole.select("c.f", "first", "s.n", "s.regs").dropDuplicates(["f"]), "near-classes")
-    comp = links(classes, docs, key, text, k, percent)
+    classes = stage(named.groupBy("f").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), "near-classes")
+    comp = links(classes, named, docs, key, text, k, percent)
     named_class = classes.select("f", "first")
     if comp is None:
         label = named_class.withColumnRenamed("first", "component_id")
@@ -319,8 +336,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the smallest id
     (repeated rows of one id and text stay once; rows without an id all stay)."""
-    kept = (near_duplicates(docs, key, text, **options).filter("kept and doc_id is not null")
-            .select(F.col("doc_id").alias(P + "k")).distinct())
-    named = docs.join(kept, F.col(key) == F.col(P + "k"), "left_semi")
-    named = named.withColumn(P + "h", F.xxhash64(text)).dropDuplicates([key, P + "h"]).drop(P + "h")
-    return named.unionByName(docs.filter(F.col(key).isNull()))
+    near = near_duplicates(docs, key, text, **options).filter("doc_id is not null")
+    ids = stage(near.groupBy(F.col("doc_id").alias(P + "k")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "near-ids")
+    some = maybe_in(ids.filter("not kept or rows > 1").select(P + "k"))(F.col(key))
+    rest = docs.filter(F.col(key).isNotNull() & some)
+    rest = rest.join(ids.filter("kept").select(P + "k"), F.col(key) == F.col(P + "k"), "left_semi")
+    rest = rest.withColumn(P + "h", F.xxhash64(text)).dropDuplicates([key, P + "h"]).drop(P + "h")
+    return rest.unionByName(docs.filter(F.col(key).isNull() | ~some))  # those occur once and stay

@@ -2,6 +2,7 @@
 very long texts, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("derivspark.llm")
-from derivspark.llm import (chat_format, decontaminate, gru_lm, hyperminhash, mixing, quality, sharding,  # noqa: E402
+from derivspark.llm import (chat_format, common, decontaminate, gru_lm, hyperminhash, mixing, quality, sharding,  # noqa: E402
                             textvec, token_count, toxicity, url_filter)
 from derivspark.llm.common import crc_mod  # noqa: E402
 
@@ -421,6 +422,53 @@ def test_block_links_find_what_hubs_miss(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(docs, k=4).collect()} == {d: c for d, (_, c) in want.items()}
 
 
+def test_filter_of_keys_loses_none(spark):
+    keys = spark.range(0, 30000, 3).withColumn("id", F.when(F.col("id") == 0, F.lit(None)).otherwise(F.col("id")))
+    for kind in ("long", "string"):
+        test = common.maybe_in(keys.select(F.col("id").cast(kind).alias("k")))
+        got = {r.id for r in spark.range(1, 30000).filter(test(F.col("id").cast(kind))).collect()}
+        assert got >= set(range(3, 30000, 3)) and len(got) < 10500
+    none = common.maybe_in(keys.limit(0))
+    assert spark.range(100).filter(none(F.col("id"))).count() == 0
+
+
+def test_near_duplicates_shuffle_few_texts(spark, monkeypatch):
+    """Of texts that mostly stand alone, few are shuffled, and the right ones stay."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"{w:x}" for w in rng.integers(0, 1 << 40, 1500)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i] + " end") for i in range(5)]
+    rows += [(5, "another text of this id"), (1000, texts[0] + " end"), (2000, texts[7]), (2001, None), (2002, ""), (2002, ""), (None, texts[8])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    moved = {}
+
+    def look():
+        for d in folders:
+            for at, _, names in os.walk(d):
+                moved.update({n: os.path.getsize(f"{at}/{n}") for n in names if n.startswith("shuffle_") and n.endswith(".data")})
+
+    def staged(df, name, stage=hyperminhash.stage):
+        out = stage(df, name)
+        look()
+        return out
+
+    docs = common.stage(docs, "test-documents")
+    look()
+    before = set(moved)
+    monkeypatch.setattr(hyperminhash, "stage", staged)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = [(r.doc_id, r.text) for r in hyperminhash.drop_near_duplicates(docs).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    look()
+    want = rows[:300] + [(5, "another text of this id"), (2001, None), (2002, ""), (None, texts[8])]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert sum(v for k, v in moved.items() if k not in before) < 0.5 * sum(map(len, texts))
+
+
 def test_register_estimates():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 1 << 63, 6000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
