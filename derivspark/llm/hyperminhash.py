@@ -11,9 +11,11 @@ register with a probability near the sets' similarity for sets of any size.
 2. Runs of registers form bands; classes that share a band are candidates. With
    64 bands of 8 a pair at 0.8 is missed with probability 8e-6, while a pair at
    0.4 meets with probability 0.04.
-3. A bucket of candidates is not expanded into pairs. Its hub is compared with
-   the other members; the links found join classes into components, buckets
-   within one component are done, and the rest get other hubs. Buckets that
+3. A bucket of candidates is not expanded into pairs. Its hub is its member with
+   the fullest buckets. First every class is compared with one hub, the heaviest of
+   all its buckets; the links found join classes into components, and buckets within
+   one component are done. In the others, members are then compared with each hub of
+   another component. Buckets that
    still hold several components after ``STAR_ROUNDS`` are compared in blocks of
    bounded size: the overlaps of a block's full sets are one matrix product, and
    only links between components come out. So no link between two components is
@@ -163,6 +165,11 @@ def _bands(sketches: DataFrame, classes: DataFrame) -> DataFrame:
             .unionByName(again.mapInArrow(lambda batches: run(batches, False), "key long, f long")))
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    """``f``: the classes of pairs once, staged, as several steps read them."""
+    return stage(pairs.select(F.explode(F.array("a", "b")).alias("f")).distinct(), "near-nodes")
+
+
 def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -177,8 +184,7 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
                 good &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
                 yield pa.RecordBatch.from_arrays([p.column(0), p.column(1)], ["a", "b"]).filter(pa.array(good))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("f")).distinct()
-    near = sketches.select("f", "n", "regs").filter(maybe_in(nodes)(F.col("f"))).dropDuplicates(["f"])
+    near = sketches.select("f", "n", "regs").filter(maybe_in(_nodes(pairs))(F.col("f"))).dropDuplicates(["f"])
     x = near.select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
     y = near.select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "na", "ra", "nb", "rb")
@@ -275,24 +281,26 @@ def links(classes: DataFrame, sketches: DataFrame, docs: DataFrame, key: str, te
             old = members.drop("comp")
             members = old.join(comp.withColumnRenamed("node", "f"), "f", "left") \
                          .withColumn("comp", F.coalesce("comp", "f"))
-        rank = F.col("weight") if turn == 0 else F.xxhash64("key", "f", F.lit(turn))
+        rank = F.col("weight") if turn < 2 else F.xxhash64("key", "f", F.lit(turn))
         hubs = (members.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "f", "comp")).alias("hub"),
                                            F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                .filter("lo < hi").select("key", F.col("hub.f").alias("hub"), F.col("hub.comp").alias("hub_comp")))
+                .filter("lo < hi").select("key", F.col("hub.rank").alias("rank"), F.col("hub.f").alias("hub"),
+                                          F.col("hub.comp").alias("hub_comp")))
         open_rows = stage(members.join(hubs, "key"), "near-open")
-        members = open_rows.drop("hub", "hub_comp")
+        members = open_rows.drop("rank", "hub", "hub_comp")
         if open_rows.isEmpty():
             break
         if turn < STAR_ROUNDS:
-            pairs = open_rows.filter("comp <> hub_comp").select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b"))
-            pairs = pairs.distinct()
+            pairs = open_rows.filter("comp <> hub_comp").select("f", "hub", "rank")
+            if turn == 0:  # one hub a member, the heaviest of all its buckets: a large group mostly links by these
+                pairs = pairs.groupBy("f").agg(F.max(F.struct("rank", "hub")).alias("best")).select("f", F.col("best.hub").alias("hub"))
+            pairs = pairs.select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b")).distinct()
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = stage(pairs, "near-pairs")
             tested = pairs if tested is None else tested.unionByName(pairs)
             likely = stage(_estimated(pairs, sketches, percent), "near-likely")
-            nodes = likely.select(F.explode(F.array("a", "b")).alias("f")).distinct()
-            good = _verified(likely, _full_sets(nodes, classes, docs, key, text, k), percent)
+            good = _verified(likely, _full_sets(_nodes(likely), classes, docs, key, text, k), percent)
         else:
             left = members.select("key", "f", "comp")
             good = _block_links(left, _full_sets(left.select("f").distinct(), classes, docs, key, text, k), percent)

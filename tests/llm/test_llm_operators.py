@@ -411,6 +411,29 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert hyperminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_large_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
+    """The first round compares a member with one hub, and no pair is emitted for linked members."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(500):
+        w = [f"w{j}" for j in range(140)]
+        for j in rng.choice(140, int(rng.integers(0, 7)), replace=False):
+            w[j] = f"v{i}_{j}"
+        rows.append((i, " ".join(w)))
+    made = {}
+
+    def staged(df, name, stage=hyperminhash.stage):
+        out = stage(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(hyperminhash, "stage", staged)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(docs, k=4).collect()}
+    assert got == {d: c for d, (_, c) in brute_components(rows, 4).items()}
+    assert made["near-pairs"][0] < made["near-classes"][0] and sum(made["near-pairs"]) < 5 * made["near-classes"][0]
+
+
 def test_block_links_find_what_hubs_miss(spark, monkeypatch):
     """Without star rounds and with tiny blocks the components stay the same."""
     monkeypatch.setattr(hyperminhash, "STAR_ROUNDS", 0)
