@@ -40,6 +40,7 @@ SHARD = 1 << 21  # tokens that a task trains on
 SLICES = 16  # of the parameters, added up by as many groups
 LONG_TEXT = 1 << 14  # bytes; longer texts are scored together, in step
 LONG_BYTES = 64 << 20  # bytes of long texts held at once
+ADAM_CELLS = 1 << 14  # parameters changed at once, few enough for the processor's cache
 WINDOW_CELLS = 1 << 15  # (text, position) pairs whose states are held at once
 LN10 = np.log(10.0)
 
@@ -72,12 +73,14 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     return ship(texts).select(text).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
-    """Row by row, in place. Biases are log shares, so logits stay small; the cut keeps any finite."""
-    np.clip(logits, -60, 60, out=logits)
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
-    return logits
+CUT = 60.0  # of logits: biases are log shares, so they stay small; the cut keeps any finite
+
+
+def exponentials(logits: np.ndarray, reach: float) -> np.ndarray:
+    """In place; ``reach`` bounds the logits' size, and none is cut where it is within ``CUT``."""
+    if not reach < CUT:
+        np.clip(logits, -CUT, CUT, out=logits)
+    return np.exp(logits, out=logits)
 
 
 class Net:
@@ -108,86 +111,138 @@ class Net:
             self.cb[:] = np.log(own[:, 0] / c.sum())
             self.ob[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9) / own), -30.0)
 
-    def step(self, gates: np.ndarray, h: np.ndarray):
-        u = h @ self.wh
-        zr = 1.0 / (1.0 + np.exp(-(gates[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])))
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        cand = np.tanh(gates[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
-        return z * h + (1 - z) * cand, z, r, cand, u[:, 2 * HIDDEN:]
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """What each symbol (a column) adds to the gates, and the states' weights, both sigmoids' negated."""
+        sign = np.repeat(np.array([-1, -1, 1], np.float32), HIDDEN)[:, None]
+        return (self.x + self.b).T * sign, self.wh.T * sign
+
+    def step(self, gates: np.ndarray, h: np.ndarray, wh: np.ndarray, u=None, zr=None, cand=None, new=None) -> np.ndarray:
+        """Next states, a column each, by columns and weights of ``tables``. The states' part, both
+        sigmoids, the candidate and the result are left in the arrays given for them."""
+        u = np.matmul(wh, h, out=u)
+        zr = np.add(gates[:2 * HIDDEN], u[:2 * HIDDEN], out=zr)
+        np.exp(zr, out=zr)
+        zr += 1.0
+        np.divide(1.0, zr, out=zr)
+        cand = np.multiply(zr[HIDDEN:], u[2 * HIDDEN:], out=cand)
+        cand += gates[2 * HIDDEN:]
+        np.tanh(cand, out=cand)
+        new = np.subtract(h, cand, out=new)
+        new *= zr[:HIDDEN]
+        new += cand
+        return new
+
+    def reach(self) -> tuple[float, float]:
+        """Bounds of the logits of classes and of their words: a state's cells lie within -1 and 1."""
+        return (float(np.abs(self.cw).sum(0).max() + np.abs(self.cb).max()),
+                float(np.abs(self.ow).sum(1).max() + np.abs(self.ob).max()))
+
+    def by_class(self, symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Order of rows by their symbols' classes; each class that occurs, with its first row and its end."""
+        cls = (symbols // CLASS).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        cuts = np.append(0, np.bincount(cls, minlength=self.classes).cumsum()).tolist()
+        return order, [(c, i, j) for c, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
 
     def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target symbol given each state."""
         cls, inner = target // CLASS, target % CLASS
-        out = np.log(softmax(h @ self.cw + self.cb)[np.arange(len(h)), cls] + 1e-30).astype(np.float64)
-        order = np.argsort(cls.astype(np.int16), kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            rows = order[cuts[c]:cuts[c + 1]]
-            if len(rows):
-                out[rows] += np.log(softmax(h[rows] @ self.ow[c] + self.ob[c])[np.arange(len(rows)), inner[rows]] + 1e-30)
+        far, near = self.reach()
+
+        def picked(logits, bound, column):
+            e = exponentials(logits, bound)
+            return np.log(e[np.arange(len(e)), column] / (e @ np.ones(e.shape[1], np.float32)) + 1e-30)
+
+        logits = h @ self.cw
+        logits += self.cb
+        out = picked(logits, far, cls).astype(np.float64)
+        order, spans = self.by_class(target)
+        for c, i, j in spans:
+            rows = order[i:j]
+            logits = h[rows] @ self.ow[c]
+            logits += self.ob[c]
+            out[rows] += picked(logits, near, inner[rows])
         return out
 
+    @staticmethod
+    def off_target(e: np.ndarray, at: np.ndarray) -> float:
+        """Rows of exponentials become the mean loss's slopes by their logits; ``at`` are the targets' cells. The loss."""
+        total, flat = e @ np.ones(e.shape[1], np.float32), e.ravel()
+        loss = -np.log(flat[at] / total + 1e-30).sum()
+        total *= len(e)
+        np.divide(1.0, total, out=total)
+        e *= total[:, None]
+        flat[at] -= np.float32(1 / len(e))
+        return loss
+
     def gradient(self, given, target, begins, h0, g=None):
         """Truncated backpropagation over one window (steps x streams) of full streams: gradient (in
         ``g``), last states, loss. Where ``begins`` is set a text starts, from a state of zeros."""
         steps, streams = given.shape
         g = Net(self.symbols, flat=np.zeros_like(self.flat)) if g is None else g
         g.flat[:] = 0
-        gates = (self.x + self.b)[given.ravel()].reshape(steps, streams, -1)
-        shape = (steps, streams, HIDDEN)
-        states, before, z, r, cand, un = (np.empty(shape, np.float32) for _ in range(6))
-        h = h0
+        n, starts = steps * streams, begins.any(1)
+        # Steps x cells x streams, so that a step's work lies together, in long rows.
+        table, wh = self.tables()
+        table = np.ascontiguousarray(table)
+        states, before, cand, dc = (np.empty((steps, HIDDEN, streams), np.float32) for _ in range(4))
+        u, du = (np.empty((steps, 3 * HIDDEN, streams), np.float32) for _ in range(2))
+        zr, h = np.empty((steps, 2 * HIDDEN, streams), np.float32), h0.T
         for t in range(steps):
-            h = np.where(begins[t][:, None], np.float32(0), h) if begins[t].any() else h
             before[t] = h
-            h, z[t], r[t], cand[t], un[t] = self.step(gates[t], h)
-            states[t] = h
-        flat, n = states.reshape(-1, HIDDEN), steps * streams
-        cls, inner = (target // CLASS).ravel(), (target % CLASS).ravel()
-        rows = np.arange(n)
-        p = softmax(flat @ self.cw + self.cb)
-        loss = -np.log(p[rows, cls] + 1e-30).sum()
-        p[rows, cls] -= 1
-        p /= n
-        g.cw += flat.T @ p
-        g.cb += p.sum(0)
+            if starts[t]:
+                before[t][:, begins[t]] = 0
+            h = self.step(np.take(table, given[t], axis=1), before[t], wh, u[t], zr[t], cand[t], states[t])
+        given, target, rows = given.ravel(), target.ravel(), np.arange(n)
+        far, near = self.reach()
+        flat = np.ones((n, HIDDEN + 1), np.float32)  # the last column takes the biases
+        flat.reshape(steps, streams, -1)[:, :, :HIDDEN] = states.transpose(0, 2, 1)
+        cls, inner = target // CLASS, target % CLASS
+        p = exponentials(flat @ np.vstack([self.cw, self.cb]), far)
+        loss = self.off_target(p, rows * self.classes + cls)
+        both = flat.T @ p
+        g.cw[:], g.cb[:] = both[:HIDDEN], both[HIDDEN]
         dstates = p @ self.cw.T
-        order = np.argsort(cls.astype(np.int16), kind="stable")  # rows of a class together: one product a class
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[c]:cuts[c + 1]]
-            s = flat[own]
-            q = softmax(s @ self.ow[c] + self.ob[c])
-            at = (np.arange(len(own)), inner[own])
-            loss -= np.log(q[at] + 1e-30).sum()
-            q[at] -= 1
-            q /= n
-            g.ow[c] += s.T @ q
-            g.ob[c] += q.sum(0)
-            dstates[own] += q @ self.ow[c].T
-        dstates, dh = dstates.reshape(shape), np.zeros((streams, HIDDEN), np.float32)
-        to_z, to_r, to_c = (before - cand) * z * (1 - z), un * r * (1 - r), (1 - z) * (1 - cand * cand)
-        dgates, du = (np.empty((steps, streams, 3 * HIDDEN), np.float32) for _ in range(2))
-        back = np.ascontiguousarray(self.wh.T)
+        # Rows of a class together: its products on its slice of them, all else on all rows at once.
+        order, spans = self.by_class(target)
+        s, q, down = flat[order], np.empty((n, CLASS), np.float32), np.empty((n, HIDDEN), np.float32)
+        weights = np.concatenate([self.ow, self.ob[:, None]], axis=1)
+        back, tuned = np.ascontiguousarray(self.ow.transpose(0, 2, 1)), np.zeros_like(weights)
+        for c, i, j in spans:
+            np.matmul(s[i:j], weights[c], out=q[i:j])
+        exponentials(q, near)
+        loss += self.off_target(q, rows * CLASS + inner[order])
+        for c, i, j in spans:
+            np.matmul(s[i:j].T, q[i:j], out=tuned[c])
+            np.matmul(q[i:j], back[c], out=down[i:j])
+        g.ow[:], g.ob[:] = tuned[:, :HIDDEN], tuned[:, HIDDEN]
+        dstates[order] += down
+        dstates = dstates.reshape(steps, streams, HIDDEN).transpose(0, 2, 1)
+        z, r, dh = zr[:, :HIDDEN], zr[:, HIDDEN:], np.zeros((HIDDEN, streams), np.float32)
+        to_z, to_r, to_c = (before - cand) * z * (1 - z), u[:, 2 * HIDDEN:] * r * (1 - r), (1 - z) * (1 - cand * cand)
         for t in range(steps - 1, -1, -1):
-            dh = dh + dstates[t]
-            dc = dh * to_c[t]
-            dgates[t, :, :HIDDEN] = dh * to_z[t]
-            dgates[t, :, HIDDEN:2 * HIDDEN] = dc * to_r[t]
-            dgates[t, :, 2 * HIDDEN:] = dc
-            du[t, :, :2 * HIDDEN] = dgates[t, :, :2 * HIDDEN]
-            du[t, :, 2 * HIDDEN:] = dc * r[t]
-            dh = dh * z[t] + du[t] @ back
-            if begins[t].any():
-                dh[begins[t]] = 0
-        g.wh += before.reshape(-1, HIDDEN).T @ du.reshape(n, -1)
-        dgates = dgates.reshape(n, -1)
-        g.b += dgates.sum(0)
-        order = np.argsort(given.ravel().astype(np.int32), kind="stable")
-        symbol = given.ravel()[order]
-        heads = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
-        g.x[symbol[heads]] += np.add.reduceat(dgates[order], heads, axis=0)
-        return g.flat, h, float(loss), n
+            dh += dstates[t]
+            d, own = du[t], dc[t]
+            np.multiply(dh, to_c[t], out=own)
+            np.multiply(dh, to_z[t], out=d[:HIDDEN])
+            np.multiply(own, to_r[t], out=d[HIDDEN:2 * HIDDEN])
+            np.multiply(own, r[t], out=d[2 * HIDDEN:])
+            dh *= z[t]
+            dh += self.wh @ d
+            if starts[t]:
+                dh[:, begins[t]] = 0
+        g.wh[:] = (before @ du.transpose(0, 2, 1)).sum(0)
+        order, spans = self.by_class(given)
+        mine, d = np.zeros((n, CLASS), np.float32), np.empty((n, 3 * HIDDEN), np.float32)
+        d.reshape(steps, streams, -1)[:, :, :2 * HIDDEN] = du[:, :2 * HIDDEN].transpose(0, 2, 1)
+        d.reshape(steps, streams, -1)[:, :, 2 * HIDDEN:] = dc.transpose(0, 2, 1)
+        g.b[:] = np.ones(n, np.float32) @ d
+        d = d[order]
+        mine.ravel()[rows * CLASS + given[order] % CLASS] = 1
+        for c, i, j in spans:
+            to = g.x[c * CLASS:(c + 1) * CLASS]
+            np.matmul(mine[i:j, :len(to)].T, d[i:j], out=to)
+        return g.flat, h.T, float(loss), n
 
 
 def segments_of(symbols: np.ndarray, end: int) -> list[np.ndarray]:
@@ -231,6 +286,7 @@ def train(net: Net, segments: list[np.ndarray], end: int, rate: float = RATE, mo
     turn, total, seen = moments.get("turn", 0), 0.0, 0
     given, target, begins, sizes = streams_of(segments, end, STREAMS)
     h, g = np.zeros((len(sizes), HIDDEN), np.float32), Net(net.symbols, flat=np.zeros_like(net.flat))
+    part, root = np.empty((2, ADAM_CELLS), np.float32)
     at, longest = 0, int(sizes[0])
     while at < longest:
         live = int(np.searchsorted(-sizes, -at, "left"))  # streams longer than what was read
@@ -238,12 +294,27 @@ def train(net: Net, segments: list[np.ndarray], end: int, rate: float = RATE, mo
         view = (slice(0, live), slice(at, to))
         grad, h, loss, n = net.gradient(given[view].T, target[view].T, begins[view].T, h[:live], g)
         # The norm is cut at 1; short windows at the streams' ends count by their size.
-        grad *= min(1.0, 1.0 / max(float(np.linalg.norm(grad)), 1e-9))
+        norm = float(np.linalg.norm(grad))
+        if norm > 1.0:
+            grad *= 1.0 / norm
         pace = rate * min(1.0, n / FULL)
         turn += 1
-        m += 0.1 * (grad - m)
-        v += 0.01 * (grad * grad - v)
-        net.flat -= pace * (m / (1 - 0.9 ** turn)) / (np.sqrt(v / (1 - 0.99 ** turn)) + 1e-6)
+        # Adam with rates 0.1 and 0.01; m and v hold sums, 1 / 0.1 and 1 / 0.01 times the usual means.
+        scale = np.sqrt(0.01 / (1 - 0.99 ** turn))
+        speed, least = float(0.1 * pace / (1 - 0.9 ** turn) / scale), float(1e-6 / scale)
+        for i in range(0, len(grad), ADAM_CELLS):
+            x, y, w, own = (k[i:i + ADAM_CELLS] for k in (grad, m, v, net.flat))
+            a, b = part[:len(x)], root[:len(x)]
+            y *= 0.9
+            y += x
+            np.multiply(x, x, out=a)
+            w *= 0.99
+            w += a
+            np.sqrt(w, out=b)
+            b += least
+            np.divide(y, b, out=a)
+            a *= speed
+            own -= a
         total += loss
         seen += n
         at = to
@@ -257,9 +328,10 @@ def text_log_probabilities(net: Net, symbols: np.ndarray, first: np.ndarray, end
     sizes = np.diff(first) + 1
     order = np.argsort(-sizes, kind="stable")
     starts, longest = first[:-1][order], sizes[order]
-    table = net.x + net.b
+    table, wh = net.tables()
+    table = np.ascontiguousarray(table)
     out = np.zeros(len(order))
-    h = np.zeros((len(order), HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, len(order)), np.float32)
     given = np.full(len(order), end)
     padded = np.append(symbols, end)
     t, total = 0, int(longest[0]) if len(order) else 0
@@ -268,15 +340,14 @@ def text_log_probabilities(net: Net, symbols: np.ndarray, first: np.ndarray, end
         states, targets, owner, held = [], [], [], 0
         while t < total and held < WINDOW_CELLS:
             live = int(np.searchsorted(-longest[:live], -t, "left"))
-            new = net.step(table[given[:live]], h[:live])[0]
-            h[:live] = new
+            h = net.step(np.take(table, given[:live], axis=1), h[:, :live], wh)
             last = longest[:live] == t + 1
             target = np.where(last, end, padded[np.minimum(starts[:live] + t, len(symbols))])
-            states.append(new), targets.append(target), owner.append(np.arange(live))
+            states.append(h), targets.append(target), owner.append(np.arange(live))
             given[:live] = target
             held += live
             t += 1
-        lp = net.log_probability(np.concatenate(states), np.concatenate(targets))
+        lp = net.log_probability(np.concatenate(states, axis=1).T, np.concatenate(targets))
         out += np.bincount(np.concatenate(owner), lp, len(order))
     back = np.empty(len(order))
     back[order] = out

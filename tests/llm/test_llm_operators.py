@@ -4,6 +4,7 @@ very long texts, repeated rows, empty tables, extra columns with clashing names.
 import hashlib
 import os
 import re
+import sys
 import zlib
 
 import duckdb
@@ -241,6 +242,27 @@ def test_gradient_equals_finite_differences():
         assert abs((loss[0] - loss[1]) / 0.02 - grad[i]) < 2e-4, i
 
 
+def test_gradient_softmax_is_taken_at_once_for_all_classes():
+    """The number of function calls does not grow with the classes; large logits are cut, small ones left."""
+    rng = np.random.default_rng(2)
+    calls = {}
+    for symbols in (70, 1024):
+        net = gru_lm.Net(symbols, np.arange(symbols)[::-1].astype(float))
+        given, target = (rng.integers(0, symbols, (16, 128)).astype(np.int32) for _ in range(2))
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event == "call" else None)
+        try:
+            net.gradient(given, target, np.zeros((16, 128), bool), np.zeros((128, gru_lm.HIDDEN), np.float32))
+        finally:
+            sys.setprofile(None)
+        calls[symbols] = len(seen)
+    assert calls[1024] == calls[70]
+    net.ow[:] = 100 * rng.standard_normal(net.ow.shape)
+    grad, _, loss, _ = net.gradient(given, target, np.zeros((16, 128), bool), np.zeros((128, gru_lm.HIDDEN), np.float32))
+    assert np.isfinite(grad).all() and np.isfinite(loss)
+    assert np.isfinite(net.log_probability(np.ones((128, gru_lm.HIDDEN), np.float32), target[0])).all()
+
+
 def test_streams_hold_every_symbol_once():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 9, n).astype(np.int32) for n in (0, 1, 5, gru_lm.SEGMENT, 3 * gru_lm.SEGMENT + 7, 40)]
