@@ -33,6 +33,7 @@ QUERY = 32  # words of a benchmark passage
 RANK, OVERSAMPLE, POWER = 128, 16, 2
 CORPUS_DOCS, FIT_PARTS = 512, 4  # all documents together weigh like this many in the factors
 PIECE, SLICE = 1 << 20, 256  # bytes of text searched or multiplied at once; terms of a slice of a matrix
+CELLS = 1 << 18  # of gathered rows held at once, few enough for the processor's cache
 FLOOR = 0.05  # least weight of a term
 CONTAINED = 0.4  # share of a benchmark passage's weight that makes a candidate
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
@@ -76,6 +77,22 @@ def _rows(term: np.ndarray, group: np.ndarray, idf: np.ndarray):
                 yield t, v / size
 
 
+def _sums(matrix: np.ndarray, rows: np.ndarray, weights: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Weighted sum of the matrix's rows of each group; ``heads`` are the groups' first entries. Groups of
+    one size are multiplied together."""
+    sizes = np.diff(np.append(heads, len(rows)))
+    out = np.empty((len(heads), matrix.shape[1]), np.float32)
+    order = np.argsort(sizes, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
+        k = int(sizes[same[0]]) if len(same) else 1
+        most = max(1, CELLS // (k * max(matrix.shape[1], 1)))
+        for i in range(0, len(same), most):
+            some = same[i:i + most]
+            at = heads[some][:, None] + np.arange(k)
+            out[some] = np.matmul(weights[at][:, None], matrix[rows[at]])[:, 0]
+    return out
+
+
 def _product(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     """X' X q of the staged rows X."""
     shared = rows.sparkSession.sparkContext.broadcast(q)
@@ -119,10 +136,11 @@ def _corpus_product(docs: DataFrame, text: str, terms: np.ndarray, idf: np.ndarr
                 row = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at))))
                 v = n * idf[t]
                 v /= np.sqrt(np.add.reduceat(v * v, heads))[row]
-                y = np.add.reduceat(q[t] * v[:, None], heads, axis=0)
+                v = v.astype(np.float32)
+                y = _sums(q, t, v, heads)
                 order = np.argsort(t, kind="stable")
                 heads = np.flatnonzero(np.diff(t[order], prepend=-1))
-                out[t[order][heads]] += np.add.reduceat(y[row[order]] * v[order, None], heads, axis=0)
+                out[t[order][heads]] += _sums(y, row[order], v[order], heads)
         for i in range(0, len(out), SLICE):
             yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([out[i:i + SLICE].astype(np.float64).tobytes()], pa.binary())],
                                              ["i", "g"])

@@ -5,6 +5,7 @@ import hashlib
 import os
 import re
 import sys
+import time
 import zlib
 
 import duckdb
@@ -182,6 +183,26 @@ def test_leaks_of_hot_items_and_of_frequent_words(spark):
     assert not kept & {d for d, _ in want}
 
 
+def test_group_sums_of_rows_cost_less_than_adding_row_by_row():
+    rng = np.random.default_rng(3)
+    matrix = rng.standard_normal((500, 144)).astype(np.float32)
+    sizes = rng.integers(1, 40, 3000)
+    sizes[7] = 5000  # more rows than are held at once
+    heads = np.cumsum(sizes) - sizes
+    rows, weights = rng.integers(0, 500, sizes.sum()), rng.random(sizes.sum()).astype(np.float32)
+    took, out = {}, {}
+    for name, f in (("plain", lambda: np.add.reduceat(matrix[rows] * weights[:, None], heads, axis=0)),
+                    ("sums", lambda: decontaminate._sums(matrix, rows, weights, heads))):
+        took[name] = []
+        for _ in range(3):
+            begun = time.process_time()
+            out[name] = f()
+            took[name].append(time.process_time() - begun)
+    assert np.allclose(out["sums"], out["plain"], rtol=1e-3, atol=1e-2) and out["sums"].dtype == np.float32
+    assert min(took["sums"]) < min(took["plain"]) / 2
+    assert decontaminate._sums(matrix, rows[:0], weights[:0], heads[:0]).shape == (0, 144)
+
+
 def test_automaton_equals_regular_expressions(spark):
     globs = ["*.com/**", "a*b/**x", "**", "abc", "*/en/*", "é*" + "z" * 70 + "**"]
     strings = ["x.com/", "x.com", "a/b/x", "aXXb/yyx", "", "abc", "q/en/", "q/en/a/b", "é" + "z" * 75, "a" * 3000 + "b/x"]
