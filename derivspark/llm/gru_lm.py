@@ -70,7 +70,9 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
         k, n = merged()
         yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["h", "c"])
 
-    return ship(texts).select(text).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    # A task has a word a few times at most, so its counts are added up behind the shuffle only.
+    counted = ship(texts).select(text).mapInArrow(run, "h long, c long")
+    return counted.repartition("h").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 CUT = 60.0  # of logits: biases are log shares, so they stay small; the cut keeps any finite
@@ -112,12 +114,14 @@ class Net:
             self.ob[:] = np.where(c > 0, np.log(np.maximum(c, 1e-9) / own), -30.0)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """What each symbol (a column) adds to the gates, and the states' weights, both sigmoids' negated."""
-        sign = np.repeat(np.array([-1, -1, 1], np.float32), HIDDEN)[:, None]
-        return (self.x + self.b).T * sign, self.wh.T * sign
+        """What each symbol (a row) adds to the gates, and the states' weights (a column each), both sigmoids' negated."""
+        sign = np.repeat(np.array([-1, -1, 1], np.float32), HIDDEN)
+        table = self.x + self.b
+        table *= sign
+        return table, self.wh.T * sign[:, None]
 
     def step(self, gates: np.ndarray, h: np.ndarray, wh: np.ndarray, u=None, zr=None, cand=None, new=None) -> np.ndarray:
-        """Next states, a column each, by columns and weights of ``tables``. The states' part, both
+        """Next states, a column each, by rows (turned to columns) and weights of ``tables``. The states' part, both
         sigmoids, the candidate and the result are left in the arrays given for them."""
         u = np.matmul(wh, h, out=u)
         zr = np.add(gates[:2 * HIDDEN], u[:2 * HIDDEN], out=zr)
@@ -156,12 +160,13 @@ class Net:
         logits = h @ self.cw
         logits += self.cb
         out = picked(logits, far, cls).astype(np.float64)
+        # Rows of a class together: a product for each class, all else on all rows at once.
         order, spans = self.by_class(target)
+        s, logits = h[order], np.empty((len(h), CLASS), np.float32)
         for c, i, j in spans:
-            rows = order[i:j]
-            logits = h[rows] @ self.ow[c]
-            logits += self.ob[c]
-            out[rows] += picked(logits, near, inner[rows])
+            np.matmul(s[i:j], self.ow[c], out=logits[i:j])
+            logits[i:j] += self.ob[c]
+        out[order] += picked(logits, near, inner[order])
         return out
 
     @staticmethod
@@ -184,15 +189,14 @@ class Net:
         n, starts = steps * streams, begins.any(1)
         # Steps x cells x streams, so that a step's work lies together, in long rows.
         table, wh = self.tables()
-        table = np.ascontiguousarray(table)
-        states, before, cand, dc = (np.empty((steps, HIDDEN, streams), np.float32) for _ in range(4))
-        u, du = (np.empty((steps, 3 * HIDDEN, streams), np.float32) for _ in range(2))
-        zr, h = np.empty((steps, 2 * HIDDEN, streams), np.float32), h0.T
+        gates = np.ascontiguousarray(np.take(table, given, axis=0).transpose(0, 2, 1))
+        states, before, cand = (np.empty((steps, HIDDEN, streams), np.float32) for _ in range(3))
+        u, zr, h = np.empty((steps, 3 * HIDDEN, streams), np.float32), np.empty((steps, 2 * HIDDEN, streams), np.float32), h0.T
         for t in range(steps):
             before[t] = h
             if starts[t]:
                 before[t][:, begins[t]] = 0
-            h = self.step(np.take(table, given[t], axis=1), before[t], wh, u[t], zr[t], cand[t], states[t])
+            h = self.step(gates[t], before[t], wh, u[t], zr[t], cand[t], states[t])
         given, target, rows = given.ravel(), target.ravel(), np.arange(n)
         far, near = self.reach()
         flat = np.ones((n, HIDDEN + 1), np.float32)  # the last column takes the biases
@@ -219,16 +223,22 @@ class Net:
         dstates[order] += down
         dstates = dstates.reshape(steps, streams, HIDDEN).transpose(0, 2, 1)
         z, r, dh = zr[:, :HIDDEN], zr[:, HIDDEN:], np.zeros((HIDDEN, streams), np.float32)
-        to_z, to_r, to_c = (before - cand) * z * (1 - z), u[:, 2 * HIDDEN:] * r * (1 - r), (1 - z) * (1 - cand * cand)
+        # Slopes of the candidate and of the first gate by the state's, then of the second gate and of the state's part
+        # of the candidate by the candidate's: two products a step.
+        factors, made = (np.empty((steps, 4, HIDDEN, streams), np.float32) for _ in range(2))
+        rest, change, turned = 1 - z, before - cand, u[:, 2 * HIDDEN:] * r
+        change *= z
+        np.multiply(rest, 1 - cand * cand, out=factors[:, 0])
+        np.multiply(change, rest, out=factors[:, 1])
+        np.multiply(turned, 1 - r, out=factors[:, 2])
+        factors[:, 3] = r
+        dc, du = made[:, 0], made.reshape(steps, 4 * HIDDEN, streams)[:, HIDDEN:]
         for t in range(steps - 1, -1, -1):
             dh += dstates[t]
-            d, own = du[t], dc[t]
-            np.multiply(dh, to_c[t], out=own)
-            np.multiply(dh, to_z[t], out=d[:HIDDEN])
-            np.multiply(own, to_r[t], out=d[HIDDEN:2 * HIDDEN])
-            np.multiply(own, r[t], out=d[2 * HIDDEN:])
+            np.multiply(dh, factors[t, :2], out=made[t, :2])
+            np.multiply(dc[t], factors[t, 2:], out=made[t, 2:])
             dh *= z[t]
-            dh += self.wh @ d
+            dh += self.wh @ du[t]
             if starts[t]:
                 dh[:, begins[t]] = 0
         g.wh[:] = (before @ du.transpose(0, 2, 1)).sum(0)
@@ -328,26 +338,26 @@ def text_log_probabilities(net: Net, symbols: np.ndarray, first: np.ndarray, end
     sizes = np.diff(first) + 1
     order = np.argsort(-sizes, kind="stable")
     starts, longest = first[:-1][order], sizes[order]
+    shorter = -longest  # ascending
     table, wh = net.tables()
-    table = np.ascontiguousarray(table)
     out = np.zeros(len(order))
     h = np.zeros((HIDDEN, len(order)), np.float32)
     given = np.full(len(order), end)
-    padded = np.append(symbols, end)
+    cells = np.insert(symbols, first[1:], end)  # each text, then the end mark
+    starts += order  # of the marks before it
     t, total = 0, int(longest[0]) if len(order) else 0
     while t < total:
-        live = int(np.searchsorted(-longest, -t, "left"))  # texts longer than t
+        live = int(np.searchsorted(shorter, -t, "left"))  # texts longer than t
         states, targets, owner, held = [], [], [], 0
         while t < total and held < WINDOW_CELLS:
-            live = int(np.searchsorted(-longest[:live], -t, "left"))
-            h = net.step(np.take(table, given[:live], axis=1), h[:, :live], wh)
-            last = longest[:live] == t + 1
-            target = np.where(last, end, padded[np.minimum(starts[:live] + t, len(symbols))])
+            live = int(np.searchsorted(shorter[:live], -t, "left"))
+            h = net.step(np.ascontiguousarray(np.take(table, given[:live], axis=0).T), h[:, :live], wh)
+            target = cells[starts[:live] + t]
             states.append(h), targets.append(target), owner.append(np.arange(live))
             given[:live] = target
             held += live
             t += 1
-        lp = net.log_probability(np.concatenate(states, axis=1).T, np.concatenate(targets))
+        lp = net.log_probability(np.ascontiguousarray(np.concatenate(states, axis=1).T), np.concatenate(targets))
         out += np.bincount(np.concatenate(owner), lp, len(order))
     back = np.empty(len(order))
     back[order] = out
@@ -390,6 +400,8 @@ class Lexicon:
         self.symbol[frequent] = rank[:-2]
         self.symbol_counts = np.empty(len(counted))
         self.symbol_counts[rank] = counted
+        own = np.sort(frequent)
+        self.own_keys, self.own_symbol = self.keys[own], np.append(self.symbol[own], self.other)  # the vocabulary alone
 
 
 def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY) -> tuple[Net, Lexicon, DataFrame]:
@@ -408,11 +420,11 @@ def fit(train_docs: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY
 
     def symbols(batches):
         lex = shared.value
-        find = Lookup(lex.keys)
+        find = Lookup(lex.own_keys)
         for whole in batches:
             for b in pieces(whole, 0):
                 h, first = words(b.column(0))
-                s = lex.symbol[find.find(h)].astype(np.int32)
+                s = lex.own_symbol[find.find(h)].astype(np.int32)
                 rows = [x for i, j in zip(first, first[1:]) for x in segments_of(s[i:j], lex.end)]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["s"])
 

@@ -72,31 +72,31 @@ def buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and document index of every word."""
+def bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word."""
     word = ~SPACE[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = word[:-1], word[1:]
     before[off[:-1][off[:-1] < len(data)]] = False
     last = off[1:] - 1
     after[last[last >= 0]] = False
-    starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    return starts, ends, np.searchsorted(off, starts, "right") - 1
+    return np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
 
 
 def words(arr: pa.Array, table: np.ndarray = T_LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts in order, and the position of each
     text's first word in them (one more entry than texts)."""
     data, off = buffers(arr)
-    starts, ends, doc = bounds(data, off)
-    return span_hashes(data, starts, ends, table), np.searchsorted(doc, np.arange(len(arr) + 1))
+    starts, ends = bounds(data, off)
+    return span_hashes(data, starts, ends, table), np.searchsorted(starts, off)
 
 
 def heads(arr: pa.Array, k: int, table: np.ndarray = T_LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the first ``k`` code points of all words longer than that, and the
     index of each one's text."""
     data, off = buffers(arr)
-    starts, ends, doc = bounds(data, off)
+    starts, ends = bounds(data, off)
+    doc = np.searchsorted(off, starts, "right") - 1
     points = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
     cut = np.searchsorted(points, starts) + k
     cut = np.append(points, len(data))[np.minimum(cut, len(points))]
@@ -136,27 +136,18 @@ class Lookup:
     bits give the place to start, a few steps along the keys find the rest."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        self.bits = max(1, int(np.ceil(np.log2(max(len(keys), 2)))))
-        heads = np.arange((1 << self.bits) + 1, dtype=np.float64)
-        edges = np.minimum(heads, (1 << self.bits) - 1).astype(U) << U(64 - self.bits)
-        self.start = np.searchsorted(keys, edges).astype(np.int64)
-        self.start[-1] = len(keys)
-        self.steps = int(np.diff(self.start).max()) if len(keys) else 0
+        self.keys = np.append(keys, ~U(0))  # the last stops every search
+        self.bits = max(1, int(np.ceil(np.log2(max(len(keys), 2)))) + 1)
+        edges = np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)
+        self.start = np.searchsorted(keys, edges).astype(np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        out = np.full(len(h), -1, np.int64)
-        if not len(self.keys):
-            return out
-        top = (h >> U(64 - self.bits)).astype(np.int64)
-        at, end = self.start[top], self.start[top + 1]
-        left = np.flatnonzero(at < end)
-        for _ in range(self.steps):
-            p = at[left]
-            same = self.keys[p] == h[left]
-            out[left[same]] = p[same]
+        at = self.start[h >> U(64 - self.bits)].astype(np.int64)
+        key = self.keys[at]
+        left = np.flatnonzero(key < h)
+        while len(left):
             at[left] += 1
-            left = left[~same & (p + 1 < end[left])]
-            if not len(left):
-                break
-        return out
+            key[left] = self.keys[at[left]]
+            left = left[key[left] < h[left]]
+        at[(key != h) | (at == len(self.keys) - 1)] = -1
+        return at

@@ -284,6 +284,38 @@ def test_gradient_softmax_is_taken_at_once_for_all_classes():
     assert np.isfinite(net.log_probability(np.ones((128, gru_lm.HIDDEN), np.float32), target[0])).all()
 
 
+def test_scoring_softmax_is_taken_at_once_for_all_classes():
+    rng = np.random.default_rng(4)
+    calls = {}
+    for symbols in (70, 1024):
+        net = gru_lm.Net(symbols, np.arange(symbols)[::-1].astype(float))
+        h, target = (rng.standard_normal((2048, gru_lm.HIDDEN)) * 0.3).astype(np.float32), rng.integers(0, symbols, 2048)
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event == "call" else None)
+        try:
+            got = net.log_probability(h, target)
+        finally:
+            sys.setprofile(None)
+        calls[symbols] = len(seen)
+        far, near = h @ net.cw + net.cb, np.einsum("ij,ijk->ik", h, net.ow[target // gru_lm.CLASS]) + net.ob[target // gru_lm.CLASS]
+        log = lambda x, at: x[np.arange(len(x)), at] - np.log(np.exp(x).sum(1))
+        assert np.allclose(got, log(far, target // gru_lm.CLASS) + log(near, target % gru_lm.CLASS), atol=1e-4)
+    assert calls[1024] == calls[70]
+
+
+def test_training_symbols_are_looked_up_in_the_vocabulary_alone():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
+    lex = gru_lm.Lexicon(keys, rng.integers(1, 99, len(keys)), 64, 10, 10**6, len(keys) + 1)
+    h = np.append(keys, keys + np.uint64(1))
+    want = lex.symbol[textvec.Lookup(lex.keys).find(h)]
+    assert len(lex.own_keys) == 62 and np.array_equal(lex.own_symbol[textvec.Lookup(lex.own_keys).find(h)], want)
+    for some in (keys[:0], keys[:1], np.array([0, 5, 2**64 - 1], np.uint64), np.array([2**64 - 1], np.uint64)):
+        at = {int(k): i for i, k in enumerate(some)}
+        asked = np.append(some, np.array([0, 4, 6, 2**64 - 2, 2**64 - 1], np.uint64))
+        assert textvec.Lookup(some).find(asked).tolist() == [at.get(int(x), -1) for x in asked]
+
+
 def test_streams_hold_every_symbol_once():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 9, n).astype(np.int32) for n in (0, 1, 5, gru_lm.SEGMENT, 3 * gru_lm.SEGMENT + 7, 40)]
