@@ -78,10 +78,10 @@ def _rows(term: np.ndarray, group: np.ndarray, idf: np.ndarray):
 
 
 def _sums(matrix: np.ndarray, rows: np.ndarray, weights: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Weighted sum of the matrix's rows of each group; ``heads`` are the groups' first entries. Groups of
-    one size are multiplied together."""
+    """Weighted sum of the matrix's rows of each group, in the weights' precision; ``heads`` are the groups' first
+    entries. Groups of one size are multiplied together."""
     sizes = np.diff(np.append(heads, len(rows)))
-    out = np.empty((len(heads), matrix.shape[1]), np.float32)
+    out = np.empty((len(heads), matrix.shape[1]), np.result_type(matrix, weights))
     order = np.argsort(sizes, kind="stable")
     for same in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
         k = int(sizes[same[0]]) if len(same) else 1
@@ -136,7 +136,6 @@ def _corpus_product(docs: DataFrame, text: str, terms: np.ndarray, idf: np.ndarr
                 row = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at))))
                 v = n * idf[t]
                 v /= np.sqrt(np.add.reduceat(v * v, heads))[row]
-                v = v.astype(np.float32)
                 y = _sums(q, t, v, heads)
                 order = np.argsort(t, kind="stable")
                 heads = np.flatnonzero(np.diff(t[order], prepend=-1))
